@@ -6,11 +6,11 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import matches_any, shares_word
-from tidemark.operators.scale import HOT_ROWS, with_neighbours
+from tidemark.operators.scale import HOT_ROWS, arrange, neighbours
 
 # LIKE patterns of contacts that belong to a post and not to a person.
 GENERIC_CONTACTS = (
@@ -69,13 +69,17 @@ def single_position_entities(
     One position on a date means that the smallest and largest agree, which
     needs no distinct count. A position with a null part is not counted.
     """
-    entity = F.lower(cols.entity).alias(cols.entity)
-    place = F.concat(cols.position, cols.unit, cols.group)
+    return _single_position(df.filter(~matches_any(cols.entity, patterns)), cols)
+
+
+def _place(cols: Observed) -> Column:
+    return F.concat(cols.position, cols.unit, cols.group)
+
+
+def _single_position(df: DataFrame, cols: Observed) -> DataFrame:
     return (
-        df.filter(~matches_any(cols.entity, patterns))
-        .select(entity, cols.date, place.alias("_place"))
-        .groupBy(cols.entity, cols.date)
-        .agg(F.min("_place").alias("_low"), F.max("_place").alias("_high"))
+        df.groupBy(F.lower(cols.entity).alias(cols.entity), cols.date)
+        .agg(F.min(_place(cols)).alias("_low"), F.max(_place(cols)).alias("_high"))
         .groupBy(cols.entity)
         .agg(
             F.bool_and(F.col("_low").eqNullSafe(F.col("_high"))).alias("_single"),
@@ -86,14 +90,39 @@ def single_position_entities(
     )
 
 
+def _keep_single(arranged: DataFrame, cols: Observed) -> DataFrame:
+    """The rows of single-position entities, without another shuffle.
+
+    An entity that is not cut lies in one piece, so windows over the arranged
+    rows tell. The few that are cut are told by the aggregate.
+    """
+    piece = ["_entity", "_piece"]
+    on_date = Window.partitionBy(*piece, cols.date)
+    throughout = Window.partitionBy(*piece)
+    low, high = F.min(_place(cols)).over(on_date), F.max(_place(cols)).over(on_date)
+    cut = _single_position(arranged.filter(F.col("_hot")), cols).select(
+        F.col(cols.entity).alias("_entity"), F.lit(True).alias("_cut_single")
+    )
+    return (
+        arranged.withColumns({"_same": low.eqNullSafe(high), "_any": low.isNotNull()})
+        .withColumn(
+            "_single",
+            F.bool_and("_same").over(throughout) & F.bool_or("_any").over(throughout),
+        )
+        .join(F.broadcast(cut), "_entity", "left")
+        .filter(F.when(F.col("_hot"), F.col("_cut_single")).otherwise(F.col("_single")))
+        .drop("_same", "_any", "_single", "_cut_single")
+    )
+
+
 def only_entities(df: DataFrame, entities: DataFrame, cols: Observed) -> DataFrame:
     """The observations of the listed (lower-cased) entities."""
     wanted = entities.select(F.col(cols.entity).alias("_wanted"))
     return df.join(wanted, F.lower(df[cols.entity]) == F.col("_wanted"), "left_semi")
 
 
-def _neighbours(df: DataFrame, cols: Observed, hot_rows: int) -> DataFrame:
-    """Distinct observations with the one before and after of the same entity.
+def _arranged(df: DataFrame, cols: Observed, hot_rows: int) -> DataFrame:
+    """Distinct observations, shuffled by entity and sorted.
 
     Copies of an observation adjoin in the order and change nothing, so they are
     dropped before the window. A hot entity is cut by date and by the first
@@ -105,22 +134,28 @@ def _neighbours(df: DataFrame, cols: Observed, hot_rows: int) -> DataFrame:
         .withColumn("_entity", F.lower(cols.entity))
     )
     split = F.struct(F.col(cols.date), F.left(F.col(cols.name), F.lit(2)))
+    return arrange(rows, ["_entity"], cols.order, split, hot_rows)
+
+
+def _neighbours(arranged: DataFrame, cols: Observed) -> DataFrame:
     columns = [cols.date, *cols.attributes]
-    return with_neighbours(rows, ["_entity"], cols.order, columns, split, hot_rows).drop("_entity")
+    return neighbours(arranged, ["_entity"], cols.order, columns).drop("_entity")
+
+
+def _shifted(cols: Observed, side: str, prefix: str) -> list[Column]:
+    return [F.col(f"{side}.{c}").alias(f"{prefix}{c}") for c in (cols.date, *cols.attributes)]
 
 
 def with_previous(df: DataFrame, cols: Observed, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Distinct observations with `lag_<column>` of the entity's previous one."""
-    both = _neighbours(df, cols, hot_rows)
-    old = [F.col(f"previous.{c}").alias(f"lag_{c}") for c in (cols.date, *cols.attributes)]
-    return both.select("*", *old).drop("previous", "following")
+    both = _neighbours(_arranged(df, cols, hot_rows), cols)
+    return both.select("*", *_shifted(cols, "previous", "lag_")).drop("previous", "following")
 
 
 def with_next(df: DataFrame, cols: Observed, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Distinct observations with `lead_<column>` of the entity's next one."""
-    both = _neighbours(df, cols, hot_rows)
-    new = [F.col(f"following.{c}").alias(f"lead_{c}") for c in (cols.date, *cols.attributes)]
-    return both.select("*", *new).drop("previous", "following")
+    both = _neighbours(_arranged(df, cols, hot_rows), cols)
+    return both.select("*", *_shifted(cols, "following", "lead_")).drop("previous", "following")
 
 
 def _lag(col: str) -> Column:
@@ -249,16 +284,17 @@ def change_feed(
 ) -> DataFrame:
     """All activities of single-position entities; a row may yield several.
 
-    One pass: both neighbours come from one window, and each row then puts out
-    whatever activities hold, instead of one scan per activity and a union.
+    One pass: which entities count, and both neighbours of a row, come from
+    windows over one shuffle and one sort; each row then puts out whatever
+    activities hold, instead of one scan per activity and a union.
     """
     latest = df.agg(F.max(cols.date).alias("latest")).scalar()
-    chosen = only_entities(df, single_position_entities(df, cols, patterns), cols)
-    rows = _neighbours(chosen, cols, hot_rows)
-    rows = rows.select(
+    personal = df.filter(~matches_any(cols.entity, patterns))
+    single = _keep_single(_arranged(personal, cols, hot_rows), cols)
+    rows = _neighbours(single, cols).select(
         "*",
-        *[F.col(f"previous.{c}").alias(f"lag_{c}") for c in (cols.date, *cols.attributes)],
-        *[F.col(f"following.{c}").alias(f"lead_{c}") for c in (cols.date, *cols.attributes)],
+        *_shifted(cols, "previous", "lag_"),
+        *_shifted(cols, "following", "lead_"),
         latest.alias("_latest"),
     )
     changed = _is_changed(cols, baseline)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.scale import with_group_max
+from tidemark.operators.scale import HOT_ROWS, hot_keys, mark_hot, with_group_max
 
 
 def stints(
@@ -18,36 +18,51 @@ def stints(
     date: str,
     gap_days: int = 30,
     carry: Sequence[str] = (),
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Split the observations of (entity, attributes) where the gap exceeds `gap_days`.
 
     One row per stint, and per value of the `carry` columns within it: first and
     last date and the number of observations.
 
-    Gaps depend on the distinct dates only. Observations are therefore counted
-    per date before any shuffle, and the window sees at most one row per key and
-    calendar day, however many rows a key has.
+    Gaps depend on the distinct dates only. Observations are counted per date
+    before any shuffle, so without `carry` the window sees at most one row per
+    key and calendar day. With `carry`, keys that still have many rows get their
+    stints from their distinct dates and a join.
     """
     keys = [entity, *attributes]
-    daily = df.groupBy(*keys, *carry, date).agg(F.count(F.lit(1)).alias("_rows"))
     by_date = Window.partitionBy(*keys).orderBy(date)
     gap = F.date_diff(F.col(date), F.lag(date).over(by_date))
-    days = daily.select(*keys, date).distinct() if carry else daily
-    numbered = days.withColumn("_starts", F.when(gap > gap_days, 1).otherwise(0)).withColumn(
-        "stint_id", F.sum("_starts").over(by_date)
-    )
-    if carry:
-        on = [F.col(f"d.{c}").eqNullSafe(F.col(f"n.{c}")) for c in (*keys, date)]
-        numbered = (
-            daily.alias("d")
-            .join(numbered.alias("n"), reduce(lambda a, b: a & b, on))
-            .select("d.*", "n.stint_id")
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        # The default frame ends at the current date: rows of one date share a stint.
+        return rows.withColumn("_starts", F.when(gap > gap_days, 1).otherwise(0)).withColumn(
+            "stint_id", F.sum("_starts").over(by_date)
         )
-    return numbered.groupBy(*keys, *carry, "stint_id").agg(
-        F.min(date).alias("observed_from"),
-        F.max(date).alias("observed_to"),
-        F.sum("_rows").alias("observation_count"),
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys, *carry, "stint_id").agg(
+            F.min(date).alias("observed_from"),
+            F.max(date).alias("observed_to"),
+            F.sum("_rows").alias("observation_count"),
+        )
+
+    daily = df.groupBy(*keys, *carry, date).agg(F.count(F.lit(1)).alias("_rows"))
+    if not carry:
+        return summed(numbered(daily))
+    # Counting by a condition on `_rows` keeps that column, and thereby one shuffle for all.
+    size = F.count(F.when(F.col("_rows") > 0, 1))
+    daily = mark_hot(daily, keys, hot_keys(daily, keys, hot_rows, size))
+    regular = daily.filter(F.col("_hot").isNull())
+    hot = daily.filter(F.col("_hot"))
+    days = numbered(hot.select(*keys, date).distinct())
+    on = [F.col(f"d.{c}").eqNullSafe(F.col(f"n.{c}")) for c in (*keys, date)]
+    dated = (
+        hot.alias("d")
+        .join(days.alias("n"), reduce(lambda a, b: a & b, on))
+        .select("d.*", "n.stint_id")
     )
+    return summed(numbered(regular)).unionByName(summed(dated))
 
 
 def flag_current(stint_rows: DataFrame, entity: str, until: str = "observed_to") -> DataFrame:

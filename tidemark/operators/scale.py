@@ -35,18 +35,35 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(done) if done.limit(max_rows + 1).count() <= max_rows else done
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with at least `min_rows` rows, the `HOT_KEYS` largest of them."""
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, rows: Column | None = None
+) -> DataFrame:
+    """The keys with at least `min_rows` rows, the `HOT_KEYS` largest of them.
+
+    `rows` is the aggregate that counts them, if not simply all rows.
+    """
     return (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"), *keys)
+        .agg((F.count(F.lit(1)) if rows is None else rows).alias("_size"))
+        .filter(F.col("_size") >= min_rows)
+        .orderBy(F.desc("_size"), *keys)
         .limit(HOT_KEYS)
         .select(*keys, F.lit(True).alias("_hot"))
     )
 
 
+def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Add `_hot`, true in the rows of hot keys and null in all others.
+
+    `hot` comes from `hot_keys` and has at most `HOT_KEYS` rows.
+    """
+    left, right = df.alias("l"), F.broadcast(hot).alias("r")
+    on = reduce(
+        lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+    )
+    return left.join(right, on, "left").select("l.*", "r._hot")
+
+
 def with_group_max(
     df: DataFrame, value: str, keys: Sequence[str], name: str, few_groups: bool = False
 ) -> DataFrame:
@@ -64,37 +81,40 @@ def with_group_max(
     return left.join(right, on, "left").select("l.*", f"r.{name}")
 
 
-def with_neighbours(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    columns: Sequence[str],
-    split: Column,
-    hot_rows: int = HOT_ROWS,
+def arrange(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Column, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Add structs `previous` and `following`: the row before and after in its key.
+    """Shuffle and sort once for windows per key in `order`, hot keys cut into pieces.
 
-    `order` must be total for rows that differ in `columns`. `split` must not
-    decrease along `order`; it cuts the rows of a hot key into pieces that are
-    windowed apart. The first and last row of every piece then meet in one
-    small window per key. Rows of other keys form a single piece.
+    Adds `_hot` and `_piece`, the latter null but for hot keys. `split` must not
+    decrease along `order`. The shuffle is explicit: a frame that is already
+    distributed by key would otherwise keep all pieces of a key in one task.
     """
-    hot = F.broadcast(hot_keys(df, keys, hot_rows))
-    rows = df.join(hot, list(keys), "left").withColumn(
-        "_piece", F.when(F.col("_hot"), split)
+    hot = hot_keys(df.dropna(subset=list(keys)), keys, hot_rows)
+    return (
+        mark_hot(df, keys, hot)
+        .withColumn("_piece", F.when(F.col("_hot"), split))
+        .repartition(*keys, "_piece")
+        .sortWithinPartitions(*keys, "_piece", *order)
     )
+
+
+def neighbours(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """Add structs `previous` and `following`: the rows before and after in their key.
+
+    `rows` come from `arrange`; `order` must be total for rows that differ in
+    `columns`. Pieces are windowed apart. The first and last row of every piece
+    of a hot key then meet in one small window per key. Rows with a null key are
+    never cut.
+    """
     payload = F.struct(*columns)
     inside = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    rows = rows.select(
-        "*",
-        F.lag(payload).over(inside).alias("_before"),
-        F.lead(payload).over(inside).alias("_after"),
-    )
     place = F.struct(*order)
     across = Window.partitionBy(*keys).orderBy("_piece")
     edges = (
-        df.join(hot, list(keys), "inner")
-        .withColumn("_piece", split)
+        rows.filter(F.col("_hot"))
         .groupBy(*keys, "_piece")
         .agg(F.min_by(payload, place).alias("_first"), F.max_by(payload, place).alias("_last"))
         .select(
@@ -104,8 +124,16 @@ def with_neighbours(
             F.lead("_first").over(across).alias("_first_after"),
         )
     )
-    return rows.join(edges, [*keys, "_piece"], "left").select(
-        *[rows[c] for c in df.columns],
-        F.coalesce("_before", "_last_before").alias("previous"),
-        F.coalesce("_after", "_first_after").alias("following"),
+    kept = [c for c in rows.columns if c not in (*keys, "_hot", "_piece")]
+    return (
+        rows.withColumns(
+            {"_before": F.lag(payload).over(inside), "_after": F.lead(payload).over(inside)}
+        )
+        .join(edges, [*keys, "_piece"], "left")
+        .select(
+            *keys,
+            *kept,
+            F.coalesce("_before", "_last_before").alias("previous"),
+            F.coalesce("_after", "_first_after").alias("following"),
+        )
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import remap_dates
 from tidemark.functions.keys import surrogate_key
 from tidemark.operators.changes import Observed
-from tidemark.operators.history import flag_current, stints
+from tidemark.operators.history import stints
 from tidemark.operators.names import canonicalise
 from tidemark.operators.staging import drop_sentinels
 from tidemark.session import materialise
@@ -48,17 +48,25 @@ def role_history(
     named = canonicalise(
         rows, mapping, cols.name, mapping_raw, mapping_canonical, "full_name", fallback=False
     )
-    held = stints(
-        named, "full_name", [cols.position, cols.unit], cols.date, gap_days,
-        carry=[cols.entity, cols.group],
-    )
     # Read twice below: for the last date of each name and for the rows.
-    roles = flag_current(materialise(held), "full_name")
-    people = dim.select(F.col(dim_name).alias("_name"), F.col(dim_key).alias("person_key"))
-    return roles.join(people, F.col("full_name") == F.col("_name"), "left").select(
+    held = materialise(
+        stints(
+            named, "full_name", [cols.position, cols.unit], cols.date, gap_days,
+            carry=[cols.entity, cols.group],
+        )
+    )
+    # Key and last date join per name first, so that the rows are joined only once.
+    people = dim.select(F.col(dim_name).alias("_dim_name"), F.col(dim_key).alias("person_key"))
+    names = (
+        held.groupBy(F.col("full_name").alias("_name"))
+        .agg(F.max("observed_to").alias("_last"))
+        .join(people, F.col("_name") == F.col("_dim_name"), "left")
+    )
+    return held.join(names, F.col("full_name").eqNullSafe(F.col("_name")), "left").select(
         surrogate_key("full_name", cols.position, cols.unit, "stint_id").alias(
             "role_assignment_key"
         ),
         "person_key", "full_name", cols.entity, cols.position, cols.unit, cols.group,
-        "observed_from", "observed_to", "observation_count", "is_current",
+        "observed_from", "observed_to", "observation_count",
+        (F.col("observed_to") == F.col("_last")).alias("is_current"),
     )
