@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,11 +23,6 @@ def collapse_space(col: Column | str) -> Column:
     return F.trim(F.regexp_replace(_col(col), r"(?U)\s+", " "))
 
 
-def space_words(col: Column | str) -> Column:
-    """The non-empty words between runs of white space."""
-    return F.filter(F.split(_col(col), r"(?U)\s+"), lambda word: word != "")
-
-
 def token_features(col: Column | str) -> dict[str, Column]:
     """Named features of the blank-separated words of a text.
 
@@ -58,10 +56,19 @@ def shares_word(old: Column | str, new: Column | str) -> Column:
     return F.coalesce(F.exists(F.split(F.upper(_col(old)), " "), found), F.lit(False))
 
 
-def matches_any(col: Column | str, patterns: list[str] | tuple[str, ...]) -> Column:
-    """Whether the lower-cased value is LIKE one of the patterns."""
-    value = F.lower(_col(col))
-    hit = F.lit(False)
-    for pattern in patterns:
-        hit = hit | value.like(pattern)
-    return hit
+def _like_regex(pattern: str) -> str:
+    """A LIKE pattern as a regular expression to be found anywhere in the value."""
+    start, end = pattern.startswith("%"), pattern.endswith("%")
+    body = "".join({"%": ".*", "_": "."}.get(c, re.escape(c)) for c in pattern.strip("%"))
+    return f"{'' if start else '^'}{body}{'' if end else chr(92) + 'z'}"
+
+
+def matches_any(col: Column | str, patterns: Sequence[str]) -> Column:
+    """Whether the lower-cased value is LIKE one of the patterns.
+
+    One regular expression, so that the value is worked out only once.
+    """
+    if not patterns:
+        return F.lit(False)
+    regex = "(?s)" + "|".join(_like_regex(p) for p in patterns)
+    return F.regexp_like(F.lower(_col(col)), F.lit(regex))

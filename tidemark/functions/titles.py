@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import space_words, strip_space
+from tidemark.functions.text import strip_space
 
 # Words known as the first, second or third word of a title, in
 # lower case and without dots.
@@ -48,10 +48,19 @@ TITLE_PATTERNS = (
 )
 
 
+_SPACE, _NO_SPACE = r"\p{IsWhite_Space}", r"\P{IsWhite_Space}"
+
+
 def _col(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _dotted(words: Sequence[str]) -> str:
+    """Regular expression of one whole word out of the list, dots anywhere in it."""
+    choice = "|".join(r"\.*+".join(re.escape(letter) for letter in word) for word in words)
+    return rf"\.*+(?:{choice})\.*+(?!{_NO_SPACE})"
+
+
 def leading_title(
     col: Column | str,
     first: Sequence[str] = FIRST_WORDS,
@@ -66,18 +75,19 @@ def leading_title(
     in `exclude`. Dots at the end of the title are dropped.
     """
     value = _col(col)
-    words = space_words(value)
+    word = rf"{_NO_SPACE}++{_SPACE}++"
+    shorter = [word + _dotted(second), _dotted(first)]
+    longer = [word + word + _dotted(third), *shorter]
 
-    def known(position: int, vocabulary: Sequence[str]) -> Column:
-        plain = F.replace(F.lower(F.get(words, position)), F.lit("."), F.lit(""))
-        return plain.isin(*vocabulary)
+    def found(alternatives: list[str]) -> Column:
+        regex = rf"(?i)^{_SPACE}*+({'|'.join(alternatives)})"
+        return F.regexp_extract(value, regex, 1)
 
-    size = (
-        F.when(known(2, third) & ~value.isin(*exclude), 3)
-        .when(known(1, second), 2)
-        .when(known(0, first), 1)
-    )
-    return F.rtrim(F.array_join(F.slice(words, F.lit(1), size), " "), F.lit("."))
+    title = found(longer)
+    if exclude:
+        title = F.when(value.isin(*exclude), found(shorter)).otherwise(title)
+    single_spaced = F.regexp_replace(F.nullif(title, F.lit("")), f"{_SPACE}+", " ")
+    return F.rtrim(single_spaced, F.lit("."))
 
 
 def trailing_suffix(
@@ -88,8 +98,9 @@ def trailing_suffix(
     A token also counts inside a word unless `whole_word` is set.
     """
     choice = "|".join(re.escape(token) for token in tokens)
+    initials = "".join(sorted({re.escape(token[0]) for token in tokens}))
     edge_before, edge_after = (r"(?<!\w)", r"(?!\w)") if whole_word else ("", "")
-    found = F.regexp_extract(_col(col), f"(?s){edge_before}(?:{choice}){edge_after}.*", 0)
+    found = F.regexp_extract(_col(col), f"(?s){edge_before}(?=[{initials}])(?:{choice}){edge_after}.*", 0)
     return F.nullif(found, F.lit(""))
 
 
@@ -102,7 +113,7 @@ def strip_affixes(name: Column | str, prefix: Column | str, suffix: Column | str
     name, prefix, suffix = _col(name), _col(prefix), _col(suffix)
 
     def cut_length(affix: Column, extra: int) -> Column:
-        return F.when(strip_space(affix) != "", F.length(affix) + extra).otherwise(0)
+        return F.when(affix.rlike(_NO_SPACE), F.length(affix) + extra).otherwise(0)
 
     rest = F.substr(name, cut_length(prefix, 1) + 1)
     kept = F.greatest(F.length(rest) - cut_length(suffix, 0), F.lit(0))

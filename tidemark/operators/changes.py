@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import matches_any, shares_word
-from tidemark.operators.scale import HOT_ROWS, arrange, neighbours
+from tidemark.operators.scale import HOT_ROWS, arrange, hot_keys, neighbours, pieces
 
 # LIKE patterns of contacts that belong to a post and not to a person.
 GENERIC_CONTACTS = (
@@ -96,23 +96,21 @@ def _keep_single(arranged: DataFrame, cols: Observed) -> DataFrame:
     An entity that is not cut lies in one piece, so windows over the arranged
     rows tell. The few that are cut are told by the aggregate.
     """
-    piece = ["_entity", "_piece"]
+    piece = pieces(arranged, ["_entity"])
     on_date = Window.partitionBy(*piece, cols.date)
     throughout = Window.partitionBy(*piece)
     low, high = F.min(_place(cols)).over(on_date), F.max(_place(cols)).over(on_date)
-    cut = _single_position(arranged.filter(F.col("_hot")), cols).select(
-        F.col(cols.entity).alias("_entity"), F.lit(True).alias("_cut_single")
-    )
-    return (
-        arranged.withColumns({"_same": low.eqNullSafe(high), "_any": low.isNotNull()})
-        .withColumn(
-            "_single",
-            F.bool_and("_same").over(throughout) & F.bool_or("_any").over(throughout),
+    single = F.bool_and("_same").over(throughout) & F.bool_or("_any").over(throughout)
+    flagged = arranged.withColumns(
+        {"_same": low.eqNullSafe(high), "_any": low.isNotNull()}
+    ).withColumn("_single", single)
+    if "_piece" in piece:
+        cut = _single_position(arranged.filter(F.col("_hot")), cols).select(
+            F.col(cols.entity).alias("_entity"), F.lit(True).alias("_cut_single")
         )
-        .join(F.broadcast(cut), "_entity", "left")
-        .filter(F.when(F.col("_hot"), F.col("_cut_single")).otherwise(F.col("_single")))
-        .drop("_same", "_any", "_single", "_cut_single")
-    )
+        kept = F.when(F.col("_hot"), F.col("_cut_single")).otherwise(F.col("_single"))
+        flagged = flagged.join(F.broadcast(cut), "_entity", "left").withColumn("_single", kept)
+    return flagged.filter("_single").drop("_same", "_any", "_single", "_cut_single")
 
 
 def only_entities(df: DataFrame, entities: DataFrame, cols: Observed) -> DataFrame:
@@ -121,20 +119,17 @@ def only_entities(df: DataFrame, entities: DataFrame, cols: Observed) -> DataFra
     return df.join(wanted, F.lower(df[cols.entity]) == F.col("_wanted"), "left_semi")
 
 
-def _arranged(df: DataFrame, cols: Observed, hot_rows: int) -> DataFrame:
+def _arranged(df: DataFrame, cols: Observed, hot_rows: int | None) -> DataFrame:
     """Distinct observations, shuffled by entity and sorted.
 
     Copies of an observation adjoin in the order and change nothing, so they are
     dropped before the window. A hot entity is cut by date and by the first
     letters of the name, which both follow the order.
     """
-    rows = (
-        df.select(cols.entity, *cols.attributes, cols.date)
-        .distinct()
-        .withColumn("_entity", F.lower(cols.entity))
-    )
+    keyed = df.withColumn("_entity", F.lower(cols.entity)).filter(F.col("_entity").isNotNull())
+    rows = keyed.select("_entity", cols.entity, *cols.attributes, cols.date).distinct()
     split = F.struct(F.col(cols.date), F.left(F.col(cols.name), F.lit(2)))
-    return arrange(rows, ["_entity"], cols.order, split, hot_rows)
+    return arrange(rows, ["_entity"], cols.order, split, hot_keys(keyed, ["_entity"], hot_rows))
 
 
 def _neighbours(arranged: DataFrame, cols: Observed) -> DataFrame:
@@ -146,13 +141,13 @@ def _shifted(cols: Observed, side: str, prefix: str) -> list[Column]:
     return [F.col(f"{side}.{c}").alias(f"{prefix}{c}") for c in (cols.date, *cols.attributes)]
 
 
-def with_previous(df: DataFrame, cols: Observed, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_previous(df: DataFrame, cols: Observed, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Distinct observations with `lag_<column>` of the entity's previous one."""
     both = _neighbours(_arranged(df, cols, hot_rows), cols)
     return both.select("*", *_shifted(cols, "previous", "lag_")).drop("previous", "following")
 
 
-def with_next(df: DataFrame, cols: Observed, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_next(df: DataFrame, cols: Observed, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Distinct observations with `lead_<column>` of the entity's next one."""
     both = _neighbours(_arranged(df, cols, hot_rows), cols)
     return both.select("*", *_shifted(cols, "following", "lead_")).drop("previous", "following")
@@ -177,9 +172,9 @@ def changed_rows(previous: DataFrame, cols: Observed, baseline: dt.date) -> Data
     return previous.filter(_is_changed(cols, baseline))
 
 
-def _row(cols: Observed, activity: Column | str, old: Column, against: Column) -> Column:
+def _output(cols: Observed, activity: Column | str, old: Column, against: Column) -> list[Column]:
     """The nine output columns of an activity."""
-    return F.struct(
+    return [
         (F.lit(activity) if isinstance(activity, str) else activity).alias("activity"),
         F.col(cols.date).alias("activity_date"),
         F.col(cols.name).alias("name"),
@@ -189,7 +184,7 @@ def _row(cols: Observed, activity: Column | str, old: Column, against: Column) -
         F.col(cols.group).alias("group_name"),
         old.cast("string").alias("old_information"),
         against.alias("compared_against_date"),
-    )
+    ]
 
 
 def _activities(cols: Observed) -> dict[str, tuple[Column, Column]]:
@@ -225,9 +220,7 @@ def _activities(cols: Observed) -> dict[str, tuple[Column, Column]]:
 def activity(changed: DataFrame, cols: Observed, which: str) -> DataFrame:
     """The rows of one activity out of the changed rows."""
     condition, old = _activities(cols)[which]
-    return changed.filter(condition).select(
-        F.inline(F.array(_row(cols, which, old, _lag(cols.date))))
-    )
+    return changed.filter(condition).select(*_output(cols, which, old, _lag(cols.date)))
 
 
 def new_entities(changed: DataFrame, cols: Observed) -> DataFrame:
@@ -271,7 +264,7 @@ def disappearances(following: DataFrame, cols: Observed, observations: DataFrame
     """Last rows of entities that end before the last date of all observations."""
     latest = observations.agg(F.max(cols.date).alias("latest")).scalar()
     return following.filter(_is_gone(cols, latest, "lead_")).select(
-        F.inline(F.array(_row(cols, GONE, F.lit(None), F.col(f"lead_{cols.date}"))))
+        *_output(cols, GONE, F.lit(None), F.col(f"lead_{cols.date}"))
     )
 
 
@@ -280,7 +273,7 @@ def change_feed(
     cols: Observed,
     baseline: dt.date,
     patterns: Sequence[str] = GENERIC_CONTACTS,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """All activities of single-position entities; a row may yield several.
 
@@ -297,15 +290,20 @@ def change_feed(
         *_shifted(cols, "following", "lead_"),
         latest.alias("_latest"),
     )
-    changed = _is_changed(cols, baseline)
+    looking_back = _activities(cols)
+    # Names of the activities first, so that what goes with them is worked out
+    # only for rows that are put out, and inside generated code.
     found = [
-        F.when(changed & condition, _row(cols, which, old, _lag(cols.date)))
-        for which, (condition, old) in _activities(cols).items()
+        F.when(F.col("_changed") & condition, which)
+        for which, (condition, _) in looking_back.items()
     ]
-    found.append(
-        F.when(
-            _is_gone(cols, F.col("_latest"), "lead_"),
-            _row(cols, GONE, F.lit(None), F.col(f"lead_{cols.date}")),
-        )
+    found.append(F.when(_is_gone(cols, F.col("_latest"), "lead_"), GONE))
+    which = F.col("_activity")
+    old = F.coalesce(*[F.when(which == name, o) for name, (_, o) in looking_back.items()])
+    against = F.when(which == GONE, F.col(f"lead_{cols.date}")).otherwise(_lag(cols.date))
+    return (
+        rows.withColumn("_changed", _is_changed(cols, baseline))
+        .select("*", F.explode(F.array(*found)).alias("_activity"))
+        .filter(which.isNotNull())
+        .select(*_output(cols, which, old, against))
     )
-    return rows.select(F.inline(F.filter(F.array(*found), lambda row: row.isNotNull())))

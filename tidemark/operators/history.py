@@ -18,7 +18,7 @@ def stints(
     date: str,
     gap_days: int = 30,
     carry: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Split the observations of (entity, attributes) where the gap exceeds `gap_days`.
 
@@ -27,8 +27,8 @@ def stints(
 
     Gaps depend on the distinct dates only. Observations are counted per date
     before any shuffle, so without `carry` the window sees at most one row per
-    key and calendar day. With `carry`, keys that still have many rows get their
-    stints from their distinct dates and a join.
+    key and calendar day. With `carry`, keys of many rows get their stints from
+    their distinct dates and a join.
     """
     keys = [entity, *attributes]
     by_date = Window.partitionBy(*keys).orderBy(date)
@@ -48,21 +48,19 @@ def stints(
         )
 
     daily = df.groupBy(*keys, *carry, date).agg(F.count(F.lit(1)).alias("_rows"))
-    if not carry:
+    hot = hot_keys(df, keys, hot_rows) if carry else None
+    if hot is None:
         return summed(numbered(daily))
-    # Counting by a condition on `_rows` keeps that column, and thereby one shuffle for all.
-    size = F.count(F.when(F.col("_rows") > 0, 1))
-    daily = mark_hot(daily, keys, hot_keys(daily, keys, hot_rows, size))
-    regular = daily.filter(F.col("_hot").isNull())
-    hot = daily.filter(F.col("_hot"))
-    days = numbered(hot.select(*keys, date).distinct())
+    daily = mark_hot(daily, keys, hot)
+    many = daily.filter(F.col("_hot"))
+    days = numbered(many.select(*keys, date).distinct())
     on = [F.col(f"d.{c}").eqNullSafe(F.col(f"n.{c}")) for c in (*keys, date)]
     dated = (
-        hot.alias("d")
+        many.alias("d")
         .join(days.alias("n"), reduce(lambda a, b: a & b, on))
         .select("d.*", "n.stint_id")
     )
-    return summed(numbered(regular)).unionByName(summed(dated))
+    return summed(numbered(daily.filter(F.col("_hot").isNull()))).unionByName(summed(dated))
 
 
 def flag_current(stint_rows: DataFrame, entity: str, until: str = "observed_to") -> DataFrame:

@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from tidemark.functions.titles import leading_title, strip_affixes, trailing_suffix
 
 
-def split_names(df: DataFrame, name: str = "name", **options) -> DataFrame:
-    """Add `prefix`, `postfix` and the `extracted_name` left between them."""
-    titled = df.withColumns(
-        {
-            "prefix": leading_title(name, **options.get("title", {})),
-            "postfix": trailing_suffix(name, **options.get("suffix", {})),
-        }
+def split_names(df: DataFrame, name: str = "name") -> DataFrame:
+    """Add `prefix`, `postfix` and the `extracted_name` left between them.
+
+    Title and honours pass through a generator: later filters on them cannot be
+    moved below it, which would repeat the pattern search for every mention.
+    """
+    found = F.struct(
+        leading_title(name).alias("prefix"), trailing_suffix(name).alias("postfix")
+    )
+    return df.select("*", F.inline(F.array(found))).withColumn(
+        "extracted_name", strip_affixes(name, "prefix", "postfix")
     )
-    return titled.withColumn("extracted_name", strip_affixes(name, "prefix", "postfix"))
 
 
 def build_name_mapping(

@@ -36,20 +36,24 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, rows: Column | None = None
-) -> DataFrame:
-    """The keys with at least `min_rows` rows, the `HOT_KEYS` largest of them.
+    df: DataFrame, keys: Sequence[str | Column], min_rows: int | None = HOT_ROWS
+) -> DataFrame | None:
+    """The keys with at least `min_rows` rows, the `HOT_KEYS` largest of them; None if none.
 
-    `rows` is the aggregate that counts them, if not simply all rows.
+    One pass over the key columns, reduced map-side and run at once, so that
+    plans stay simple where nothing is hot. `min_rows=None` skips it.
     """
-    return (
-        df.groupBy(*keys)
-        .agg((F.count(F.lit(1)) if rows is None else rows).alias("_size"))
-        .filter(F.col("_size") >= min_rows)
-        .orderBy(F.desc("_size"), *keys)
+    if min_rows is None:
+        return None
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    names = [c for c in sizes.columns if c != "_size"]
+    found = materialise(
+        sizes.filter(F.col("_size") >= min_rows)
+        .orderBy(F.desc("_size"), *names)
         .limit(HOT_KEYS)
-        .select(*keys, F.lit(True).alias("_hot"))
+        .select(*names, F.lit(True).alias("_hot"))
     )
+    return None if found.isEmpty() else found
 
 
 def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
@@ -82,15 +86,21 @@ def with_group_max(
 
 
 def arrange(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Column, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    split: Column,
+    hot: DataFrame | None,
 ) -> DataFrame:
-    """Shuffle and sort once for windows per key in `order`, hot keys cut into pieces.
+    """Shuffle and sort once for all windows per key in `order`.
 
-    Adds `_hot` and `_piece`, the latter null but for hot keys. `split` must not
-    decrease along `order`. The shuffle is explicit: a frame that is already
-    distributed by key would otherwise keep all pieces of a key in one task.
+    Where there are hot keys, adds `_hot` and `_piece`, and cuts their rows into
+    pieces by `split`, which must not decrease along `order`. The shuffle is
+    explicit: a frame that is already distributed by key would otherwise keep
+    all pieces of a key in one task.
     """
-    hot = hot_keys(df.dropna(subset=list(keys)), keys, hot_rows)
+    if hot is None:
+        return df.repartition(*keys).sortWithinPartitions(*keys, *order)
     return (
         mark_hot(df, keys, hot)
         .withColumn("_piece", F.when(F.col("_hot"), split))
@@ -99,18 +109,25 @@ def arrange(
     )
 
 
+def pieces(rows: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The columns that windows over arranged rows are partitioned by."""
+    return [*keys, "_piece"] if "_piece" in rows.columns else list(keys)
+
+
 def neighbours(
     rows: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
     """Add structs `previous` and `following`: the rows before and after in their key.
 
     `rows` come from `arrange`; `order` must be total for rows that differ in
-    `columns`. Pieces are windowed apart. The first and last row of every piece
-    of a hot key then meet in one small window per key. Rows with a null key are
-    never cut.
+    `columns`. Keys must not be null. Pieces are windowed apart. The first and
+    last row of every piece of a hot key then meet in one small window per key.
     """
     payload = F.struct(*columns)
-    inside = Window.partitionBy(*keys, "_piece").orderBy(*order)
+    inside = Window.partitionBy(*pieces(rows, keys)).orderBy(*order)
+    before, after = F.lag(payload).over(inside), F.lead(payload).over(inside)
+    if "_piece" not in rows.columns:
+        return rows.withColumns({"previous": before, "following": after})
     place = F.struct(*order)
     across = Window.partitionBy(*keys).orderBy("_piece")
     edges = (
@@ -126,9 +143,7 @@ def neighbours(
     )
     kept = [c for c in rows.columns if c not in (*keys, "_hot", "_piece")]
     return (
-        rows.withColumns(
-            {"_before": F.lag(payload).over(inside), "_after": F.lead(payload).over(inside)}
-        )
+        rows.withColumns({"_before": before, "_after": after})
         .join(edges, [*keys, "_piece"], "left")
         .select(
             *keys,
