@@ -1,0 +1,105 @@
+"""Plans and results where one key holds a large part of the rows."""
+
+import datetime as dt
+import inspect
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import attributes, scale, sessions, staging
+from tidemark.operators.changes import Observed, change_feed
+from tidemark.operators.history import stints
+
+
+def plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys(spark, rows):
+    df = spark.range(100).select(F.when(F.col("id") < 60, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    assert rows(scale.hot_keys(df, ["k"], 50)) == [("hot", True)]
+    assert scale.hot_keys(df, ["k"], 61) is None
+    assert scale.hot_keys(df, ["k"], None) is None
+
+
+def test_small_sides_are_broadcast_and_big_ones_are_not(spark):
+    df = spark.range(100)
+    left = spark.range(10)
+    small = scale.small_side(df)
+    assert "BroadcastHashJoin" in plan(left.join(small, "id"))
+    big = scale.small_side(df, max_rows=50)
+    assert not any("ResolvedHint" in line for line in big._jdf.queryExecution().analyzed().toString().splitlines())
+
+
+def test_adaptive_execution_splits_a_hot_join_key(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(0, 200_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 1000).alias("k"),
+            F.col("id").alias("v"),
+        )
+        got = staging.flag_latest(df, "v", ["k"], few_groups=False)
+        assert "skew=true" in plan(got.groupBy("is_latest").count())
+        assert got.filter("is_latest").count() == 1000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_feed_has_one_sort_and_one_shuffle_by_entity(spark):
+    df = spark.createDataFrame(
+        [("a@x", "A", "p", "u", "g", d) for d in range(5)],
+        "email string, name string, position string, unit string, grp string, observed int",
+    ).withColumn("observed", F.date_add(F.lit("2024-01-01").cast("date"), "observed"))
+    feed = change_feed(df, Observed(group="grp"), dt.date(2024, 1, 1))
+    text = plan(feed).split("== Initial Plan ==")[-1]
+    assert text.count("REPARTITION_BY_COL") == 1 and len(re.findall(r"\bSort \[", text)) == 1
+
+
+def test_stints_shuffle_counts_and_not_rows(spark):
+    df = spark.range(50_000).select(
+        F.lit("x").alias("e"), F.lit("a").alias("p"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 10).cast("int")).alias("d"),
+    )
+    got = stints(df, "e", ["p"], "d")
+    assert "partial_count" in plan(got)
+    assert [r.observation_count for r in got.collect()] == [50_000]
+
+
+def test_global_sessions_window_sees_slots_only(spark):
+    df = spark.range(100_000).select(
+        F.timestamp_millis(F.col("id") * 1000).cast("timestamp_ntz").alias("ts")
+    )
+    got = sessions.gap_sessions(df, "ts")
+    text = plan(got)
+    assert text.index("Window") < text.index("partial_min", text.index("Window"))
+    assert got.count() == 1
+
+
+def test_private_values_need_no_join(spark):
+    df = spark.createDataFrame([(1, "v", 1)], "e int, v string, d int")
+    assert "Join" not in plan(attributes.latest_private_value(df, "e", "v", "d"))
+
+
+@pytest.mark.parametrize("folder", ["operators", "functions", "plans", "streaming"])
+def test_library_has_no_local_checkpoints_collects_or_udfs(folder):
+    from pathlib import Path
+
+    import tidemark
+
+    root = Path(inspect.getfile(tidemark)).parent / folder
+    for path in root.rglob("*.py"):
+        code = path.read_text()
+        for word in ("localCheckpoint", ".collect()", "toPandas", "crossJoin", ".rdd", "pandas_udf"):
+            assert word not in code, f"{word} in {path}"
