@@ -14,6 +14,7 @@ from tidemark.operators import (
     attributes, changes, dims, hierarchy, history, labels, names, quality, scd2, sessions,
     snapshots, staging, summary,
 )
+from tidemark.session import materialise
 from tidemark.plans.directory import name_tables, update_intervals
 from tidemark.plans.role_history import role_history as build_role_history
 from tidemark.sources import pages as page_source
@@ -179,33 +180,36 @@ def last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(scd2.last_seen(t.assignments(spark, sf_dir), "grp", "observed"))
 
 
-def _intervals(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Intervals per year up to the month before the last, and the last month."""
-    columns = ["name", "position", "unit", "grp"]
-    rows = rows.withColumn("content", keys.content_key(*columns))
-    last = rows.agg(F.max("month").alias("m")).scalar()
+CONTENT = ["name", "position", "unit", "grp"]
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The raw table, and the intervals up to its last month but one, a row per year."""
+    raw = materialise(t.monthly(spark, sf_dir))
+    last = raw.agg(F.max("month").alias("m")).scalar()
     existing = (
-        rows.filter(F.col("month") < last)
-        .groupBy("content", *columns, F.year("month").alias("y"))
+        raw.filter(F.col("month") < last)
+        .groupBy(
+            keys.content_key(*CONTENT).alias("content"), *CONTENT, F.year("month").alias("y")
+        )
         .agg(F.min("month").alias("_valid_from"), F.max("month").alias("_valid_to"))
         .drop("y")
     )
-    return existing, snapshots.latest_snapshot(rows, ["content", *columns], "month")
+    return raw, materialise(existing)
 
 
 @query
 def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    existing, current = _intervals(t.monthly(spark, sf_dir))
-    columns = ["name", "position", "unit", "grp"]
-    return plain(scd2.scd2_merge(existing, current, "content", columns, "grp"))
+    raw, existing = _stored(spark, sf_dir)
+    latest = snapshots.latest_snapshot(raw, CONTENT, "month")
+    current = latest.withColumn("content", keys.content_key(*CONTENT))
+    return plain(scd2.scd2_merge(existing, current, "content", CONTENT, "grp", pass_closed=False))
 
 
 @query
 def scd2_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = t.monthly(spark, sf_dir)
-    existing, _ = _intervals(raw)
-    columns = ["name", "position", "unit", "grp"]
-    return plain(update_intervals(raw, existing, columns, "grp", "content", "month"))
+    raw, existing = _stored(spark, sf_dir)
+    return plain(update_intervals(raw, existing, CONTENT, "grp", "content", "month"))
 
 
 # Names

@@ -5,25 +5,22 @@ Every builder has its SQL twin in `checks.oracles`, under the same name.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import ensure_checkpoint_dir
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new folder name under the shared checkpoint folder, or a local one in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None and spark.sparkContext.master.startswith("local"):
-        base = tempfile.mkdtemp(prefix="tidemark-table-")
-    if base is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{base}/table-{uuid.uuid4().hex}"
+    """A new folder name inside the session's checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
 
 
 def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,8 +18,9 @@ def frame(spark, rows):
     return spark.createDataFrame([(k, a, g, day(f), day(t)) for k, a, g, f, t in rows], SCHEMA)
 
 
-def merged(spark, existing, current):
-    out = scd2_merge(frame(spark, existing), frame(spark, current), "k", ["a", "g"], "g")
+def merged(spark, existing, current, **options):
+    old, new = frame(spark, existing), frame(spark, current)
+    out = scd2_merge(old, new, "k", ["a", "g"], "g", **options)
     return sorted(
         ((r.k, r.a, r.g, (r._valid_from - day(0)).days, (r._valid_to - day(0)).days)
          for r in out.collect()),
@@ -62,8 +63,21 @@ CASES = {
 
 
 @pytest.mark.parametrize("case", CASES)
-def test_cases(spark, case):
+@pytest.mark.parametrize("pass_closed", [True, False])
+def test_cases(spark, case, pass_closed):
     existing, current = CASES[case]
+    got = merged(spark, existing, current, pass_closed=pass_closed)
+    assert got == by_hand(existing, current)
+
+
+def test_overlapping_intervals_need_all_rows(spark):
+    existing = [("x", "1", "g", 0, 10), ("x", "1", "g", 5, 7)]
+    assert merged(spark, existing, [], pass_closed=False) == by_hand(existing, [])
+
+
+def test_two_loads_on_one_date_run_twice(spark):
+    existing = [("x", "1", "g", 0, 7)]
+    current = [("x", "1", "g", 7, 7), ("x", "1", "g", 8, 8)]
     assert merged(spark, existing, current) == by_hand(existing, current)
 
 

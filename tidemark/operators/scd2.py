@@ -23,6 +23,7 @@ def scd2_merge(
     group: str,
     valid_from: str = "_valid_from",
     valid_to: str = "_valid_to",
+    pass_closed: bool = True,
 ) -> DataFrame:
     """Extend the open interval of keys seen again, and add intervals for the rest.
 
@@ -32,24 +33,35 @@ def scd2_merge(
     attribute is a value like any other, and a group without an earlier load
     merges nothing. Running one snapshot twice changes nothing.
 
+    A row that ends before the last load of its group cannot be merged as long as
+    the intervals of a key do not overlap, which holds for all tables this
+    function makes. Such rows, most of a long history, are passed on without a
+    shuffle; `pass_closed=False` takes them into account for other tables.
+
     The window is over one content key, which has at most one interval per load.
     """
     seen = small_side(last_seen(existing, group, valid_to)).withColumnRenamed(group, "_group")
     columns = [key, *attributes, valid_from, valid_to]
-    rows = (
-        existing.select(*columns, F.lit(0).alias("_source"))
-        .unionByName(current.select(*columns, F.lit(1).alias("_source")))
-        .join(seen, F.col(group).eqNullSafe(F.col("_group")), "left")
+
+    def with_last_seen(df: DataFrame, source: int) -> DataFrame:
+        return df.select(*columns, F.lit(source).alias("_source")).join(
+            seen, F.col(group).eqNullSafe(F.col("_group")), "left"
+        )
+
+    before = with_last_seen(existing, 0)
+    closed = F.coalesce(F.col(valid_to) < F.col("last_seen"), F.lit(False))
+    rows = (before.filter(~closed) if pass_closed else before).unionByName(
+        with_last_seen(current, 1)
     )
     newest_first = Window.partitionBy(key).orderBy(
         F.desc(valid_from), F.desc("_source"), F.desc(valid_to), *[F.desc(a) for a in attributes]
     )
-    place = F.row_number().over(newest_first)
     open_end = F.coalesce(F.col(valid_to) == F.col("last_seen"), F.lit(False))
     interval = F.when((F.col("_place") == 2) & open_end, 1).otherwise(F.col("_place"))
-    return (
-        rows.withColumn("_place", place)
+    merged = (
+        rows.withColumn("_place", F.row_number().over(newest_first))
         .groupBy(key, *attributes, interval.alias("_interval"))
         .agg(F.min(valid_from).alias(valid_from), F.max(valid_to).alias(valid_to))
-        .drop("_interval")
+        .select(*columns)
     )
+    return before.filter(closed).select(*columns).unionByName(merged) if pass_closed else merged
