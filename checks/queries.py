@@ -14,9 +14,10 @@ from tidemark.operators import (
     attributes, changes, dims, hierarchy, history, labels, names, quality, scd2, sessions,
     snapshots, staging, summary,
 )
-from tidemark.session import materialise
-from tidemark.plans.directory import name_tables, update_intervals
+from tidemark.plans.directory import name_tables, stage_history, update_intervals
+from tidemark.plans.directory import person_dim as build_person_dim
 from tidemark.plans.role_history import role_history as build_role_history
+from tidemark.session import materialise
 from tidemark.sources import pages as page_source
 from tidemark.sources import tables as table_source
 
@@ -149,7 +150,7 @@ def hierarchy_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = t.nodes(spark, sf_dir)
     roots = tree.filter(F.col("parent").isNull()).select("key")
     edges = tree.filter(F.col("parent").isNotNull())
-    return plain(hierarchy.walk_hierarchy(edges, roots, "parent", "key"))
+    return plain(hierarchy.walk_hierarchy(edges, roots, "parent", "key", "ordinal", ["name"]))
 
 
 @query
@@ -381,6 +382,36 @@ def _entity_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    rows = t.titled(spark, sf_dir).select(
+        F.upper("name").alias("person"), F.col("raw").alias("name"), F.col("unit").alias("email"),
+        F.col("observed").alias("_valid_from"), F.col("observed").alias("_valid_to"),
+    )
+    found = names.split_names(rows)
+    return {
+        value: stage_history(
+            names.attribute_history(found, ["email", "person", value]), "person", value, MOVES
+        )
+        for value in ("prefix", "postfix")
+    }
+
+
+@query
+def staged_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(_staged(spark, sf_dir)["prefix"])
+
+
+@query
+def person_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = t.contacts(spark, sf_dir).select(
+        F.upper("name").alias("person"), F.concat("unit", "position", "grp").alias("contact"), "observed"
+    )
+    private = attributes.latest_private_value(rows, "person", "contact", "observed")
+    return build_person_dim(
+        rows, "person", _staged(spark, sf_dir), private.drop("observed")
+    )
+
+
 @query
 def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t.assignments(spark, sf_dir)

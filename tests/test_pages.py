@@ -1,3 +1,6 @@
+import datetime as dt
+
+from tidemark.plans.directory import snapshot_tables
 from tidemark.sources.pages import extract_page_links, extract_page_records
 
 PEOPLE = """
@@ -42,16 +45,52 @@ def test_records(spark, rows):
 
 def test_links(spark, rows):
     assert rows(extract_page_links(pages(spark, UNITS, PEOPLE))) == sorted(
-        [("dept0", "Unit A", "/a"), ("dept0", "No link", None), ("dept0", "B", "/b")], key=repr
+        [("dept0", "Unit A", "/a", 0), ("dept0", "No link", None, 1), ("dept0", "B", "/b", 2)],
+        key=repr,
     )
 
 
 def test_unclosed_and_stray_tags(spark, rows):
     html = "<div class=tab-pane></p><ul class=section-listing><li><a href=/x>X</b></a></li>"
-    assert rows(extract_page_links(pages(spark, html))) == [("dept0", "X", "/x")]
+    assert rows(extract_page_links(pages(spark, html))) == [("dept0", "X", "/x", 0)]
 
 
 def test_many_items_on_one_page(spark):
     items = "".join(f"<li><a href=/{i}>U{i}</a></li>" for i in range(5_000))
     html = f"<div class='tab-pane'><ul class='section-listing'>{items}</ul></div>"
     assert extract_page_links(pages(spark, html)).count() == 5_000
+
+
+def page(*units, people=()):
+    listed = "".join(f"<li><a href='{link}'>{name}</a></li>" for name, link in units)
+    staff = "".join(f"<li><b class=rank>{p}</b><b class=name>{n}</b></li>" for p, n in people)
+    return (
+        f"<div class=tab-pane><ul class=section-listing>{listed}</ul></div>"
+        f"<div class=section-info><ul>{staff}</ul></div>"
+    )
+
+
+def test_snapshot_tables(spark, rows):
+    site = {
+        "/top": page(("B", "/b"), ("A", "/a"), people=[("Head", "Ann")]),
+        "/a": page(("C", "/c"), ("Lost", "/lost")),
+        "/b": page(("C again", "/c"), ("Top", "/top")),
+        "/c": page(people=[("Clerk", "Cy")]),
+        "/other": page(people=[("Nobody", "Nil")]),
+    }
+    table = spark.createDataFrame(list(site.items()), "url string, html string")
+    at = dt.datetime(2024, 1, 1)
+    got = snapshot_tables(table, "/top", "Group", at)
+    assert rows(got["names"], "position", "name", "department", "url", "group_name") == [
+        ("Clerk", "Cy", "C again", "/c", "Group"), ("Clerk", "Cy", "C", "/c", "Group"),
+        ("Head", "Ann", "Group", "/top", "Group"),
+    ]
+    assert rows(got["departments"], "parent_name", "department_name", "department_link", "children") == sorted(
+        [
+            (None, "Group", "/top", "B, A"), ("Group", "A", "/a", "C, Lost"),
+            ("Group", "B", "/b", "C again"), ("A", "C", "/c", ""), ("A", "Lost", "/lost", ""),
+            ("B", "C again", "/c", ""),
+        ],
+        key=repr,
+    )
+    assert rows(got["metadata"], "table_name", "num_rows") == [("departments", 6), ("names", 3)]

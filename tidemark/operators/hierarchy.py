@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -12,14 +13,31 @@ from tidemark.session import materialise
 CHUNK = 1_000  # children joined to one string at a time
 
 
-def walk_hierarchy(edges: DataFrame, roots: DataFrame, parent: str, child: str) -> DataFrame:
+def walk_hierarchy(
+    edges: DataFrame,
+    roots: DataFrame,
+    parent: str,
+    child: str,
+    ordinal: str | None = None,
+    carry: Sequence[str] = (),
+) -> DataFrame:
     """All nodes reached from the roots, with parent, depth and path.
 
     `roots` has one column, the root nodes. A node with several parents appears
-    once per path; a path that would meet itself ends. One join per level, each
-    level cut off by a checkpoint, so the number of jobs is the depth of the tree.
+    once per path; a path that would meet itself ends. With `ordinal`, the place
+    of a child among its siblings, `trail` lists those places from the root on;
+    its order is depth first. `carry` adds columns of the edge that led to the
+    node.
+
+    One join per level, each level cut off by a checkpoint, so the number of jobs
+    is the depth of the tree.
     """
-    links = edges.select(F.col(parent).alias("_parent"), F.col(child).alias("_child"))
+    links = edges.select(
+        F.col(parent).alias("_parent"),
+        F.col(child).alias("_child"),
+        *([] if ordinal is None else [F.col(ordinal).cast("long").alias("_place")]),
+        *carry,
+    )
     start = roots.columns[0]
     node = F.col(start)
     level = roots.select(
@@ -27,17 +45,20 @@ def walk_hierarchy(edges: DataFrame, roots: DataFrame, parent: str, child: str)
         F.lit(None).cast(roots.schema[start].dataType).alias("parent"),
         F.lit(0).alias("depth"),
         F.array(node).alias("path"),
+        *([] if ordinal is None else [F.array().cast("array<bigint>").alias("trail")]),
+        *[F.lit(None).cast(links.schema[c].dataType).alias(c) for c in carry],
     )
     levels = [level]
     while True:
+        reached = level.drop(*carry).join(links, F.col("node") == F.col("_parent"))
         level = materialise(
-            level.join(links, F.col("node") == F.col("_parent"))
-            .filter(~F.array_contains("path", F.col("_child")))
-            .select(
+            reached.filter(~F.array_contains("path", F.col("_child"))).select(
                 F.col("_child").alias("node"),
                 F.col("node").alias("parent"),
                 (F.col("depth") + 1).alias("depth"),
                 F.array_append("path", F.col("_child")).alias("path"),
+                *([] if ordinal is None else [F.array_append("trail", F.col("_place")).alias("trail")]),
+                *carry,
             )
         )
         if level.isEmpty():

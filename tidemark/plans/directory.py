@@ -1,16 +1,56 @@
-"""From pages to snapshot tables, and from snapshots to the interval tables."""
+"""From pages to snapshot tables, and from snapshots to interval and name tables."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import remap_dates
 from tidemark.functions.keys import content_key
+from tidemark.operators.dims import entity_dim
+from tidemark.operators.hierarchy import flatten_hierarchy, walk_hierarchy
 from tidemark.operators.names import attribute_history, build_name_mapping, split_names
 from tidemark.operators.scd2 import scd2_merge
-from tidemark.operators.snapshots import latest_snapshot
+from tidemark.operators.snapshots import latest_snapshot, load_manifest, stamp_snapshot
+from tidemark.operators.staging import flag_latest, keep_longest
+from tidemark.session import materialise
+from tidemark.sources.pages import extract_page_links, extract_page_records
+
+
+def snapshot_tables(
+    pages: DataFrame, root: str, group: str, observed_at: dt.datetime
+) -> dict[str, DataFrame]:
+    """People, units and manifest of one load, from fetched pages (url, html).
+
+    Units are reached from the page `root`, which stands for the group itself; a
+    unit listed on several pages appears under each of them, people included. A
+    unit whose page is missing has no people and no units below it.
+    """
+    spark = pages.sparkSession
+    links = extract_page_links(pages, parent="url").filter(F.col("link").isNotNull())
+    start = spark.range(1).select(F.lit(root).alias("link"))
+    walk = walk_hierarchy(materialise(links), start, "parent", "link", "ordinal", ["name"])
+    places = F.col("trail")
+    nodes = walk.select(
+        F.array_join(places, "/").alias("key"),
+        F.when(F.size(places) > 0, F.array_join(F.slice(places, 1, F.size(places) - 1), "/")).alias(
+            "parent"
+        ),
+        F.coalesce("name", F.lit(group)).alias("name"),
+        F.col("node").alias("link"),
+        F.element_at(F.concat(F.array(F.lit(0)), places), -1).alias("ordinal"),
+    )
+    people = extract_page_records(pages, keep=["url"])
+    listed = nodes.select(F.col("name").alias("department"), F.col("link").alias("url"))
+    names = people.join(listed, "url").select("position", "name", "email", "department", "url")
+    loads = {
+        "names": stamp_snapshot(names, group, observed_at),
+        "departments": stamp_snapshot(flatten_hierarchy(nodes), group, observed_at),
+    }
+    return {**loads, "metadata": load_manifest(loads)}
 
 
 def update_intervals(
@@ -35,3 +75,44 @@ def name_tables(intervals: DataFrame, name: str = "name", email: str = "email")
         "prefixes_history": attribute_history(named, [email, "extracted_name", "prefix"]),
         "postfixes_history": attribute_history(named, [email, "extracted_name", "postfix"]),
     }
+
+
+def stage_history(
+    history: DataFrame,
+    name: str,
+    value: str,
+    date_moves: Mapping[dt.date, dt.date],
+) -> DataFrame:
+    """A history of titles or honours with clean dates, one value per name and span.
+
+    `is_latest` marks the last span of each name and value.
+    """
+    spans = history.select(
+        name, value,
+        remap_dates("effective_from", date_moves).alias("effective_from"),
+        remap_dates("effective_to", date_moves).alias("effective_to"),
+    )
+    longest = keep_longest(spans, [name, "effective_from", "effective_to"], value)
+    return flag_latest(longest, "effective_to", [name, value], few_groups=False)
+
+
+def person_dim(
+    mapping: DataFrame,
+    name: str,
+    histories: Mapping[str, DataFrame],
+    private: DataFrame,
+    labels: Sequence[DataFrame] = (),
+    key: str = "person_key",
+) -> DataFrame:
+    """One row per name: its title and honours, private contact and labels.
+
+    `histories` maps a value column to its staged history. A name may have
+    several latest values; the longest is taken, so that names stay unique.
+    """
+    latest = [
+        keep_longest(h.filter("is_latest").select(name, value), [name], value)
+        for value, h in histories.items()
+    ]
+    return entity_dim(
+        mapping, name, [private, *latest, *labels], {"has_private_value": False}, key
+    )

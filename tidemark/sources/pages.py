@@ -170,9 +170,9 @@ def extract_page_links(
     sections: Sequence[str] = LINK_SECTIONS,
     listing: str = LINK_LIST,
 ) -> DataFrame:
-    """One row per list item: parent page, text with single blanks, href.
+    """One row per list item: parent page, text with single blanks, href, place on the page.
 
-    An item without a link has a null href.
+    An item without a link has a null href. Places count from 0 over the page.
     """
     sections = tuple(sections)
     schema = T.StructType(
@@ -180,17 +180,18 @@ def extract_page_links(
             T.StructField("parent", pages.schema[parent].dataType),
             T.StructField("name", T.StringType()),
             T.StructField("link", T.StringType()),
+            T.StructField("ordinal", T.LongType()),
         ]
     )
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [
-                (owner, " ".join(item.text().split()), _field(item, "a@href") or None)
+                (owner, " ".join(item.text().split()), _field(item, "a@href") or None, place)
                 for page, owner in batch.itertuples(index=False, name=None)
-                for item in _items(page, sections, listing)
+                for place, item in enumerate(_items(page, sections, listing))
             ]
-            yield pd.DataFrame(rows, columns=["parent", "name", "link"])
+            yield pd.DataFrame(rows, columns=schema.names)
 
     return _with_items(pages, html).select(html, parent).mapInPandas(parse, schema)
 
