@@ -7,8 +7,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import attributes, scale, sessions, staging
-from tidemark.operators.changes import Observed, change_feed
+from tidemark.operators import attributes, labels, names, scale, sessions, staging
+from tidemark.operators.changes import Observed, change_feed, only_entities
 from tidemark.operators.history import stints
 
 
@@ -33,7 +33,9 @@ def test_small_sides_are_broadcast_and_big_ones_are_not(spark):
     assert not any("ResolvedHint" in line for line in big._jdf.queryExecution().analyzed().toString().splitlines())
 
 
-def test_adaptive_execution_splits_a_hot_join_key(spark):
+@pytest.fixture
+def eager_splitting(spark):
+    """Small thresholds, and no broadcast, so that small data is split too."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -44,17 +46,55 @@ def test_adaptive_execution_splits_a_hot_join_key(spark):
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
-    try:
-        df = spark.range(0, 200_000, 1, 8).select(
-            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 1000).alias("k"),
-            F.col("id").alias("v"),
-        )
-        got = staging.flag_latest(df, "v", ["k"], few_groups=False)
-        assert "skew=true" in plan(got.groupBy("is_latest").count())
-        assert got.filter("is_latest").count() == 1000
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def hot_frame(spark):
+    """A third of the rows with one key."""
+    return spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "k1").otherwise(F.concat(F.lit("k"), F.col("id") % 1000)).alias("k"),
+        F.col("id").alias("v"),
+    )
+
+
+def test_hot_group_is_split(spark, eager_splitting):
+    got = staging.flag_latest(hot_frame(spark), "v", ["k"], few_groups=False)
+    assert "skew=true" in plan(got.groupBy("is_latest").count())
+    assert got.filter("is_latest").count() == 1000
+
+
+def test_hot_name_is_split(spark, eager_splitting):
+    df = hot_frame(spark)
+    mapping = df.select("k", F.upper("k").alias("name"))
+    got = names.canonicalise(df, mapping, "k", "k", "name")
+    assert "skew=true" in plan(got.agg(F.count("canonical_name")))
+    assert got.filter(F.col("canonical_name") == F.upper("k")).count() == 200_000
+
+
+def test_hot_text_is_split(spark, eager_splitting):
+    rules = spark.createDataFrame([("A", "w", "k1")], "label string, kind string, pattern string")
+    got = labels.rule_cascade(
+        hot_frame(spark), "k", rules, [labels.Step("A", "w", "any_word")], "none"
+    )
+    assert "skew=true" in plan(got.groupBy("label").count())
+    assert got.filter("label = 'A'").count() == hot_frame(spark).filter("k = 'k1'").count()
+
+
+def test_hot_entity_of_a_semi_join_is_split(spark, eager_splitting):
+    cols = Observed(entity="k", date="v")
+    wanted = spark.range(1000).select(F.concat(F.lit("k"), "id").alias("k")).groupBy("k").count()
+    got = only_entities(hot_frame(spark), wanted, cols)
+    assert "skew=true" in plan(got.agg(F.count("k")))
+    assert got.count() == 200_000
+
+
+def test_duplicates_are_limited_before_the_shuffle(spark):
+    df = hot_frame(spark).select(F.col("v").alias("e"), F.col("k").alias("value"))
+    got = attributes.possible_duplicates(df, "e", "value", 3)
+    assert plan(got).count("WindowGroupLimit") >= 2
+    assert got.count() == 0
 
 
 def test_feed_has_one_sort_and_one_shuffle_by_entity(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -46,23 +46,20 @@ def latest_private_value(
 def possible_duplicates(df: DataFrame, entity: str, value: str, n: int = 2) -> DataFrame:
     """Values shared by exactly `n` entities, with the sorted entities.
 
-    Entities are gathered only for values already known to have `n` of them.
+    More than `n` rules a value out, so at most `n + 1` entities of a value leave
+    a task: the limit on the row number is applied before the shuffle too.
     """
-    pairs = df.select(value, entity).dropna().distinct()
-    counts = (
-        pairs.groupBy(value)
+    in_order = Window.partitionBy(value).orderBy(entity)
+    return (
+        df.select(value, entity)
+        .dropna()
+        .distinct()
+        .withColumn("_nth", F.row_number().over(in_order))
+        .filter(F.col("_nth") <= n + 1)
+        .groupBy(value)
         .agg(
             F.count(F.lit(1)).alias("entity_count"),
-            F.min(entity).alias("_first"),
-            F.max(entity).alias("_last"),
+            F.sort_array(F.collect_list(entity)).alias("entities"),
         )
         .filter(F.col("entity_count") == n)
     )
-    if n <= 2:
-        entities = F.array_distinct(F.array("_first", "_last"))
-        return counts.select(value, "entity_count", entities.alias("entities"))
-    return (
-        pairs.join(counts.select(value, "entity_count"), value)
-        .groupBy(value, "entity_count")
-        .agg(F.sort_array(F.collect_list(entity)).alias("entities"))
-    )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import matches_any, shares_word
-from tidemark.operators.scale import HOT_ROWS, arrange, hot_keys, neighbours, pieces
+from tidemark.operators.scale import HOT_ROWS, arrange, hot_keys, neighbours, pieces, skew_join
 
 # LIKE patterns of contacts that belong to a post and not to a person.
 GENERIC_CONTACTS = (
@@ -116,7 +116,8 @@ def _keep_single(arranged: DataFrame, cols: Observed) -> DataFrame:
 def only_entities(df: DataFrame, entities: DataFrame, cols: Observed) -> DataFrame:
     """The observations of the listed (lower-cased) entities."""
     wanted = entities.select(F.col(cols.entity).alias("_wanted"))
-    return df.join(wanted, F.lower(df[cols.entity]) == F.col("_wanted"), "left_semi")
+    rows = df.withColumn("_entity", F.lower(cols.entity))
+    return skew_join(rows, wanted, [("_entity", "_wanted")], "left_semi").drop("_entity")
 
 
 def _arranged(df: DataFrame, cols: Observed, hot_rows: int | None) -> DataFrame:

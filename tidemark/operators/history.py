@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.scale import HOT_ROWS, hot_keys, mark_hot, with_group_max
+from tidemark.operators.scale import HOT_ROWS, hot_keys, mark_hot, skew_join, with_group_max
 
 
 def stints(
@@ -54,12 +53,8 @@ def stints(
     daily = mark_hot(daily, keys, hot)
     many = daily.filter(F.col("_hot"))
     days = numbered(many.select(*keys, date).distinct())
-    on = [F.col(f"d.{c}").eqNullSafe(F.col(f"n.{c}")) for c in (*keys, date)]
-    dated = (
-        many.alias("d")
-        .join(days.alias("n"), reduce(lambda a, b: a & b, on))
-        .select("d.*", "n.stint_id")
-    )
+    named = {c: f"_of_{c}" for c in (*keys, date)}
+    dated = skew_join(many, days.withColumnsRenamed(named), list(named.items()), "inner")
     return summed(numbered(daily.filter(F.col("_hot").isNull()))).unionByName(summed(dated))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import token_features
-from tidemark.operators.scale import small_side
+from tidemark.operators.scale import skew_join, small_side
 
 
 def label_of_value(value: Column | str, vocabulary: Mapping[str, Sequence[str]]) -> Column:
@@ -223,7 +223,5 @@ def rule_cascade(
         .agg(F.min("won").alias("_won"))
         .select("_text", F.col("_won.label").alias("_label"))
     )
-    joined = df.join(labels, F.col(text) == F.col("_text"), "left")
-    return joined.select(
-        *[df[c] for c in df.columns], F.coalesce("_label", F.lit(default)).alias(name)
-    )
+    joined = skew_join(df, labels, [(text, "_text")], "left")
+    return joined.withColumn(name, F.coalesce("_label", F.lit(default))).drop("_text", "_label")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.titles import leading_title, strip_affixes, trailing_suffix
+from tidemark.operators.scale import skew_join
 
 
 def split_names(df: DataFrame, name: str = "name") -> DataFrame:
@@ -60,10 +61,12 @@ def canonicalise(
     distinct pairs first, so that it does not multiply rows. It grows with the
     data and is therefore not broadcast by hint.
     """
-    pairs = mapping.select(
-        F.col(mapping_raw).alias("_raw"), F.col(mapping_canonical).alias("_mapped")
-    ).distinct()
-    joined = df.join(pairs, F.col(raw) == F.col("_raw"), "left")
+    pairs = (
+        mapping.filter(F.col(mapping_raw).isNotNull())
+        .select(F.col(mapping_raw).alias("_raw"), F.col(mapping_canonical).alias("_mapped"))
+        .distinct()
+    )
+    joined = skew_join(df, pairs, [(raw, "_raw")], "left")
     mapped = F.col("_mapped")
     if fallback:
         mapped = F.coalesce(F.nullif(mapped, F.lit("")), F.col(raw))

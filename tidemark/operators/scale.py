@@ -20,9 +20,17 @@ HOT_KEYS = 10_000         # at most so many keys are split; the rest stay whole,
 BROADCAST_ROWS = 200_000  # a counted side up to this is broadcast
 
 
-def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality of the key columns of two frames."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def skew_join(
+    left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str
+) -> DataFrame:
+    """Equality join, null equal to null, whose hot keys adaptive execution can split.
+
+    It splits a hot partition only where both sides were shuffled for the join.
+    Null-safe keys are computed, so a side that already lies by key, such as an
+    aggregate, is shuffled all the same.
+    """
+    pairs = [F.col(a).eqNullSafe(F.col(b)) for a, b in on]
+    return left.join(right, reduce(lambda a, b: a & b, pairs), how)
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -75,14 +83,13 @@ def with_group_max(
 
     `few_groups` says that the groups are likely few, which is then counted.
     """
-    peaks = df.groupBy(*keys).agg(F.max(value).alias(name))
+    named = {k: f"_of_{k}" for k in keys}
+    peaks = df.groupBy(*[F.col(k).alias(n) for k, n in named.items()]).agg(
+        F.max(value).alias(name)
+    )
     if few_groups:
         peaks = small_side(peaks)
-    left, right = df.alias("l"), peaks.alias("r")
-    on = reduce(
-        lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    )
-    return left.join(right, on, "left").select("l.*", f"r.{name}")
+    return skew_join(df, peaks, list(named.items()), "left").drop(*named.values())
 
 
 def arrange(

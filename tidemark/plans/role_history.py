@@ -13,6 +13,7 @@ from tidemark.functions.keys import surrogate_key
 from tidemark.operators.changes import Observed
 from tidemark.operators.history import stints
 from tidemark.operators.names import canonicalise
+from tidemark.operators.scale import skew_join
 from tidemark.operators.staging import drop_sentinels
 from tidemark.session import materialise
 
@@ -62,7 +63,7 @@ def role_history(
         .agg(F.max("observed_to").alias("_last"))
         .join(people, F.col("_name") == F.col("_dim_name"), "left")
     )
-    return held.join(names, F.col("full_name").eqNullSafe(F.col("_name")), "left").select(
+    return skew_join(held, names, [("full_name", "_name")], "left").select(
         surrogate_key("full_name", cols.position, cols.unit, "stint_id").alias(
             "role_assignment_key"
         ),
