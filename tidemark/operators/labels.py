@@ -104,26 +104,38 @@ class Step:
 _SPAN_TESTS = ("phrase", "start", "start_mixed", "word_mixed")
 
 
-def _spans(words: Column, count: Column, longest: Column) -> Column:
-    """Runs of one to `longest` words, blank-joined; none of an empty list."""
-    lengths = F.sequence(F.lit(1), F.least(longest, count))
+def _spans(words: Column, last: Column, longest: Column, first: int = 1) -> Column:
+    """Runs of up to `longest` words between two positions, blank-joined; null if none."""
+    lengths = F.sequence(F.lit(1), F.least(longest, last - first + 1))
     runs = F.transform(
         lengths,
         lambda k: F.transform(
-            F.sequence(F.lit(1), count - k + 1),
+            F.sequence(F.lit(first), last - k + 1),
             lambda i: F.array_join(F.slice(words, i, k), " "),
         ),
     )
-    return F.when((count > 0) & (longest > 0), F.flatten(runs))
+    return F.when((last >= first) & (longest > 0), F.flatten(runs))
 
 
-def _probes(text: Column, tests: set[str], max_words: Column, max_length: Column) -> Column:
-    """Array of (test, probe): every string whose equality with a pattern passes the test."""
+def _parts(text: Column) -> dict[str, Column]:
+    """What the tests look at. Columns of their own, or each word would split the text again."""
     features = token_features(text)
-    first, last, size = (features[f] for f in ("first_word", "last_word", "word_count"))
-    words = F.split(F.lower(text), " ")
-    head, tail = F.lower(first), F.lower(last)
-    mixed_first, mixed_last = first != F.upper(first), last != F.upper(last)
+    first, last = features["first_word"], features["last_word"]
+    return {
+        "_words": F.split(F.lower(text), " "),
+        "_size": features["word_count"],
+        "_head": F.lower(first),
+        "_tail": F.lower(last),
+        "_mixed_first": first != F.upper(first),
+        "_mixed_last": last != F.upper(last),
+        "_capitals": F.split(F.lower(features["capital_words"]), " "),
+    }
+
+
+def _probes(tests: set[str], max_words: Column, max_length: Column) -> Column:
+    """Array of (test, probe): every string whose equality with a pattern passes the test."""
+    words, size, head, tail = (F.col(c) for c in ("_words", "_size", "_head", "_tail"))
+    mixed_first, mixed_last = F.col("_mixed_first"), F.col("_mixed_last")
     several = size > 1
 
     starts = F.concat(
@@ -140,21 +152,20 @@ def _probes(text: Column, tests: set[str], max_words: Column, max_length: Column
         ),
     )
     endings = F.transform(
-        F.sequence(F.lit(1), F.least(max_length, F.length(last))),
+        F.sequence(F.lit(1), F.least(max_length, F.length(tail))),
         lambda k: F.right(tail, k),
     )
-    inner = F.slice(words, F.lit(2), F.greatest(size - 2, F.lit(0)))
     strings = {
         "phrase": lambda: _spans(words, size, F.least(max_words, size - 1)),
         "start": lambda: starts,
         "start_mixed": lambda: F.when(mixed_first, starts),
-        "end_mixed": lambda: F.when(mixed_last & (F.length(last) > 0), endings),
+        "end_mixed": lambda: F.when(mixed_last & (F.length(tail) > 0), endings),
         "word_mixed": lambda: F.concat(
             F.coalesce(F.when(mixed_first, F.array(head)), F.array()),
             F.coalesce(F.when(mixed_last, F.array(tail)), F.array()),
-            F.coalesce(_spans(inner, size - 2, max_words), F.array()),
+            F.coalesce(_spans(words, size - 1, max_words, first=2), F.array()),
         ),
-        "capital_word": lambda: F.split(F.lower(features["capital_words"]), " "),
+        "capital_word": lambda: F.col("_capitals"),
         "first_or_last_word": lambda: F.array(head, tail),
         "first_word": lambda: F.array(head),
         "last_word": lambda: F.when(several, F.array(tail)),
@@ -208,11 +219,10 @@ def rule_cascade(
     tests = {s.test for s in steps}
     probes = (
         df.select(F.col(text).alias("_text")).distinct()
-        .withColumns({"_max_words": max_words, "_max_length": max_length})
-        .select(
-            "_text",
-            F.inline(_probes(F.col("_text"), tests, F.col("_max_words"), F.col("_max_length"))),
+        .withColumns(
+            {"_max_words": max_words, "_max_length": max_length, **_parts(F.col("_text"))}
         )
+        .select("_text", F.inline(_probes(tests, F.col("_max_words"), F.col("_max_length"))))
     )
     labels = (
         probes.join(
