@@ -188,15 +188,17 @@ def _output(cols: Observed, activity: Column | str, old: Column, against: Column
     ]
 
 
-def _activities(cols: Observed) -> dict[str, tuple[Column, Column]]:
-    """Condition and old information of the activities found by looking back."""
+def _activities(cols: Observed, alike: Column) -> dict[str, tuple[Column, Column]]:
+    """Condition and old information of the activities found by looking back.
+
+    `alike` tells whether the names share a word.
+    """
     name, position, unit, group = cols.attributes
     none = F.lit(None)
     same_group = F.col(group) == _lag(group)
     same_unit, other_unit = F.col(unit) == _lag(unit), F.col(unit) != _lag(unit)
     other_role = F.col(position) != _lag(position)
     renamed = F.col(name) != _lag(name)
-    alike = shares_word(_lag(name), name)
 
     def listed(*parts: str) -> Column:
         between = [x for part in parts for x in (F.lit(", "), _lag(part))]
@@ -220,7 +222,7 @@ def _activities(cols: Observed) -> dict[str, tuple[Column, Column]]:
 
 def activity(changed: DataFrame, cols: Observed, which: str) -> DataFrame:
     """The rows of one activity out of the changed rows."""
-    condition, old = _activities(cols)[which]
+    condition, old = _activities(cols, shares_word(_lag(cols.name), cols.name))[which]
     return changed.filter(condition).select(*_output(cols, which, old, _lag(cols.date)))
 
 
@@ -291,7 +293,7 @@ def change_feed(
         *_shifted(cols, "following", "lead_"),
         latest.alias("_latest"),
     )
-    looking_back = _activities(cols)
+    looking_back = _activities(cols, F.col("_alike"))
     # Names of the activities first, so that what goes with them is worked out
     # only for rows that are put out, and inside generated code.
     found = [
@@ -303,7 +305,14 @@ def change_feed(
     old = F.coalesce(*[F.when(which == name, o) for name, (_, o) in looking_back.items()])
     against = F.when(which == GONE, F.col(f"lead_{cols.date}")).otherwise(_lag(cols.date))
     return (
-        rows.withColumn("_changed", _is_changed(cols, baseline))
+        rows.withColumns(
+            {
+                "_changed": _is_changed(cols, baseline),
+                "_alike": F.when(
+                    F.col(cols.name) != _lag(cols.name), shares_word(_lag(cols.name), cols.name)
+                ),
+            }
+        )
         .select("*", F.explode(F.array(*found)).alias("_activity"))
         .filter(which.isNotNull())
         .select(*_output(cols, which, old, against))
