@@ -55,6 +55,11 @@ def test_unclosed_and_stray_tags(spark, rows):
     assert rows(extract_page_links(pages(spark, html))) == [("dept0", "X", "/x", 0)]
 
 
+def test_odd_declarations_are_skipped(spark, rows):
+    html = "<![weird x]><!DOCTYPE><?php x ?><![CDATA[y]]><!-- -->" + UNITS + "<![ open"
+    assert len(rows(extract_page_links(pages(spark, html)))) == 3
+
+
 def test_many_items_on_one_page(spark):
     items = "".join(f"<li><a href=/{i}>U{i}</a></li>" for i in range(5_000))
     html = f"<div class='tab-pane'><ul class='section-listing'>{items}</ul></div>"

@@ -104,6 +104,13 @@ class _Tree(HTMLParser):
     def handle_data(self, data):
         self.open[-1].children.append(data)
 
+    def parse_marked_section(self, i, report=1):
+        """Skip a declaration the parser does not know; one odd page must not end the job."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.rawdata.find(">", i) + 1 or -1
+
 
 def _items(html: str, sections: Sequence[str], listing: str) -> Iterator[_Node]:
     """Items of the first list in every section.
@@ -197,4 +204,4 @@ def extract_page_links(
 
 
 def _with_items(pages: DataFrame, html: str) -> DataFrame:
-    return pages.filter(F.contains(F.lower(html), F.lit("<li")))
+    return pages.filter(F.col(html).rlike("(?i)<li"))

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 RULES = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("label", "kind", "pattern", "notes")]
 )
-VERSION = "_version"
 
 
 def append_table(
@@ -25,38 +24,37 @@ def append_table(
     df.withColumn(day, F.to_date(ts)).write.mode("append").partitionBy(day).parquet(path)
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame | None:
+def _last_version(spark: SparkSession, path: str) -> int | None:
     try:
-        return spark.read.option("basePath", path).parquet(path)
+        log = spark.read.schema("version long").parquet(f"{path}/versions")
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-
-
-def _last_version(table: DataFrame) -> int:
-    return table.agg(F.max(VERSION)).first()[0] or 0
+    return log.agg(F.max("version")).first()[0]
 
 
 def replace_table(df: DataFrame, path: str) -> int:
     """Write `df` as the whole new content of the table; returns its version.
 
-    Every content gets a folder of its own, so `df` may read the table it
-    replaces, and readers keep the old content until the new one is committed.
+    Every content gets a folder of its own and counts once it is noted in the
+    list of versions. So `df` may read the table it replaces, readers keep the
+    old content until then, and what a lost run left behind is written over.
     """
-    table = _versions(df.sparkSession, path)
-    version = 1 if table is None else _last_version(table) + 1
-    df.write.mode("errorifexists").parquet(f"{path}/{VERSION}={version}")
+    spark = df.sparkSession
+    version = (_last_version(spark, path) or 0) + 1
+    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    noted = spark.range(version, version + 1, numPartitions=1).withColumnRenamed("id", "version")
+    noted.write.mode("append").parquet(f"{path}/versions")
     return version
 
 
 def read_current(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The newest content of a replaced table, or the given version."""
-    table = _versions(spark, path)
-    if table is None:
+    version = version or _last_version(spark, path)
+    if version is None:
         raise FileNotFoundError(path)
-    version = _last_version(table) if version is None else version
-    return spark.read.parquet(f"{path}/{VERSION}={version}")
+    return spark.read.parquet(f"{path}/version={version}")
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
