@@ -17,7 +17,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
     )
     session = configure(builder).getOrCreate()
