@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import attributes, labels, names, scale, sessions, staging
 from tidemark.operators.changes import Observed, change_feed, only_entities
 from tidemark.operators.history import stints
+from tidemark.operators.snapshots import latest_snapshot, stamp_snapshot
+from tidemark.sources.tables import append_table
 
 
 def plan(df):
@@ -97,6 +99,17 @@ def test_duplicates_are_limited_before_the_shuffle(spark):
     assert got.count() == 0
 
 
+def test_latest_snapshot_reads_one_partition(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    for day in range(1, 4):
+        load = stamp_snapshot(spark.range(day).withColumnRenamed("id", "n"), "g", dt.datetime(2024, 1, day))
+        append_table(load, path)
+    got = latest_snapshot(spark.read.parquet(path), ["n"], day="snapshot_date")
+    text = plan(got)
+    assert re.search(r"PartitionFilters: \[[^]]*snapshot_date[^]]*[Ss]ubquery", text)
+    assert got.count() == 3
+
+
 def test_feed_has_one_sort_and_one_shuffle_by_entity(spark):
     df = spark.createDataFrame(
         [("a@x", "A", "p", "u", "g", d) for d in range(5)],

@@ -34,13 +34,14 @@ def skew_join(
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Compute a reduced side once, count it, and broadcast it only if it is small.
+    """A side to be broadcast if it is counted to be small, else `df` as it is.
 
-    A bigger side comes back as it is: the join then shuffles, and adaptive
-    execution splits its hot partitions.
+    One row more than allowed is computed and kept in the checkpoint folder. If
+    that many are not there, what was kept is the whole side. Otherwise the join
+    shuffles, and adaptive execution splits its hot partitions.
     """
-    done = materialise(df)
-    return F.broadcast(done) if done.limit(max_rows + 1).count() <= max_rows else done
+    head = materialise(df.limit(max_rows + 1))
+    return F.broadcast(head) if head.count() <= max_rows else df
 
 
 def hot_keys(

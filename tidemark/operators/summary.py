@@ -25,13 +25,13 @@ def share_of_total(df: DataFrame, category: str) -> DataFrame:
 
 
 def category_counts(df: DataFrame, category: str, unknown: str = "Unknown") -> DataFrame:
-    """Rows per category, the most frequent first; null is shown as `unknown`.
+    """Rows per category, the most frequent first, then by name; null is shown as `unknown`.
 
     A literal `unknown` stays a group of its own, apart from the nulls.
     """
     counts = df.groupBy(category).agg(F.count(F.lit(1)).alias("count"))
     return counts.select(F.coalesce(category, F.lit(unknown)).alias(category), "count").orderBy(
-        F.desc("count")
+        F.desc("count"), category
     )
 
 
@@ -55,12 +55,12 @@ def breakdown(
 
 
 def headcount(facts: DataFrame, entity: str, group: str) -> DataFrame:
-    """Distinct entities per group, the largest first."""
+    """Distinct entities per group, the largest first, then by name."""
     return (
         facts.filter(F.col(group).isNotNull())
         .groupBy(group)
         .agg(F.count_distinct(entity).alias("headcount"))
-        .orderBy(F.desc("headcount"))
+        .orderBy(F.desc("headcount"), group)
     )
 
 
