@@ -259,7 +259,10 @@ def canonicalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = t.mapping(spark, sf_dir)
     both = names.canonicalise(rows, pairs, "name", "raw", "cleaned", "canonical")
     both = names.canonicalise(both, pairs, "name", "raw", "cleaned", "mapped", fallback=False)
-    return both.select("seq", "name", "canonical", "mapped")
+    both = names.canonicalise(
+        both, pairs, "name", "raw", "cleaned", "mapped_or_raw", empty_is_missing=False
+    )
+    return both.select("seq", "name", "canonical", "mapped", "mapped_or_raw")
 
 
 # Staging and flags

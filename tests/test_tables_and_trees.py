@@ -86,6 +86,10 @@ def test_manifest(spark, rows):
         ("a", "g", 3, 1.5), ("b", "g", 3, 1.5),
     ]
     assert rows(load_manifest({"a": df}), *columns) == [("a", "g", 3, None)]
+    empty = df.limit(0)
+    assert rows(load_manifest({"a": df, "b": empty}, durations=took), *columns) == [
+        ("a", "g", 3, 1.5), ("b", "g", 0, 1.5),
+    ]
 
 
 def test_project_rename(spark):
@@ -130,6 +134,9 @@ def test_canonicalise(spark, rows):
     assert rows(names.canonicalise(df, mapping, "raw", "r", "c", "n", fallback=False)) == sorted(
         [("Mr A", "A"), ("B", ""), ("C", None), (None, None)], key=repr
     )
+    assert ("B", "") in rows(
+        names.canonicalise(df, mapping, "raw", "r", "c", "n", empty_is_missing=False)
+    )
 
 
 def test_attribute_history_drops_null_keys(spark, rows):

@@ -54,9 +54,11 @@ def canonicalise(
     mapping_canonical: str,
     name: str = "canonical_name",
     fallback: bool = True,
+    empty_is_missing: bool = True,
 ) -> DataFrame:
     """Add the mapped name of `raw`; with `fallback`, `raw` itself where it has none.
 
+    An empty mapped name then counts as none, unless `empty_is_missing` is off.
     Without `fallback` an unmapped row gets null. The mapping is reduced to its
     distinct pairs first, so that it does not multiply rows. It grows with the
     data and is therefore not broadcast by hint.
@@ -69,5 +71,6 @@ def canonicalise(
     joined = skew_join(df, pairs, [(raw, "_raw")], "left")
     mapped = F.col("_mapped")
     if fallback:
-        mapped = F.coalesce(F.nullif(mapped, F.lit("")), F.col(raw))
+        given = F.nullif(mapped, F.lit("")) if empty_is_missing else mapped
+        mapped = F.coalesce(given, F.col(raw))
     return joined.withColumn(name, mapped).drop("_raw", "_mapped")

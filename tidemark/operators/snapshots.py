@@ -32,18 +32,26 @@ def load_manifest(
     """One row per table, group and load: the number of rows and the duration.
 
     `durations` holds `group`, `ts` and `extraction_duration_seconds` per load.
+    Every load in it is listed for every table, with 0 where it brought no rows.
     """
-    counts = reduce(
-        DataFrame.unionByName,
-        [
-            df.groupBy(group, ts)
-            .agg(F.count(F.lit(1)).alias("num_rows"))
-            .select(F.lit(name).alias("table_name"), group, "num_rows", ts)
-            for name, df in tables.items()
-        ],
-    )
+    counted = [
+        df.groupBy(group, ts)
+        .agg(F.count(F.lit(1)).alias("num_rows"))
+        .select(F.lit(name).alias("table_name"), group, "num_rows", ts)
+        for name, df in tables.items()
+    ]
     if durations is None:
+        counts = reduce(DataFrame.unionByName, counted)
         return counts.withColumn("extraction_duration_seconds", F.lit(None).cast("double"))
+    names = F.explode(F.array(*[F.lit(name) for name in tables]))
+    none = durations.select(
+        names.alias("table_name"), group, F.lit(0).cast("long").alias("num_rows"), ts
+    )
+    counts = (
+        reduce(DataFrame.unionByName, [*counted, none])
+        .groupBy("table_name", group, ts)
+        .agg(F.sum("num_rows").alias("num_rows"))
+    )
     return counts.join(durations, [group, ts], "left")
 
 

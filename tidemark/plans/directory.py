@@ -21,13 +21,18 @@ from tidemark.sources.pages import extract_page_links, extract_page_records
 
 
 def snapshot_tables(
-    pages: DataFrame, root: str, group: str, observed_at: dt.datetime
+    pages: DataFrame,
+    root: str,
+    group: str,
+    observed_at: dt.datetime,
+    seconds: float | None = None,
 ) -> dict[str, DataFrame]:
     """People, units and manifest of one load, from fetched pages (url, html).
 
     Units are reached from the page `root`, which stands for the group itself; a
     unit listed on several pages appears under each of them, people included. A
-    unit whose page is missing has no people and no units below it.
+    unit whose page is missing has no people and no units below it. `seconds` is
+    how long fetching took.
     """
     spark = pages.sparkSession
     links = extract_page_links(pages, parent="url").filter(F.col("link").isNotNull())
@@ -50,7 +55,11 @@ def snapshot_tables(
         "names": stamp_snapshot(names, group, observed_at),
         "departments": stamp_snapshot(flatten_hierarchy(nodes), group, observed_at),
     }
-    return {**loads, "metadata": load_manifest(loads)}
+    took = stamp_snapshot(
+        spark.range(1).select(F.lit(seconds).cast("double").alias("extraction_duration_seconds")),
+        group, observed_at,
+    )
+    return {**loads, "metadata": load_manifest(loads, durations=took)}
 
 
 def update_intervals(
