@@ -66,7 +66,8 @@ def test_current_is_per_entity(spark):
     assert spans(current_roles(held)) == [("x", "b", 9, 9, 1), ("y", "a", 3, 3, 1)]
 
 
-def test_role_history(spark):
+@pytest.mark.parametrize("hot_rows", [None, 1, 2])
+def test_role_history(spark, hot_rows):
     rows = [
         ("Mr Jo", "jo@x", "clerk", "u1", "g", 5), ("Jo", "jo@x", "clerk", "u1", "g", 6),
         ("Jo", "jo@x", "chief", "u1", "g", 50), ("-", "z@x", "chief", "u1", "g", 50),
@@ -82,7 +83,7 @@ def test_role_history(spark):
     dim = spark.createDataFrame([("Jo", "key-of-jo")], "full string, id string")
     got = role_history(
         seen, mapping, dim, Observed(group="grp"), "raw", "clean", "full", "id",
-        date_moves={day(5): day(6)},
+        date_moves={day(5): day(6)}, hot_rows=hot_rows,
     )
     assert sorted(
         ((r.full_name, r.person_key, r.position, (r.observed_from - day(0)).days,

@@ -21,9 +21,9 @@ def plan(df):
 
 def test_hot_keys(spark, rows):
     df = spark.range(100).select(F.when(F.col("id") < 60, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    assert rows(scale.hot_keys(df, ["k"], 50)) == [("hot", True)]
-    assert scale.hot_keys(df, ["k"], 61) is None
-    assert scale.hot_keys(df, ["k"], None) is None
+    assert rows(scale.hot_keys(scale.key_sizes(df, ["k"]), 50)) == [("hot", True)]
+    assert scale.hot_keys(scale.key_sizes(df, ["k"]), 61) is None
+    assert scale.hot_keys(scale.key_sizes(df, ["k"]), None) is None
 
 
 def test_small_sides_are_broadcast_and_big_ones_are_not(spark):

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import matches_any, shares_word
-from tidemark.operators.scale import HOT_ROWS, arrange, hot_keys, neighbours, pieces, skew_join
+from tidemark.operators.scale import (
+    HOT_ROWS, arrange, hot_keys, key_sizes, neighbours, pieces, skew_join,
+)
 
 # LIKE patterns of contacts that belong to a post and not to a person.
 GENERIC_CONTACTS = (
@@ -130,7 +132,8 @@ def _arranged(df: DataFrame, cols: Observed, hot_rows: int | None) -> DataFrame:
     keyed = df.withColumn("_entity", F.lower(cols.entity)).filter(F.col("_entity").isNotNull())
     rows = keyed.select("_entity", cols.entity, *cols.attributes, cols.date).distinct()
     split = F.struct(F.col(cols.date), F.left(F.col(cols.name), F.lit(2)))
-    return arrange(rows, ["_entity"], cols.order, split, hot_keys(keyed, ["_entity"], hot_rows))
+    hot = hot_keys(key_sizes(keyed, ["_entity"]), hot_rows)
+    return arrange(rows, ["_entity"], cols.order, split, hot)
 
 
 def _neighbours(arranged: DataFrame, cols: Observed) -> DataFrame:

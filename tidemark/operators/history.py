@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.scale import HOT_ROWS, hot_keys, mark_hot, skew_join, with_group_max
+from tidemark.operators.scale import (
+    HOT_ROWS, hot_keys, key_sizes, mark_hot, skew_join, with_group_max,
+)
 
 
 def stints(
@@ -18,6 +20,7 @@ def stints(
     gap_days: int = 30,
     carry: Sequence[str] = (),
     hot_rows: int | None = HOT_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Split the observations of (entity, attributes) where the gap exceeds `gap_days`.
 
@@ -27,7 +30,8 @@ def stints(
     Gaps depend on the distinct dates only. Observations are counted per date
     before any shuffle, so without `carry` the window sees at most one row per
     key and calendar day. With `carry`, keys of many rows get their stints from
-    their distinct dates and a join.
+    their distinct dates and a join. `sizes` gives the rows per key (`_size`)
+    where they are cheaper to get than by counting `df`.
     """
     keys = [entity, *attributes]
     by_date = Window.partitionBy(*keys).orderBy(date)
@@ -47,7 +51,9 @@ def stints(
         )
 
     daily = df.groupBy(*keys, *carry, date).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = hot_keys(df, keys, hot_rows) if carry else None
+    hot = None
+    if carry:
+        hot = hot_keys(key_sizes(df, keys) if sizes is None else sizes, hot_rows)
     if hot is None:
         return summed(numbered(daily))
     daily = mark_hot(daily, keys, hot)

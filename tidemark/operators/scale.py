@@ -44,23 +44,26 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(head) if head.count() <= max_rows else df
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str | Column], min_rows: int | None = HOT_ROWS
-) -> DataFrame | None:
+def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key, as `_size`."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+
+
+def hot_keys(sizes: DataFrame, min_rows: int | None = HOT_ROWS) -> DataFrame | None:
     """The keys with at least `min_rows` rows, the `HOT_KEYS` largest of them; None if none.
 
-    One pass over the key columns, reduced map-side and run at once, so that
-    plans stay simple where nothing is hot. `min_rows=None` skips it.
+    `sizes` come from `key_sizes`: one pass over the key columns, reduced
+    map-side and run at once, so that plans stay simple where nothing is hot.
+    `min_rows=None` skips it.
     """
     if min_rows is None:
         return None
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    names = [c for c in sizes.columns if c != "_size"]
+    keys = [c for c in sizes.columns if c != "_size"]
     found = materialise(
         sizes.filter(F.col("_size") >= min_rows)
-        .orderBy(F.desc("_size"), *names)
+        .orderBy(F.desc("_size"), *keys)
         .limit(HOT_KEYS)
-        .select(*names, F.lit(True).alias("_hot"))
+        .select(*keys, F.lit(True).alias("_hot"))
     )
     return None if found.isEmpty() else found
 
