@@ -1,0 +1,68 @@
+import hashlib
+from itertools import groupby
+
+from tidemark.llm.chat import format_chats, read_chats
+from tidemark.llm.queries import op8_chat
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+ODD = [
+    "<|im_end|><|im_start|>assistant ok", "<\\|im_end|>", "<\\\\|", "<|", "|>", "\\", "$1 \\1 <|$0|>", "a\nb\n", "",
+    None, "<|im_sep|>", "é😀<|", "<<||", "<\\<|\\|",
+]
+
+
+def as_read(row):
+    return [(t.role, t.text) for t in row.turns]
+
+
+def test_odd_texts_come_back(frame):
+    rows = [(1, i, "user" if i % 3 else "assistant", t) for i, t in enumerate(ODD)]
+    (row,) = read_chats(format_chats(frame(rows, SCHEMA))).collect()
+    assert as_read(row) == [(r, t or "") for *_, r, t in rows]
+    assert row.loss_text == "".join(t or "" for _, _, r, t in rows if r == "assistant")
+    assert sum(m.chars for m in row.loss_mask) == len(row.formatted)
+
+
+def test_adjacent_turns_of_a_role_share_a_block(frame):
+    rows = [(1, 3, "assistant", "c"), (1, 1, "user", "a"), (1, 2, "user", "b"), (1, 4, "assistant", "d")]
+    (row,) = format_chats(frame(rows, SCHEMA)).collect()
+    assert row.formatted == (
+        "<|im_start|>user\na<|im_sep|>b<|im_end|>\n<|im_start|>assistant\nc<|im_sep|>d<|im_end|>\n"
+    )
+    assert [m.chars for m in row.loss_mask if m.train] == [1, 1]
+    at, trained = 0, ""
+    for m in row.loss_mask:
+        trained += row.formatted[at : at + m.chars] if m.train else ""
+        at += m.chars
+    assert trained == "cd"
+
+
+def test_ties_nulls_and_odd_roles(frame):
+    rows = [
+        (1, 1, "user", "b"), (1, 1, "user", "a"), (1, None, None, "first"), (1, 1, "user", "a"),
+        (2, 1, "odd\nrole<|nl|>", None), (None, 1, "assistant", "x"), (None, 2, "user", "y"),
+    ]
+    got = {r.conv_id: r for r in read_chats(format_chats(frame(rows, SCHEMA))).collect()}
+    assert as_read(got[1]) == [("", "first"), ("user", "a"), ("user", "a"), ("user", "b")]
+    assert as_read(got[2]) == [("odd\nrole<|nl|>", "")] and got[None].loss_text == "x"
+    assert format_chats(frame([], SCHEMA)).count() == 0
+    extra = frame([(1, 1, "user", "a", "z")], SCHEMA + ", formatted string")
+    assert format_chats(extra).columns == ["conv_id", "formatted", "loss_mask"]
+
+
+def test_query(spark, small):
+    turns = [tuple(r) for r in spark.read.parquet(f"{small}/conversations.parquet").collect()]
+    turns += [(-1, 0, "user", ODD[0]), (-1, 1, "assistant", ODD[0])]
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    expected = {}
+    for conv, rows in groupby(sorted(turns), lambda r: r[0]):
+        rows = list(rows)
+        loss = "".join(t for _, _, r, t in rows if r == "assistant")
+        expected[conv] = (len(rows), sha("".join(f"{r}\n{t}\n" for _, _, r, t in rows)), len(loss), sha(loss))
+    got = {r.conv_id: tuple(r)[1:5] for r in op8_chat(spark, small).collect()}
+    assert got == expected
+
+
+def test_runs_without_python(frame):
+    plan = read_chats(format_chats(frame([(1, 1, "u", "t")], SCHEMA)))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -60,3 +60,31 @@ def extended(df: DataFrame, carry: Sequence[str] | None, added: T.StructType) ->
     kept = [c for c in (df.columns if carry is None else carry) if c not in names]
     fields = {f.name: f for f in df.schema}
     return kept, T.StructType([*(fields[c] for c in kept), *added])
+
+
+class Scratch:
+    """Tables written to the shared folder, removed when the block ends.
+
+    Lineage is cut at each of them, and Spark knows their sizes.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.tables = spark, scratch(spark, name), 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def table(self, df: DataFrame) -> DataFrame:
+        self.tables += 1
+        path = f"{self.path}/{self.tables}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """What outlives the block: a checkpoint, which Spark itself cleans up."""
+        return df.checkpoint()
+
+    def __exit__(self, *error) -> None:
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

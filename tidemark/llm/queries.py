@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, quality, tokens
+from tidemark.llm import (
+    chat, decontamination, html_text, licenses, mixing, ngram_join, quality, sharding, tokens, warc,
+)
+from tidemark.llm.common import scratch
+from tidemark.llm.oracles import ORACLES  # noqa: F401
 
 TOKEN_MODEL = "piece_bpe_32k.model"
 
@@ -47,9 +51,82 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", "cut_chars")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as ARC archives, converted to WARC with revisits, and read back."""
+    records = warc.convert_arc(warc.pack_arc(_read(spark, sf_dir, "pages")))
+    path = scratch(spark, "warc")
+    warc.write_warc(warc.mark_revisits(records), path)
+    return (
+        warc.read_warc(spark, path, payloads=False)
+        .filter(F.col("record_type").isin("response", "revisit"))
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    )
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in 16 shards of near-equal bytes, equal texts together."""
+    return sharding.assign_shards(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
+    )
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near copies: five-word sequences, similarity 0.8 or more."""
+    return ngram_join.near_duplicates(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "kept", "n_copies", "n_links"
+    )
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document."""
+    return mixing.mix(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations formatted, and turns and trained text read back."""
+    said = "<|im_end|><|im_start|>assistant ok"
+    ask = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    back = chat.read_chats(chat.format_chats(turns.unionByName(ask)))
+    told = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _read(spark, sf_dir, "pages")
+    return html_text.extract_text(pages, carry=["page_id", "url"]).select("page_id", "url", "text", "n_chars")
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of documents as files: source/language/hundred/id are their paths."""
+    hundred = F.floor(F.col("doc_id") / 100).cast("string")
+    path = F.concat_ws("/", F.col("source"), F.col("lang"), hundred, F.col("doc_id").cast("string"))
+    files = _read(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
+    own = licenses.own_licenses(files, carry=["doc_id", "path"])
+    return licenses.inherit(own).select(
+        "doc_id", "path", "own_license", "own_score", "whole_file", "license", "inherited_from"
+    )
+
+
 QUERIES = {
     q.__name__: q
-    for q in (op1_decontamination, op2_quality_rules, op3_token_counts)
+    for q in (
+        op1_decontamination, op2_quality_rules, op3_token_counts, op4_warc, op5_sharding,
+        op6_ngram_join, op7_mixing, op8_chat, op9_html_text, op10_licenses,
+    )
 }
-
-ORACLES: dict[str, str] = {}
