@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, quality
+from tidemark.llm import decontamination, mixing, ngram_join, quality, sharding
 from tidemark.llm.common import scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,6 +17,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.quality_rules(docs).filter("kept").select(docs.columns)
 
 
+def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of every class of near copies."""
+    return ngram_join.one_of_each(docs, ngram_join.near_duplicates(docs))
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -24,9 +29,22 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return marked.filter(~marked["contaminated"]).select(docs.columns)
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.emit(mixing.mix(docs)).select(docs.columns)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their shard and slot; copies share a shard."""
+    return sharding.assign_shards(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_stage),
+    ("ngram_join", ngram_join_stage),
     ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("sharding", sharding_stage),
 ]
 
 ORACLE_SQL = None  # SQL cannot state banded hashing; tests/llm compares with brute force
