@@ -460,7 +460,7 @@ def extract_text(
         known: dict[str, tuple] = {}
         for batch in batches:
             texts = []
-            for one, found in zip(batch.column("_html").to_pylist(), batch.column("_template").to_pylist(), strict=True):
+            for one, found in zip(batch.column("_tm_html").to_pylist(), batch.column("_tm_template").to_pylist(), strict=True):
                 if found and found not in known:
                     if len(known) >= HOSTS_HELD:
                         known.clear()
@@ -473,7 +473,7 @@ def extract_text(
     path = scratch(pages.sparkSession, "templates")
     learn_templates(pages, url, source, least_pages, constant).write.parquet(path)
     templates = pages.sparkSession.read.parquet(path).select(
-        F.col("host").alias("_host"), F.col("template").alias("_template")
+        F.col("host").alias("_tm_host"), F.col("template").alias("_tm_template")
     )
-    rows = pages.select(*carried, F.col(source).alias("_html"), host_of(F.col(url)).alias("_host"))
-    return rows.join(templates, "_host", "left").drop("_host").mapInArrow(work, schema)
+    rows = pages.select(*carried, F.col(source).alias("_tm_html"), host_of(F.col(url)).alias("_tm_host"))
+    return rows.join(templates, "_tm_host", "left").drop("_tm_host").mapInArrow(work, schema)

@@ -241,14 +241,14 @@ def own_licenses(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(templates, counts, total)
         for batch in batches:
-            rows = [scorer.scan(raw or b"", threshold) for raw in batch.column("_raw").to_pylist()]
+            rows = [scorer.scan(raw or b"", threshold) for raw in batch.column("_tm_raw").to_pylist()]
             made = {
                 f.name: pa.array([r[i] for r in rows], kind)
                 for i, (f, kind) in enumerate(zip(ADDED, (pa.string(), pa.float64(), pa.bool_()), strict=True))
             }
             yield pa.RecordBatch.from_arrays([made[n] if n in made else batch.column(n) for n in names], names)
 
-    return files.select(*carried, F.col(text).cast("binary").alias("_raw")).mapInArrow(work, schema)
+    return files.select(*carried, F.col(text).cast("binary").alias("_tm_raw")).mapInArrow(work, schema)
 
 
 def directory(path: Column) -> Column:
@@ -279,28 +279,28 @@ def inherit(files: DataFrame, path: str = "path") -> DataFrame:
     """
     plain = F.array_join(F.filter(F.split(directory(F.col(path)), "/"), lambda p: p != ""), "/")
     last = F.regexp_extract(F.col(path), r"([^/]*)$", 1)
-    rows = files.withColumn("_dir", plain)
+    rows = files.withColumn("_tm_dir", plain)
     speaks = F.col("own_license").isNotNull() & F.col(path).isNotNull() & (
         F.col("whole_file") | last.rlike(LICENSE_FILE)
     )
     granted = (
         rows.filter(speaks)
-        .groupBy(F.col("_dir").alias("above"))
+        .groupBy(F.col("_tm_dir").alias("above"))
         .agg(F.min(F.struct((-F.col("own_score")).alias("by"), F.col("own_license").alias("name")))["name"].alias("granted"))
     )
     found = (
-        rows.filter(F.col("_dir").isNotNull())
-        .select("_dir")
+        rows.filter(F.col("_tm_dir").isNotNull())
+        .select("_tm_dir")
         .distinct()
-        .select("_dir", F.inline(ancestors(F.col("_dir"))))
+        .select("_tm_dir", F.inline(ancestors(F.col("_tm_dir"))))
         .join(granted, "above")
-        .groupBy(F.col("_dir").alias("_of"))
-        .agg(F.max(F.struct("depth", "granted", "above")).alias("_near"))
+        .groupBy(F.col("_tm_dir").alias("_tm_of"))
+        .agg(F.max(F.struct("depth", "granted", "above")).alias("_tm_near"))
     )
     own = F.col("own_license").isNotNull()
     return (
-        rows.join(found, F.col("_dir").eqNullSafe(F.col("_of")), "left")
-        .withColumn("license", F.coalesce("own_license", F.col("_near.granted")))
-        .withColumn("inherited_from", F.when(~own, F.col("_near.above")))
-        .drop("_dir", "_of", "_near")
+        rows.join(found, F.col("_tm_dir").eqNullSafe(F.col("_tm_of")), "left")
+        .withColumn("license", F.coalesce("own_license", F.col("_tm_near.granted")))
+        .withColumn("inherited_from", F.when(~own, F.col("_tm_near.above")))
+        .drop("_tm_dir", "_tm_of", "_tm_near")
     )
