@@ -471,8 +471,9 @@ def extract_text(
 
     # one row per host at most, kept in the shared folder: Spark broadcasts it by its size
     path = scratch(pages.sparkSession, "templates")
-    learn_templates(pages, url, source, least_pages, constant).write.parquet(path)
-    templates = pages.sparkSession.read.parquet(path).select(
+    learnt = learn_templates(pages, url, source, least_pages, constant)
+    learnt.write.parquet(path)
+    templates = pages.sparkSession.read.schema(learnt.schema).parquet(path).select(
         F.col("host").alias("_tm_host"), F.col("template").alias("_tm_template")
     )
     rows = pages.select(*carried, F.col(source).alias("_tm_html"), host_of(F.col(url)).alias("_tm_host"))
