@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,10 @@ from tidemark.operators import (
 )
 from tidemark.plans.directory import name_tables, stage_history, update_intervals
 from tidemark.plans.directory import person_dim as build_person_dim
+from tidemark.plans.report import report_tables
 from tidemark.plans.role_history import role_history as build_role_history
+from tidemark.plans.standardised import change_facts as build_change_facts
+from tidemark.plans.standardised import private_contacts as build_private_contacts
 from tidemark.session import materialise
 from tidemark.sources import pages as page_source
 from tidemark.sources import tables as table_source
@@ -568,6 +572,47 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(changes.change_feed(t.contacts(spark, sf_dir), CONTACT, BASELINE))
 
 
+@query
+def change_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(
+        build_change_facts(
+            t.contacts(spark, sf_dir), t.mapping(spark, sf_dir), CONTACT, "raw", "cleaned", BASELINE, MOVES,
+            placeholders={"name": ("", "-", "--", "old rod"), "contact": ("-",)},
+        )
+    )
+
+
+@query
+def private_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = t.contacts(spark, sf_dir).withColumn("contact", F.concat("contact", F.col("seq") % 7))
+    return plain(
+        build_private_contacts(seen, t.mapping(spark, sf_dir), "name", "contact", "observed", "raw", "cleaned")
+    )
+
+
+@query
+def report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables of the report in one long form: part, group, item, value."""
+    people = t.load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment")
+    )
+    facts = _orders(spark, sf_dir).select("o_custkey", "priority")
+    made = report_tables(
+        facts, people, "o_custkey", "priority", {"segment": SEGMENTS},
+        {"Has Segment": F.col("segment").isNotNull()}, RENAMED, ["2-HIGH"],
+    )
+    parts = []
+    for name, df in made.items():
+        keys = [c for c, kind in df.dtypes if kind == "string" and c != "band"]
+        group = F.col(keys[0]) if keys else F.lit(None).cast("string")
+        for c in df.columns:
+            if c not in keys and c != "band":
+                parts.append(df.select(
+                    F.lit(name).alias("part"), group.alias("grp"), F.lit(c).alias("item"), F.col(c).cast("double").alias("value")
+                ))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Load sessions
 
 

@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import changes as c
 
@@ -103,21 +104,30 @@ def many(seed, entities=4, days=12, per_day=3):
     return rows
 
 
-@pytest.mark.parametrize("hot_rows", [1, 20, 60])
-def test_cutting_hot_entities_changes_nothing(spark, rows, hot_rows):
-    df = seen(spark, many(3)).repartition(5)
-    for build in (c.with_previous, c.with_next):
-        assert rows(build(df, COLS, hot_rows)) == rows(build(df, COLS, None))
-
-
-@pytest.mark.parametrize("hot_rows", [1, 8, 30])
-def test_feed_with_cut_entities(spark, hot_rows):
-    data = [("a@x", "Ann", f"p{d % 3}", f"u{d % 2}", "g", d) for d in range(20)]
-    data += [("a@x", f"An{k}", f"p{d % 3}", f"u{d % 2}", "g", d) for d in range(9) for k in "abc"]
-    data += [("b@x", "Bo", f"p{d % 2}", "u", "g", d) for d in range(9)]
-    data += [("z@x", "Zed", f"p{k}", "u", "g", d) for d in range(12) for k in range(2)]
-    whole = feed(spark, data, baseline=2, hot_rows=None)
-    assert len(whole) > 20 and feed(spark, data, baseline=2, hot_rows=hot_rows) == whole
+def test_neighbours_by_hand(spark, rows):
+    """Across names of a date, dates, nulls and copies, in the order of a plain sort."""
+    data = many(3) + many(3)[:30]
+    expected = {}
+    for e, n, p, u, g, d in sorted(set(data), key=lambda r: (r[0].lower(), r[5], r[1], r[2], r[3], r[4] or "", r[0])):
+        expected.setdefault(e.lower(), []).append((day(d), n, p, u, g))
+    pairs = []
+    for run in expected.values():
+        pairs += [(a, b) for a, b in zip([None, *run], run, strict=False)]
+    got = c.with_previous(seen(spark, data).repartition(5), COLS)
+    attributes = [COLS.date, *COLS.attributes]
+    found = rows(got, *attributes, *[f"lag_{a}" for a in attributes])
+    assert found == sorted((b + (a or (None,) * 5) for a, b in pairs), key=repr)
+
+
+def test_names_of_one_date_are_spread_over_tasks(spark):
+    """One entity, one date, names with a common start: rows are dealt out by name."""
+    data = [("a@x", f"Same start {i}", "p", "u", "g", 1) for i in range(2000)]
+    found = c.with_previous(seen(spark, data), COLS)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_entity" in text
+    spread = seen(spark, data).repartition(8, "email", "observed", "name").select(F.spark_partition_id().alias("p"))
+    assert spread.distinct().count() > 4
+    assert found.filter("lag_name is null").count() == 1 and found.count() == 2000
 
 
 def test_feed_equals_the_single_operators(spark, rows):

@@ -40,12 +40,11 @@ def test_null_attributes_are_a_key(spark):
     assert spans(stints(df, "e", ["p"], "d")) == [("x", None, 0, 3, 2), (None, None, 3, 3, 1)]
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1, 4, 10**6])
-def test_carried_columns_share_the_stints_of_their_key(spark, hot_rows):
+def test_carried_columns_share_the_stints_of_their_key(spark):
     rows = [("x", "a", m, d) for m, d in [("1", 0), ("2", 20), ("1", 45), ("2", 90), ("2", 90)]]
     rows += [("y", None, "1", 0), ("y", None, "2", 31), ("y", None, "2", 31)]
     df = observed(spark, rows)
-    got = stints(df, "e", ["p"], "d", carry=["m"], hot_rows=hot_rows)
+    got = stints(df, "e", ["p"], "d", carry=["m"])
     assert sorted(
         ((r.e, r.m, r.stint_id, (r.observed_from - day(0)).days, r.observation_count)
          for r in got.collect())
@@ -66,8 +65,7 @@ def test_current_is_per_entity(spark):
     assert spans(current_roles(held)) == [("x", "b", 9, 9, 1), ("y", "a", 3, 3, 1)]
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1, 2])
-def test_role_history(spark, hot_rows):
+def test_role_history(spark):
     rows = [
         ("Mr Jo", "jo@x", "clerk", "u1", "g", 5), ("Jo", "jo@x", "clerk", "u1", "g", 6),
         ("Jo", "jo@x", "chief", "u1", "g", 50), ("-", "z@x", "chief", "u1", "g", 50),
@@ -83,7 +81,7 @@ def test_role_history(spark, hot_rows):
     dim = spark.createDataFrame([("Jo", "key-of-jo")], "full string, id string")
     got = role_history(
         seen, mapping, dim, Observed(group="grp"), "raw", "clean", "full", "id",
-        date_moves={day(5): day(6)}, hot_rows=hot_rows,
+        date_moves={day(5): day(6)},
     )
     assert sorted(
         ((r.full_name, r.person_key, r.position, (r.observed_from - day(0)).days,

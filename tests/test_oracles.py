@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import database, differences
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
@@ -16,13 +18,14 @@ def con():
     return database(SF_DIR)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     assert differences(spark, con, name, SF_DIR) is None
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):

@@ -99,3 +99,13 @@ def test_snapshot_tables(spark, rows):
         key=repr,
     )
     assert rows(got["metadata"], "table_name", "num_rows") == [("departments", 6), ("names", 3)]
+
+
+def test_text_of_scripts_and_styles_is_left_out(spark):
+    html = (
+        '<div class="tab-pane"><ul class="section-listing"><li><a href="/a">Unit A<script>var q=1;</script></a>'
+        "<style>p{}</style><template>t</template></li></ul></div>"
+    )
+    pages = spark.createDataFrame([("u", html)], "department string, html string")
+    (row,) = extract_page_links(pages).collect()
+    assert row["name"] == "Unit A"

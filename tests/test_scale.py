@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import attributes, labels, names, scale, sessions, staging
-from tidemark.operators.changes import Observed, change_feed, only_entities
+from tidemark.operators.changes import Observed, change_feed, only_entities, with_previous
 from tidemark.operators.history import stints
 from tidemark.operators.snapshots import latest_snapshot, stamp_snapshot
+from tidemark.session import stored
 from tidemark.sources.tables import append_table
 
 
@@ -19,20 +20,16 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_keys(spark, rows):
-    df = spark.range(100).select(F.when(F.col("id") < 60, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    assert rows(scale.hot_keys(scale.key_sizes(df, ["k"]), 50)) == [("hot", True)]
-    assert scale.hot_keys(scale.key_sizes(df, ["k"]), 61) is None
-    assert scale.hot_keys(scale.key_sizes(df, ["k"]), None) is None
-
-
-def test_small_sides_are_broadcast_and_big_ones_are_not(spark):
-    df = spark.range(100)
-    left = spark.range(10)
-    small = scale.small_side(df)
+def test_small_stored_sides_are_broadcast_by_their_bytes(spark):
+    left = spark.range(1000)
+    small = stored(spark.range(100))
     assert "BroadcastHashJoin" in plan(left.join(small, "id"))
-    big = scale.small_side(df, max_rows=50)
-    assert not any("ResolvedHint" in line for line in big._jdf.queryExecution().analyzed().toString().splitlines())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        assert "SortMergeJoin" in left.join(small, "id")._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 @pytest.fixture
@@ -110,14 +107,36 @@ def test_latest_snapshot_reads_one_partition(spark, tmp_path):
     assert got.count() == 3
 
 
-def test_feed_has_one_sort_and_one_shuffle_by_entity(spark):
-    df = spark.createDataFrame(
-        [("a@x", "A", "p", "u", "g", d) for d in range(5)],
-        "email string, name string, position string, unit string, grp string, observed int",
-    ).withColumn("observed", F.date_add(F.lit("2024-01-01").cast("date"), "observed"))
-    feed = change_feed(df, Observed(group="grp"), dt.date(2024, 1, 1))
-    text = plan(feed).split("== Initial Plan ==")[-1]
-    assert text.count("REPARTITION_BY_COL") == 1 and len(re.findall(r"\bSort \[", text)) == 1
+@pytest.mark.parametrize("build", ["feed", "previous"])
+def test_observations_are_shuffled_once(spark, build):
+    """Of all exchanges that ran only one carries whole observations; the rest reuse it."""
+    df = spark.range(300).select(
+        F.concat(F.lit("a"), F.col("id") % 7).alias("email"), F.concat(F.lit("n"), F.col("id") % 11).alias("name"),
+        F.lit("p").alias("position"), F.lit("u").alias("unit"), F.lit("g").alias("grp"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 20).cast("int")).alias("observed"),
+    )
+    cols = Observed(group="grp")
+    got = change_feed(df, cols, dt.date(2024, 1, 1)) if build == "feed" else with_previous(df, cols)
+    got.collect()
+    ran = got._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0].splitlines()
+    exchanges = [x for x in ran if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+    assert sum("REPARTITION_BY" in x and "_d" in x and "_n" in x for x in exchanges) == 1
+    # first and last rows: by date, by entity, and back by date and by name
+    assert sum("ENSURE_REQUIREMENTS" in x for x in exchanges) <= 4, exchanges
+
+
+def test_many_short_sessions_in_a_day_meet_a_row_once(spark):
+    """Twenty thousand sessions of one day are not compared with each row of that day."""
+    at = F.timestamp_millis(F.col("id") * 4000).cast("timestamp_ntz")
+    found = spark.range(20_000).select(
+        (F.col("id") + 1).alias("session_id"), at.alias("session_start"), at.alias("session_end")
+    )
+    rows = spark.range(20_000).select(at.alias("ts"), F.lit(1).alias("x"))
+    got = sessions.assign_session(rows, found, "ts")
+    text = plan(got)
+    assert "NestedLoop" not in text and "Cartesian" not in text and "session_end" not in re.findall(r"Join \[.*", text)[0]
+    assert got.filter("session_id is not null").count() == 20_000
+    assert got.count() == 20_000
 
 
 def test_stints_shuffle_counts_and_not_rows(spark):

@@ -65,7 +65,7 @@ def test_pivot_and_row_percent(spark, rows):
     counts = spark.createDataFrame(
         [("b", "y", 1), ("a", "x", 3), ("a", "y", 1), ("z", "x", 0)], "g string, c string, count long"
     )
-    wide = summary.pivot_counts(counts, "g", "c")
+    wide = summary.pivot_counts(counts, "g", "c", ["x", "y"])
     assert wide.columns == ["g", "x", "y"]
     assert [tuple(r) for r in wide.collect()] == [("a", 3, 1), ("b", 0, 1), ("z", 0, 0)]
     assert rows(summary.pivot_counts(counts, "g", "c", categories=["y"])) == [
@@ -76,6 +76,15 @@ def test_pivot_and_row_percent(spark, rows):
     ]
 
 
+def test_pivot_with_a_null_category_and_the_long_form(spark, rows):
+    counts = spark.createDataFrame(
+        [("a", "x", 3), ("b", None, 2), ("a", None, 1)], "g string, c string, count long"
+    )
+    wide = summary.pivot_counts(counts, "g", "c", ["x", None])
+    assert wide.columns == ["g", "x", "null"] and rows(wide) == [("a", 3, 1), ("b", 0, 2)]
+    assert rows(summary.cell_counts(counts, "g", "c")) == [("a", "x", 3), ("a", None, 1), ("b", None, 2)]
+
+
 def test_split_by_membership(facts):
     outside, inside = summary.split_by_membership(facts, "grp", ["Court"])
     assert (outside.count(), inside.count()) == (4, 2)
@@ -93,10 +102,10 @@ def test_sample_unlabelled(spark):
 
 def test_report(facts, people, rows):
     got = report_tables(
-        facts, people, "k", "grp", ["sex"], {"sex": F.col("sex").isNotNull()}, {"Old": "New"},
+        facts, people, "k", "grp", {"sex": ["F", "M", "Unknown"]}, {"sex": F.col("sex").isNotNull()}, {"Old": "New"},
         ["Court"],
     )
     assert rows(got["completeness"], "pct", "band") == [(80.0, "high")]
     assert rows(got["headcount"]) == [("New", 3)] and rows(got["headcount_apart"]) == [("Court", 2)]
-    assert rows(got["sex_by_group"]) == [("New", 1, 2)]
-    assert rows(got["sex_by_group_apart"]) == [("Court", 1, 1)]
+    assert rows(got["sex_by_group"]) == [("New", 1, 2, 0)]
+    assert rows(got["sex_by_group_apart"]) == [("Court", 1, 0, 1)]

@@ -1,11 +1,14 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import attributes, dims, names, quality, staging
 from tidemark.operators.hierarchy import flatten_hierarchy, walk_hierarchy
+from tidemark.operators.scd2 import scd2_merge
 from tidemark.operators.snapshots import load_manifest, stamp_snapshot
+from tidemark.session import forget_stored, stored
 from tidemark.sources import tables
 from tidemark.streaming.loads import append_stream, arriving_loads
 
@@ -66,15 +69,60 @@ def test_rules_file(spark, tmp_path, rows):
     assert rows(tables.read_rules(spark, str(tmp_path / "rules.csv"))) == [("A", "word", "x, y", "why")]
 
 
+def deliver(spark, folder, time, n, files=3):
+    rows = spark.range(n).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("v").alias("v"))
+    rows.repartition(files).write.parquet(f"{folder}/load={time}")
+
+
 def test_stream_appends_each_file_once(spark, tmp_path):
     folder, path = str(tmp_path / "in"), str(tmp_path / "raw")
-    for n in (2, 5):
-        spark.range(n).write.mode("append").parquet(folder)
-        loads = arriving_loads(spark, folder, "id long", "g")
+    for i, n in enumerate((2, 5)):
+        deliver(spark, folder, f"2024-05-0{i + 1} 10:30:00", n)
+        loads = arriving_loads(spark, folder, "k string, v string", "g")
         append_stream(loads, path, str(tmp_path / "cp")).awaitTermination(120)
-    stored = spark.read.parquet(path)
-    assert stored.count() == 7
-    assert stored.filter("group_name = 'g' and _accessed_at is not null").count() == 7
+    times = spark.read.parquet(path).filter("group_name = 'g'").groupBy("_accessed_at").count().collect()
+    assert {r[0]: r[1] for r in times} == {dt.datetime(2024, 5, 1, 10, 30): 2, dt.datetime(2024, 5, 2, 10, 30): 5}
+
+
+def test_a_delivery_read_in_several_batches_is_one_load(spark, tmp_path):
+    """Files that come late still belong to their delivery, and unchanged loads add no interval."""
+    folder, path = tmp_path / "in", str(tmp_path / "raw")
+    late = tmp_path / "late"
+    late.mkdir()
+    for time in ("2024-05-01T10:30:00", "2024-05-02T10%3A30%3A00"):
+        deliver(spark, str(folder), time, 100, files=4)
+        parts = sorted((folder / f"load={time}").glob("*.parquet"))
+        for part in parts[2:]:
+            part.rename(late / part.name)
+        for step in (0, 1):
+            for part in parts[2:] if step else []:
+                (late / part.name).rename(part)
+            loads = arriving_loads(spark, str(folder), "k string, v string", "g")
+            append_stream(loads, path, str(tmp_path / "cp")).awaitTermination(120)
+    raw = spark.read.parquet(path)
+    assert raw.select("_accessed_at").distinct().count() == 2 and raw.count() == 200
+    assert load_manifest({"raw": raw}).count() == 2
+    interval = raw.select("k", "v", "group_name", F.col("_accessed_at").alias("_valid_from"), F.col("_accessed_at").alias("_valid_to"))
+    first, second = (interval.filter(F.dayofmonth("_valid_from") == d) for d in (1, 2))
+    merged = scd2_merge(first, second, "k", ["v", "group_name"], "group_name")
+    assert merged.count() == 100
+    assert merged.select("_valid_to").distinct().collect()[0][0] == dt.datetime(2024, 5, 2, 10, 30)
+
+
+def test_a_file_outside_a_load_folder_fails(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    spark.range(2).select(F.lit("k").alias("k"), F.lit("v").alias("v")).write.parquet(folder)
+    loads = arriving_loads(spark, folder, "k string, v string", "g")
+    with pytest.raises(Exception, match="no load="):
+        append_stream(loads, str(tmp_path / "raw"), str(tmp_path / "cp")).awaitTermination(120)
+
+
+def test_stored_sides_are_removed(spark, tmp_path):
+    held = stored(spark.range(5))
+    (path,) = {f.rsplit("/", 1)[0] for f in held.inputFiles()}
+    assert held.count() == 5 and Path(path.removeprefix("file:")).exists()
+    forget_stored()
+    assert not Path(path.removeprefix("file:")).exists()
 
 
 def test_manifest(spark, rows):

@@ -6,13 +6,11 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import matches_any, shares_word
-from tidemark.operators.scale import (
-    HOT_ROWS, arrange, hot_keys, key_sizes, neighbours, pieces, skew_join,
-)
+from tidemark.operators.scale import neighbours, skew_join
 
 # LIKE patterns of contacts that belong to a post and not to a person.
 GENERIC_CONTACTS = (
@@ -92,29 +90,6 @@ def _single_position(df: DataFrame, cols: Observed) -> DataFrame:
     )
 
 
-def _keep_single(arranged: DataFrame, cols: Observed) -> DataFrame:
-    """The rows of single-position entities, without another shuffle.
-
-    An entity that is not cut lies in one piece, so windows over the arranged
-    rows tell. The few that are cut are told by the aggregate.
-    """
-    piece = pieces(arranged, ["_entity"])
-    on_date = Window.partitionBy(*piece, cols.date)
-    throughout = Window.partitionBy(*piece)
-    low, high = F.min(_place(cols)).over(on_date), F.max(_place(cols)).over(on_date)
-    single = F.bool_and("_same").over(throughout) & F.bool_or("_any").over(throughout)
-    flagged = arranged.withColumns(
-        {"_same": low.eqNullSafe(high), "_any": low.isNotNull()}
-    ).withColumn("_single", single)
-    if "_piece" in piece:
-        cut = _single_position(arranged.filter(F.col("_hot")), cols).select(
-            F.col(cols.entity).alias("_entity"), F.lit(True).alias("_cut_single")
-        )
-        kept = F.when(F.col("_hot"), F.col("_cut_single")).otherwise(F.col("_single"))
-        flagged = flagged.join(F.broadcast(cut), "_entity", "left").withColumn("_single", kept)
-    return flagged.filter("_single").drop("_same", "_any", "_single", "_cut_single")
-
-
 def only_entities(df: DataFrame, entities: DataFrame, cols: Observed) -> DataFrame:
     """The observations of the listed (lower-cased) entities."""
     wanted = entities.select(F.col(cols.entity).alias("_wanted"))
@@ -122,38 +97,38 @@ def only_entities(df: DataFrame, entities: DataFrame, cols: Observed) -> DataFra
     return skew_join(rows, wanted, [("_entity", "_wanted")], "left_semi").drop("_entity")
 
 
-def _arranged(df: DataFrame, cols: Observed, hot_rows: int | None) -> DataFrame:
-    """Distinct observations, shuffled by entity and sorted.
+def _neighbours(df: DataFrame, cols: Observed, single: bool = False) -> DataFrame:
+    """Distinct observations with both neighbours, and whether the entity is single.
 
-    Copies of an observation adjoin in the order and change nothing, so they are
-    dropped before the window. A hot entity is cut by date and by the first
-    letters of the name, which both follow the order.
+    An entity holds one position throughout if the smallest and largest agree on
+    every date, which the windows over its dates tell along the way.
     """
     keyed = df.withColumn("_entity", F.lower(cols.entity)).filter(F.col("_entity").isNotNull())
-    rows = keyed.select("_entity", cols.entity, *cols.attributes, cols.date).distinct()
-    split = F.struct(F.col(cols.date), F.left(F.col(cols.name), F.lit(2)))
-    hot = hot_keys(key_sizes(keyed, ["_entity"]), hot_rows)
-    return arrange(rows, ["_entity"], cols.order, split, hot)
-
-
-def _neighbours(arranged: DataFrame, cols: Observed) -> DataFrame:
-    columns = [cols.date, *cols.attributes]
-    return neighbours(arranged, ["_entity"], cols.order, columns).drop("_entity")
+    rows = keyed.select("_entity", cols.entity, *cols.attributes, cols.date)
+    same = F.col("_low").eqNullSafe(F.col("_high"))
+    some = F.col("_low").isNotNull()
+    found = neighbours(
+        rows, "_entity", cols.date, cols.name,
+        [cols.position, cols.unit, cols.group, cols.entity], [cols.date, *cols.attributes],
+        lowest_highest=_place(cols) if single else None,
+        per_key={"_same": F.bool_and(same), "_some": F.bool_or(some)} if single else None,
+    )
+    return found.drop("_entity")
 
 
 def _shifted(cols: Observed, side: str, prefix: str) -> list[Column]:
     return [F.col(f"{side}.{c}").alias(f"{prefix}{c}") for c in (cols.date, *cols.attributes)]
 
 
-def with_previous(df: DataFrame, cols: Observed, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def with_previous(df: DataFrame, cols: Observed) -> DataFrame:
     """Distinct observations with `lag_<column>` of the entity's previous one."""
-    both = _neighbours(_arranged(df, cols, hot_rows), cols)
+    both = _neighbours(df, cols)
     return both.select("*", *_shifted(cols, "previous", "lag_")).drop("previous", "following")
 
 
-def with_next(df: DataFrame, cols: Observed, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def with_next(df: DataFrame, cols: Observed) -> DataFrame:
     """Distinct observations with `lead_<column>` of the entity's next one."""
-    both = _neighbours(_arranged(df, cols, hot_rows), cols)
+    both = _neighbours(df, cols)
     return both.select("*", *_shifted(cols, "following", "lead_")).drop("previous", "following")
 
 
@@ -279,18 +254,16 @@ def change_feed(
     cols: Observed,
     baseline: dt.date,
     patterns: Sequence[str] = GENERIC_CONTACTS,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """All activities of single-position entities; a row may yield several.
 
-    One pass: which entities count, and both neighbours of a row, come from
-    windows over one shuffle and one sort; each row then puts out whatever
-    activities hold, instead of one scan per activity and a union.
+    Rows are shuffled once. Which entities count, and both neighbours of a row,
+    come from windows over first and last rows (see `neighbours`); each row then
+    puts out whatever activities hold, instead of one scan per activity and a union.
     """
     latest = df.agg(F.max(cols.date).alias("latest")).scalar()
     personal = df.filter(~matches_any(cols.entity, patterns))
-    single = _keep_single(_arranged(personal, cols, hot_rows), cols)
-    rows = _neighbours(single, cols).select(
+    rows = _neighbours(personal, cols, single=True).filter("_same and _some").select(
         "*",
         *_shifted(cols, "previous", "lag_"),
         *_shifted(cols, "following", "lead_"),

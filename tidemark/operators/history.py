@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.scale import (
-    HOT_ROWS, hot_keys, key_sizes, mark_hot, skew_join, with_group_max,
-)
+from tidemark.operators.scale import skew_join, with_group_max
 
 
 def stints(
@@ -19,8 +17,6 @@ def stints(
     date: str,
     gap_days: int = 30,
     carry: Sequence[str] = (),
-    hot_rows: int | None = HOT_ROWS,
-    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Split the observations of (entity, attributes) where the gap exceeds `gap_days`.
 
@@ -28,10 +24,8 @@ def stints(
     last date and the number of observations.
 
     Gaps depend on the distinct dates only. Observations are counted per date
-    before any shuffle, so without `carry` the window sees at most one row per
-    key and calendar day. With `carry`, keys of many rows get their stints from
-    their distinct dates and a join. `sizes` gives the rows per key (`_size`)
-    where they are cheaper to get than by counting `df`.
+    before any shuffle, and the window sees one row per key and calendar day,
+    also with `carry`: the stint of a date is then joined to what was counted.
     """
     keys = [entity, *attributes]
     by_date = Window.partitionBy(*keys).orderBy(date)
@@ -51,17 +45,11 @@ def stints(
         )
 
     daily = df.groupBy(*keys, *carry, date).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = None
-    if carry:
-        hot = hot_keys(key_sizes(df, keys) if sizes is None else sizes, hot_rows)
-    if hot is None:
+    if not carry:
         return summed(numbered(daily))
-    daily = mark_hot(daily, keys, hot)
-    many = daily.filter(F.col("_hot"))
-    days = numbered(many.select(*keys, date).distinct())
     named = {c: f"_of_{c}" for c in (*keys, date)}
-    dated = skew_join(many, days.withColumnsRenamed(named), list(named.items()), "inner")
-    return summed(numbered(daily.filter(F.col("_hot").isNull()))).unionByName(summed(dated))
+    days = numbered(df.select(*keys, date).distinct()).withColumnsRenamed(named).drop("_starts")
+    return summed(skew_join(daily, days, list(named.items()), "inner"))
 
 
 def flag_current(stint_rows: DataFrame, entity: str, until: str = "observed_to") -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import token_features
-from tidemark.operators.scale import skew_join, small_side
+from tidemark.operators.scale import skew_join
+from tidemark.session import stored
 
 
 def label_of_value(value: Column | str, vocabulary: Mapping[str, Sequence[str]]) -> Column:
@@ -72,7 +73,9 @@ def layered_label(
         if isinstance(layer, Column):
             df = df.withColumn(at, layer)
         else:
-            df = df.join(layer.select(key, F.col("label").alias(at)), key, "left")
+            of = f"_of{i}"
+            table = layer.select(F.col(key).alias(of), F.col("label").alias(at)).filter(F.col(of).isNotNull())
+            df = skew_join(df, table, [(key, of)], "left").drop(of)
         found[name] = F.col(at)
     return df.select(
         *columns,
@@ -205,7 +208,7 @@ def rule_cascade(
             for i, s in enumerate(steps)
         ]
     )
-    targets = small_side(
+    targets = stored(
         rules.select("label", "kind", F.lower("pattern").alias("pattern"), F.inline(plan))
         .filter((F.col("label") == F.col("on_label")) & (F.col("kind") == F.col("on_kind")))
         .groupBy("test", "pattern")
@@ -225,9 +228,11 @@ def rule_cascade(
         .select("_text", F.inline(_probes(tests, F.col("_max_words"), F.col("_max_length"))))
     )
     labels = (
-        probes.join(
+        skew_join(
+            probes,
             targets.withColumnRenamed("test", "_test"),
-            (F.col("test") == F.col("_test")) & (F.col("probe") == F.col("pattern")),
+            [("test", "_test"), ("probe", "pattern")],
+            "inner",
         )
         .groupBy("_text")
         .agg(F.min("won").alias("_won"))

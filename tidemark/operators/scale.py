@@ -2,22 +2,18 @@
 
 Windows have no skew handling of their own: all rows of a key meet in one task.
 So per-key maxima are aggregated (map-side first) and joined back, and the
-neighbour of a row is found in pieces for the few keys that hold many rows.
+neighbours of a row are found in pieces that exist for every key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialise
-
-HOT_ROWS = 1_000_000      # a key with more rows than this is worth splitting
-HOT_KEYS = 10_000         # at most so many keys are split; the rest stay whole, results are equal
-BROADCAST_ROWS = 200_000  # a counted side up to this is broadcast
+from tidemark.session import stored
 
 
 def skew_join(
@@ -33,133 +29,100 @@ def skew_join(
     return left.join(right, reduce(lambda a, b: a & b, pairs), how)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A side to be broadcast if it is counted to be small, else `df` as it is.
-
-    One row more than allowed is computed and kept in the checkpoint folder. If
-    that many are not there, what was kept is the whole side. Otherwise the join
-    shuffles, and adaptive execution splits its hot partitions.
-    """
-    head = materialise(df.limit(max_rows + 1))
-    return F.broadcast(head) if head.count() <= max_rows else df
-
-
-def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per key, as `_size`."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-
-
-def hot_keys(sizes: DataFrame, min_rows: int | None = HOT_ROWS) -> DataFrame | None:
-    """The keys with at least `min_rows` rows, the `HOT_KEYS` largest of them; None if none.
-
-    `sizes` come from `key_sizes`: one pass over the key columns, reduced
-    map-side and run at once, so that plans stay simple where nothing is hot.
-    `min_rows=None` skips it.
-    """
-    if min_rows is None:
-        return None
-    keys = [c for c in sizes.columns if c != "_size"]
-    found = materialise(
-        sizes.filter(F.col("_size") >= min_rows)
-        .orderBy(F.desc("_size"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
-    return None if found.isEmpty() else found
-
-
-def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Add `_hot`, true in the rows of hot keys and null in all others.
-
-    `hot` comes from `hot_keys` and has at most `HOT_KEYS` rows.
-    """
-    left, right = df.alias("l"), F.broadcast(hot).alias("r")
-    on = reduce(
-        lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    )
-    return left.join(right, on, "left").select("l.*", "r._hot")
-
-
 def with_group_max(
     df: DataFrame, value: str, keys: Sequence[str], name: str, few_groups: bool = False
 ) -> DataFrame:
     """Add the largest `value` of the row's group, null keys forming a group.
 
-    `few_groups` says that the groups are likely few, which is then counted.
+    `few_groups` says that the groups are likely few. They are then written once,
+    so that Spark knows their bytes and broadcasts them by its own threshold.
     """
     named = {k: f"_of_{k}" for k in keys}
     peaks = df.groupBy(*[F.col(k).alias(n) for k, n in named.items()]).agg(
         F.max(value).alias(name)
     )
     if few_groups:
-        peaks = small_side(peaks)
+        peaks = stored(peaks)
     return skew_join(df, peaks, list(named.items()), "left").drop(*named.values())
 
 
-def arrange(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    split: Column,
-    hot: DataFrame | None,
-) -> DataFrame:
-    """Shuffle and sort once for all windows per key in `order`.
-
-    Where there are hot keys, adds `_hot` and `_piece`, and cuts their rows into
-    pieces by `split`, which must not decrease along `order`. The shuffle is
-    explicit: a frame that is already distributed by key would otherwise keep
-    all pieces of a key in one task.
-    """
-    if hot is None:
-        return df.repartition(*keys).sortWithinPartitions(*keys, *order)
-    return (
-        mark_hot(df, keys, hot)
-        .withColumn("_piece", F.when(F.col("_hot"), split))
-        .repartition(*keys, "_piece")
-        .sortWithinPartitions(*keys, "_piece", *order)
-    )
-
-
-def pieces(rows: DataFrame, keys: Sequence[str]) -> list[str]:
-    """The columns that windows over arranged rows are partitioned by."""
-    return [*keys, "_piece"] if "_piece" in rows.columns else list(keys)
+def _plain(column: str) -> Column:
+    """A key that is null-safe in plain equality, so that windows and joins share one shuffle."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
 
 
 def neighbours(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]
+    df: DataFrame,
+    key: str,
+    date: str,
+    name: str,
+    rest: Sequence[str],
+    columns: Sequence[str],
+    lowest_highest: Column | None = None,
+    per_key: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Add structs `previous` and `following`: the rows before and after in their key.
-
-    `rows` come from `arrange`; `order` must be total for rows that differ in
-    `columns`. Keys must not be null. Pieces are windowed apart. The first and
-    last row of every piece of a hot key then meet in one small window per key.
+    """Distinct rows with structs `previous` and `following` of `columns`: the rows
+    before and after in their key, in order of date, name and the rest.
+
+    Rows are shuffled once, by (key, date, name), where copies are dropped and the
+    neighbours inside a name are found. Of each name only the first and last row go
+    on to the windows over the names of a date, and of each date only its first and
+    last row to the window over the dates of a key, which the calendar bounds. So
+    every key is cut alike, however many rows it has. `key` must not be null.
+
+    With `lowest_highest`, the smallest and largest value of that column on each date
+    are found along the way, as `_low` and `_high`; `per_key` are aggregates of them
+    over the dates of a key, which are added to its rows.
     """
-    payload = F.struct(*columns)
-    inside = Window.partitionBy(*pieces(rows, keys)).orderBy(*order)
-    before, after = F.lag(payload).over(inside), F.lead(payload).over(inside)
-    if "_piece" not in rows.columns:
-        return rows.withColumns({"previous": before, "following": after})
-    place = F.struct(*order)
-    across = Window.partitionBy(*keys).orderBy("_piece")
-    edges = (
-        rows.filter(F.col("_hot"))
-        .groupBy(*keys, "_piece")
-        .agg(F.min_by(payload, place).alias("_first"), F.max_by(payload, place).alias("_last"))
-        .select(
-            *keys,
-            "_piece",
-            F.lag("_last").over(across).alias("_last_before"),
-            F.lead("_first").over(across).alias("_first_after"),
-        )
+    per_key = dict(per_key or {})
+    spread = F.lit(None).cast("string") if lowest_highest is None else lowest_highest
+    on = {"_d": _plain(date), "_n": _plain(name)}
+    levels = [[key, "_d", "_n"], [key, "_d"], [key]]
+    payload, place = F.struct(*columns), F.struct(*rest) if rest else F.struct(F.lit(0))
+    whole = [c for c in df.columns]
+
+    inside = Window.partitionBy(*levels[0]).orderBy(*rest) if rest else None
+    rows = df.withColumns(on).repartition(*levels[0]).dropDuplicates([*whole, "_d", "_n"])
+    rows = rows.withColumns(
+        {
+            "_before": F.lag(payload).over(inside) if rest else F.lit(None),
+            "_after": F.lead(payload).over(inside) if rest else F.lit(None),
+        }
+    )
+    names = rows.groupBy(*levels[0]).agg(
+        F.min_by(payload, place).alias("_first"),
+        F.max_by(payload, place).alias("_last"),
+        F.first(date).alias("_date"),
+        F.first(name).alias("_name"),
+        F.min(spread).alias("_low"),
+        F.max(spread).alias("_high"),
+    )
+    on_date = Window.partitionBy(*levels[1]).orderBy("_name")
+    names = names.withColumns(
+        {"_name_before": F.lag("_last").over(on_date), "_name_after": F.lead("_first").over(on_date)}
     )
-    kept = [c for c in rows.columns if c not in (*keys, "_hot", "_piece")]
-    return (
-        rows.withColumns({"_before": before, "_after": after})
-        .join(edges, [*keys, "_piece"], "left")
-        .select(
-            *keys,
-            *kept,
-            F.coalesce("_before", "_last_before").alias("previous"),
-            F.coalesce("_after", "_first_after").alias("following"),
-        )
+    by_name = F.struct("_name")
+    dates = names.groupBy(*levels[1]).agg(
+        F.min_by("_first", by_name).alias("_first"),
+        F.max_by("_last", by_name).alias("_last"),
+        F.first("_date").alias("_date"),
+        F.min("_low").alias("_low"),
+        F.max("_high").alias("_high"),
     )
+    along, throughout = Window.partitionBy(key).orderBy("_date"), Window.partitionBy(key)
+    dates = dates.select(
+        *levels[1],
+        F.lag("_last").over(along).alias("_date_before"),
+        F.lead("_first").over(along).alias("_date_after"),
+        *[c.over(throughout).alias(n) for n, c in per_key.items()],
+    )
+    edges = names.join(dates, levels[1]).select(
+        *levels[0], "_name_before", "_name_after", "_date_before", "_date_after", *per_key
+    )
+    return rows.join(edges, levels[0]).select(
+        *whole,
+        F.coalesce("_before", "_name_before", "_date_before").alias("previous"),
+        F.coalesce("_after", "_name_after", "_date_after").alias("following"),
+        *per_key,
+    )
+

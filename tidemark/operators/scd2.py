@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.scale import small_side
+from tidemark.session import stored
 
 
 def last_seen(scd: DataFrame, group: str, valid_to: str = "_valid_to") -> DataFrame:
@@ -24,6 +24,7 @@ def scd2_merge(
     valid_from: str = "_valid_from",
     valid_to: str = "_valid_to",
     pass_closed: bool = True,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """Extend the open interval of keys seen again, and add intervals for the rest.
 
@@ -38,9 +39,14 @@ def scd2_merge(
     function makes. Such rows, most of a long history, are passed on without a
     shuffle; `pass_closed=False` takes them into account for other tables.
 
+    `seen` is a stored table of `group` and `last_seen`, if there is one (the manifest
+    has the times of loads); else it is found by a pass over the two columns.
+
     The window is over one content key, which has at most one interval per load.
     """
-    seen = small_side(last_seen(existing, group, valid_to)).withColumnRenamed(group, "_group")
+    if seen is None:
+        seen = stored(last_seen(existing, group, valid_to))
+    seen = seen.select(F.col(group).alias("_group"), "last_seen")
     columns = [key, *attributes, valid_from, valid_to]
 
     def with_last_seen(df: DataFrame, source: int) -> DataFrame:

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import elapsed_seconds
 from tidemark.functions.keys import content_key
-from tidemark.operators.scale import small_side
+from tidemark.operators.scale import skew_join
 
 DAY = 86_400
+STRETCH = 4_096  # slots that one window numbers
 
 
 def _slot(ts: Column, seconds: int) -> Column:
@@ -34,9 +35,9 @@ def gap_sessions(
     Per session: its number by start, start, end, and duration in hours.
 
     Timestamps less than the shortest breaking gap apart never part, so they are
-    first reduced to the earliest and latest per slot of that length. That runs
-    map-side; the window then sees one row per slot, which the covered time
-    bounds, even when there is no partition column.
+    first reduced to the earliest and latest per slot of that length, map-side.
+    Windows then run over stretches of `STRETCH` slots, and over the first and last
+    of each stretch; so no task sees all slots, even without a partition column.
     """
     half_unit = 0.5 * 10**-round_days
     width = max(1, math.floor((threshold_days - half_unit) * DAY) - 1)
@@ -45,16 +46,32 @@ def gap_sessions(
         .groupBy(*partition, _slot(F.col(ts), width).alias("_slot"))
         .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
     )
-    in_time = Window.partitionBy(*partition).orderBy("_slot")
-    gap = F.round(
-        elapsed_seconds(F.lag("_last").over(in_time), F.col("_first")) / F.lit(DAY), round_days
+
+    def breaks(last: Column, first: Column) -> Column:
+        gap = F.round(elapsed_seconds(last, first) / F.lit(DAY), round_days)
+        return F.coalesce((gap > threshold_days).cast("int"), F.lit(0))
+
+    inside = Window.partitionBy(*partition, "_stretch").orderBy("_slot")
+    cut = (
+        slots.withColumn("_stretch", F.floor(F.col("_slot") / STRETCH))
+        .withColumn("_breaks", breaks(F.lag("_last").over(inside), F.col("_first")))
+        .withColumn("_before", F.sum("_breaks").over(inside))
+    )
+    along = Window.partitionBy(*[f"_of_{p}" for p in partition]).orderBy("_of_stretch")
+    starts = (
+        cut.groupBy(*[F.col(p).alias(f"_of_{p}") for p in partition], F.col("_stretch").alias("_of_stretch"))
+        .agg(F.min("_first").alias("_from"), F.max("_last").alias("_to"), F.sum("_breaks").alias("_inside"))
+        .withColumn("_broken", breaks(F.lag("_to").over(along), F.col("_from")))
+        .withColumn("_earlier", F.sum(F.col("_broken") + F.col("_inside")).over(along) - F.col("_inside"))
+        .drop("_from", "_to", "_inside", "_broken")
+    )
+    on = [(p, f"_of_{p}") for p in partition] + [("_stretch", "_of_stretch")]
+    numbered = skew_join(cut, starts, on, "inner").withColumn(
+        "session_id", F.col("_earlier") + F.col("_before") + 1
     )
-    starts = F.coalesce((gap > threshold_days).cast("int"), F.lit(0))
     hours = elapsed_seconds(F.col("session_start"), F.col("session_end")) / F.lit(3600)
     return (
-        slots.withColumn("_starts", starts)
-        .withColumn("session_id", F.sum("_starts").over(in_time) + 1)
-        .groupBy(*partition, "session_id")
+        numbered.groupBy(*partition, "session_id")
         .agg(F.min("_first").alias("session_start"), F.max("_last").alias("session_end"))
         .withColumn("session_duration_hours", F.round(hours, 5))
     )
@@ -69,22 +86,45 @@ def assign_session(
 ) -> DataFrame:
     """Add the id of the session whose start and end enclose the timestamp.
 
-    Rows outside all sessions keep null. The range join runs as an equality join
-    on time slots: a session is listed once under every slot it touches.
+    Rows outside all sessions keep null; null partitions match null ones. Sessions
+    of a partition must not overlap, as those of `gap_sessions` don't. Distinct
+    timestamps and the starts of sessions lie in one order per time slot, where the
+    last start before a timestamp is carried forward; a session goes on at the
+    start of each later slot that it touches. So no row meets more than one session,
+    however many are in its slot, and rows get their timestamp's session by a join
+    whose hot keys adaptive execution can split.
     """
     start, end = F.col("session_start"), F.col("session_end")
-    covered = F.sequence(_slot(start, slot_seconds), _slot(end, slot_seconds))
-    listed = small_side(
-        sessions.select(
-            *[F.col(p).alias(f"_{p}") for p in partition],
-            "session_id", "session_start", "session_end", F.explode(covered).alias("_in_slot"),
+    slots = F.sequence(_slot(start, slot_seconds), _slot(end, slot_seconds))
+    listed = sessions.select(
+        *[F.col(p).alias(f"_of_{p}") for p in partition],
+        F.posexplode(slots).alias("_later", "_slot"),
+        start.alias("_at"),
+        F.struct("session_id", "session_end").alias("_session"),
+    ).withColumn("_at", F.when(F.col("_later") == 0, F.col("_at")))  # goes on: before all others
+    times = (
+        df.filter(F.col(ts).isNotNull())
+        .select(*[F.col(p).alias(f"_of_{p}") for p in partition], F.col(ts).alias("_at"))
+        .distinct()
+        .withColumn("_slot", _slot(F.col("_at"), slot_seconds))
+    )
+    keys = [f"_of_{p}" for p in partition]
+    in_time = Window.partitionBy(*keys, "_slot").orderBy(
+        F.col("_at").asc_nulls_first(), F.col("_session").isNull()
+    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = listed.drop("_later").unionByName(times, allowMissingColumns=True)
+    found = (
+        both.withColumn("_last", F.last("_session", ignorenulls=True).over(in_time))
+        .filter("_session is null")
+        .select(
+            *keys, F.col("_at").alias("_of_ts"),
+            F.when(F.col("_at") <= F.col("_last.session_end"), F.col("_last.session_id")).alias("session_id"),
         )
+        .filter("session_id is not null")
     )
-    rows = df.withColumn("_slot", _slot(F.col(ts), slot_seconds))
-    on = (F.col("_slot") == F.col("_in_slot")) & F.col(ts).between(start, end)
-    for p in partition:
-        on = on & (F.col(p) == F.col(f"_{p}"))
-    return rows.join(listed, on, "left").select(*[rows[c] for c in df.columns], "session_id")
+    plain = df.drop("session_id") if "session_id" in df.columns else df
+    joined = skew_join(plain, found, [*zip(partition, keys, strict=True), (ts, "_of_ts")], "left")
+    return joined.select(*plain.columns, "session_id")
 
 
 def load_history(

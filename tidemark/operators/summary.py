@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.measures import share
 
-MAX_PIVOT = 10_000  # columns of a pivot whose categories are not given
-
 
 def share_of_total(df: DataFrame, category: str) -> DataFrame:
     """Rows per category and their percentage of all rows, null being a category.
@@ -114,20 +112,21 @@ def pivot_counts(
     df: DataFrame,
     row: str,
     category: str,
+    categories: Sequence[str | None],
     count: str = "count",
-    categories: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Matrix of rows by categories, both sorted; a missing cell is 0.
+    """Matrix of rows by the given categories, in their order; a missing cell is 0.
 
-    Without `categories` a job finds them; more than `MAX_PIVOT` is an error.
+    The columns are the caller's, so the result has a schema without looking at
+    data. A null category is the column `null`. Others than those given are left out.
     """
-    if categories is None:
-        found = df.select(category).distinct().orderBy(category).take(MAX_PIVOT + 1)
-        if len(found) > MAX_PIVOT:
-            raise ValueError(f"more than {MAX_PIVOT} values of {category}")
-        categories = [r[0] for r in found]
     wide = df.groupBy(row).pivot(category, list(categories)).agg(F.sum(count))
-    return wide.na.fill(0, list(map(str, categories))).orderBy(row)
+    return wide.na.fill(0, [c for c in wide.columns if c != row]).orderBy(row)
+
+
+def cell_counts(df: DataFrame, row: str, category: str, count: str = "count") -> DataFrame:
+    """The long form of a matrix whose categories are not known: row, category, count."""
+    return df.groupBy(row, category).agg(F.sum(count).alias(count)).orderBy(row, category)
 
 
 def split_by_membership(

@@ -13,7 +13,7 @@ from tidemark.functions.keys import surrogate_key
 from tidemark.operators.changes import Observed
 from tidemark.operators.history import stints
 from tidemark.operators.names import canonicalise
-from tidemark.operators.scale import HOT_ROWS, key_sizes, skew_join
+from tidemark.operators.scale import skew_join
 from tidemark.operators.staging import drop_sentinels
 from tidemark.session import materialise
 
@@ -34,7 +34,6 @@ def role_history(
     gap_days: int = 30,
     date_moves: Mapping[dt.date, dt.date] | None = None,
     placeholders: Mapping[str, Iterable[str]] | None = None,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """One row per canonical name, position, unit and stint.
 
@@ -48,23 +47,15 @@ def role_history(
         cols.date, remap_dates(cols.date, date_moves or {})
     )
 
-    def named(df: DataFrame) -> DataFrame:
-        return canonicalise(
-            df, mapping, cols.name, mapping_raw, mapping_canonical, "full_name", fallback=False
-        )
-
-    # Rows per key are counted under the raw names, and only the counts get mapped.
-    keys = [cols.position, cols.unit]
-    sizes = (
-        named(key_sizes(rows, [cols.name, *keys]))
-        .groupBy("full_name", *keys)
-        .agg(F.sum("_size").alias("_size"))
+    rows = canonicalise(
+        rows, mapping, cols.name, mapping_raw, mapping_canonical, "full_name", fallback=False
     )
+    keys = [cols.position, cols.unit]
     # Read twice below: for the last date of each name and for the rows.
     held = materialise(
         stints(
-            named(rows), "full_name", keys, cols.date, gap_days,
-            carry=[cols.entity, cols.group], hot_rows=hot_rows, sizes=sizes,
+            rows, "full_name", keys, cols.date, gap_days,
+            carry=[cols.entity, cols.group],
         )
     )
     # Key and last date join per name first, so that the rows are joined only once.

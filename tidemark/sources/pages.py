@@ -33,6 +33,7 @@ LINK_LIST = "ul.section-listing"
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
+_NO_TEXT = frozenset(("script", "style", "template"))
 
 
 class _Node:
@@ -53,11 +54,13 @@ class _Node:
                 pending.extend(reversed(child.children))
 
     def text(self):
+        """Text below, without that of scripts, styles and templates."""
         parts, pending = [], list(reversed(self.children))
         while pending:
             child = pending.pop()
             if isinstance(child, _Node):
-                pending.extend(reversed(child.children))
+                if child.tag not in _NO_TEXT:
+                    pending.extend(reversed(child.children))
             else:
                 parts.append(child)
         return "".join(parts)
