@@ -35,33 +35,35 @@ def size_class(n: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], most: int, seed: int) -> DataFrame:
-    """Add `target`, `rate` and `offset` to one row per source (`_source`, `_null`).
+    """The target, expected copies and offset of every source, one row each.
 
     Weights repeat over the sources by code point, null last. All targets add up to the
     sum of sizes. A target stops at `most` times its size and what it can't take goes to
     the others by weight: in the order of size to weight, the common level is the largest
     quotient of what earlier sources leave and the weights that are left.
+
+    Sources, not documents, are ordered here: one row of a few numbers for each.
     """
-    every = Window.orderBy("_null", "_source")
+    every = Window.orderBy("_tm_null", "_tm_source")
     place = F.pmod(F.row_number().over(every) - 1, F.lit(len(weights)))
     weighed = sizes.withColumn("weight", F.get(F.array(*[F.lit(float(w)) for w in weights]), place)).withColumn(
         "cap", most * F.col("source_size").cast("double")
     )
-    full = Window.orderBy(F.col("cap") / F.col("weight"), "_null", "_source")
+    full = Window.orderBy(F.col("cap") / F.col("weight"), "_tm_null", "_tm_source")
     all_rows = Window.partitionBy(F.lit(1))
     earlier = full.rowsBetween(Window.unboundedPreceding, -1)
     left = F.sum("source_size").over(all_rows) - F.coalesce(F.sum("cap").over(earlier), F.lit(0.0))
     weights_left = F.sum("weight").over(all_rows) - F.coalesce(F.sum("weight").over(earlier), F.lit(0.0))
-    target = F.least("cap", F.col("_level") * F.col("weight"))
+    target = F.least("cap", F.col("_tm_level") * F.col("weight"))
     # 20 bits, so that sums with a whole number of steps stay exact
-    offset = _number(F.concat_ws(":", "_source", "_null", F.lit(seed)), 5) / F.lit(2.0**20)
+    offset = _number(F.concat_ws(":", "_tm_source", "_tm_null", F.lit(seed)), 5) / F.lit(2.0**20)
     return (
-        weighed.withColumn("_level", left / weights_left)
-        .withColumn("_level", F.max("_level").over(all_rows))
+        weighed.withColumn("_tm_level", left / weights_left)
+        .withColumn("_tm_level", F.max("_tm_level").over(all_rows))
         .withColumn("target", target)
-        .withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-        .withColumn("offset", offset)
-        .select("_source", "_null", "source_size", "target", "rate", "offset")
+        .withColumn("_tm_rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
+        .withColumn("_tm_offset", offset)
+        .select("_tm_source", "_tm_null", "source_size", "target", "_tm_rate", "_tm_offset")
     )
 
 
@@ -92,28 +94,28 @@ def mix(
     named = [F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col("size")]
     rows = docs.withColumn("size", counted).withColumns(
         {
-            "_source": F.coalesce(F.col(source), F.lit("")),
-            "_null": F.col(source).isNull(),
-            "_class": size_class(F.col("size") + 1),
-            "_salt": (_number(F.concat_ws(":", *named, F.lit(seed)), 4) % SALTS).cast("int"),
+            "_tm_source": F.coalesce(F.col(source), F.lit("")),
+            "_tm_null": F.col(source).isNull(),
+            "_tm_class": size_class(F.col("size") + 1),
+            "_tm_salt": (_number(F.concat_ws(":", *named, F.lit(seed)), 4) % SALTS).cast("int"),
         }
     )
-    cell = ["_source", "_null", "_class", "_salt"]
-    cells = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"), F.sum("size").alias("_size"))
-    sources = cells.groupBy("_source", "_null").agg(F.sum("_size").alias("source_size"))
-    along = Window.partitionBy("_source", "_null").orderBy("_class", "_salt")
-    offsets = cells.withColumn("_before", F.sum("_rows").over(along) - F.col("_rows")).drop("_rows", "_size")
-    plan = offsets.join(source_targets(sources, weights, most, seed), ["_source", "_null"])
+    cell = ["_tm_source", "_tm_null", "_tm_class", "_tm_salt"]
+    cells = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_tm_rows"), F.sum("size").alias("_tm_size"))
+    sources = cells.groupBy("_tm_source", "_tm_null").agg(F.sum("_tm_size").alias("source_size"))
+    along = Window.partitionBy("_tm_source", "_tm_null").orderBy("_tm_class", "_tm_salt")
+    offsets = cells.withColumn("_tm_before", F.sum("_tm_rows").over(along) - F.col("_tm_rows")).drop("_tm_rows", "_tm_size")
+    plan = offsets.join(source_targets(sources, weights, most, seed), ["_tm_source", "_tm_null"])
 
     inside = Window.partitionBy(*cell).orderBy("size", F.col(doc_id))
-    step = F.col("_before") + F.col("_place")
+    step = F.col("_tm_before") + F.col("_tm_place")
 
     def crossed(n: Column) -> Column:
-        return F.floor(F.col("rate") * n + F.col("offset"))
+        return F.floor(F.col("_tm_rate") * n + F.col("_tm_offset"))
 
     copies = F.least(crossed(step) - crossed(step - 1), F.lit(most)).cast("int")
     return (
-        rows.withColumn("_place", F.row_number().over(inside))
+        rows.withColumn("_tm_place", F.row_number().over(inside))
         .join(plan, cell)
         .withColumn("copies", copies)
         .select(
@@ -125,4 +127,4 @@ def mix(
 
 def emit(mixed: DataFrame) -> DataFrame:
     """The rows that the mix takes, each as often as it has copies."""
-    return mixed.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("_copy")
+    return mixed.filter("copies > 0").withColumn("_tm_copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("_tm_copy")

@@ -109,25 +109,25 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
         docs.drop(*[c for c in MEASURES if c != text])
         .withColumns(
             {
-                "_words": whitespace_words(F.col(text)),
-                "_lines": F.filter(F.split(whole, "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != ""),
+                "_tm_words": whitespace_words(F.col(text)),
+                "_tm_lines": F.filter(F.split(whole, "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != ""),
                 "n_symbols": F.regexp_count(whole, F.lit(SYMBOLS)).cast("long"),
             }
         )
         .withColumns(
             {
-                "n_words": F.size("_words").cast("long"),
-                "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-                "n_lines": F.size("_lines").cast("long"),
-                "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-                "n_repeat_words": repeated_words(F.col("_words")),
-                "n_letter_words": F.size(F.filter("_words", has(r"\p{L}"))).cast("long"),
-                "n_stop_words": F.size(F.filter("_words", lambda w: F.lower(w).isin(*stop))).cast("long"),
-                "n_bullet_lines": F.size(F.filter("_lines", has(r"^\s*[-*•]"))).cast("long"),
-                "n_ellipsis_lines": F.size(F.filter("_lines", has(r"(\.\.\.|…)\s*$"))).cast("long"),
+                "n_words": F.size("_tm_words").cast("long"),
+                "word_chars": F.length(F.array_join("_tm_words", "")).cast("long"),
+                "n_lines": F.size("_tm_lines").cast("long"),
+                "n_dup_lines": (F.size("_tm_lines") - F.size(F.array_distinct("_tm_lines"))).cast("long"),
+                "n_repeat_words": repeated_words(F.col("_tm_words")),
+                "n_letter_words": F.size(F.filter("_tm_words", has(r"\p{L}"))).cast("long"),
+                "n_stop_words": F.size(F.filter("_tm_words", lambda w: F.lower(w).isin(*stop))).cast("long"),
+                "n_bullet_lines": F.size(F.filter("_tm_lines", has(r"^\s*[-*•]"))).cast("long"),
+                "n_ellipsis_lines": F.size(F.filter("_tm_lines", has(r"(\.\.\.|…)\s*$"))).cast("long"),
             }
         )
-        .drop("_words", "_lines")
+        .drop("_tm_words", "_tm_lines")
     )
 
 

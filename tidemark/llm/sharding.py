@@ -98,34 +98,34 @@ def assign_shards(
     sized = docs.withColumns(
         {
             "size": (F.octet_length(whole) + 1).cast("long"),
-            "_bucket": F.shiftrightunsigned(hashed, 64 - BUCKET_BITS).cast("int"),
-            "_chunk": F.pmod(F.xxhash64(F.col(doc_id), hashed), F.lit(CHUNKS)).cast("int"),
+            "_tm_bucket": F.shiftrightunsigned(hashed, 64 - BUCKET_BITS).cast("int"),
+            "_tm_chunk": F.pmod(F.xxhash64(F.col(doc_id), hashed), F.lit(CHUNKS)).cast("int"),
         }
     )
-    found = sized.groupBy("_bucket").agg(F.sum("size").alias("bytes")).collect()
+    found = sized.groupBy("_tm_bucket").agg(F.sum("size").alias("bytes")).collect()
     sizes = [0] * (1 << BUCKET_BITS)
     for row in found:
-        sizes[row["_bucket"]] = row["bytes"]
-    placed = sized.withColumn("shard", _cut_by(F.col("_bucket"), minimax_cuts(sizes, shards)))
+        sizes[row["_tm_bucket"]] = row["bytes"]
+    placed = sized.withColumn("shard", _cut_by(F.col("_tm_bucket"), minimax_cuts(sizes, shards)))
 
-    before = Window.partitionBy("shard").orderBy("_chunk")
+    before = Window.partitionBy("shard").orderBy("_tm_chunk")
     offsets = (
-        placed.groupBy("shard", "_chunk")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("shard", "_chunk", (F.sum("_rows").over(before) - F.col("_rows")).alias("_offset"))
+        placed.groupBy("shard", "_tm_chunk")
+        .agg(F.count(F.lit(1)).alias("_tm_rows"))
+        .select("shard", "_tm_chunk", (F.sum("_tm_rows").over(before) - F.col("_tm_rows")).alias("_tm_offset"))
     )
-    inside = Window.partitionBy("shard", "_chunk").orderBy(F.col(doc_id), "_hash")
+    inside = Window.partitionBy("shard", "_tm_chunk").orderBy(F.col(doc_id), "_tm_hash")
     return (
-        placed.withColumns({"text_crc32": F.crc32(whole.cast("binary")), "_hash": hashed})
-        .withColumn("_place", F.row_number().over(inside))
-        .join(F.broadcast(offsets), ["shard", "_chunk"])
+        placed.withColumns({"text_crc32": F.crc32(whole.cast("binary")), "_tm_hash": hashed})
+        .withColumn("_tm_place", F.row_number().over(inside))
+        .join(F.broadcast(offsets), ["shard", "_tm_chunk"])
         .select(
             *docs.columns,
             "size",
             "text_crc32",
             F.lit("bytes").alias("law"),
             "shard",
-            (F.col("_offset") + F.col("_place") - 1).cast("long").alias("slot"),
+            (F.col("_tm_offset") + F.col("_tm_place") - 1).cast("long").alias("slot"),
             F.lit(None).cast("int").alias("grown_shard"),
         )
     )
