@@ -58,3 +58,11 @@ def test_emit_and_clashing_names(frame):
     assert out.count() == sum(r.copies for r in mix(docs).collect()) == 10
     assert set(r["size"] for r in out.collect()) == {2}
     assert mix(docs.limit(0)).count() == 0
+
+
+def test_extra_columns_of_any_name(frame):
+    names = ["rate", "offset", "weight", "cap", "step", "_source", "_place", "key"]
+    docs = frame([(i, "two words", "s", *["x"] * len(names)) for i in range(4)],
+                 "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    rows = mix(docs).collect()
+    assert len(rows) == 4 and all(r[n] == "x" for r in rows for n in names)

@@ -59,3 +59,11 @@ def test_copies_nulls_and_clashes(frame):
     found = check(frame(rows, "doc_id long, text string, shard long"))
     assert len(found) == len(rows)
     assert assign_shards(frame([], "doc_id long, text string")).count() == 0
+
+
+def test_extra_columns_of_any_name(frame):
+    names = ["bytes", "_bucket", "_offset", "_place", "key", "id"]
+    docs = frame([(i, f"t{i}", *["x"] * len(names)) for i in range(4)],
+                 "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    rows = assign_shards(docs).collect()
+    assert len(rows) == 4 and all(r[n] == "x" for r in rows for n in names)
