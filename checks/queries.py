@@ -254,7 +254,16 @@ def name_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("raw").alias("name"), F.upper("position").alias("email"),
         F.col("observed").alias("_valid_from"), F.col("observed").alias("_valid_to"),
     )
-    return plain(name_tables(rows)["postfixes_history"])
+    made = name_tables(rows)
+    mapping = made["names_mapping"].select(
+        F.lit("names_mapping").alias("part"), "email", "extracted_name", F.col("name").alias("value"),
+        *[F.lit(None).cast("date").alias(c) for c in ("effective_from", "effective_to")],
+    )
+    histories = [
+        made[part].select(F.lit(part).alias("part"), "email", "extracted_name", F.col(value).alias("value"), "effective_from", "effective_to")
+        for part, value in (("prefixes_history", "prefix"), ("postfixes_history", "postfix"))
+    ]
+    return plain(reduce(DataFrame.unionByName, histories, mapping))
 
 
 @query
@@ -405,7 +414,11 @@ def _staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query
 def staged_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(_staged(spark, sf_dir)["prefix"])
+    parts = [
+        df.withColumnRenamed(value, "value").withColumn("part", F.lit(value))
+        for value, df in _staged(spark, sf_dir).items()
+    ]
+    return plain(reduce(DataFrame.unionByName, parts))
 
 
 @query
