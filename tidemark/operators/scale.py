@@ -82,14 +82,14 @@ def neighbours(
     whole = [c for c in df.columns]
 
     inside = Window.partitionBy(*levels[0]).orderBy(*rest) if rest else None
-    rows = df.withColumns(on).repartition(*levels[0]).dropDuplicates([*whole, "_d", "_n"])
-    rows = rows.withColumns(
+    placed = df.withColumns(on).repartition(*levels[0])
+    rows = placed.dropDuplicates([*whole, "_d", "_n"]).withColumns(
         {
             "_before": F.lag(payload).over(inside) if rest else F.lit(None),
             "_after": F.lead(payload).over(inside) if rest else F.lit(None),
         }
     )
-    names = rows.groupBy(*levels[0]).agg(
+    names = placed.groupBy(*levels[0]).agg(  # copies change nothing here
         F.min_by(payload, place).alias("_first"),
         F.max_by(payload, place).alias("_last"),
         F.first(date).alias("_date"),
