@@ -4,7 +4,7 @@ from collections import Counter
 import brute
 import pytest
 
-from tidemark.llm.licenses import TEMPLATES, Scorer, ancestors, document_counts, inherit, own_licenses, vocabulary
+from tidemark.llm.licenses import TEMPLATES, Scorer, ancestors, document_counts, inherit, own_licenses, scan_licenses, vocabulary
 from tidemark.llm.queries import op10_licenses
 
 NOTICES = {
@@ -81,6 +81,9 @@ def test_root_ties_and_clashing_names(frame):
     got = {r.path: (r.license, r.inherited_from) for r in inherit(own_licenses(files)).collect()}
     assert got["x/y"] == ("ISC", "") and got["LICENSE"][0] == "MIT"
     assert inherit(own_licenses(files.limit(0))).count() == 0
+    assert scan_licenses(files.limit(0)).count() == 0
+    scanned = {r.path: r.license for r in scan_licenses(files).collect()}
+    assert scanned == {p: v[0] for p, v in got.items()}
     depth = files.select(ancestors(files["path"]).alias("a")).collect()
     assert [(x.above, x.depth) for x in depth[2].a] == [("", 0), ("x", 1), ("x/y", 2)]
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import WORD_BYTES, extended
+from tidemark.llm.common import WORD_BYTES, extended, scratch
 
 THRESHOLD = 0.6
 LICENSE_FILE = r"(?i)^(un)?licen[sc]e|^copying|^notice"
@@ -304,3 +304,23 @@ def inherit(files: DataFrame, path: str = "path") -> DataFrame:
         .withColumn("inherited_from", F.when(~own, F.col("_tm_near.above")))
         .drop("_tm_dir", "_tm_of", "_tm_near")
     )
+
+
+def scan_licenses(
+    files: DataFrame,
+    text: str = "text",
+    path: str = "path",
+    templates: dict[str, Sequence[str]] | None = None,
+    threshold: float = THRESHOLD,
+    carry: Sequence[str] | None = None,
+) -> DataFrame:
+    """Own and inherited licences of every file: `own_licenses`, then `inherit`.
+
+    What is found in the texts is written once to the shared folder, without the texts
+    if `carry` leaves them out, and read three times: for licence files, directories
+    and files.
+    """
+    own = own_licenses(files, text, templates, threshold, carry)
+    where = scratch(files.sparkSession, "licenses")
+    own.write.parquet(where)
+    return inherit(files.sparkSession.read.schema(own.schema).parquet(where), path)

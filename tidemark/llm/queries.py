@@ -117,8 +117,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     hundred = F.floor(F.col("doc_id") / 100).cast("string")
     path = F.concat_ws("/", F.col("source"), F.col("lang"), hundred, F.col("doc_id").cast("string"))
     files = _read(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
-    own = licenses.own_licenses(files, carry=["doc_id", "path"])
-    return licenses.inherit(own).select(
+    return licenses.scan_licenses(files, carry=["doc_id", "path"]).select(
         "doc_id", "path", "own_license", "own_score", "whole_file", "license", "inherited_from"
     )
 
