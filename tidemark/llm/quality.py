@@ -97,43 +97,39 @@ def repeated_words(words: Column, n: int = REPEAT) -> Column:
     ).cast("long")
 
 
-def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add the measures that rules compare. Input columns of these names are replaced."""
-    whole = F.coalesce(F.col(text), F.lit(""))
+def measures(text: Column) -> Column:
+    """A struct of the measures that rules compare, each computed once."""
+    whole = F.coalesce(text, F.lit(""))
     stop = [F.lit(w) for w in STOP_WORDS]
-
-    def has(pattern: str):
-        return lambda line: line.rlike(pattern)
-
-    return (
-        docs.drop(*[c for c in MEASURES if c != text])
-        .withColumns(
-            {
-                "_tm_words": whitespace_words(F.col(text)),
-                "_tm_lines": F.filter(F.split(whole, "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != ""),
-                "n_symbols": F.regexp_count(whole, F.lit(SYMBOLS)).cast("long"),
-            }
-        )
-        .withColumns(
-            {
-                "n_words": F.size("_tm_words").cast("long"),
-                "word_chars": F.length(F.array_join("_tm_words", "")).cast("long"),
-                "n_lines": F.size("_tm_lines").cast("long"),
-                "n_dup_lines": (F.size("_tm_lines") - F.size(F.array_distinct("_tm_lines"))).cast("long"),
-                "n_repeat_words": repeated_words(F.col("_tm_words")),
-                "n_letter_words": F.size(F.filter("_tm_words", has(r"\p{L}"))).cast("long"),
-                "n_stop_words": F.size(F.filter("_tm_words", lambda w: F.lower(w).isin(*stop))).cast("long"),
-                "n_bullet_lines": F.size(F.filter("_tm_lines", has(r"^\s*[-*•]"))).cast("long"),
-                "n_ellipsis_lines": F.size(F.filter("_tm_lines", has(r"(\.\.\.|…)\s*$"))).cast("long"),
-            }
-        )
-        .drop("_tm_words", "_tm_lines")
-    )
-
-
-def failed(rule: Rule) -> Column:
-    """Whether a row breaks the rule. A ratio to zero breaks none."""
-    ratio = F.col(rule.value) / F.when(F.col(rule.per) > 0, F.col(rule.per))
+    with_words = F.filter(F.split(whole, "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != "")
+
+    def count(found: Column) -> Column:
+        return F.size(found).cast("long")
+
+    def matching(values: Column, pattern: str) -> Column:
+        return count(F.filter(values, lambda v: v.rlike(pattern)))
+
+    def both(words: Column, lines: Column) -> Column:
+        found = {
+            "n_words": count(words),
+            "word_chars": F.length(F.array_join(words, "")).cast("long"),
+            "n_symbols": F.regexp_count(whole, F.lit(SYMBOLS)).cast("long"),
+            "n_lines": count(lines),
+            "n_dup_lines": count(lines) - count(F.array_distinct(lines)),
+            "n_repeat_words": repeated_words(words),
+            "n_letter_words": matching(words, r"\p{L}"),
+            "n_stop_words": count(F.filter(words, lambda w: F.lower(w).isin(*stop))),
+            "n_bullet_lines": matching(lines, r"^\s*[-*•]"),
+            "n_ellipsis_lines": matching(lines, r"(\.\.\.|…)\s*$"),
+        }
+        return F.struct(*[c.alias(name) for name, c in found.items()])
+
+    return let(whitespace_words(text), lambda words: let(with_words, lambda lines: both(words, lines)))
+
+
+def failed(rule: Rule, found: Column) -> Column:
+    """Whether measures break the rule. A ratio to zero breaks none."""
+    ratio = found[rule.value] / F.when(found[rule.per] > 0, found[rule.per])
     tests = [ratio < rule.least] if rule.least is not None else []
     tests += [ratio > rule.most] if rule.most is not None else []
     return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
@@ -153,12 +149,25 @@ def quality_rules(
     Null and empty text have no words and fail. One row out for every row in; input
     columns named like an added one are replaced.
     """
-    broken = F.array_compact(F.array(*[F.when(failed(r), F.lit(r.name)) for r in rules]))
-    base = (F.col("n_words") < least_words) | (
-        100 * F.col("n_repeat_words") > most_repeated_percent * F.col("n_words")
-    )
+    def verdict(found: Column) -> Column:
+        base = (found["n_words"] < least_words) | (
+            100 * found["n_repeat_words"] > most_repeated_percent * found["n_words"]
+        )
+        broken = F.array_compact(F.array(*[F.when(failed(r, found), F.lit(r.name)) for r in rules]))
+        return let(
+            F.struct(base.alias("base_failed"), broken.alias("broken")),
+            lambda v: F.struct(
+                v["base_failed"].alias("base_failed"),
+                v["broken"].alias("broken"),
+                (~v["base_failed"] & (F.size(v["broken"]) == 0)).alias("kept"),
+            ),
+        )
+
+    # One expression each: a filter on `kept`, which Spark moves down to the scan, then
+    # computes them once and not once for every rule.
+    given = docs.drop(*[c for c in (*MEASURES, "base_failed", "broken", "kept") if c != text])
     return (
-        with_measures(docs, text)
-        .withColumns({"base_failed": base, "broken": broken})
-        .withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
+        given.withColumn("_tm_found", measures(F.col(text)))
+        .withColumn("_tm_verdict", let(F.col("_tm_found"), verdict))
+        .select(*given.columns, "_tm_found.*", "_tm_verdict.*")
     )
