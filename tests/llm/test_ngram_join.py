@@ -91,6 +91,22 @@ def test_groups_whose_leader_is_not_like_all(frame, seed, share, block):
     assert partition([r.class_id for r in got]) == partition(labels)
 
 
+@pytest.mark.parametrize("block", [4, 512])
+def test_every_link_of_a_text_counts(frame, block):
+    """Not only those that join its class: brute force over all pairs of different texts."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(50)}" for _ in range(120)]
+    texts = [edited(rng, base, share) for share in (0.003, 0.01, 0.02, 0.03) for _ in range(10)]
+    alike = ["alpha beta gamma delta epsilon zeta", "Alpha, beta gamma delta epsilon zeta!", "ALPHA beta; gamma delta epsilon zeta"]
+    rows = list(enumerate([*dict.fromkeys([*texts, " ".join(base), *alike]), texts[0], alike[0]]))
+    _, links = classes_of(rows)
+    different = {t: i for i, t in reversed(rows)}
+    want = {t: sum(i in link for link in links if set(link) <= set(different.values())) for t, i in different.items()}
+    got = found(frame(rows, "doc_id long, text string").repartition(3), rows, block=block)
+    assert [r.n_links for r in got] == [want[t] for _, t in rows]
+    assert got[rows[-1][0]].n_links == 2 and max(want.values()) > 10
+
+
 def test_short_empty_null_and_repeated(frame):
     rows = [
         (1, "two words"), (2, "Two, WORDS!"), (3, None), (4, ""), (5, "..."), (6, "two words more"), (7, "two words"),

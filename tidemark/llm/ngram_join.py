@@ -8,10 +8,14 @@
 3. What a leader can't decide, two other texts of a bucket in different classes, is
    compared as well, in blocks of bounded size, each pair only in the first bucket that
    it shares. So every pair that shares a bucket is either in one class or was compared.
+4. When the classes are known, all texts of a class are compared with each other, in pairs
+   of blocks of bounded size, and only the number of links of each text leaves a task.
+   Texts of equal words are one there, with the number of texts that it stands for.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator, Sequence
 from itertools import groupby
@@ -28,7 +32,8 @@ N = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
 HASHES = 128
-BLOCK = 512  # texts of a bucket that one task compares with as many others
+BLOCK = 512  # texts of a bucket or class that one task compares with as many others
+COLUMNS = 4096  # n-grams of a block that are multiplied at once
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -121,18 +126,19 @@ def _signatures(n: int, bands: int, rows: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(n, bands, rows)
         for batch in batches:
-            found, sizes = [], []
+            found, sizes, said = [], [], []
             for raw in batch.column("raw").to_pylist():
                 words = words_of(raw)
                 sizes.append(max(1, len(words) - n + 1) if words else 0)
                 found.append(hasher.band_hashes(words) if words else None)
+                said.append(hashlib.md5(b" ".join(words), usedforsecurity=False).digest())
             empty = np.zeros(0, np.int64)
             offsets = np.concatenate(([0], np.cumsum([0 if f is None else bands for f in found]))).astype(np.int32)
             values = np.concatenate([empty, *(f for f in found if f is not None)])
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("key"), pa.array(sizes, pa.int64()), lists],
-                ["id", "key", "grams", "bands"],
+                [batch.column("id"), batch.column("key"), pa.array(said, pa.binary()), pa.array(sizes, pa.int64()), lists],
+                ["id", "key", "said", "grams", "bands"],
             )
 
     return work
@@ -214,6 +220,69 @@ def _verify_blocks(n: int, threshold: float):
     return work
 
 
+def _shared(sets: list[frozenset], first: slice, second: slice) -> np.ndarray:
+    """How many elements each set of `first` has in common with each of `second`."""
+    number: dict = {}
+    members = [np.fromiter((number.setdefault(g, len(number)) for g in s), np.int64, len(s)) for s in sets]
+    row = np.repeat(np.arange(len(sets)), [len(m) for m in members])
+    column = np.concatenate(members)
+    often = np.bincount(column, minlength=len(number)) > 1  # others are in no two sets
+    place = np.cumsum(often) - 1
+    row, column = row[often[column]], place[column[often[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(sets[first]), len(sets[second])))
+    for low in range(0, int(often.sum()), COLUMNS):
+        here = slice(*np.searchsorted(column, [low, low + COLUMNS]))
+        table = np.zeros((len(sets), COLUMNS), np.float32)  # counts up to COLUMNS are exact
+        table[row[here], column[here] - low] = 1
+        out += table[first] @ table[second].T
+    return out
+
+
+def _counts_of_block(rows: list[dict], n: int, threshold: float) -> list[tuple[bytes, int]]:
+    """Texts of a pair of blocks (or one with itself), and how many texts are similar to each."""
+    one = rows[0]["i"] == rows[0]["j"]
+    left = [r for r in rows if r["block"] == rows[0]["i"]]
+    right = [] if one else [r for r in rows if r["block"] != rows[0]["i"]]
+    every = left + right
+    first = slice(0, len(left))
+    second = first if one else slice(len(left), len(every))
+    sets = [gram_set(r["raw"], n) for r in every]
+    sizes = np.array([len(s) for s in sets], np.float64)
+    times = np.array([r["times"] for r in every], np.int64)
+    shared = _shared(sets, first, second)
+    alike = shared >= threshold * (sizes[first, None] + sizes[None, second] - shared)
+    counts = np.zeros(len(every), np.int64)
+    counts[first] += alike.astype(np.int64) @ times[second]
+    if one:
+        counts -= times
+    else:
+        counts[second] += alike.T.astype(np.int64) @ times[first]
+    return [(r["key"], int(c)) for r, c in zip(every, counts, strict=True) if c]
+
+
+def _count_blocks(n: int, threshold: float):
+    """Rows sorted by class and pair of blocks."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in batch.to_pylist())
+        held: list[tuple[bytes, int]] = []
+
+        def out() -> pa.RecordBatch:
+            made = [pa.array([k for k, _ in held], pa.binary()), pa.array([c for _, c in held], pa.int64())]
+            held.clear()
+            return pa.RecordBatch.from_arrays(made, ["key", "found"])
+
+        for _, group in groupby(rows, lambda r: (r["component"], r["i"], r["j"])):
+            held.extend(_counts_of_block(list(group), n, threshold))
+            if len(held) >= 4096:
+                yield out()
+        yield out()
+
+    return work
+
+
 def near_duplicates(
     docs: DataFrame,
     text: str = "text",
@@ -228,8 +297,8 @@ def near_duplicates(
 
     Returns `doc_id`, `text_md5`, `class_id` (smallest document id of the class), `kept`
     (true in the rows of the class's first text with that id), `n_copies` (rows with the
-    same text) and `n_links` (other texts of the class that a verified comparison linked
-    to this one). Two texts are linked if the sets of their `n`-word sequences have a
+    same text) and `n_links` (all other texts of the class that are linked to this one, by
+    a comparison of their full sets). Two texts are linked if the sets of their `n`-word sequences have a
     Jaccard similarity of `threshold` or more; a class is what links connect, and equal
     texts are one. Words are runs of ASCII digits and letters, without case, and code
     points beyond ASCII; a text of fewer than `n` words is one sequence.
@@ -249,7 +318,7 @@ def near_duplicates(
     id_type = given.schema["id"].dataType.simpleString()
     with Scratch(spark, "near") as space:
         members = space.table(
-            given.mapInArrow(_signatures(n, bands, rows), f"id {id_type}, key binary, grams long, bands array<long>")
+            given.mapInArrow(_signatures(n, bands, rows), f"id {id_type}, key binary, said binary, grams long, bands array<long>")
         )
         first_id = F.min(F.struct(F.col("id").isNull().alias("none"), "id"))
         nodes = space.table(
@@ -257,7 +326,7 @@ def near_duplicates(
             .groupBy("key")
             .agg(
                 first_id.alias("low"), F.count(F.lit(1)).alias("n_copies"),
-                F.first("grams").alias("grams"), F.first("bands").alias("bands"),
+                F.first("said").alias("said"), F.first("grams").alias("grams"), F.first("bands").alias("bands"),
             )
         )
         found = _candidates(nodes, space)
@@ -265,10 +334,10 @@ def near_duplicates(
         stars = _star_links(found, nodes, texts, n, threshold, space)
         classes = space.table(components(stars, space))
         more = _block_links(found, nodes, texts, classes, n, threshold, block, space)
-        links = space.table(stars.union(more).distinct())
         if not more.isEmpty():
-            classes = space.table(components(links, space))
-        return space.result(_described(members, nodes, links, classes, doc_id))
+            classes = space.table(components(stars.union(more), space))
+        degree = _link_counts(nodes, texts, classes, n, threshold, block, space)
+        return space.result(_described(members, nodes, degree, classes, doc_id))
 
 
 def _candidates(nodes: DataFrame, space: Scratch) -> DataFrame:
@@ -338,9 +407,46 @@ def _block_links(found, nodes, texts, classes, n, threshold, block, space) -> Da
     return space.table(rows.mapInArrow(_verify_blocks(n, threshold), "a binary, b binary"))
 
 
-def _described(members, nodes, links, classes, doc_id: str) -> DataFrame:
-    ends = links.select(F.col("a").alias("of")).union(links.select(F.col("b").alias("of")))
-    degree = ends.groupBy("of").agg(F.count(F.lit(1)).alias("n_links"))
+def _link_counts(nodes, texts, classes, n, threshold, block, space) -> DataFrame:
+    """Verified links of every text (`of`) with others of its class: `n_links`.
+
+    Texts of equal words have equal sets, so the one of the lowest key is compared for
+    all of them. A class of m such texts is dealt to pairs of blocks, each text to every
+    block once: rows grow with m * m / block, and no pair leaves a task.
+    """
+    known = classes.select(F.col("node").alias("of"), "component")
+    member = nodes.select("key", "said").join(known, F.col("key").eqNullSafe(F.col("of"))).drop("of")
+    one = space.table(
+        member.groupBy("component", "said").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("times"))
+    )
+    sizes = one.groupBy(F.col("component").alias("of")).agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    dealt = (
+        one.join(sizes, F.col("component").eqNullSafe(F.col("of")))
+        .withColumn("blocks", F.ceil(F.col("m") / F.lit(block)).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "component", "key", "times", "block",
+            F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        )
+    )
+    rows = (
+        dealt.join(texts.withColumnRenamed("key", "of"), F.col("key").eqNullSafe(F.col("of")))
+        .drop("of")
+        .repartition("component", "i", "j")
+        .sortWithinPartitions("component", "i", "j")
+    )
+    counted = rows.mapInArrow(_count_blocks(n, threshold), "key binary, found long")
+    found = space.table(counted.groupBy(F.col("key").alias("of")).agg(F.sum("found").alias("found")))
+    total = one.join(found, F.col("key").eqNullSafe(F.col("of")), "left").select(
+        F.col("said").alias("of"), (F.coalesce("found", F.lit(0)) + F.col("times") - 1).alias("n_links")
+    )
+    return nodes.select("key", "said").join(total, F.col("said").eqNullSafe(F.col("of"))).select(
+        F.col("key").alias("of"), "n_links"
+    )
+
+
+def _described(members, nodes, degree, classes, doc_id: str) -> DataFrame:
     known = classes.select(F.col("node").alias("of"), "component")
     classed = (
         nodes.select("key", "low", "n_copies")
