@@ -76,6 +76,17 @@ def test_long_lists_are_anchored(monkeypatch):
     assert pairs == sorted(pairs)
 
 
+def test_size_does_not_change_an_alignment(monkeypatch):
+    closing = "<div><p>Kept by us</p><p>{}</p></div>"
+    left, right = (
+        Page("".join(f"<p>{name} {i}</p>" for i in range(n)) + closing.format(name)) for name, n in (("l", 300), ("r", 350))
+    )
+    long = Alignment(left.tree, right.tree, left.blocks, right.blocks).pairs
+    assert ("Kept by us", "Kept by us") in [(left.blocks[i], right.blocks[j]) for i, j in long]
+    monkeypatch.setattr("tidemark.llm.html_text.CELLS", 10**9)
+    assert Alignment(left.tree, right.tree, left.blocks, right.blocks).pairs == long
+
+
 def site(i, host="a.example"):
     varied = "".join(f"<p>text {i} {k}</p>" for k in range(i % 4 + 1))
     return (i, f"http://{host}/{i}", f"<div><p>Welcome to our site</p>{varied}<p>All rights kept by us</p></div>")

@@ -16,8 +16,8 @@ import hashlib
 import html
 import json
 import re
-from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from math import isqrt
 
 import pandas as pd
 import pyarrow as pa
@@ -31,7 +31,7 @@ LEAST_PAGES = 5     # compared pages before a node can be template
 CONSTANT = 0.8      # share of them on which it must say the same
 DEEPEST = 40        # levels of the trees; what lies deeper hangs on the last
 EQUAL = 4           # weight of blocks with equal text in an alignment
-CELLS = 40_000      # of an alignment table; larger ones are cut at texts that both have once
+CELLS = 40_000      # of an alignment table held whole; of larger ones some rows are held, the rest made again
 HOSTS_HELD = 2_000  # references a task keeps before it hands them on
 MERGE_PARTS = 16    # of a host's references in the first round of merging
 
@@ -240,20 +240,22 @@ class Alignment:
         if a[0] != b[0]:
             return 0
         key = (id(a), id(b))
-        if key not in self.known:
-            self.known[key] = 1 + self._table(a[1], b[1])[len(a[1])][len(b[1])]
-        return self.known[key]
-
-    def _table(self, left: list, right: list) -> list[list[int]]:
-        table = [[0] * (len(right) + 1)]
-        for a in left:
-            above, row, best = table[-1], [0], 0
-            for j, b in enumerate(right):
-                score = self._score(a, b)
-                best = max(best, above[j + 1], above[j] + score if score else 0)
-                row.append(best)
-            table.append(row)
-        return table
+        if (found := self.known.get(key)) is None:
+            row = [0] * (len(b[1]) + 1)
+            for x in a[1]:
+                row = self._row(x, b[1], row)
+            found = 1 + row[-1]
+            if len(self.known) < CELLS:
+                self.known[key] = found
+        return found
+
+    def _row(self, a, right: list, above: list[int]) -> list[int]:
+        row, best = [0], 0
+        for j, b in enumerate(right):
+            score = self._score(a, b)
+            best = max(best, above[j + 1], above[j] + score if score else 0)
+            row.append(best)
+        return row
 
     def _pair(self, a: list, b: list) -> None:
         for x, y in self._matched(a[1], b[1]):
@@ -263,62 +265,35 @@ class Alignment:
                 self._pair(x, y)
 
     def _matched(self, left: list, right: list) -> list:
-        if len(left) * len(right) > CELLS:
-            return self._anchored(left, right)
-        table, out = self._table(left, right), []
-        i, j = len(left), len(right)
+        return [(left[i], right[j]) for i, j in self._places(left, right)]
+
+    def _places(self, left: list, right: list) -> list[tuple[int, int]]:
+        """Places of matched children, in order.
+
+        Of a large table every `step`th row is held, and the rows after it are made again
+        on the way back, so that the matches are those of the whole table.
+        """
+        step = len(left) + 1 if len(left) * len(right) <= CELLS else isqrt(len(left)) + 1
+        held, row = [], [0] * (len(right) + 1)
+        for i, a in enumerate(left):
+            if i % step == 0:
+                held.append(row)
+            row = self._row(a, right, row)
+        out, i, j = [], len(left), len(right)
         while i and j:
-            if table[i][j] == table[i - 1][j]:
-                i -= 1
-            elif table[i][j] == table[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                out.append((left[i], right[j]))
-        return out
-
-    def _text(self, child, texts: Sequence):
-        return texts[child] if isinstance(child, int) else (child[0], *(self._text(c, texts) for c in child[1]))
-
-    def _anchored(self, left: list, right: list) -> list:
-        """For very long lists: equal children that each list has once, in order; and
-        between two of them children of equal label one by one."""
-        seen: dict = {}
-        for side, children, texts in ((0, left, self.of_left), (1, right, self.of_right)):
-            for i, c in enumerate(children):
-                seen.setdefault(self._text(c, texts), ([], []))[side].append(i)
-        both = sorted((a[0], b[0]) for a, b in seen.values() if len(a) == len(b) == 1)
-        tails, links = [], []  # longest increasing run of places on the right
-        for k, (_, j) in enumerate(both):
-            at = bisect_left(_Places(tails, both), j)
-            links.append(tails[at - 1] if at else -1)
-            tails[at : at + 1] = [k]
-        run, k = [], tails[-1] if tails else -1
-        while k >= 0:
-            run.append(both[k])
-            k = links[k]
-        out, i, j = [], 0, 0
-        for x, y in [*reversed(run), (len(left), len(right))]:
-            out += [(a, b) for a, b in zip(left[i:x], right[j:y], strict=False) if self._label(a) == self._label(b)]
-            if x < len(left):
-                out.append((left[x], right[y]))
-            i, j = x + 1, y + 1
-        return out
-
-    @staticmethod
-    def _label(child):
-        return None if isinstance(child, int) else child[0]
-
-
-class _Places(Sequence):
-    def __init__(self, tails: list[int], both: list[tuple[int, int]]):
-        self.tails, self.both = tails, both
-
-    def __len__(self) -> int:
-        return len(self.tails)
-
-    def __getitem__(self, i):
-        return self.both[self.tails[i]][1]
+            low = (i - 1) // step * step
+            table = [held[low // step]]
+            for a in left[low:i]:
+                table.append(self._row(a, right, table[-1]))
+            while i > low and j:
+                if table[i - low][j] == table[i - low - 1][j]:
+                    i -= 1
+                elif table[i - low][j] == table[i - low][j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    out.append((i, j))
+        return out[::-1]
 
 
 # -- templates ---------------------------------------------------------------------
