@@ -107,6 +107,12 @@ def test_copies_alone_are_no_template(frame):
     assert {r.text for r in got} == {"the same article"} and len(got) == 50
 
 
+def test_copies_in_many_partitions_are_no_template(frame):
+    rows = [(i, "http://a/x", "<p>the same article</p>") for i in range(64)] + [(99, "http://a/y", "<p>another</p>")]
+    pages = frame(rows, "page_id long, url string, html string").repartition(8)
+    assert {r.text for r in extract_text(pages).collect()} == {"the same article", "another"}
+
+
 def test_references_merge_in_any_order():
     pages = [Page(site(i)[2]) for i in range(9)]
     singles = [lambda p=p: Reference(p.tree, [mark_of(b) for b in p.blocks]) for p in pages]

@@ -330,8 +330,23 @@ class Reference:
         return json.dumps([tree, [self.marks[i] for i in kept]], separators=(",", ":"))
 
 
+def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tree and marks of pages with blocks, and a digest of their blocks."""
+    for batch in batches:
+        made: dict[tuple, str] = {}
+        for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+            page = Page(source or "")
+            marks = [mark_of(b) for b in page.blocks]
+            if marks:
+                key = (host, hashlib.blake2b(json.dumps(marks).encode(), digest_size=16).digest())
+                outline = json.dumps([page.tree, marks], separators=(",", ":"))
+                made[key] = min(outline, made.get(key, outline))
+        rows = [pa.array([h for h, _ in made], pa.string()), pa.array([d for _, d in made], pa.binary())]
+        yield pa.RecordBatch.from_arrays([*rows, pa.array(made.values(), pa.string())], ["host", "digest", "page"])
+
+
 def _references(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One reference per host and task. Pages equal in all blocks count once per batch."""
+    """One reference per host and task."""
     held: dict[str, Reference] = {}
 
     def out() -> pa.RecordBatch:
@@ -340,15 +355,8 @@ def _references(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(r, pa.string()) for r in rows], ["host", "reference"])
 
     for batch in batches:
-        seen = set()
-        for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            page = Page(source or "")
-            marks = [mark_of(b) for b in page.blocks]
-            key = (host, tuple(marks))
-            if not marks or key in seen:
-                continue
-            seen.add(key)
-            single = Reference(page.tree, marks)
+        for host, page in zip(batch.column("host").to_pylist(), batch.column("page").to_pylist(), strict=True):
+            single = Reference(*json.loads(page))
             if host in held:
                 held[host].add(single)
             else:
@@ -380,7 +388,10 @@ def learn_templates(
 ) -> DataFrame:
     """`host` and `template` (a tree as JSON) of the hosts that have template nodes."""
     given = pages.select(host_of(F.col(url)).alias("host"), F.col(source).alias("html")).filter("host <> ''")
-    made = given.mapInArrow(_references, "host string, reference string")
+    # pages of a host that are equal in all blocks are one page, in the whole table
+    outlines = given.mapInArrow(_outlines, "host string, digest binary, page string")
+    once = outlines.groupBy("host", "digest").agg(F.min("page").alias("page"))
+    made = once.select("host", "page").mapInArrow(_references, "host string, reference string")
 
     def together(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"host": [rows["host"].iloc[0]], "reference": [_merge(rows).dump()]})
