@@ -113,6 +113,19 @@ def test_copies_in_many_partitions_are_no_template(frame):
     assert {r.text for r in extract_text(pages).collect()} == {"the same article", "another"}
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+@pytest.mark.parametrize("first", [True, False])
+def test_an_odd_page_changes_no_template(frame, first, parts):
+    odd = (99, "http://a.example/odd", "<ul><li>not found</li></ul><p>try again</p>")
+    rows = [odd, *map(site, range(9))] if first else [*map(site, range(9)), odd]
+    pages = frame(rows, "page_id long, url string, html string").repartition(parts) if parts > 1 else frame(
+        rows, "page_id long, url string, html string"
+    ).coalesce(1)
+    got = {r.page_id: r.text for r in extract_text(pages).collect()}
+    assert got.pop(99) == "not found\ntry again"
+    assert got == {i: "\n".join(f"text {i} {k}" for k in range(i % 4 + 1)) for i in range(9)}
+
+
 def test_references_merge_in_any_order():
     pages = [Page(site(i)[2]) for i in range(9)]
     singles = [lambda p=p: Reference(p.tree, [mark_of(b) for b in p.blocks]) for p in pages]

@@ -1,13 +1,14 @@
 """Main text of pages, with templates learnt per host by aligning DOM trees.
 
 Pages become trees of their block elements, menus, headers, footers, sidebars, notices,
-adverts, forms, scripts and reader comments left out. Pages of a host are aligned with a
-reference page by simple tree matching. A text node that says the same on nearly all
-pages is template; nodes whose text varies are slots, and their texts are content.
-
-References are made per task and merged per host by the same matching, so a host of any
-number of pages is reduced before the shuffle. What is learnt of a host is the tree of
-its template nodes alone.
+adverts, forms, scripts and reader comments left out. A text node that says the same on
+nearly all different pages of a host is template; the others' texts are content.
+
+Such a node has the same text under the same elements on nearly all pages, which is
+counted first. Pages are reduced to the blocks that this leaves, equal ones of a host to
+one with its number, and these few are laid on each other by simple tree matching, the
+most frequent first, nodes that only some have kept. So neither the order of pages nor
+their partitions matter. What is learnt of a host is the tree of its template nodes alone.
 """
 
 from __future__ import annotations
@@ -25,15 +26,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import extended, scratch
+from tidemark.llm.common import Scratch, extended, scratch
 
 LEAST_PAGES = 5     # compared pages before a node can be template
 CONSTANT = 0.8      # share of them on which it must say the same
 DEEPEST = 40        # levels of the trees; what lies deeper hangs on the last
 EQUAL = 4           # weight of blocks with equal text in an alignment
 CELLS = 40_000      # of an alignment table held whole; of larger ones some rows are held, the rest made again
-HOSTS_HELD = 2_000  # references a task keeps before it hands them on
-MERGE_PARTS = 16    # of a host's references in the first round of merging
+HOSTS_HELD = 2_000  # templates that a task keeps read
+REDUCED_HELD = 20_000  # reduced pages that a task counts before it hands them on
 
 # Elements of HTML by their part in a page.
 BLOCKS = set(
@@ -226,16 +227,18 @@ class Alignment:
 
     Nodes match if their labels do. Children are matched in order, so that the number
     of matched nodes is largest, where a block of equal text counts as `EQUAL` nodes.
+    With `equal`, blocks match only if they are equal, and nodes only if some of their blocks do.
     """
 
-    def __init__(self, left: list, right: list, of_left: Sequence, of_right: Sequence):
+    def __init__(self, left: list, right: list, of_left: Sequence, of_right: Sequence, equal: bool = False):
         self.of_left, self.of_right, self.known, self.pairs = of_left, of_right, {}, []
+        self.equal = equal
         self._pair(left, right)
 
     def _score(self, a, b) -> int:
         if isinstance(a, int) or isinstance(b, int):
             if isinstance(a, int) and isinstance(b, int):
-                return EQUAL if self.of_left[a] == self.of_right[b] else 1
+                return EQUAL if self.of_left[a] == self.of_right[b] else 0 if self.equal else 1
             return 0
         if a[0] != b[0]:
             return 0
@@ -244,7 +247,7 @@ class Alignment:
             row = [0] * (len(b[1]) + 1)
             for x in a[1]:
                 row = self._row(x, b[1], row)
-            found = 1 + row[-1]
+            found = 1 + row[-1] if row[-1] or not self.equal else 0
             if len(self.known) < CELLS:
                 self.known[key] = found
         return found
@@ -302,16 +305,37 @@ class Reference:
     """A page's tree and, for each block, on how many pages it was looked for and the same."""
 
     def __init__(self, tree: list, marks: list[int], same: list[int] | None = None, pages: int = 1):
-        self.tree, self.marks, self.pages = tree, marks, pages
-        self.same = same or [1] * len(marks)
+        self.tree, self.marks, self.pages = tree, list(marks), pages
+        self.same = list(same) if same else [1] * len(marks)
 
     def add(self, other: Reference) -> None:
-        """Another reference, or one page, laid on this one."""
-        for i, j in Alignment(self.tree, other.tree, self.marks, other.marks).pairs:
-            if self.marks[i] == other.marks[j]:
-                self.same[i] += other.same[j]
+        """Another reference, or one page, laid on this one; what only one of them has is kept."""
+        align = Alignment(self.tree, other.tree, self.marks, other.marks, equal=True)
+        self.tree = self._joined(self.tree, other.tree, other, align)
         self.pages += other.pages
 
+    def _joined(self, a: list, b: list, other: Reference, align: Alignment) -> list:
+        out, i, j = [], 0, 0
+        for x, y in [*align._places(a[1], b[1]), (len(a[1]), len(b[1]))]:
+            out += a[1][i:x]
+            out += [self._taken(c, other) for c in b[1][j:y]]
+            if x < len(a[1]):
+                one, same = a[1][x], b[1][y]
+                if isinstance(one, int):
+                    self.same[one] += other.same[same]
+                    out.append(one)
+                else:
+                    out.append(self._joined(one, same, other, align))
+            i, j = x + 1, y + 1
+        return [a[0], out]
+
+    def _taken(self, child, other: Reference):
+        if not isinstance(child, int):
+            return [child[0], [self._taken(c, other) for c in child[1]]]
+        self.marks.append(other.marks[child])
+        self.same.append(other.same[child])
+        return len(self.marks) - 1
+
     def dump(self) -> str:
         return json.dumps([self.tree, self.marks, self.same, self.pages], separators=(",", ":"))
 
@@ -330,50 +354,72 @@ class Reference:
         return json.dumps([tree, [self.marks[i] for i in kept]], separators=(",", ":"))
 
 
+def _keys(node: list, blocks: list[str], path: str = "") -> Iterator[tuple[int, int]]:
+    """Numbers of blocks with a hash of the text and the elements around it."""
+    for child in node[1]:
+        if isinstance(child, int):
+            yield child, mark_of(f"{path}\0{blocks[child]}")
+        else:
+            yield from _keys(child, blocks, f"{path}/{child[0]}")
+
+
 def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tree and marks of pages with blocks, and a digest of their blocks."""
+    """Tree, marks and keys of pages with blocks, and a digest of their blocks."""
     for batch in batches:
-        made: dict[tuple, str] = {}
+        made: dict[tuple, tuple[str, list[int]]] = {}
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = Page(source or "")
             marks = [mark_of(b) for b in page.blocks]
             if marks:
                 key = (host, hashlib.blake2b(json.dumps(marks).encode(), digest_size=16).digest())
                 outline = json.dumps([page.tree, marks], separators=(",", ":"))
-                made[key] = min(outline, made.get(key, outline))
-        rows = [pa.array([h for h, _ in made], pa.string()), pa.array([d for _, d in made], pa.binary())]
-        yield pa.RecordBatch.from_arrays([*rows, pa.array(made.values(), pa.string())], ["host", "digest", "page"])
+                keys = [k for _, k in sorted(_keys(page.tree, page.blocks))]
+                made[key] = min((outline, keys), made.get(key, (outline, keys)))
+        rows = [
+            pa.array([h for h, _ in made], pa.string()), pa.array([d for _, d in made], pa.binary()),
+            pa.array([p for p, _ in made.values()], pa.string()),
+            pa.array([k for _, k in made.values()], pa.list_(pa.int64())),
+        ]
+        yield pa.RecordBatch.from_arrays(rows, ["host", "digest", "page", "keys"])
 
 
-def _references(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One reference per host and task."""
-    held: dict[str, Reference] = {}
+def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages reduced to the blocks of wanted keys, equal ones of a host counted."""
+    held: dict[tuple, int] = {}
 
     def out() -> pa.RecordBatch:
-        rows = [list(held), [r.dump() for r in held.values()]]
+        rows = [pa.array([k[i] for k in held], t) for i, t in enumerate((pa.string(), pa.int64(), pa.string()))]
+        rows.append(pa.array(held.values(), pa.int64()))
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(r, pa.string()) for r in rows], ["host", "reference"])
+        return pa.RecordBatch.from_arrays(rows, ["host", "pages", "page", "n"])
 
     for batch in batches:
-        for host, page in zip(batch.column("host").to_pylist(), batch.column("page").to_pylist(), strict=True):
-            single = Reference(*json.loads(page))
-            if host in held:
-                held[host].add(single)
-            else:
-                if len(held) >= HOSTS_HELD:
-                    yield out()
-                held[host] = single
-    if held:
-        yield out()
+        columns = (batch.column(c).to_pylist() for c in ("host", "pages", "page", "keys", "wanted"))
+        for host, pages, page, keys, wanted in zip(*columns, strict=True):
+            tree, marks = json.loads(page)
+            among = set(wanted)
+            kept = [i for i, k in enumerate(keys) if k in among]
+            if kept:
+                small = [_renumbered(tree, {i: k for k, i in enumerate(kept)}), [marks[i] for i in kept]]
+                key = (host, pages, json.dumps(small, separators=(",", ":")))
+                held[key] = held.get(key, 0) + 1
+        if len(held) >= REDUCED_HELD:
+            yield out()
+    yield out()
 
 
 def _merge(rows: pd.DataFrame) -> Reference:
-    found = [Reference.load(r) for r in rows["reference"]]
-    found.sort(key=lambda r: (-sum(r.same) / max(1, len(r.same)), r.dump()))
-    first = found[0]
-    for other in found[1:]:
-        first.add(other)
-    return first
+    """All reduced pages of a host on the most frequent one."""
+    whole = None
+    for n, page in sorted(zip(rows["n"].tolist(), rows["page"], strict=True), key=lambda r: (-r[0], r[1])):
+        tree, marks = json.loads(page)
+        one = Reference(tree, marks, [n] * len(marks), n)
+        if whole is None:
+            whole = one
+        else:
+            whole.add(one)
+    whole.pages = int(rows["pages"].iloc[0])  # also those without any of the blocks
+    return whole
 
 
 def host_of(url: Column) -> Column:
@@ -388,26 +434,36 @@ def learn_templates(
 ) -> DataFrame:
     """`host` and `template` (a tree as JSON) of the hosts that have template nodes."""
     given = pages.select(host_of(F.col(url)).alias("host"), F.col(source).alias("html")).filter("host <> ''")
-    # pages of a host that are equal in all blocks are one page, in the whole table
-    outlines = given.mapInArrow(_outlines, "host string, digest binary, page string")
-    once = outlines.groupBy("host", "digest").agg(F.min("page").alias("page"))
-    made = once.select("host", "page").mapInArrow(_references, "host string, reference string")
-
-    def together(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "reference": [_merge(rows).dump()]})
 
     def finished(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"host": [rows["host"].iloc[0]], "template": [_merge(rows).template(least_pages, constant)]})
 
-    part = F.pmod(F.xxhash64("reference"), F.lit(MERGE_PARTS)).alias("part")
-    return (
-        made.select("host", "reference", part)
-        .groupBy("host", "part")
-        .applyInPandas(lambda rows: together(rows), "host string, reference string")
-        .groupBy("host")
-        .applyInPandas(lambda rows: finished(rows), "host string, template string")
-        .filter("template is not null")
-    )
+    with Scratch(pages.sparkSession, "outlines") as space:
+        # pages of a host that are equal in all blocks are one page, in the whole table
+        outlines = given.mapInArrow(_outlines, "host string, digest binary, page string, keys array<long>")
+        once = outlines.groupBy("host", "digest").agg(F.min(F.struct("page", "keys")).alias("one"))
+        once = space.table(once.select("host", "one.page", "one.keys"))
+        hosts = space.table(
+            once.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= least_pages)
+        )
+        often = (
+            once.select("host", F.explode(F.array_distinct("keys")).alias("key"))
+            .groupBy("host", "key").agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") >= F.lit(constant * least_pages))
+        )
+        wanted = space.table(
+            often.join(hosts, F.col("host") == F.col("of"))
+            .filter(F.col("n") >= F.lit(constant) * F.col("pages"))
+            .groupBy("of", "pages").agg(F.collect_list("key").alias("wanted"))
+        )
+        reduced = (
+            once.join(wanted, F.col("host") == F.col("of"))
+            .select("host", "pages", "page", "keys", "wanted")
+            .mapInArrow(_reduced, "host string, pages long, page string, n long")
+            .groupBy("host", "pages", "page").agg(F.sum("n").alias("n"))
+        )
+        learnt = reduced.groupBy("host").applyInPandas(lambda rows: finished(rows), "host string, template string")
+        return space.result(learnt.filter("template is not null"))
 
 
 def main_text(source: str, template: tuple[list, list[int]] | None) -> str:
