@@ -118,6 +118,15 @@ def test_short_empty_null_and_repeated(frame):
     assert got[1].n_copies == 2 and got[1].n_links == 1 and got[6].n_links == 0
 
 
+def test_equal_texts_without_words_are_copies(frame):
+    rows = [(1, "..."), (2, "..."), (3, "!"), (4, ""), (5, ""), (6, None), (7, None), (8, "...")]
+    got = {r.doc_id: r for r in near_duplicates(frame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].class_id for i in range(1, 9)] == [1, 1, 3, 4, 4, 6, 7, 1]
+    assert [got[i].kept for i in range(1, 9)] == [True, False, True, True, False, True, True, False]
+    assert [got[i].n_copies for i in range(1, 9)] == [3, 3, 1, 2, 2, 1, 1, 3]
+    assert {r.n_links for r in got.values()} == {0}
+
+
 def test_null_and_repeated_ids_clashing_names_and_empty_table(frame):
     rows = [(None, "a b c d e f g", "x"), (5, "a b c d e f g", "y"), (5, "a b c d e f g", "y"), (None, "only null id here", "z")]
     docs = frame(rows, "doc_id long, text string, kept string")

@@ -129,7 +129,7 @@ def _signatures(n: int, bands: int, rows: int):
             found, sizes, said = [], [], []
             for raw in batch.column("raw").to_pylist():
                 words = words_of(raw)
-                sizes.append(max(1, len(words) - n + 1) if words else 0)
+                sizes.append(None if raw is None else max(1, len(words) - n + 1) if words else 0)
                 found.append(hasher.band_hashes(words) if words else None)
                 said.append(hashlib.md5(b" ".join(words), usedforsecurity=False).digest())
             empty = np.zeros(0, np.int64)
@@ -303,8 +303,8 @@ def near_duplicates(
     texts are one. Words are runs of ASCII digits and letters, without case, and code
     points beyond ASCII; a text of fewer than `n` words is one sequence.
 
-    Null texts and texts without words are linked to nothing: each is its own class,
-    except that equal ones with an equal id share `kept`. Rows with null ids are members
+    Texts without words are linked to nothing, so only equal ones share a class. Each null
+    text is its own class, except that those with an equal id share `kept`. Rows with null ids are members
     like others, but name a class only if it has no other id. An empty table gives no
     rows; other columns are ignored.
     """
@@ -322,7 +322,7 @@ def near_duplicates(
         )
         first_id = F.min(F.struct(F.col("id").isNull().alias("none"), "id"))
         nodes = space.table(
-            members.filter("grams > 0")
+            members.filter("grams is not null")
             .groupBy("key")
             .agg(
                 first_id.alias("low"), F.count(F.lit(1)).alias("n_copies"),
@@ -463,7 +463,7 @@ def _described(members, nodes, degree, classes, doc_id: str) -> DataFrame:
             F.col("first.low.id").alias("class_id"), F.col("first.key").alias("first_key"),
         )
     )
-    alone = F.col("grams") == 0
+    alone = F.col("grams").isNull()
     row = members.join(info, F.col("key").eqNullSafe(F.col("of")), "left")
     kept = alone | ((F.col("key") == F.col("first_key")) & F.col("id").eqNullSafe(F.col("class_id")))
     return row.select(
@@ -471,8 +471,8 @@ def _described(members, nodes, degree, classes, doc_id: str) -> DataFrame:
         F.lower(F.hex("key")).alias("text_md5"),
         F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         kept.alias("kept"),
-        F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.when(alone, F.lit(1)).otherwise(F.col("n_copies")).alias("n_copies"),
+        F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
     )
 
 
