@@ -1,0 +1,105 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tidemark.llm.elias_fano import STEP, EliasFano
+from tidemark.llm.queries import QUERIES
+from tidemark.llm.token_files import RunEncoder, TokenShard, pack_shard, read_token_files, write_token_files
+
+MODEL = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(MODEL)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 3000) | st.integers(0, 1 << 40), max_size=700), st.data())
+def test_numbers_by_index(values, data):
+    values.sort()
+    packed, end = EliasFano.read(b"xx" + EliasFano.of(values).to_bytes() + b"tail", 2)
+    assert end == len(EliasFano.of(values).to_bytes()) + 2
+    assert packed.select(0).tolist() == values
+    if values:
+        a = data.draw(st.integers(0, len(values) - 1))
+        b = data.draw(st.integers(a, len(values)))
+        assert packed.select(a, b).tolist() == values[a:b] and packed[a] == values[a]
+        assert packed.find(values[a]) == values.index(values[a])
+        assert packed.find(values[-1] + 1) == len(values)
+
+
+def test_space_of_numbers():
+    rng = np.random.default_rng(3)
+    values = np.sort(rng.integers(0, 1 << 30, 20_000))
+    packed = EliasFano.of(values)
+    bits = 8 * len(packed.to_bytes()) / len(values)
+    assert bits < 2 + np.log2((1 << 30) / 20_000) + 32 / STEP + 1.1
+    assert packed.select(0).tolist() == values.tolist()
+    with pytest.raises(ValueError):
+        EliasFano.of([3, 2])
+
+
+def test_one_document_of_a_shard():
+    parts = [np.array(p, "<u2").tobytes() for p in ([1, 2], [2], [5, 6, 7, 2], [9, 2], [2])]
+    shard = TokenShard(pack_shard([None, -4, 3, 3, 90], parts, 2) + b"\n")
+    assert [shard.document(i).tolist() for i in range(5)] == [[1, 2], [2], [5, 6, 7, 2], [9, 2], [2]]
+    assert [list(shard.places(d)) for d in (-5, -4, 3, 4, 90, 91)] == [[], [1], [2, 3], [], [4], []]
+    assert [n for names, _ in shard.blocks(2) for n in names] == [None, -4, 3, 3, 90]
+    assert len(TokenShard(pack_shard([], [], 2))) == 0
+
+
+def test_runs_equal_whole_texts(library, documents):
+    tool = RunEncoder(MODEL)
+    odd = [
+        "a<|endoftext|>b <|startoftext|> <|end", "Don't  WE'LL\r\n\tx\x0by\x0cz", "é ́x ΌΣΟΣ Σ İ", "x y    z\u0085",
+        "中文 字😀😀", "q" * 500, "\x00 \x1c\x1f", " ", "",
+    ]
+    for text in [r.text or "" for r in documents.collect()] + odd:
+        assert np.frombuffer(tool.encode(text), tool.type).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def expected(library, rows):
+    out, start = [], 0
+    for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        out.append((doc, start, len(ids), zlib.crc32(ids)))
+        start += len(ids)
+    return out
+
+
+def test_files_and_back(frame, library, tmp_path, spark):
+    rng = random.Random(1)
+    rows = [(i * 7 - 40, " ".join(rng.choices(["red", "Blue", "x<|endoftext|>"], k=rng.randint(0, 60)))) for i in range(300)]
+    rows += [(10**12, "long " * 30_000), (10**12 + 1, None), (10**12 + 2, "")]
+    docs = frame(rows, "doc_id long, body string").selectExpr("*", "1 as shard", "2 as name", "3 as n_ids").repartition(5)
+    path = str(tmp_path / "files")
+    write_token_files(docs, path, MODEL, 2, text="body", shard_bytes=2_000)
+    found = sorted(tuple(r) for r in read_token_files(spark, path).collect())
+    assert found == sorted(expected(library, rows))
+    whole = read_token_files(spark, path, tokens=True).filter("doc_id = -40").first()
+    assert whole.tokens == [*library.encode(rows[0][1], add_special_tokens=False).ids, 2]
+    assert spark.read.format("binaryFile").load(path).count() > 10  # many files
+
+
+def test_repeated_null_and_no_rows(frame, library, tmp_path, spark):
+    rows = [(5, "b"), (None, "c d"), (5, "b"), (5, "a a"), (None, None)]
+    write_token_files(frame(rows, "doc_id long, text string"), str(tmp_path / "a"), MODEL, 2)
+    found = read_token_files(spark, str(tmp_path / "a")).collect()
+    assert sorted(r.n_tokens for r in found) == [1, 2, 2, 3, 3]
+    assert sorted((r.start, r.n_tokens) for r in found if r.doc_id is None)[0][0] == 0
+    assert [r.start + r.n_tokens for r in sorted(found, key=lambda r: r.start)] == sorted(r.start for r in found)[1:] + [11]
+    write_token_files(frame([], "doc_id long, text string"), str(tmp_path / "b"), MODEL, 2)
+    assert read_token_files(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_query(spark, small, documents, library):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    found = QUERIES["op13_token_files"](spark, small).collect()
+    assert sorted(tuple(r) for r in found) == sorted(expected(library, rows))

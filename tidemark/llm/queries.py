@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    chat, decontamination, html_text, licenses, mixing, ngram_join, quality, sharding, tokens, warc,
+    chat, decontamination, html_text, licenses, mixing, ngram_join, quality, sharding, token_files, tokens, warc,
 )
-from tidemark.llm.common import scratch
+from tidemark.llm.common import Scratch, scratch
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 
 TOKEN_MODEL = "piece_bpe_32k.model"
+FILE_MODEL = "word_bpe_49k.json"
+END_ID = 2
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -122,10 +124,22 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents written to binary files, and read back from them."""
+    import public_tokenizers
+
+    with Scratch(spark, "token-files") as kept:
+        path = f"{kept.path}/files"
+        token_files.write_token_files(
+            _read(spark, sf_dir, "documents"), path, public_tokenizers.path(FILE_MODEL), END_ID
+        )
+        return kept.result(token_files.read_token_files(spark, path))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_decontamination, op2_quality_rules, op3_token_counts, op4_warc, op5_sharding,
-        op6_ngram_join, op7_mixing, op8_chat, op9_html_text, op10_licenses,
+        op6_ngram_join, op7_mixing, op8_chat, op9_html_text, op10_licenses, op13_token_files,
     )
 }
