@@ -36,6 +36,14 @@ def whitespace_words(text: Column) -> Column:
     )
 
 
+def own(df: DataFrame, name: str) -> str:
+    """A column name like `name` that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder in the shared checkpoint folder."""
     ensure_checkpoint_dir(spark)

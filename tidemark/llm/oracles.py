@@ -1,6 +1,6 @@
 """The queries' results in DuckDB SQL, where SQL can express them.
 
-Left out: token counts (a tokenizer's merges), the n-gram join (banded hashing), HTML
+Left out: token counts, token files and the alignment of tokens (a tokenizer's merges), the n-gram join (banded hashing), HTML
 extraction (parsing), licence scans (windows of text against sparse vectors) and sharding
 (a search over greedy fills). tests/llm compares those with plain versions.
 """
@@ -175,3 +175,32 @@ select conv_id, count(*)::bigint as n_turns,
                   + {len(NEW_LINE) - 1} * (length(role) - length(replace(role, chr(10), ''))) else 0 end
            + case when closes then {len(STOP) + 1} else {len(SEP)} end)::bigint as formatted_chars
 from framed group by conv_id"""
+
+_DRAWN = "cast('0x' || substr(sha256('7:' || cast(doc_id as varchar)), {0}, 8) as ubigint)"
+ORACLES["op12_fim"] = rf"""
+with docs as (
+  select doc_id, coalesce(text, '') as body,
+         case when coalesce(text, '') = '' then [] else regexp_extract_all(text, '[^\n]*\n|[^\n]+') end as lines,
+         {_DRAWN.format(1)} as h1, {_DRAWN.format(9)} as h2, {_DRAWN.format(17)} as h3, {_DRAWN.format(25)} as h4
+  from documents
+),
+cuts as (
+  select *, len(lines)::bigint as n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1))::bigint as a,
+         greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1))::bigint as b,
+         case when body = '' or regexp_matches(body, '<[PSM]>') or h3 % 100 >= 100 then 'plain'
+              when h4 % 100 < 50 then 'spm' else 'psm' end as form
+  from docs
+),
+parts as (
+  select *, array_to_string(lines[1:a], '') as prefix, array_to_string(lines[a + 1:b], '') as middle,
+         array_to_string(lines[b + 1:], '') as suffix
+  from cuts
+)
+select doc_id, n, form,
+       case when form <> 'plain' then length(prefix)::bigint end as prefix_chars,
+       case when form <> 'plain' then length(middle)::bigint end as middle_chars,
+       sha256(case form when 'plain' then body
+                        when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(body) as restored_sha256
+from parts"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    chat, decontamination, html_text, licenses, mixing, ngram_join, quality, sharding, token_files, tokens, warc,
+    chat, decontamination, fim, html_text, licenses, mixing, ngram_join, quality, sharding, token_files, tokens, warc,
 )
 from tidemark.llm.common import Scratch, scratch
 from tidemark.llm.oracles import ORACLES  # noqa: F401
@@ -124,6 +124,16 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents rearranged for filling in the middle, and restored from that."""
+    made = fim.fim_documents(_read(spark, sf_dir, "documents"), carry=["doc_id"])
+    return fim.restore_documents(made).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("fim_text", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents written to binary files, and read back from them."""
     import public_tokenizers
@@ -140,6 +150,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_decontamination, op2_quality_rules, op3_token_counts, op4_warc, op5_sharding,
-        op6_ngram_join, op7_mixing, op8_chat, op9_html_text, op10_licenses, op13_token_files,
+        op6_ngram_join, op7_mixing, op8_chat, op9_html_text, op10_licenses, op12_fim,
+        op13_token_files,
     )
 }
