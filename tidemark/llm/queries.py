@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    chat, decontamination, fim, html_text, licenses, mixing, ngram_join, quality, sharding, token_files, tokens, warc,
+    alignment, chat, decontamination, fim, html_text, licenses, mixing, ngram_join, quality, sharding, token_files, tokens, warc,
 )
 from tidemark.llm.common import Scratch, scratch
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 
 TOKEN_MODEL = "piece_bpe_32k.model"
+BYTE_MODEL = "byte_bpe_50k.json"
 FILE_MODEL = "word_bpe_49k.json"
 END_ID = 2
 
@@ -124,6 +125,16 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers, and how common they are."""
+    import public_tokenizers
+
+    return alignment.align_tokens(
+        _read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_MODEL),
+        public_tokenizers.path(TOKEN_MODEL), carry=["doc_id"],
+    )
+
+
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents rearranged for filling in the middle, and restored from that."""
     made = fim.fim_documents(_read(spark, sf_dir, "documents"), carry=["doc_id"])
@@ -150,7 +161,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_decontamination, op2_quality_rules, op3_token_counts, op4_warc, op5_sharding,
-        op6_ngram_join, op7_mixing, op8_chat, op9_html_text, op10_licenses, op12_fim,
+        op6_ngram_join, op7_mixing, op8_chat, op9_html_text, op10_licenses, op11_alignment, op12_fim,
         op13_token_files,
     )
 }
