@@ -2,15 +2,17 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from tidemark.llm.alignment import align_tokens, pack, unpack
 from tidemark.llm.fragments import (
-    B_BITS, EMPTY, Fragment, Token, TwoTokenizers, byte_alphabet, byte_ranges, compose, compose_all, fragment, groups_of,
-    linked,
+    B_BITS, EMPTY, WHITE, Fragment, Tokens, TwoTokenizers, Writer, byte_alphabet, byte_ranges, compose, compose_all,
+    groups_of, linked, read_groups,
 )
 from tidemark.llm.queries import QUERIES
 
@@ -27,13 +29,20 @@ def both():
     return TwoTokenizers(A, B)
 
 
-def plain_groups(both, text):
-    """Groups by encoding the whole text at once."""
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(A)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def plain_groups(both, library, text):
+    """Groups by encoding the whole text with the libraries of the files."""
     if not text:
         return None
     rows = []
     for ids, spelt in (
-        (both.a.encode(" " + text, add_special_tokens=False).ids, both.a_bytes),
+        (library.encode(" " + text, add_special_tokens=False).ids, both.a_bytes),
         (both.b.encode(text, num_threads=1), both.b_bytes),
     ):
         if b"".join(spelt[i] for i in ids) != (" " + text).encode():
@@ -43,11 +52,13 @@ def plain_groups(both, text):
             end += len(spelt[i])
             row.append((i, end))
         rows.append(row)
-    ends = sorted({e for _, e in rows[0]} & {e for _, e in rows[1]})
-    out, last = [], 0
-    for end in ends:
-        out.append(tuple([i for i, e in row if last < e <= end] for row in rows))
-        last = end
+    common = {e for _, e in rows[0]} & {e for _, e in rows[1]}
+    out = [([], []) for _ in common]
+    for side, row in enumerate(rows):
+        at = 0
+        for i, e in row:
+            out[at][side].append(i)
+            at += e in common
     return out
 
 
@@ -55,8 +66,8 @@ def written(groups):
     return ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
 
 
-def plain_result(both, texts):
-    found = [plain_groups(both, t or "") for t in texts]
+def plain_result(both, library, texts):
+    found = [plain_groups(both, library, t or "") for t in texts]
     links = [Counter((x, y) for a, b in g or [] for x in a for y in b) for g in found]
     count = Counter(p for held in links for p in held)
     best = {}
@@ -72,21 +83,29 @@ def plain_result(both, texts):
     ]
 
 
-def test_words_equal_whole_texts(both, documents):
+def test_whole_texts(both, library, documents):
     for text in [r.text or "" for r in documents.collect()] + ODD:
-        expected = plain_groups(both, text)
+        expected = plain_groups(both, library, text)
         found = both.text(text)
         assert (found is None) == (expected is None), repr(text)
         if found:
-            assert found[0] == written(expected), repr(text)
-            assert found[1] == linked(found[0])
+            assert found[0].decode() == written(expected), repr(text)
+
+
+def test_every_character(both, library):
+    """The quicker library and the file's own agree, whatever a character is next to."""
+    every = [chr(c) for c in (*range(0xD800), *range(0xE000, 0x20000), *range(0xE0000, 0xE0200))]
+    for i in range(0, len(every), 4096):
+        text = "".join(f"a{c}1{c}!{c} {c}{c}\n" for c in every[i : i + 4096])
+        assert both.encode_a(text) == library.encode(text, add_special_tokens=False).ids
+    assert all(c.isspace() for c in WHITE)
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="ab;!'s1 \t\n\r\x0b\x85\xa0 　é中▁<>", max_size=40))
-def test_any_text(both, text):
-    expected, found = plain_groups(both, text), both.text(text)
-    assert (found and found[0]) == (expected and written(expected))
+def test_any_text(both, library, text):
+    expected, found = plain_groups(both, library, text), both.text(text)
+    assert (found and found[0].decode()) == (expected and written(expected))
 
 
 ENDS = st.lists(st.integers(1, 40), unique=True, max_size=25).map(sorted)
@@ -95,52 +114,56 @@ ENDS = st.lists(st.integers(1, 40), unique=True, max_size=25).map(sorted)
 @settings(max_examples=200, deadline=None)
 @given(ENDS, ENDS, st.lists(st.integers(0, 41), max_size=6), st.randoms())
 def test_fragments_compose_in_any_order(a, b, cuts, rng):
-    a = [Token(rng.randint(0, 5), e) for e in [*a, 41]]
-    b = [Token(rng.randint(0, 5), e) for e in [*b, 41]]
-    whole = fragment(a, b)
+    write = Writer(10).fragment
+    a, b = (Tokens(np.array([rng.randint(0, 5) for _ in e] + [9]), np.array([*e, 41])) for e in (a, b))
+    whole = write(a, b)
     cuts = [0, *sorted(cuts), 41]
-    row = [
-        fragment([t for t in a if x < t.end <= y], [t for t in b if x < t.end <= y]) for x, y in zip(cuts, cuts[1:], strict=False)
-    ]
+    row = [write(a.within(x, y), b.within(x, y)) for x, y in zip(cuts, cuts[1:], strict=False)]
     assert compose_all(row) == whole
     assert all(compose(EMPTY, f) == f == compose(f, EMPTY) for f in row)
     while len(row) > 1:
         i = rng.randrange(len(row) - 1)
         row[i : i + 2] = [compose(row[i], row[i + 1])]
     assert row[0] == whole
-    assert groups_of(whole).count(";") + 1 == len({t.end for t in a} & {t.end for t in b})
+    assert groups_of(whole).count(";") + 1 == len(set(a.ends) & set(b.ends))
 
 
 def test_open_parts():
-    left = fragment([Token(1, 2)], [Token(7, 1)])
-    right = fragment([Token(2, 6)], [Token(8, 4), Token(9, 6)])
+    def write(a, b):
+        return Writer(10).fragment(*(Tokens(np.array([i for i, _ in t]), np.array([e for _, e in t])) for t in (a, b)))
+
+    left, right = write([(1, 2)], [(7, 1)]), write([(2, 6)], [(8, 4), (9, 6)])
     assert left == Fragment("1|7", None, "") and compose(left, right) == Fragment("1,2|7,8,9", "", "|")
     with pytest.raises(ValueError):
         groups_of(left)
 
 
 @pytest.mark.parametrize("size", [1, 3, 7, 40, 1000])
-def test_ranges_inside_words(both, size):
+def test_ranges_inside_words(both, library, size):
     for text in ODD + [" ".join(ODD), "wordy unbelievably antidisestablishmentarianism. " * 9]:
-        whole = plain_groups(both, text)
+        whole = plain_groups(both, library, text)
         if whole is None:
             continue
         words = list(both.words_of(text))
         assert "".join(words) == " " + text
-        parts = [both.range_of(both.words.findall("".join(w)), a, b) for w, a, b in byte_ranges(words, size)]
+        parts = [both.range_of(*part) for part in byte_ranges(words, size)]
         assert groups_of(compose_all(parts)) == written(whole)
 
 
-def test_links_of_a_group():
-    found = linked("1,2,1|5,5;3|6")
-    assert found[:4] == (4, 3, 2, 7)
-    assert found.pairs == {1 << B_BITS | 5: 4, 2 << B_BITS | 5: 2, 3 << B_BITS | 6: 1}
-    codes, times = unpack(pack(found.pairs))
-    assert dict(zip(codes.tolist(), times.tolist(), strict=True)) == found.pairs
+@pytest.mark.parametrize("wide", [1, 5, 1 << 12])
+def test_links_of_groups(wide, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.fragments.WIDE", wide)
+    found = linked(read_groups("1,2,1|5,5;3|6;1|5"))
+    assert found[:4] == (5, 4, 3, 8)
+    pairs = dict(zip(found.codes.tolist(), found.times.tolist(), strict=True))
+    assert pairs == {1 << B_BITS | 5: 5, 2 << B_BITS | 5: 2, 3 << B_BITS | 6: 1}
+    codes, times = unpack(pack(found.codes, found.times))
+    assert codes.tolist() == sorted(pairs) and times.tolist() == [5, 2, 1]
+    assert linked(read_groups(""))[:4] == (0, 0, 0, 0)
     assert len(byte_alphabet()) == 256
 
 
-def test_rows(frame, both):
+def test_rows(frame, both, library):
     rng = random.Random(5)
     words = [w for t in ODD for w in t.split(" ")] + ["the", "cat", "sat", "Unbelievable"]
     texts = [*ODD, None, "the cat"] + [" ".join(rng.choices(words, k=rng.randint(1, 90))) for _ in range(80)]
@@ -151,14 +174,14 @@ def test_rows(frame, both):
     names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     by_id = {r.id: r for r in found}
     assert len(found) == len(texts) and all(r["_tm_row"] == r.id and r["row"] == 2 for r in found)
-    for i, expected in enumerate(plain_result(both, texts)):
+    for i, expected in enumerate(plain_result(both, library, texts)):
         assert tuple(by_id[i][c] for c in names) == expected, repr(texts[i])
     assert align_tokens(docs.limit(0), A, B).count() == 0
     assert [r.n_a for r in align_tokens(frame([(None,), ("",)], "text string"), A, B).collect()] == [0, 0]
 
 
-def test_query(spark, small, documents, both):
+def test_query(spark, small, documents, both, library):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
-    expected = {d: v for (d, _), v in zip(rows, plain_result(both, [t for _, t in rows]), strict=True)}
+    expected = {d: v for (d, _), v in zip(rows, plain_result(both, library, [t for _, t in rows]), strict=True)}
     found = {r.doc_id: tuple(r)[1:] for r in QUERIES["op11_alignment"](spark, small).collect()}
     assert found == expected

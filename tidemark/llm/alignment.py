@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import Scratch, extended, own
 from tidemark.llm.fragments import (
-    B_BITS, Fragment, Linked, TwoTokenizers, byte_ranges, compose_all, groups_of, linked,
+    B_BITS, UNLINKED, Fragment, Linked, TwoTokenizers, byte_ranges, compose_all, groups_of, linked, read_groups,
 )
 
 RANGE_BYTES = 1 << 15   # longer texts are cut into ranges of as much
@@ -51,16 +50,13 @@ def tool(path_a: str, path_b: str) -> TwoTokenizers:
     return _tools[path_a, path_b]
 
 
-def pack(pairs: dict[int, int]) -> bytes:
-    """Pairs in order, as differences, and their numbers."""
-    codes = np.fromiter(pairs, np.uint64, len(pairs))
-    order = np.argsort(codes)
-    times = np.fromiter(pairs.values(), np.uint64, len(pairs))[order]
-    return zlib.compress(np.concatenate([np.diff(codes[order], prepend=np.uint64(0)), times]).astype("<u8").tobytes(), 1)
+def pack(codes: np.ndarray, times: np.ndarray) -> bytes:
+    """Pairs in order, as differences, and a number for each."""
+    return zlib.compress(np.concatenate([np.diff(codes, prepend=0), times]).astype("<i8").tobytes(), 1)
 
 
 def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    both = np.frombuffer(zlib.decompress(data), "<u8").astype(np.int64)
+    both = np.frombuffer(zlib.decompress(data), "<i8")
     half = len(both) // 2
     return np.cumsum(both[:half]), both[half:]
 
@@ -76,7 +72,8 @@ class Batches:
 
     def __init__(self, kind: int, batch_bytes: int, carried: pa.DataType):
         self.base, self.kind, self.batch_bytes = TaskContext.get().partitionId() << 24, kind, batch_bytes
-        self.sequence, self.bytes, self.documents = 0, 0, Counter()
+        self.sequence, self.bytes = 0, 0
+        self.codes: list[np.ndarray] = []  # of the batch's documents, each code once a document
         self.rows: list[tuple] = []
         self.kept: list = []
         self.type = carried
@@ -85,20 +82,21 @@ class Batches:
     def batch(self) -> int:
         return (self.base + self.sequence) * 2 + self.kind
 
-    def add(self, carried, n_bytes: int, groups: str, found: Linked) -> None:
-        digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
-        self.rows.append((self.batch, False, *found[:4], digest, pack(found.pairs)))
+    def add(self, carried, n_bytes: int, groups: bytes, found: Linked) -> None:
+        digest = hashlib.sha256(groups).hexdigest() if groups else ""
+        self.rows.append((self.batch, False, *found[:4], digest, pack(found.codes, found.times)))
         self.kept.append(carried)
-        self.documents.update(found.pairs.keys())
+        self.codes.append(found.codes)
         self.bytes += n_bytes
         if self.bytes >= self.batch_bytes:
             self.close()
 
     def close(self) -> None:
         if self.bytes:
-            self.rows.append((self.batch, True, *[None] * 5, pack(self.documents)))
+            documents = np.unique(np.concatenate(self.codes), return_counts=True)
+            self.rows.append((self.batch, True, *[None] * 5, pack(*documents)))
             self.kept.append(None)
-            self.sequence, self.bytes, self.documents = self.sequence + 1, 0, Counter()
+            self.sequence, self.bytes, self.codes = self.sequence + 1, 0, []
 
     def out(self, least: int = ROWS_HELD) -> Iterator[pa.RecordBatch]:
         if len(self.rows) >= least:
@@ -111,9 +109,6 @@ class Batches:
         yield from self.out(1)
 
 
-NOTHING = Linked(0, 0, 0, 0, {})
-
-
 def align_tokens(
     docs: DataFrame,
     path_a: str,
@@ -152,7 +147,7 @@ def align_tokens(
         for batch in batches:
             made = made or Batches(0, batch_bytes, batch.column("carried").type)
             for body, held in zip(batch.column("body").to_pylist(), batch.column("carried").to_pylist(), strict=True):
-                made.add(held, len(body) + 1, *(both.text(body) or ("", NOTHING)))
+                made.add(held, len(body) + 1, *(both.text(body) or (b"", UNLINKED)))
                 yield from made.out()
         if made:
             yield from made.end()
@@ -163,7 +158,7 @@ def align_tokens(
             made = made or Batches(1, batch_bytes, batch.column("carried").type)
             for row in batch.to_pylist():
                 groups = "" if row["bad"] else groups_of(Fragment(row["prefix"], row["closed"], row["suffix"]))
-                made.add(row["carried"], len(groups) + 1, groups, linked(groups))
+                made.add(row["carried"], len(groups) + 1, groups.encode(), linked(read_groups(groups)))
                 yield from made.out()
         if made:
             yield from made.end()
@@ -197,14 +192,14 @@ def _composed(kept: Scratch, rows: DataFrame, path_a: str, path_b: str, range_by
             types = batch.column("carried").type
             for row, body, held in zip(*(batch.column(c).to_pylist() for c in ("row", "body", "carried")), strict=True):
                 for piece, (words, start, end) in enumerate(byte_ranges(both.words_of(body), range_bytes)):
-                    one = [row, piece, start, end, "".join(words), held if piece == 0 else None]
+                    one = [row, piece, start, end, words, held if piece == 0 else None]
                     yield _row_out(one, cut_to.fieldNames(), [pa.int64()] * 4 + [pa.string(), types])
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = tool(path_a, path_b)
         for batch in batches:
             ranges = zip(*(batch.column(c).to_pylist() for c in ("words", "start", "end")), strict=True)
-            found = [both.range_of(both.words.findall(words), start, end) for words, start, end in ranges]
+            found = [both.range_of(words, start, end) for words, start, end in ranges]
             made = {
                 "bad": pa.array([f is None for f in found], pa.bool_()),
                 **{c: pa.array([f and getattr(f, c) for f in found], pa.string()) for c in Fragment._fields},

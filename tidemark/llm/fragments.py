@@ -6,32 +6,33 @@ last such one (closed), and the tokens behind it (open suffix). Fragments of nei
 ranges compose, and in whatever order that is done, the result is the same. A range
 without such a place has a prefix alone.
 
-Groups are written `a1,a2|b1`: decimal ids of both tokenizers, in order.
+Groups are written `a1,a2|b1`: decimal ids of both tokenizers, in order, `;` between them.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import reduce
 from typing import NamedTuple
 
-CACHED = 400_000   # words whose groups a worker remembers; then it starts anew
+import numpy as np
+
+B_BITS = 32      # a pair of ids is one number: a << B_BITS | b
+CACHED = 300_000   # words whose groups a worker remembers; then it starts anew
 CACHED_CHARS = 48
-B_BITS = 32        # a pair of ids is one number: a << B_BITS | b
+WIDE = 1 << 12   # links of a group that are listed one by one; of wider groups distinct ids are paired
+COMMA, BAR, SEMICOLON, NOTHING = range(4)
 
 # Fixed: the code points that Unicode calls white space.
 WHITE = "".join(
     map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 )
 MARK = chr(0x2581)  # a space in pieces of B
-
-
-class Token(NamedTuple):
-    id: int
-    end: int  # the byte behind its last
+# Fixed: how byte-level vocabularies of this kind cut texts before they merge.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Fragment(NamedTuple):
@@ -58,8 +59,7 @@ def compose(x: Fragment, y: Fragment) -> Fragment:
     if y.closed is None:
         return Fragment(x.prefix, x.closed, join_open(x.suffix, y.prefix))
     between = join_open(x.suffix, y.prefix)
-    parts = [p for p in (x.closed, between, y.closed) if p not in ("", "|")]
-    return Fragment(x.prefix, ";".join(parts), y.suffix)
+    return Fragment(x.prefix, ";".join(p for p in (x.closed, between, y.closed) if p not in ("", "|")), y.suffix)
 
 
 def compose_all(fragments: Iterable[Fragment]) -> Fragment:
@@ -71,64 +71,144 @@ def compose_all(fragments: Iterable[Fragment]) -> Fragment:
 
 
 def groups_of(whole: Fragment) -> str:
-    """All groups of a text's fragment, joined by `;`."""
-    if whole.closed is None:
-        if whole.prefix != "|":
-            raise ValueError("a text whose tokenizations don't end together")
-        return ""
-    if whole.suffix not in ("", "|"):
+    """All groups of a text's fragment."""
+    if (whole.prefix if whole.closed is None else whole.suffix) not in ("", "|"):
         raise ValueError("tokens behind the last common end")
-    return ";".join(p for p in (whole.prefix, whole.closed) if p not in ("", "|"))
+    return ";".join(p for p in (whole.prefix, whole.closed) if p not in ("", "|", None))
+
+
+class Tokens(NamedTuple):
+    """Ids of tokens, and the byte behind the last of each."""
+
+    ids: np.ndarray
+    ends: np.ndarray
+
+    def within(self, start: int, end: int) -> Tokens:
+        """Those that end behind `start`, up to `end`."""
+        a, b = np.searchsorted(self.ends, [start, end], side="right")
+        return Tokens(self.ids[a:b], self.ends[a:b])
+
+
+class Groups(NamedTuple):
+    """Ids of both tokenizers, and the number of the group of each."""
+
+    a: np.ndarray
+    of_a: np.ndarray
+    b: np.ndarray
+    of_b: np.ndarray
+    n: int
+
+
+def grouped(a: Tokens, b: Tokens) -> Groups:
+    """Tokens in groups; those behind the last common end are in a group `n` of their own."""
+    common = np.intersect1d(a.ends, b.ends, assume_unique=True)
+    return Groups(a.ids, np.searchsorted(common, a.ends), b.ids, np.searchsorted(common, b.ends), len(common))
 
 
-def fragment(a: list[Token], b: list[Token]) -> Fragment:
-    """The fragment of a range, given the tokens of both that end in it."""
-    common = {t.end for t in a} & {t.end for t in b}
-    ends_a = {t.end: k for k, t in enumerate(a, 1)}
-    ends_b = {t.end: k for k, t in enumerate(b, 1)}
-    parts: list[str] = []
-    i = j = 0
-    for end in sorted(common):
-        p, q = ends_a[end], ends_b[end]
-        parts.append(_group(a[i:p], b[j:q]))
-        i, j = p, q
-    rest = _group(a[i:], b[j:])
-    if not parts:
-        return Fragment(rest, None, "")
-    return Fragment(parts[0], ";".join(parts[1:]), rest)
+class Writer:
+    """Groups as text, by a table of ids with what may stand behind them."""
 
+    def __init__(self, ids: int):
+        marks = (b",", b"|", b";", b"")
+        self.table = [str(i).encode() + m for i in range(ids) for m in marks]
 
-def _group(a: list[Token], b: list[Token]) -> str:
-    return f"{','.join(str(t.id) for t in a)}|{','.join(str(t.id) for t in b)}"
+    def write(self, g: Groups) -> bytes:
+        """The closed groups; each has tokens of both."""
+        inside_a, inside_b = g.of_a < g.n, g.of_b < g.n
+        keys = np.concatenate([g.of_a[inside_a] * 2, g.of_b[inside_b] * 2 + 1])
+        ids = np.concatenate([g.a[inside_a], g.b[inside_b]])
+        order = np.argsort(keys, kind="stable")
+        keys, ids = keys[order], ids[order]
+        step = np.diff(keys)
+        behind = np.full(len(ids), NOTHING)
+        behind[:-1] = np.where(step == 0, COMMA, np.where(keys[:-1] % 2 == 0, BAR, SEMICOLON))
+        return b"".join(map(self.table.__getitem__, (ids * 4 + behind).tolist()))
+
+    def fragment(self, a: Tokens, b: Tokens) -> Fragment:
+        """The fragment of a range, given the tokens of both that end in it."""
+        g = grouped(a, b)
+        rest = "|".join(",".join(map(str, ids[of == g.n].tolist())) for ids, of in ((g.a, g.of_a), (g.b, g.of_b)))
+        if not g.n:
+            return Fragment(rest, None, "")
+        prefix, _, closed = self.write(g).decode().partition(";")
+        return Fragment(prefix, closed, rest)
+
+
+def read_groups(text: str) -> Groups:
+    """Groups from their text."""
+    if not text:
+        none = np.zeros(0, np.int64)
+        return Groups(none, none, none, none, 0)
+    raw = np.frombuffer(text.encode(), np.uint8)
+    marks = raw[(raw < 48) | (raw > 57)]
+    of = np.concatenate([[0], np.cumsum(marks == ord(";"))])
+    is_b = np.concatenate([[0], np.cumsum(marks == ord("|"))]) > of
+    ids = np.array(re.split("[,|;]", text), np.int64)
+    return Groups(ids[~is_b], of[~is_b], ids[is_b], of[is_b], int(of[-1]) + 1)
 
 
 class Linked(NamedTuple):
-    """Counts of some groups, and how often each pair of ids is linked."""
+    """Counts of groups, the pairs of ids they link, in order, and how often each."""
 
     n_a: int
     n_b: int
     n_groups: int
     n_links: int
-    pairs: dict[int, int]
+    codes: np.ndarray
+    times: np.ndarray
+
+
+NO_CODES = np.zeros(0, np.int64)
+UNLINKED = Linked(0, 0, 0, 0, NO_CODES, NO_CODES)
+
 
+def condensed(codes: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Each code once, in order, with the sum of its times (1 unless given)."""
+    if not len(codes):
+        return NO_CODES, NO_CODES
+    if times is None:
+        return np.unique(codes, return_counts=True)
+    order = np.argsort(codes)
+    codes, times = codes[order], times[order]
+    starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    return codes[starts], np.add.reduceat(times, starts)
 
-def linked(groups: str) -> Linked:
+
+def narrow_links(g: Groups, links: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """A code for each link of the groups that have at most `WIDE`, in their order."""
+    first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+    some = np.flatnonzero(links <= WIDE)
+    each = links[some]
+    nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    of, width = np.repeat(some, each), np.repeat(n_b[some], each)
+    return g.a[first_a[of] + nth // width] << B_BITS | g.b[first_b[of] + nth % width]
+
+
+def linked(g: Groups) -> Linked:
     """All pairs of a token of each tokenizer inside one group."""
-    n_a = n_b = n_groups = n_links = 0
-    pairs: dict[int, int] = {}
-    for group in groups.split(";") if groups else ():
-        left, right = group.split("|")
-        if "," not in left and "," not in right and left and right:
-            a, b, times = 1, 1, {int(left) << B_BITS | int(right): 1}
-        else:
-            ca = Counter(map(int, left.split(","))) if left else Counter()
-            cb = Counter(map(int, right.split(","))) if right else Counter()
-            a, b = ca.total(), cb.total()
-            times = {x << B_BITS | y: m * n for x, m in ca.items() for y, n in cb.items()}
-        n_a, n_b, n_groups, n_links = n_a + a, n_b + b, n_groups + 1, n_links + a * b
-        for pair, m in times.items():
-            pairs[pair] = pairs.get(pair, 0) + m
-    return Linked(n_a, n_b, n_groups, n_links, pairs)
+    if not g.n:
+        return UNLINKED
+    n_a, n_b = np.bincount(g.of_a, minlength=g.n), np.bincount(g.of_b, minlength=g.n)
+    links = n_a * n_b
+    codes, times = [narrow_links(g, links, n_a, n_b)], None
+    if links.max() > WIDE:
+        weights = [np.ones(len(codes[0]), np.int64)]
+        for i in np.flatnonzero(links > WIDE):
+            a, m = np.unique(g.a[g.of_a == i], return_counts=True)
+            b, n = np.unique(g.b[g.of_b == i], return_counts=True)
+            codes.append((a[:, None] << B_BITS | b).ravel())
+            weights.append((m[:, None] * n).ravel())
+        times = np.concatenate(weights)
+    return Linked(len(g.a), len(g.b), g.n, int(links.sum()), *condensed(np.concatenate(codes), times))
+
+
+class Word(NamedTuple):
+    """Groups of a word of a text, a code for each of its links, and its tokens of A."""
+
+    groups: bytes
+    codes: bytes
+    n_a: int
+    wide: bool  # has a group whose links `codes` leaves out
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -144,128 +224,143 @@ def byte_alphabet() -> dict[str, int]:
 class TwoTokenizers:
     """Byte-level BPE (A) and sentencepiece BPE with byte fallback (B) on one text.
 
-    Both see the text with a space before it. Neither has a token from another character
-    into white space that no piece of B takes up, so texts fall into words (white space
-    and what follows it) that are encoded apart, each distinct one once per worker.
+    Both see the text with a space before it. Neither tokenizer has a token that goes on
+    from another character into white space, but for white space that some piece of B
+    takes up, which ends no word. So words (white space and what follows it) can be
+    encoded apart: those a worker does not know yet together, and ranges of a long text
+    from the words that reach into them.
     """
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
         alphabet = byte_alphabet()
-        self.a_bytes = {
-            i: bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
-            for token, i in self.a.get_vocab(with_added_tokens=False).items()
-        }
+        self.encode_a, vocabulary = self._byte_level(path_a, alphabet)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         model, pieces = self.b, [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = {
-            i: bytes([int(p[1:-1], 16)]) if model.is_byte(i) else p.replace(MARK, " ").encode()
-            for i, p in enumerate(pieces)
-        }
+        spelt_a = {i: bytes(alphabet[c] for c in token) for token, i in vocabulary.items()}
+        self.a_bytes = [spelt_a.get(i, b"") for i in range(max(spelt_a) + 1)]
+        self.b_bytes = [
+            bytes([int(p[1:-1], 16)]) if model.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)
+        ]
+        self.a_length, self.b_length = (np.array([len(x) for x in row]) for row in (self.a_bytes, self.b_bytes))
+        self.writer = Writer(max(len(self.a_bytes), len(self.b_bytes)))
+
         longer = [p for i, p in enumerate(pieces) if len(p) > 1 and not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
-        white = re.compile(f"[{WHITE}]")
-        glue = "".join(sorted({c for p in longer for c in white.findall(p)}))
+        glue = "".join(sorted({c for p in longer for c in p if c in WHITE}))
         if "\n" in glue or " " in glue or any(MARK in p.lstrip(MARK) for p in longer):
             raise ValueError(f"pieces of {path_b} reach into white space")
-        # white space that some piece takes up ends no word
         more = f"(?:[{re.escape(glue)}][{WHITE}]*[^{WHITE}]*)*" if glue else ""
         self.words = re.compile(f"[{WHITE}]*[^{WHITE}]+{more}|[{WHITE}]+")
-        self.barrier = self.b.encode("\n")
-        self.known: dict[str, tuple[str, Linked] | None] = {}
-
-    def tokens(self, word: str) -> tuple[list[Token], list[Token]] | None:
-        """Tokens of a word of a text; None if their bytes are not the word's."""
-        ids_a = self.a.encode(word, add_special_tokens=False).ids
-        # a line end before the word keeps off the space that the library would add
-        ids_b = self.b.encode("\n" + word)[len(self.barrier) :]
-        out = []
-        for ids, spelt in ((ids_a, self.a_bytes), (ids_b, self.b_bytes)):
-            row, end, parts = [], 0, []
-            for i in ids:
-                end += len(spelt[i])
-                parts.append(spelt[i])
-                row.append(Token(i, end))
-            if b"".join(parts) != word.encode():
-                return None
-            out.append(row)
-        return out[0], out[1]
+        self.barrier = len(self.b.encode("\n"))
+        self.known: dict[str, Word | None] = {}
 
-    def words_of(self, text: str) -> Iterator[str]:
-        """The words of a text and the space before it."""
-        return (m[0] for m in self.words.finditer(" " + text))
+    @staticmethod
+    def _byte_level(path: str, alphabet: dict[str, int]):
+        """How to encode with a byte-level tokenizers file, and its tokens.
+
+        Where ids are in the order of merges, they are ranks, and the quicker library of
+        the same method takes them; otherwise the file's own library encodes.
+        """
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        model, cut = told["model"], told["pre_tokenizer"]
+        if cut["type"] != "ByteLevel" or cut["add_prefix_space"] or not cut["use_regex"] or told["normalizer"]:
+            raise ValueError(f"{path} is no plain byte-level tokenizer")
+        added = {t["content"] for t in told["added_tokens"]}
+        vocabulary = {t: i for t, i in model["vocab"].items() if t not in added}
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if merged == sorted(set(merged)) and len(merged) + 256 == len(vocabulary):
+            import tiktoken
+
+            ranks = {bytes(alphabet[c] for c in t): i for t, i in vocabulary.items()}
+            quick = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            return quick.encode_ordinary, vocabulary
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    def word(self, word: str) -> tuple[str, Linked] | None:
-        """Groups of a word, and their links."""
-        if word in self.known:
-            return self.known[word]
-        found = self.tokens(word)
-        made = None
-        if found is not None:
-            groups = groups_of(fragment(*found))
-            made = groups, linked(groups)
-        if len(word) <= CACHED_CHARS:
-            if len(self.known) > CACHED:
-                self.known.clear()
-            self.known[word] = made
-        return made
-
-    def text(self, text: str) -> tuple[str, Linked] | None:
+        library = Tokenizer.from_file(path)
+        library.encode_special_tokens = True
+        library.no_truncation()
+        library.no_padding()
+        return lambda text: library.encode(text, add_special_tokens=False).ids, vocabulary
+
+    def _tokens(self, text: str, ids_b: list[int]) -> tuple[Tokens, Tokens] | None:
+        ids_a, raw = self.encode_a(text), text.encode()
+        if any(b"".join(map(spelt.__getitem__, ids)) != raw for ids, spelt in ((ids_a, self.a_bytes), (ids_b, self.b_bytes))):
+            return None
+        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        return Tokens(a, np.cumsum(self.a_length[a])), Tokens(b, np.cumsum(self.b_length[b]))
+
+    def _encoded(self, words: str) -> tuple[Tokens, Tokens] | None:
+        # a line end before the words keeps off the space that the library would add
+        return self._tokens(words, self.b.encode("\n" + words)[self.barrier :])
+
+    def _learn(self, words: list[str]) -> dict[str, Word | None]:
+        """The groups of words, encoded together; None for those without tokens."""
+        found = self._encoded("".join(words))
+        if found is None:
+            return {words[0]: None} if len(words) == 1 else {w: self._learn([w])[w] for w in words}
+        g = grouped(*found)
+        ends = np.cumsum([len(w.encode()) for w in words])
+        last = np.searchsorted(found[0].ends, ends)  # token of A that ends each word, and so its last group
+        upto = np.concatenate([[0], g.of_a[last] + 1])
+        if (found[0].ends[last] != ends).any() or upto[-1] != g.n or (np.diff(upto) < 1).any():
+            raise ValueError("words that don't end with tokens of both")
+        n_a, n_b = np.bincount(g.of_a, minlength=g.n), np.bincount(g.of_b, minlength=g.n)
+        links = n_a * n_b
+        codes = narrow_links(g, links, n_a, n_b).astype("<i8").tobytes()
+        at = np.concatenate([[0], np.cumsum(np.where(links <= WIDE, links, 0)) * 8])[upto].tolist()
+        wide = np.concatenate([[0], np.cumsum(links > WIDE)])[upto].tolist()
+        tokens = np.concatenate([[0], np.cumsum(n_a)])[upto].tolist()
+        groups, upto = self.writer.write(g).split(b";"), upto.tolist()
+        return {
+            w: Word(b";".join(groups[upto[k] : upto[k + 1]]), codes[at[k] : at[k + 1]], tokens[k + 1] - tokens[k], wide[k + 1] > wide[k])
+            for k, w in enumerate(words)
+        }
+
+    def text(self, text: str) -> tuple[bytes, Linked] | None:
         """Groups and links of a whole text; None if it has no tokens."""
         if not text:
             return None
-        words = self.words.findall(" " + text)
-        times = Counter(words)
-        found = {w: self.word(w) for w in times}
-        if None in found.values():
+        known, words = self.known, self.words.findall(" " + text)
+        unseen = [w for w in dict.fromkeys(words) if w not in known]
+        made = self._learn(unseen) if unseen else {}
+        parts = [known[w] if w in known else made[w] for w in words]
+        if made:
+            if len(known) > CACHED:
+                known.clear()
+            known.update((w, p) for w, p in made.items() if len(w) <= CACHED_CHARS)
+        if None in parts:
             return None
-        n_a = n_b = n_groups = n_links = 0
-        pairs: dict[int, int] = {}
-        for w, k in times.items():
-            one = found[w][1]
-            n_a, n_b = n_a + k * one.n_a, n_b + k * one.n_b
-            n_groups, n_links = n_groups + k * one.n_groups, n_links + k * one.n_links
-            for pair, m in one.pairs.items():
-                pairs[pair] = pairs.get(pair, 0) + m * k
-        groups = ";".join([found[w][0] for w in words])
-        return groups, Linked(n_a, n_b, n_groups, n_links, pairs)
-
-    def range_of(self, words: list[str], start: int, end: int) -> Fragment | None:
+        groups = b";".join([p.groups for p in parts])
+        if any([p.wide for p in parts]):
+            return groups, linked(read_groups(groups.decode()))
+        codes = np.frombuffer(b"".join([p.codes for p in parts]), "<i8")
+        n_a, n_groups = sum([p.n_a for p in parts]), groups.count(b";") + 1
+        n_b = n_groups * 2 + groups.count(b",") - n_a  # a bar and a comma or semicolon between any two tokens
+        return groups, Linked(n_a, n_b, n_groups, len(codes), *condensed(codes))
+
+    def words_of(self, text: str) -> Iterator[str]:
+        """The words of a text and the space before it."""
+        return (m[0] for m in self.words.finditer(" " + text))
+
+    def range_of(self, words: str, start: int, end: int) -> Fragment | None:
         """The fragment of the tokens that end behind byte `start`, up to byte `end`.
 
-        `words` are those of the text that reach into the range, `start` and `end` are
-        counted from the first of them. None if bytes of tokens aren't those of words.
+        `words` are those of the text that reach into the range; `start` and `end` are
+        counted from the first of them. None if the bytes of tokens aren't those of the
+        words.
         """
-        parts, at = [], 0
-        for w in words:
-            n = len(w.encode())
-            if at >= start and at + n <= end:
-                known = self.word(w)
-                if known is None:
-                    return None
-                groups = known[0].split(";", 1)
-                parts.append(Fragment(groups[0], groups[1] if len(groups) > 1 else "", "|"))
-            else:
-                found = self.tokens(w)
-                if found is None:
-                    return None
-                a, b = ([t for t in row if start < at + t.end <= end] for row in found)
-                parts.append(fragment(a, b))
-            at += n
-        return compose_all(parts)
-
-
-def byte_ranges(words: Iterable[str], size: int) -> Iterator[tuple[list[str], int, int]]:
+        found = self._encoded(words)
+        return None if found is None else self.writer.fragment(*(t.within(start, end) for t in found))
+
+
+def byte_ranges(words: Iterable[str], size: int) -> Iterator[tuple[str, int, int]]:
     """Byte ranges of about `size`, each with the words that reach into it.
 
-    Gives (words, start, end), both counted from the first byte of those words. Ranges
-    end at multiples of `size`, inside words too, but for a word longer than that: it
+    Gives (words, start, end), both counted from the first byte of those words. A range
+    ends after `size` bytes, inside a word too, but for a word longer than that, which
     lies in one range.
     """
     held: list[str] = []
@@ -276,11 +371,8 @@ def byte_ranges(words: Iterable[str], size: int) -> Iterator[tuple[list[str], in
         at += n
         while at - start >= size:
             end = start + size if n <= size else at
-            yield list(held), start - done, end - done
+            yield "".join(held), start - done, end - done
             start = end
-            if end == at:
-                held, done = [], at
-            else:
-                held, done = [w], at - n
+            held, done = ([], at) if end == at else ([w], at - n)
     if at > start:
-        yield held, start - done, at - done
+        yield "".join(held), start - done, at - done
