@@ -29,10 +29,10 @@ from tidemark.llm.fragments import (
 )
 
 RANGE_BYTES = 1 << 15   # longer texts are cut into ranges of as much
-BATCH_BYTES = 16_000_000  # text whose pairs are counted together
+BATCH_BYTES = 8_000_000  # text whose pairs are counted together
 FAN = 8                 # fragments that one step of the tree composes
 PAIRS_OUT = 100_000
-ROWS_HELD = 2_000
+ROWS_HELD = 500         # rows that a task hands on at once
 
 ADDED = T.StructType(
     [T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
@@ -146,8 +146,9 @@ def align_tokens(
         both, made = tool(path_a, path_b), None
         for batch in batches:
             made = made or Batches(0, batch_bytes, batch.column("carried").type)
-            for body, held in zip(batch.column("body").to_pylist(), batch.column("carried").to_pylist(), strict=True):
-                made.add(held, len(body) + 1, *(both.text(body) or (b"", UNLINKED)))
+            for body, held in zip(batch.column("body"), batch.column("carried"), strict=True):
+                text = body.as_py()
+                made.add(held.as_py(), len(text) + 1, *(both.text(text) or (b"", UNLINKED)))
                 yield from made.out()
         if made:
             yield from made.end()
@@ -156,7 +157,8 @@ def align_tokens(
         made = None
         for batch in batches:
             made = made or Batches(1, batch_bytes, batch.column("carried").type)
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 groups = "" if row["bad"] else groups_of(Fragment(row["prefix"], row["closed"], row["suffix"]))
                 made.add(row["carried"], len(groups) + 1, groups.encode(), linked(read_groups(groups)))
                 yield from made.out()
@@ -190,22 +192,22 @@ def _composed(kept: Scratch, rows: DataFrame, path_a: str, path_b: str, range_by
         both = tool(path_a, path_b)
         for batch in batches:
             types = batch.column("carried").type
-            for row, body, held in zip(*(batch.column(c).to_pylist() for c in ("row", "body", "carried")), strict=True):
-                for piece, (words, start, end) in enumerate(byte_ranges(both.words_of(body), range_bytes)):
-                    one = [row, piece, start, end, words, held if piece == 0 else None]
+            for row, body, held in zip(*(batch.column(c) for c in ("row", "body", "carried")), strict=True):
+                for piece, (words, start, end) in enumerate(byte_ranges(both.words_of(body.as_py()), range_bytes)):
+                    one = [row.as_py(), piece, start, end, words, held.as_py() if piece == 0 else None]
                     yield _row_out(one, cut_to.fieldNames(), [pa.int64()] * 4 + [pa.string(), types])
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = tool(path_a, path_b)
+        both, names = tool(path_a, path_b), parts.fieldNames()
         for batch in batches:
-            ranges = zip(*(batch.column(c).to_pylist() for c in ("words", "start", "end")), strict=True)
-            found = [both.range_of(words, start, end) for words, start, end in ranges]
-            made = {
-                "bad": pa.array([f is None for f in found], pa.bool_()),
-                **{c: pa.array([f and getattr(f, c) for f in found], pa.string()) for c in Fragment._fields},
-            }
-            names = parts.fieldNames()
-            yield pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(c) for c in names], names)
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                found = both.range_of(*(one.column(c)[0].as_py() for c in ("words", "start", "end")))
+                made = {
+                    "bad": pa.array([found is None], pa.bool_()),
+                    **{c: pa.array([found and getattr(found, c)], pa.string()) for c in Fragment._fields},
+                }
+                yield pa.RecordBatch.from_arrays([made[c] if c in made else one.column(c) for c in names], names)
 
     def step(group: pa.Table) -> pa.Table:
         group = group.sort_by("piece")

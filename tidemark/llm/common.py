@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,6 +70,29 @@ def extended(df: DataFrame, carry: Sequence[str] | None, added: T.StructType) ->
     return kept, T.StructType([*(fields[c] for c in kept), *added])
 
 
+class Recent:
+    """What was used last: `size` to twice as many entries, older ones forgotten."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def missing(self, keys: Iterable) -> list:
+        """Those of the keys that aren't remembered; the others are in `new` then."""
+        new, old, unknown = self.new, self.old, []
+        for k in keys:
+            if k not in new:
+                if k in old:
+                    new[k] = old[k]
+                else:
+                    unknown.append(k)
+        return unknown
+
+    def keep(self, found: Mapping) -> None:
+        self.new.update(found)
+        if len(self.new) > self.size:
+            self.old, self.new = self.new, {}
+
+
 class Scratch:
     """Tables written to the shared folder, removed when the block ends.
 

@@ -20,8 +20,10 @@ from typing import NamedTuple
 
 import numpy as np
 
+from tidemark.llm.common import Recent
+
 B_BITS = 32      # a pair of ids is one number: a << B_BITS | b
-CACHED = 300_000   # words whose groups a worker remembers; then it starts anew
+CACHED = 60_000    # words whose groups a worker remembers at least, up to twice as many
 CACHED_CHARS = 48
 WIDE = 1 << 12   # links of a group that are listed one by one; of wider groups distinct ids are paired
 COMMA, BAR, SEMICOLON, NOTHING = range(4)
@@ -253,7 +255,7 @@ class TwoTokenizers:
         more = f"(?:[{re.escape(glue)}][{WHITE}]*[^{WHITE}]*)*" if glue else ""
         self.words = re.compile(f"[{WHITE}]*[^{WHITE}]+{more}|[{WHITE}]+")
         self.barrier = len(self.b.encode("\n"))
-        self.known: dict[str, Word | None] = {}
+        self.known = Recent(CACHED)
 
     @staticmethod
     def _byte_level(path: str, alphabet: dict[str, int]):
@@ -323,14 +325,11 @@ class TwoTokenizers:
         """Groups and links of a whole text; None if it has no tokens."""
         if not text:
             return None
-        known, words = self.known, self.words.findall(" " + text)
-        unseen = [w for w in dict.fromkeys(words) if w not in known]
-        made = self._learn(unseen) if unseen else {}
+        words = self.words.findall(" " + text)
+        unseen = self.known.missing(dict.fromkeys(words))
+        known, made = self.known.new, self._learn(unseen) if unseen else {}
         parts = [known[w] if w in known else made[w] for w in words]
-        if made:
-            if len(known) > CACHED:
-                known.clear()
-            known.update((w, p) for w, p in made.items() if len(w) <= CACHED_CHARS)
+        self.known.keep({w: p for w, p in made.items() if len(w) <= CACHED_CHARS})
         if None in parts:
             return None
         groups = b";".join([p.groups for p in parts])
