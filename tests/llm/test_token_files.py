@@ -65,6 +65,26 @@ def test_runs_equal_whole_texts(library, documents):
         assert np.frombuffer(tool.encode(text), tool.type).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_every_plain_character(library):
+    tool = RunEncoder(MODEL)
+    assert tool.split
+    plain = [chr(c) for c in range(0x100)]
+    runs = [f"{x}{y}{z}" for x in plain for y in "aÉ'!7_s" for z in plain]
+    for i in range(0, len(runs), 5000):
+        text = " ".join(runs[i : i + 5000])
+        assert np.frombuffer(tool.encode(text), tool.type).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_forgetful_encoder(library, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.token_files.CACHED", 3)
+    tool = RunEncoder(MODEL)
+    text = " ".join(f"Word{i % 9}, über{i % 7}'s 中{i % 4}" for i in range(60))
+    for _ in range(3):
+        assert np.frombuffer(tool.encode(text), tool.type).tolist() == library.encode(text, add_special_tokens=False).ids
+    tool.split = False
+    assert np.frombuffer(tool.encode(text + " New"), tool.type).tolist() == library.encode(text + " New", add_special_tokens=False).ids
+
+
 def expected(library, rows):
     out, start = [], 0
     for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0])):

@@ -18,10 +18,12 @@ Layout of a file, numbers little-endian:
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,29 +32,38 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import Recent
 from tidemark.llm.elias_fano import EliasFano
+from tidemark.llm.fragments import byte_alphabet
 
 MAGIC = b"TMTOKENS"
 HEAD = struct.Struct("<8sBQq")
 SHARD_BYTES = 16_000_000  # a file is closed when its ids take as much
 SEQUENCE_BITS = 24        # files of one task
-CACHED = 500_000          # runs of text whose ids a worker remembers; then it starts anew
+CACHED = 200_000          # runs, and parts of runs, whose ids a worker remembers at least; up to twice as many
 CACHED_CHARS = 64
 ROWS_OUT = 2_000
 
 # Fixed white space at which any tokenizer that drops white space may be cut.
 RUN = re.compile(r"[^ \t\n\r]+")
+# Fixed: how tokenizers of one kind prepare texts, and what that means for runs of
+# printable ASCII and letters of Latin-1, which normalization leaves as they are.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff \t\n\r]+")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff \t\n\r]+")
 
 
 class RunEncoder:
     """Ids of texts under a tokenizer of which no token reaches over white space.
 
-    Texts are cut at spaces, tabs and line ends; the ids of a run come from the library
-    once per worker. That equals encoding whole texts when the tokenizer drops white
-    space before it merges, which `of` checks on a few texts.
+    A plain text falls into parts as the tokenizer would split it, and the library's
+    model merges each part once per worker. Other texts are cut at spaces, tabs and line
+    ends into runs; those that aren't plain go to the library. That equals encoding
+    whole texts when the tokenizer drops white space before it merges, which is tried
+    on a few texts.
     """
 
-    PROBES = ("a b", "a\tb", "a\n\nb \r c", "it's  12 !! x", "é é ΑΣ Σ.   z", "中 文 ab,c d")
+    PROBES = ("a b", "a\tb", "a\n\nb \r c", "it's  12 !! x", "é é ΑΣ Σ.   z", "中 文 ab,c d")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,8 +73,20 @@ class RunEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self.type = f"<u{self.width}"
-        self.known: dict[str, bytes] = {}
+        self.type, self.code = f"<u{self.width}", "H" if self.width == 2 else "I"
+        self.runs, self.parts = Recent(CACHED), Recent(CACHED)
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        steps = (told["normalizer"] or {}).get("normalizers", []), (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+        kinds = [[s["type"] for s in row] for row in steps]
+        self.split = kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and (
+            steps[1][0]["pattern"], steps[1][0]["behavior"], steps[1][0]["invert"],
+            steps[1][1]["add_prefix_space"], steps[1][1]["use_regex"],
+        ) == ({"Regex": SPLIT}, "Removed", True, False, False)
+        special = [t["content"] for t in told["added_tokens"]]
+        self.special = re.compile("|".join(map(re.escape, special)) if special else "(?!)")
+        shown = {b: c for c, b in byte_alphabet().items()}
+        self.byte_level = {c: "".join(shown[b] for b in chr(c).encode()) for c in range(0x21, 0x100)}
         for probe in self.PROBES:
             if self.encode(probe) != self._whole([probe])[0]:
                 raise ValueError(f"{path} has tokens over white space")
@@ -72,17 +95,30 @@ class RunEncoder:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.type).tobytes() for e in found]
 
+    def _is_plain(self, text: str) -> bool:
+        return self.split and PLAIN.fullmatch(text) is not None and not self.special.search(text)
+
+    def _by_parts(self, text: str) -> bytes:
+        parts = PARTS.findall(text.lower())
+        unseen = self.parts.missing(dict.fromkeys(parts))
+        merge, spelt, code = self.library.model.tokenize, self.byte_level, self.code
+        made = {p: array(code, [t.id for t in merge(p.translate(spelt))]).tobytes() for p in unseen}
+        known = self.parts.new
+        out = b"".join([known[p] if p in known else made[p] for p in parts])
+        self.parts.keep({p: ids for p, ids in made.items() if len(p) <= CACHED_CHARS})
+        return out
+
     def encode(self, text: str) -> bytes:
-        runs, known = RUN.findall(text), self.known
-        try:
-            return b"".join([known[r] for r in runs])
-        except KeyError:
-            unseen = list(dict.fromkeys(r for r in runs if r not in known))
-        made = dict(zip(unseen, self._whole(unseen), strict=True))
+        if self._is_plain(text):
+            return self._by_parts(text)
+        runs = RUN.findall(text)
+        unseen = self.runs.missing(dict.fromkeys(runs))
+        known, made = self.runs.new, {r: self._by_parts(r) for r in unseen if self._is_plain(r)}
+        other = [r for r in unseen if r not in made]
+        if other:
+            made.update(zip(other, self._whole(other), strict=True))
         out = b"".join([known[r] if r in known else made[r] for r in runs])
-        if len(known) > CACHED:
-            known.clear()
-        known.update((r, ids) for r, ids in made.items() if len(r) <= CACHED_CHARS)
+        self.runs.keep({r: ids for r, ids in made.items() if len(r) <= CACHED_CHARS})
         return out
 
 
