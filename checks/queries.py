@@ -22,6 +22,7 @@ from tidemark.plans.role_history import role_history as build_role_history
 from tidemark.plans.standardised import change_facts as build_change_facts
 from tidemark.plans.standardised import private_contacts as build_private_contacts
 from tidemark.session import materialise
+from tidemark.sources import intervals as interval_source
 from tidemark.sources import pages as page_source
 from tidemark.sources import tables as table_source
 
@@ -98,7 +99,7 @@ def snapshot_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = t.scratch_path(spark)
     people = t.load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    for day, group in ((1, "FIRST"), (8, "SECOND")):
+    for day, group in ((1, "FIRST"), (8, "SECOND"), (1, "FIRST")):  # a load repeated changes nothing
         load = snapshots.stamp_snapshot(people, group, dt.datetime(2024, 6, day, 8, 30))
         table_source.append_table(load, path)
     stored = table_source.read_table(spark, path)
@@ -217,6 +218,18 @@ def scd2_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(update_intervals(raw, existing, CONTENT, "grp", "content", "month"))
 
 
+@query
+def scd2_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same update on a stored table in open and closed parts, the load merged twice."""
+    raw, existing = _stored(spark, sf_dir)
+    path = t.scratch_path(spark)
+    interval_source.store_intervals(existing, path, "grp")
+    current = snapshots.latest_snapshot(raw, CONTENT, "month").withColumn("content", keys.content_key(*CONTENT))
+    for _ in range(2):
+        interval_source.merge_into(path, current, "content", CONTENT, "grp")
+    return plain(interval_source.read_intervals(spark, path))
+
+
 # Names
 
 

@@ -1,9 +1,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import labels
 from tidemark.operators.labels import Step, rule_cascade
+from tidemark.operators.scale import bloom_filter, may_hold
 
 RULES = "label string, kind string, pattern string"
 
@@ -94,3 +96,75 @@ def test_layers(spark):
         "ann": ("f", "historical"), "bo": ("m", "current"), "cy": ("m", "start"),
         "di d/o x": ("f", "token"), "ed": ("f", "current"), "q": (None, None),
     }
+
+
+def test_one_exchange_of_rows_for_any_number_of_layer_tables(spark):
+    """Tables are reduced to one row per key, and the rows are joined once."""
+    df = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit("t").alias("text"))
+    tables = [
+        (f"layer{i}", spark.range(i, 100, 3).select(F.col("id").cast("string").alias("k"), F.lit(f"v{i}").alias("label")))
+        for i in range(4)
+    ]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [
+            labels.layered_label(df, "k", tables[:n])._jdf.queryExecution().executedPlan().toString() for n in (1, 4)
+        ]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [p.count("SortMergeJoin") for p in plans] == [1, 1]
+    # of the rows, of the labels by key, and of what they are reduced to
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [3, 3]
+
+
+def test_layers_of_columns_and_tables_in_any_order(spark):
+    df = spark.createDataFrame([(k, None if k == "d" else "own") for k in "abcd"] + [(None, None)], "k string, c string")
+    first = spark.createDataFrame([("a", "x"), ("b", None), (None, "z")], "k string, label string")
+    last = spark.createDataFrame([("a", "y"), ("b", "q"), ("b", "p"), ("d", "w")], "k string, label string")
+    out = labels.layered_label(df, "k", [("first", first), ("column", F.col("c")), ("last", last)])
+    assert {r.k: (r.label, r.label_source) for r in out.collect()} == {
+        "a": ("x", "first"), "b": ("own", "column"), "c": ("own", "column"), "d": ("w", "last"), None: (None, None),
+    }
+    other = labels.layered_label(df, "k", [("last", last), ("column", F.col("c"))])
+    assert {r.k: (r.label, r.label_source) for r in other.collect()}["b"] == ("p", "last")
+    none = labels.layered_label(df, "k", [("column", F.col("c"))])
+    assert none.filter("label_source = 'column'").count() == 3
+
+
+def test_probes_that_no_rule_has_are_not_shuffled(spark):
+    """With rules that aren't broadcast, the filter works before the exchange."""
+    texts = spark.range(3000).select(F.concat(F.lit("word"), "id", F.lit(" tail"), "id").alias("text"))
+    rules = spark.createDataFrame([("A", "word", f"word{i}") for i in range(0, 50)], RULES)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = rule_cascade(texts, "text", rules, [Step("A", "word", "any_word")], "none")
+        assert out.filter("label = 'A'").count() == 50
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan()
+        stages, probes = [plan], []
+        while stages:
+            node = stages.pop()
+            children = node.children()
+            stages += [children.apply(i) for i in range(children.size())]
+            if node.nodeName().startswith("AdaptiveSparkPlan"):
+                stages.append(node.executedPlan())
+            elif "QueryStage" in node.nodeName():
+                stages.append(node.plan())
+            elif node.nodeName() == "Exchange" and "probe" in node.output().mkString(",") and "_text" in node.output().mkString(","):
+                probes.append(node.metrics().apply("shuffleRecordsWritten").value())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert probes and 50 <= min(probes) < 200  # of 6,000
+
+
+def test_filter_holds_all_its_keys(spark):
+    keys = spark.range(5000).select(F.col("id").cast("string").alias("k"))
+    held = bloom_filter(keys, ["k"])
+    found = spark.range(20000).select("id", may_hold(held, [F.col("id").cast("string")]).alias("may"))
+    assert found.filter("id < 5000 and may").count() == 5000
+    assert found.filter("id >= 5000 and may").count() < 150
+    none = bloom_filter(keys.limit(0), ["k"])
+    assert keys.filter(may_hold(none, [F.col("k")])).count() == 0
+

@@ -2,8 +2,11 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.operators import sessions
 from tidemark.operators.sessions import assign_session, gap_sessions, load_history
+from tidemark.session import stored
 
 START = dt.datetime(2024, 3, 1, 9)
 
@@ -75,10 +78,10 @@ def test_assign_keeps_rows_outside_all_sessions(spark):
     assert [r.session_id for r in got] == [1, 1, None, 3]
 
 
-def test_assign_over_several_slots(spark):
+def test_a_session_over_several_days(spark):
     df = times(spark, range(0, 400_000, 20_000))
     found = gap_sessions(df, "ts")
-    assert assign_session(df, found, "ts", slot_seconds=3_600).filter("session_id = 1").count() == 20
+    assert assign_session(df, found, "ts").filter("session_id = 1").count() == 20
 
 
 def test_load_history(spark):
@@ -89,3 +92,40 @@ def test_load_history(spark):
     got = load_history(manifest, gap_sessions(manifest, "_accessed_at")).collect()
     assert [r.session_id for r in got] == [1, 2]
     assert len({r.metadata_id for r in got}) == 2
+
+
+def test_a_busy_day_is_cut_into_pieces(spark, monkeypatch):
+    """Sessions go on over pieces; one day without a partition column is many tasks' work."""
+    kept = []
+    monkeypatch.setattr(sessions, "stored", lambda df: kept.append(stored(df)) or kept[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rng = random.Random(4)
+        at = sorted(rng.sample(range(80_000), 3000))
+        df = spark.createDataFrame([(s,) for s in at], "s long").select(F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"))
+        found = [(i, s, s + rng.randint(0, 900)) for i, s in enumerate(range(0, 80_000, 1000)) if rng.random() < 0.8]
+        whole = (99, 80_500, 90_000)
+        told = spark.createDataFrame([*found, whole], "session_id long, a long, b long").select(
+            "session_id", *[F.timestamp_seconds(c).cast("timestamp_ntz").alias(n) for c, n in (("a", "session_start"), ("b", "session_end"))]
+        )
+        got = {r.ts: r.session_id for r in sessions.assign_session(df, told, "ts").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for s in at:
+        inside = [i for i, a, b in found if a <= s <= b]
+        assert got[dt.datetime(1970, 1, 1) + dt.timedelta(seconds=s)] == (inside[0] if inside else None)
+    sizes = [r["count"] for r in kept[0].groupBy("_piece").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
+
+
+def test_pieces_of_partitions(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "b", None]), rng.randint(0, 5000)) for _ in range(400)] + [("a", None)]
+    found = [(p, i, s, s + 120) for p in ("a", None) for i, s in enumerate(range(0, 5000, 300))]
+    df = spark.createDataFrame(rows, "p string, s long").withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    told = spark.createDataFrame(found, "p string, session_id long, a long, b long").select(
+        "p", "session_id", *[F.timestamp_seconds(c).cast("timestamp_ntz").alias(n) for c, n in (("a", "session_start"), ("b", "session_end"))]
+    )
+    for r in sessions.assign_session(df, told, "ts", ["p"]).collect():
+        inside = [i for p, i, a, b in found if p == r.p and r.s is not None and a <= r.s <= b]
+        assert r.session_id == (inside[0] if inside else None)

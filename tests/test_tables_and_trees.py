@@ -1,4 +1,6 @@
 import datetime as dt
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -9,7 +11,7 @@ from tidemark.operators.hierarchy import flatten_hierarchy, walk_hierarchy
 from tidemark.operators.scd2 import scd2_merge
 from tidemark.operators.snapshots import load_manifest, stamp_snapshot
 from tidemark.session import forget_stored, stored
-from tidemark.sources import tables
+from tidemark.sources import tables, versions
 from tidemark.streaming.loads import append_stream, arriving_loads
 
 
@@ -50,6 +52,86 @@ def test_append_keeps_earlier_loads(spark, tmp_path):
     ]
 
 
+def test_a_repeated_load_changes_nothing(spark, tmp_path, rows):
+    path = str(tmp_path / "raw")
+
+    def load(group, d, names):
+        df = spark.createDataFrame([(n,) for n in names], "n string")
+        tables.append_table(stamp_snapshot(df, group, dt.datetime(2024, 1, d, 5)), path)
+
+    load("g", 1, "abc")
+    load("h", 1, "x")
+    load("g", 2, "d")
+    once = rows(tables.read_table(spark, path))
+    load("g", 1, "abc")
+    load("g", 2, "d")
+    assert rows(tables.read_table(spark, path)) == once
+    manifest = load_manifest({"raw": tables.read_table(spark, path)})
+    assert rows(manifest, "group_name", "num_rows") == [("g", 1), ("g", 3), ("h", 1)]
+    load("g", 1, "ab")  # the load corrected
+    assert [r.n for r in tables.read_table(spark, path).filter("group_name = 'g'").orderBy("n").collect()] == ["a", "b", "d"]
+    load("k", 3, "")
+    assert tables.read_table(spark, path).count() == 4
+
+
+def test_loads_without_time_or_group(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    df = spark.createDataFrame([("a", None, None), ("b", "g", None)], "n string, group_name string, _accessed_at timestamp_ntz")
+    for _ in range(2):
+        tables.append_table(df, path)
+    assert tables.read_table(spark, path).count() == 2
+    ungrouped = spark.createDataFrame([("a", dt.datetime(2024, 1, 1)), ("b", dt.datetime(2024, 1, 2))], "n string, _accessed_at timestamp_ntz")
+    for _ in range(2):
+        tables.append_table(ungrouped, path + "2")
+    assert tables.read_table(spark, path + "2").count() == 2
+
+
+def test_two_writers_lose_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.replace_table(spark.range(1), path)
+    meet, really = threading.Barrier(3), versions.newest
+    first = threading.local()
+
+    def together(*args):
+        found = really(*args)
+        if not getattr(first, "met", False):
+            first.met = True
+            meet.wait(60)  # all writers have seen the same last version
+        return found
+
+    monkeypatch.setattr(versions, "newest", together)
+    with ThreadPoolExecutor(3) as pool:
+        made = sorted(pool.map(lambda n: tables.replace_table(spark.range(n), path), (11, 12, 13)))
+    monkeypatch.setattr(versions, "newest", really)
+    assert made == [2, 3, 4]
+    assert sorted(tables.read_current(spark, path, v).count() for v in made) == [11, 12, 13]
+    assert not [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("_note")]
+    assert all(len([p for p in (tmp_path / "t/versions" / str(v)).iterdir() if p.is_dir()]) == 0 for v in made)
+
+
+def test_a_writer_that_another_came_before(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert tables.replace_table(spark.range(1), path, expected=0) == 1
+    assert tables.replace_table(spark.range(2), path, expected=1) == 2
+    with pytest.raises(versions.ConcurrentChange):
+        tables.replace_table(spark.range(3), path, expected=1)
+    assert tables.read_current(spark, path).count() == 2
+
+
+def test_old_versions_and_lost_contents_go(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(7).write.parquet(versions.new_content(path))  # a run lost before its commit
+    for n in range(1, 5):
+        assert tables.replace_table(spark.range(n), path, keep=2) == n
+    assert list(versions.committed(spark, path)) == [3, 4]
+    assert tables.read_current(spark, path, 3).count() == 3 and tables.read_current(spark, path).count() == 4
+    with pytest.raises(FileNotFoundError):
+        tables.read_current(spark, path, 2)
+    assert len(list((tmp_path / "t").glob("content-*"))) == 3
+    versions.drop_old(spark, path, 1, orphan_hours=0)
+    assert len(list((tmp_path / "t").glob("content-*"))) == 1 and tables.replace_table(spark.range(1), path) == 5
+
+
 def test_replace_may_read_what_it_replaces(spark, tmp_path):
     path = str(tmp_path / "scd")
     assert tables.replace_table(spark.range(3), path) == 1

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -30,13 +32,16 @@ def walk_hierarchy(
     node.
 
     One join per level, each level cut off by a checkpoint, so the number of jobs
-    is the depth of the tree.
+    is the depth of the tree. Edges are stored once in the warehouse, in buckets by
+    parent, and each level shuffles (or broadcasts, if Spark finds it small) the nodes
+    it has reached only; the stored edges are dropped at the end.
     """
+    carried = {c: f"_carry{i}" for i, c in enumerate(carry)}
     links = edges.select(
         F.col(parent).alias("_parent"),
         F.col(child).alias("_child"),
         *([] if ordinal is None else [F.col(ordinal).cast("long").alias("_place")]),
-        *carry,
+        *[F.col(c).alias(n) for c, n in carried.items()],
     )
     start = roots.columns[0]
     node = F.col(start)
@@ -46,24 +51,41 @@ def walk_hierarchy(
         F.lit(0).alias("depth"),
         F.array(node).alias("path"),
         *([] if ordinal is None else [F.array().cast("array<bigint>").alias("trail")]),
-        *[F.lit(None).cast(links.schema[c].dataType).alias(c) for c in carry],
+        *[F.lit(None).cast(links.schema[n].dataType).alias(c) for c, n in carried.items()],
     )
     levels = [level]
-    while True:
-        reached = level.drop(*carry).join(links, F.col("node") == F.col("_parent"))
-        level = materialise(
-            reached.filter(~F.array_contains("path", F.col("_child"))).select(
-                F.col("_child").alias("node"),
-                F.col("node").alias("parent"),
-                (F.col("depth") + 1).alias("depth"),
-                F.array_append("path", F.col("_child")).alias("path"),
-                *([] if ordinal is None else [F.array_append("trail", F.col("_place")).alias("trail")]),
-                *carry,
-            )
-        )
-        if level.isEmpty():
-            return reduce(DataFrame.unionByName, levels)
-        levels.append(level)
+    with bucketed(links, "_parent") as stored_links:
+        while True:
+            level = materialise(_children(level.drop(*carry), stored_links, ordinal is not None, carried))
+            if level.isEmpty():
+                return reduce(DataFrame.unionByName, levels)
+            levels.append(level)
+
+
+@contextmanager
+def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
+    """The rows stored in the warehouse by `key`, as long as the block lasts."""
+    spark = df.sparkSession
+    name = f"tidemark_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"drop table if exists {name}")
+
+
+def _children(level: DataFrame, links: DataFrame, placed: bool, carried: Mapping[str, str]) -> DataFrame:
+    """The level below, without the ways that would meet themselves."""
+    reached = level.join(links, F.col("node") == F.col("_parent"))
+    return reached.filter(~F.array_contains("path", F.col("_child"))).select(
+        F.col("_child").alias("node"),
+        F.col("node").alias("parent"),
+        (F.col("depth") + 1).alias("depth"),
+        F.array_append("path", F.col("_child")).alias("path"),
+        *([F.array_append("trail", F.col("_place")).alias("trail")] if placed else []),
+        *[F.col(n).alias(c) for c, n in carried.items()],
+    )
 
 
 def flatten_hierarchy(

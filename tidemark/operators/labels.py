@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import token_features
-from tidemark.operators.scale import skew_join
+from tidemark.operators.scale import bloom_filter, may_hold, skew_join
 from tidemark.session import stored
 
 
@@ -64,23 +65,33 @@ def layered_label(
 ) -> DataFrame:
     """Add the first non-null label over the layers, and the name of that layer.
 
-    A layer is a column of `df`, or a table of (key, label) with unique keys.
+    A layer is a column of `df`, or a table of (key, label); of several labels of a key
+    in one table the smallest counts. All tables are reduced to the first layer that
+    labels a key, so rows are joined once, however many tables there are.
     """
-    columns = df.columns
-    found = {}
-    for i, (name, layer) in enumerate(layers):
-        at = f"_layer{i}"
-        if isinstance(layer, Column):
-            df = df.withColumn(at, layer)
-        else:
-            of = f"_of{i}"
-            table = layer.select(F.col(key).alias(of), F.col("label").alias(at)).filter(F.col(of).isNotNull())
-            df = skew_join(df, table, [(key, of)], "left").drop(of)
-        found[name] = F.col(at)
+    columns, names = df.columns, [name for name, _ in layers]
+    tables = [
+        layer.select(
+            F.col(key).alias("_of"), F.struct(F.lit(i).alias("layer"), F.col("label").alias("label")).alias("_told")
+        ).filter(F.col("_of").isNotNull() & F.col("label").isNotNull())
+        for i, (_, layer) in enumerate(layers)
+        if isinstance(layer, DataFrame)
+    ]
+    told = [
+        F.when(layer.isNotNull(), F.struct(F.lit(i).alias("layer"), layer.alias("label")))
+        for i, (_, layer) in enumerate(layers)
+        if isinstance(layer, Column)
+    ]
+    # columns are evaluated once, before the join
+    df = df.withColumn("_own", F.coalesce(*told) if told else F.lit(None).cast("struct<layer:int,label:string>"))
+    if tables:
+        first = reduce(DataFrame.unionByName, tables).groupBy("_of").agg(F.min("_told").alias("_told"))
+        df = skew_join(df, first, [(key, "_of")], "left")
+    else:
+        df = df.withColumn("_told", F.lit(None).cast("struct<layer:int,label:string>"))
+    won = F.least("_own", "_told")  # the smaller layer; null is passed over
     return df.select(
-        *columns,
-        F.coalesce(*found.values()).alias(label),
-        F.coalesce(*[F.when(c.isNotNull(), name) for name, c in found.items()]).alias(source),
+        *columns, won["label"].alias(label), F.get(F.array(*map(F.lit, names)), won["layer"]).alias(source)
     )
 
 
@@ -198,6 +209,8 @@ def rule_cascade(
     `rules` has the columns label, kind and pattern; patterns are plain strings.
     Every test is turned into equality of strings taken from the text, so all
     steps are one hash join and the smallest step number per distinct text wins.
+    A Bloom filter of the patterns, of bounded size, is asked first, where the strings
+    are made: those that no rule has are neither shuffled nor joined.
     """
     plan = F.array(
         *[
@@ -226,6 +239,7 @@ def rule_cascade(
             {"_max_words": max_words, "_max_length": max_length, **_parts(F.col("_text"))}
         )
         .select("_text", F.inline(_probes(tests, F.col("_max_words"), F.col("_max_length"))))
+        .filter(may_hold(bloom_filter(targets, ["test", "pattern"]), [F.col("test"), F.col("probe")]))
     )
     labels = (
         skew_join(

@@ -46,6 +46,50 @@ def with_group_max(
     return skew_join(df, peaks, list(named.items()), "left").drop(*named.values())
 
 
+FILTER_WORDS = 1 << 20  # 8 MB: what a filter takes at most, whatever the number of keys
+BITS_PER_KEY = 16
+HASHES = 4
+
+
+def _places(keys: Sequence[Column], words: Column) -> list[Column]:
+    """Bits that a key sets in a filter of so many 64-bit words."""
+    return [F.pmod(F.xxhash64(*keys, F.lit(i)), words.cast("long") * 64) for i in range(HASHES)]
+
+
+def bloom_filter(keys: DataFrame, columns: Sequence[str]) -> Column:
+    """A Bloom filter of the keys as one array of 64-bit words, for `may_hold`.
+
+    It is computed with the query that uses it, as a scalar subquery, and goes to all
+    tasks. Its size is `BITS_PER_KEY` bits for each key, which lets through one of some
+    400 others, and `FILTER_WORDS` at most; beyond that it lets through more.
+    """
+    counted = keys.agg(F.ceil(F.count(F.lit(1)) * BITS_PER_KEY / 64).alias("_tm_n"))
+    size = counted.select(F.least(F.greatest("_tm_n", F.lit(1)), F.lit(FILTER_WORDS)).cast("int").alias("_tm_words"))
+    places = F.array(*_places([F.col(c) for c in columns], F.col("_tm_words")))
+    bits = keys.select(*columns).join(F.broadcast(size)).select(F.explode(places).alias("at")).select(  # one row
+        F.shiftright("at", 6).cast("int").alias("word"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(63).cast("int")).alias("bits"),
+    )
+    empty = size.select(
+        F.explode(F.sequence(F.lit(0), F.col("_tm_words") - 1)).alias("word"), F.lit(0).cast("long").alias("bits")
+    )
+    words = bits.unionByName(empty).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"])
+    return words.agg(listed.alias("filter")).scalar()
+
+
+def may_hold(held: Column, keys: Sequence[Column]) -> Column:
+    """Whether a key may be in a Bloom filter; true for all that are."""
+    return reduce(
+        lambda a, b: a & b,
+        [
+            F.call_function("shiftrightunsigned", F.get(held, F.shiftright(at, 6).cast("int")), at.bitwiseAND(63).cast("int"))
+            .bitwiseAND(1) == 1
+            for at in _places(keys, F.size(held))
+        ],
+    )
+
+
 def _plain(column: str) -> Column:
     """A key that is null-safe in plain equality, so that windows and joins share one shuffle."""
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))

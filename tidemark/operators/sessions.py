@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import elapsed_seconds
 from tidemark.functions.keys import content_key
 from tidemark.operators.scale import skew_join
+from tidemark.session import stored
 
 DAY = 86_400
 STRETCH = 4_096  # slots that one window numbers
@@ -82,43 +83,54 @@ def assign_session(
     sessions: DataFrame,
     ts: str,
     partition: Sequence[str] = (),
-    slot_seconds: int = DAY,
 ) -> DataFrame:
     """Add the id of the session whose start and end enclose the timestamp.
 
     Rows outside all sessions keep null; null partitions match null ones. Sessions
-    of a partition must not overlap, as those of `gap_sessions` don't. Distinct
-    timestamps and the starts of sessions lie in one order per time slot, where the
-    last start before a timestamp is carried forward; a session goes on at the
-    start of each later slot that it touches. So no row meets more than one session,
-    however many are in its slot, and rows get their timestamp's session by a join
-    whose hot keys adaptive execution can split.
+    of a partition must not overlap, as those of `gap_sessions` don't.
+
+    Distinct timestamps and the starts of sessions are laid in one order and cut into
+    pieces of equal size by it, wherever that cuts a partition or a day. Inside a piece
+    the last start before a timestamp is carried forward; what a piece ends with is
+    carried on to the next pieces of its partition, of which there is one row each. So
+    no task depends on how many timestamps a day or a partition has. The pieces are
+    written once, as both steps must see the same ones. Rows get their timestamp's
+    session by a join whose hot keys adaptive execution can split.
     """
-    start, end = F.col("session_start"), F.col("session_end")
-    slots = F.sequence(_slot(start, slot_seconds), _slot(end, slot_seconds))
+    keys = [f"_of_{p}" for p in partition]
     listed = sessions.select(
-        *[F.col(p).alias(f"_of_{p}") for p in partition],
-        F.posexplode(slots).alias("_later", "_slot"),
-        start.alias("_at"),
+        *[F.col(p).alias(k) for p, k in zip(partition, keys, strict=True)],
+        F.col("session_start").alias("_at"),
         F.struct("session_id", "session_end").alias("_session"),
-    ).withColumn("_at", F.when(F.col("_later") == 0, F.col("_at")))  # goes on: before all others
+    )
     times = (
         df.filter(F.col(ts).isNotNull())
-        .select(*[F.col(p).alias(f"_of_{p}") for p in partition], F.col(ts).alias("_at"))
+        .select(*[F.col(p).alias(k) for p, k in zip(partition, keys, strict=True)], F.col(ts).alias("_at"))
         .distinct()
-        .withColumn("_slot", _slot(F.col("_at"), slot_seconds))
     )
-    keys = [f"_of_{p}" for p in partition]
-    in_time = Window.partitionBy(*keys, "_slot").orderBy(
-        F.col("_at").asc_nulls_first(), F.col("_session").isNull()
-    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = listed.drop("_later").unionByName(times, allowMissingColumns=True)
+    pieces = stored(
+        listed.unionByName(times, allowMissingColumns=True)
+        .repartitionByRange(*keys, "_at")
+        .withColumn("_piece", F.spark_partition_id())
+    )
+    in_time = Window.partitionBy(*keys, "_piece").orderBy("_at", F.col("_session").isNull()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    earlier = Window.partitionBy(*[f"_in{k}" for k in keys]).orderBy("_in_piece").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    ends = pieces.groupBy(*[F.col(k).alias(f"_in{k}") for k in keys], F.col("_piece").alias("_in_piece")).agg(
+        F.max_by("_session", F.when(F.col("_session").isNotNull(), F.col("_at"))).alias("_end")
+    )
+    carried = ends.withColumn("_carried", F.last("_end", ignorenulls=True).over(earlier)).drop("_end")
+    inside = pieces.withColumn("_last", F.last("_session", ignorenulls=True).over(in_time)).filter("_session is null")
+    on = [*[(k, f"_in{k}") for k in keys], ("_piece", "_in_piece")]
+    last = F.coalesce("_last", "_carried")
     found = (
-        both.withColumn("_last", F.last("_session", ignorenulls=True).over(in_time))
-        .filter("_session is null")
+        skew_join(inside, carried, on, "left")
         .select(
             *keys, F.col("_at").alias("_of_ts"),
-            F.when(F.col("_at") <= F.col("_last.session_end"), F.col("_last.session_id")).alias("session_id"),
+            F.when(F.col("_at") <= last["session_end"], last["session_id"]).alias("session_id"),
         )
         .filter("session_id is not null")
     )
@@ -134,9 +146,13 @@ def load_history(
     group: str = "group_name",
     table: str = "table_name",
 ) -> DataFrame:
-    """The manifest with session number and a composite id, in order of time."""
+    """The manifest with session number and a composite id, in order of time.
+
+    Rows of one time are ordered by group, table and the other columns, and so dealt to
+    several tasks however many there are.
+    """
     return (
         assign_session(manifest, sessions, ts)
         .withColumn("metadata_id", content_key("session_id", group, table))
-        .orderBy(ts)
+        .orderBy(ts, group, table, *[c for c in manifest.columns if c not in (ts, group, table)])
     )

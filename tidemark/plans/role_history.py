@@ -15,7 +15,6 @@ from tidemark.operators.history import stints
 from tidemark.operators.names import canonicalise
 from tidemark.operators.scale import skew_join
 from tidemark.operators.staging import drop_sentinels
-from tidemark.session import materialise
 
 # Placeholders in place of a name or a contact.
 NAME_PLACEHOLDERS = ("", "-", "--")
@@ -51,18 +50,17 @@ def role_history(
         rows, mapping, cols.name, mapping_raw, mapping_canonical, "full_name", fallback=False
     )
     keys = [cols.position, cols.unit]
-    # Read twice below: for the last date of each name and for the rows.
-    held = materialise(
-        stints(
-            rows, "full_name", keys, cols.date, gap_days,
-            carry=[cols.entity, cols.group],
-        )
+    held = stints(
+        rows, "full_name", keys, cols.date, gap_days, carry=[cols.entity, cols.group]
     )
-    # Key and last date join per name first, so that the rows are joined only once.
+    # Key and last date join per name first, so that the rows are joined only once. The
+    # last date is the largest of whole rows, which asks for the same columns as the rows
+    # do: so both sides end in the same exchange, and Spark runs it once.
     people = dim.select(F.col(dim_name).alias("_dim_name"), F.col(dim_key).alias("person_key"))
+    latest = F.max(F.struct("observed_to", *[c for c in held.columns if c not in ("full_name", "observed_to")]))
     names = (
         held.groupBy(F.col("full_name").alias("_name"))
-        .agg(F.max("observed_to").alias("_last"))
+        .agg(latest["observed_to"].alias("_last"))
         .join(people, F.col("_name") == F.col("_dim_name"), "left")
     )
     return skew_join(held, names, [("full_name", "_name")], "left").select(
