@@ -17,6 +17,7 @@ from tidemark.operators import (
 )
 from tidemark.plans.directory import name_tables, stage_history, update_intervals
 from tidemark.plans.directory import person_dim as build_person_dim
+from tidemark.plans.directory import snapshot_tables as build_snapshot_tables
 from tidemark.plans.report import report_tables
 from tidemark.plans.role_history import role_history as build_role_history
 from tidemark.plans.standardised import change_facts as build_change_facts
@@ -150,6 +151,33 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def snapshot_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People, units and manifest of one load from all pages, each the root of its own links."""
+    pages = t.load(spark, sf_dir, "pages").select("url", "html")
+    made = build_snapshot_tables(
+        pages, pages.select(F.col("url").alias("link")), "REGISTER", dt.datetime(2024, 6, 1, 8, 30), 2.5,
+        lists={"sections": ["nav"], "listing": "ul"},
+        records={
+            "sections": ["nav"], "fields": {"position": "a", "name": "a@href", "email": ".note"},
+            "required": ["position", "name"],
+        },
+    )
+    columns = {
+        "names": ("department", "name", "url", "position", F.lit(None).cast("long")),
+        "departments": ("parent_name", "department_name", "department_link", "children", F.lit(None).cast("long")),
+        "metadata": ("group_name", "table_name", F.lit(None).cast("string"), F.col("extraction_duration_seconds").cast("string"), "num_rows"),
+    }
+    parts = [
+        made[part].select(
+            F.lit(part).alias("part"), "group_name", "_accessed_at",
+            *[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in zip(("unit", "name", "link", "detail", "num_rows"), cols, strict=True)],
+        )
+        for part, cols in columns.items()
+    ]
+    return plain(reduce(DataFrame.unionByName, parts))
+
+
 @query
 def hierarchy_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = t.nodes(spark, sf_dir)
@@ -634,7 +662,8 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
         for c in df.columns:
             if c not in keys and c != "band":
                 parts.append(df.select(
-                    F.lit(name).alias("part"), group.alias("grp"), F.lit(c).alias("item"), F.col(c).cast("double").alias("value")
+                    F.lit(name).alias("part"), group.alias("grp"), F.lit(c).alias("item"), F.col(c).cast("double").alias("value"),
+                    (F.col("band") if c == "pct" and "band" in df.columns else F.lit(None).cast("string")).alias("band"),
                 ))
     return reduce(DataFrame.unionByName, parts)
 

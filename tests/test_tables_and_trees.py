@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import attributes, dims, names, quality, staging
-from tidemark.operators.hierarchy import flatten_hierarchy, walk_hierarchy
+from tidemark.operators import hierarchy
+from tidemark.operators.hierarchy import bucketed, flatten_hierarchy, walk_hierarchy
 from tidemark.operators.scd2 import scd2_merge
 from tidemark.operators.snapshots import load_manifest, stamp_snapshot
 from tidemark.session import forget_stored, stored
@@ -30,6 +31,25 @@ def test_walk_stops_at_cycles_and_repeats_shared_nodes(spark, rows):
     )
 
 
+def test_a_level_shuffles_its_nodes_only(spark):
+    """Stored edges lie by parent: only the nodes that were reached are exchanged."""
+    edges = spark.createDataFrame([(f"n{i}", f"n{2 * i + j}") for i in range(1, 40) for j in (0, 1)], "_parent string, _child string")
+    level = spark.createDataFrame([("n1", None, 0, ["n1"])], "node string, parent string, depth int, path array<string>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with bucketed(edges, "_parent") as links:
+            name = links.inputFiles()[0]
+            below = hierarchy._children(level, links, False, {})
+            assert sorted(r.node for r in below.collect()) == ["n2", "n3"]
+            plan = below._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    links_side = plan.split("SortMergeJoin")[1].split("FileScan")[0].rsplit(":- ", 1)[-1]
+    assert "Exchange hashpartitioning(node" in plan and name and "Exchange hashpartitioning(_parent" not in links_side
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tidemark_")]
+
+
 def test_flatten_joins_children_in_order(spark, rows):
     nodes = spark.createDataFrame(
         [("k", None, "Top", "/k", 0)] + [(f"c{i}", "k", f"C{i}", f"/c{i}", i) for i in (2500, 3, 1001)],
@@ -335,3 +355,24 @@ def test_quality_checks(spark):
     }
     empty = quality.run_checks(df.limit(0), [quality.Check("k", not_null=True, unique=True)])
     assert [r.failures for r in empty.collect()] == [0, 0]
+
+
+def test_checks_read_the_table_twice_at_most(spark, rows):
+    df = spark.createDataFrame(
+        [("a", 1, 0.0, None), ("b", 1, -0.0, "x"), (None, 2, 1.5, "y"), ("b", None, None, "y")], "s string, i int, d double, t string"
+    )
+    every = [quality.Check(c, not_null=True) for c in df.columns]
+    plan = quality.run_checks(df, every)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+    more = [quality.Check(c, unique=True, accepted=[df.first()[c]] if c != "t" else ["x"], not_null=True) for c in df.columns]
+    plan = quality.run_checks(df, more)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 2
+    got = {(r.column_name, r.rule): r.failures for r in quality.run_checks(df, more).collect()}
+    assert got == {
+        ("s", "not_null"): 1, ("i", "not_null"): 1, ("d", "not_null"): 1, ("t", "not_null"): 1,
+        ("s", "unique"): 1, ("i", "unique"): 1, ("d", "unique"): 1, ("t", "unique"): 1,
+        ("s", "accepted_values"): 1, ("i", "accepted_values"): 1, ("d", "accepted_values"): 1, ("t", "accepted_values"): 1,
+    }
+    assert quality.run_checks(df, []).count() == 0
+    none = quality.run_checks(df.limit(0), more)
+    assert rows(none.select("failures").distinct()) == [(0,)]

@@ -22,33 +22,36 @@ from tidemark.sources.pages import extract_page_links, extract_page_records
 
 def snapshot_tables(
     pages: DataFrame,
-    root: str,
+    root: str | DataFrame,
     group: str,
     observed_at: dt.datetime,
     seconds: float | None = None,
+    lists: Mapping | None = None,
+    records: Mapping | None = None,
 ) -> dict[str, DataFrame]:
     """People, units and manifest of one load, from fetched pages (url, html).
 
-    Units are reached from the page `root`, which stands for the group itself; a
-    unit listed on several pages appears under each of them, people included. A
-    unit whose page is missing has no people and no units below it. `seconds` is
-    how long fetching took.
+    Units are reached from the page `root`, or from several (a frame whose column is
+    `link`), which stand for the group itself; a unit listed on several pages appears
+    under each of them, people included. A unit whose page is missing has no people and
+    no units below it. `seconds` is how long fetching took. `lists` and `records` tell
+    where pages list units and people, as options of `extract_page_links` and
+    `extract_page_records`; people need the fields position, name and email.
     """
     spark = pages.sparkSession
-    links = extract_page_links(pages, parent="url").filter(F.col("link").isNotNull())
-    start = spark.range(1).select(F.lit(root).alias("link"))
+    links = extract_page_links(pages, parent="url", **(lists or {})).filter(F.col("link").isNotNull())
+    start = spark.range(1).select(F.lit(root).alias("link")) if isinstance(root, str) else root.select("link").distinct()
     walk = walk_hierarchy(materialise(links), start, "parent", "link", "ordinal", ["name"])
     places = F.col("trail")
+    way = F.concat(F.slice("path", 1, 1), F.transform(places, lambda p: p.cast("string")))  # the root, then places
     nodes = walk.select(
-        F.array_join(places, "/").alias("key"),
-        F.when(F.size(places) > 0, F.array_join(F.slice(places, 1, F.size(places) - 1), "/")).alias(
-            "parent"
-        ),
+        F.array_join(way, "/").alias("key"),
+        F.when(F.size(places) > 0, F.array_join(F.slice(way, 1, F.size(places)), "/")).alias("parent"),
         F.coalesce("name", F.lit(group)).alias("name"),
         F.col("node").alias("link"),
         F.element_at(F.concat(F.array(F.lit(0)), places), -1).alias("ordinal"),
     )
-    people = extract_page_records(pages, keep=["url"])
+    people = extract_page_records(pages, keep=["url"], **(records or {}))
     listed = nodes.select(F.col("name").alias("department"), F.col("link").alias("url"))
     names = people.join(listed, "url").select("position", "name", "email", "department", "url")
     loads = {
