@@ -79,10 +79,16 @@ def test_role_history(spark):
         [("Mr Jo", "Jo"), ("Jo", "Jo"), ("Jo", "Jo")], "raw string, clean string"
     )
     dim = spark.createDataFrame([("Jo", "key-of-jo")], "full string, id string")
+    spark.sparkContext.setJobGroup("planning", "no job runs before the result is asked for")
     got = role_history(
         seen, mapping, dim, Observed(group="grp"), "raw", "clean", "full", "id",
         date_moves={day(5): day(6)},
     )
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    of_stints = [line for line in plan.split("\n") if "Exchange hashpartitioning(full_name" in line and "stint_id" in line]
+    assert len([x for x in of_stints if "ReusedExchange" not in x]) == 1 and any("ReusedExchange" in x for x in of_stints)
     assert sorted(
         ((r.full_name, r.person_key, r.position, (r.observed_from - day(0)).days,
           r.observation_count, r.is_current) for r in got.collect()),

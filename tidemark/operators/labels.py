@@ -147,7 +147,7 @@ def _parts(text: Column) -> dict[str, Column]:
 
 
 def _probes(tests: set[str], max_words: Column, max_length: Column) -> Column:
-    """Array of (test, probe): every string whose equality with a pattern passes the test."""
+    """Array of (test, probe, hash of both): every string whose equality with a pattern passes the test."""
     words, size, head, tail = (F.col(c) for c in ("_words", "_size", "_head", "_tail"))
     mixed_first, mixed_last = F.col("_mixed_first"), F.col("_mixed_last")
     several = size > 1
@@ -189,7 +189,7 @@ def _probes(tests: set[str], max_words: Column, max_length: Column) -> Column:
     def marked(test: str) -> Column:
         probes = F.transform(
             F.array_distinct(strings[test]()),
-            lambda s: F.struct(F.lit(test).alias("test"), s.alias("probe")),
+            lambda s: F.struct(F.lit(test).alias("test"), s.alias("probe"), F.xxhash64(F.lit(test), s).alias("hashed")),
         )
         return F.coalesce(probes, F.array())
 
@@ -239,7 +239,8 @@ def rule_cascade(
             {"_max_words": max_words, "_max_length": max_length, **_parts(F.col("_text"))}
         )
         .select("_text", F.inline(_probes(tests, F.col("_max_words"), F.col("_max_length"))))
-        .filter(may_hold(bloom_filter(targets, ["test", "pattern"]), [F.col("test"), F.col("probe")]))
+        .filter(may_hold(bloom_filter(targets, ["test", "pattern"]), F.col("hashed")))
+        .drop("hashed")
     )
     labels = (
         skew_join(

@@ -48,12 +48,12 @@ def with_group_max(
 
 FILTER_WORDS = 1 << 20  # 8 MB: what a filter takes at most, whatever the number of keys
 BITS_PER_KEY = 16
-HASHES = 4
+SHIFTS = (0, 19, 38)  # parts of a key's hash that each choose a bit
 
 
-def _places(keys: Sequence[Column], words: Column) -> list[Column]:
-    """Bits that a key sets in a filter of so many 64-bit words."""
-    return [F.pmod(F.xxhash64(*keys, F.lit(i)), words.cast("long") * 64) for i in range(HASHES)]
+def _places(hashed: Column, words: Column) -> list[Column]:
+    """Bits that the hash of a key sets in a filter of so many 64-bit words."""
+    return [F.pmod(F.shiftrightunsigned(hashed, n), words.cast("long") * 64) for n in SHIFTS]
 
 
 def bloom_filter(keys: DataFrame, columns: Sequence[str]) -> Column:
@@ -61,12 +61,13 @@ def bloom_filter(keys: DataFrame, columns: Sequence[str]) -> Column:
 
     It is computed with the query that uses it, as a scalar subquery, and goes to all
     tasks. Its size is `BITS_PER_KEY` bits for each key, which lets through one of some
-    400 others, and `FILTER_WORDS` at most; beyond that it lets through more.
+    200 others, and `FILTER_WORDS` at most; beyond that it lets through more.
     """
     counted = keys.agg(F.ceil(F.count(F.lit(1)) * BITS_PER_KEY / 64).alias("_tm_n"))
     size = counted.select(F.least(F.greatest("_tm_n", F.lit(1)), F.lit(FILTER_WORDS)).cast("int").alias("_tm_words"))
-    places = F.array(*_places([F.col(c) for c in columns], F.col("_tm_words")))
-    bits = keys.select(*columns).join(F.broadcast(size)).select(F.explode(places).alias("at")).select(  # one row
+    places = F.array(*_places(F.col("_tm_hash"), F.col("_tm_words")))
+    hashes = keys.select(F.xxhash64(*columns).alias("_tm_hash"))
+    bits = hashes.join(F.broadcast(size)).select(F.explode(places).alias("at")).select(  # one row
         F.shiftright("at", 6).cast("int").alias("word"),
         F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(63).cast("int")).alias("bits"),
     )
@@ -78,14 +79,14 @@ def bloom_filter(keys: DataFrame, columns: Sequence[str]) -> Column:
     return words.agg(listed.alias("filter")).scalar()
 
 
-def may_hold(held: Column, keys: Sequence[Column]) -> Column:
-    """Whether a key may be in a Bloom filter; true for all that are."""
+def may_hold(held: Column, hashed: Column) -> Column:
+    """Whether the key of an `xxhash64` may be in a Bloom filter; true for all that are."""
     return reduce(
         lambda a, b: a & b,
         [
             F.call_function("shiftrightunsigned", F.get(held, F.shiftright(at, 6).cast("int")), at.bitwiseAND(63).cast("int"))
             .bitwiseAND(1) == 1
-            for at in _places(keys, F.size(held))
+            for at in _places(hashed, F.size(held))
         ],
     )
 
