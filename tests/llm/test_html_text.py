@@ -1,8 +1,10 @@
 import json
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from tidemark.llm.html_text import EQUAL, Alignment, Page, Reference, extract_text, host_of, mark_of
+from tidemark.llm.html_text import EQUAL, Alignment, Page, Reference, extract_text, host_of, main_text, mark_of
 from tidemark.llm.queries import op9_html_text
 
 PAGES = [
@@ -21,20 +23,31 @@ PAGES = [
     ("<P>UP</P><SCRIPT>no</SCRIPT>", ["UP"]), ("<script>never closed <p>x", []), ("<!-- never closed <p>x", []),
     ("<span class=advert>ad</span>text", ["text"]), ("<div role=navigation>n</div>x", ["x"]),
     ("<article><p>a</p></article><article><p>b</p></article>", ["a", "b"]), ("&nbsp;x&nbsp;y&copy;", ["x y©"]),
+    ("<div class=\"page-with-sidebar\"><p>a</p><div class=sidebar>s</div></div>", ["a"]),
+    ("<div class=\"ad-free content\"><p>a</p></div><div class=ad-slot-2>ad</div>", ["a"]),
+    ("<div class=\"search-results article\"><p>a</p></div>", ["a"]),
+    ("<main><p>body</p><article><p>teaser</p></article></main>", ["body", "teaser"]),
+    ("<main><article><p>a</p></article></main><article>other</article><p>x</p>", ["a", "other"]),
+    ("<div class=sidebar><p>all there is</p><div class=ad>ad</div></div>", ["all there is"]),
+    ("<div class=comments><p>all there is</p></div>", []), ("<form><label>q</label></form>", []),
+    ("<form><main><p>a b c</p></main><nav>n</nav></form>", ["a b c"]),
+    ("<article><div class=post-header><h1>T</h1></div><p>x</p><div class=article-comments>c</div></article>", ["T", "x"]),
 ]
 
 
 @pytest.mark.parametrize("source, blocks", PAGES)
 def test_blocks(source, blocks):
-    assert Page(source).blocks == blocks
+    page = Page(source)
+    assert [page.blocks[i] for i in page.content()] == blocks
 
 
 def test_tree_has_every_block_once():
     def leaves(node):
         return [x for c in node[1] for x in ([c] if isinstance(c, int) else leaves(c))]
 
-    for source, blocks in PAGES:
-        assert sorted(leaves(Page(source).tree)) == list(range(len(blocks)))
+    for source, _ in PAGES:
+        page = Page(source)
+        assert leaves(page.tree) == list(range(len(page.blocks)))
     deep = Page("<div>" * 3000 + "x" + "</div>" * 3000 + "<p>y</p>")
     assert deep.blocks == ["x", "y"] and sorted(leaves(deep.tree)) == [0, 1]
     json.dumps(deep.tree)
@@ -66,7 +79,7 @@ def test_alignment_is_the_best():
     assert ("a", "a") in texts and ("1", "1") in texts
 
 
-def test_long_lists_are_anchored(monkeypatch):
+def test_equal_blocks_of_long_lists_are_matched(monkeypatch):
     monkeypatch.setattr("tidemark.llm.html_text.CELLS", 20)
     left = Page("".join(f"<p>l{i}</p>" for i in range(8)) + "<p>foot</p>")
     right = Page("<p>r0</p><p>l3</p><p>r1</p><p>l6</p><p>l5</p><p>foot</p>")
@@ -126,6 +139,74 @@ def test_an_odd_page_changes_no_template(frame, first, parts):
     assert got == {i: "\n".join(f"text {i} {k}" for k in range(i % 4 + 1)) for i in range(9)}
 
 
+def plain_site(i):
+    """A page without a telling element or class."""
+    head = f"<div class=x1><div>Daily News</div><ul><li>Home</li><li>Contact</li>{'<li>Sale</li>' if i % 5 == 0 else ''}</ul></div>"
+    text = "".join(f"<p>part {k} of story {i}</p>" for k in range(i % 3 + 1))
+    return (i, f"http://plain.example/{i}", f"{head}<div class=x2>{text}</div><div class=x3><p>Kept by us</p><p>Call 555</p></div>")
+
+
+def by_counting(pages, least=5, constant=0.8):
+    """Main texts of one host's pages without marks: blocks at paths that nearly all pages have are left out."""
+    def paths(node, path=""):
+        return [x for c in node[1] for x in ([(path, c)] if isinstance(c, int) else paths(c, f"{path}/{c[0]}"))]
+
+    read = [[(path, page.blocks[i]) for path, i in paths(page.tree)] for page in map(Page, pages)]
+    n = {}
+    for one in {tuple(r) for r in read}:
+        for key in set(one):
+            n[key] = n.get(key, 0) + 1
+    different = len({tuple(r) for r in read})
+    return ["\n".join(t for p, t in r if different < least or n[p, t] < constant * different) for r in read]
+
+
+@pytest.mark.parametrize("merged", [256, 2])
+def test_no_telling_name(frame, merged, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.html_text.MERGED", merged)
+    rows = [plain_site(i) for i in range(20)]
+    got = {r.page_id: r.text for r in extract_text(frame(rows, "page_id long, url string, html string").repartition(4)).collect()}
+    for i in range(20):
+        story = [f"part {k} of story {i}" for k in range(i % 3 + 1)]
+        assert got[i].split("\n") == (["Sale"] if i % 5 == 0 else []) + story
+    assert [got[i] for i in range(20)] == by_counting([html for _, _, html in rows])
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.sampled_from(["p", "div", "li"]), st.sampled_from("abcdef")), max_size=6), min_size=1, max_size=9))
+def test_template_is_what_counting_finds(pages):
+    """Simple tree matching and counting agree where no text repeats in a page."""
+    sources = []
+    for i, blocks in enumerate(pages):
+        once = sorted({text: tag for tag, text in blocks}.items())
+        sources.append("".join(f"<{tag}>{text}</{tag}>" for text, tag in [*once, (f"own {i}", "p")]))
+    whole = None
+    for source in sources:
+        page = Page(source)
+        one = Reference(page.tree, [mark_of(b) for b in page.blocks])
+        if whole is None:
+            whole = one
+        else:
+            whole.add(one)
+    found = whole.template(5, 0.8)
+    template = tuple(json.loads(found)) if found else None
+    assert [main_text(s, template) for s in sources] == by_counting(sources)
+
+
+def test_copies_with_other_adverts_are_no_template(frame):
+    rows = [(i, "http://a/x", f"<article><p>the same article</p></article><div class=ad>buy {i}</div>") for i in range(30)]
+    got = extract_text(frame(rows, "page_id long, url string, html string")).collect()
+    assert {r.text for r in got} == {"the same article"} and len(got) == 30
+
+
+def test_own_names_may_be_taken(frame):
+    names = "page_id long, url string, html string, _tm_html string, _tm_host string, _tm_template string, host string"
+    rows = [(i, f"http://a/{i}", f"<p>x{i}</p><p>kept</p>", "h", "o", "t", "a") for i in range(9)]
+    got = extract_text(frame(rows, names)).collect()
+    assert {(r.page_id, r.text, r._tm_html, r._tm_host, r._tm_template, r.host) for r in got} == {
+        (i, f"x{i}", "h", "o", "t", "a") for i in range(9)
+    }
+
+
 def test_references_merge_in_any_order():
     pages = [Page(site(i)[2]) for i in range(9)]
     singles = [lambda p=p: Reference(p.tree, [mark_of(b) for b in p.blocks]) for p in pages]

@@ -1,8 +1,11 @@
 """Main text of pages, with templates learnt per host by aligning DOM trees.
 
-Pages become trees of their block elements, menus, headers, footers, sidebars, notices,
-adverts, forms, scripts and reader comments left out. A text node that says the same on
-nearly all different pages of a host is template; the others' texts are content.
+Pages become trees of all their visible block elements. A text node that says the same on
+nearly all different pages of a host is template, whatever its element or class is called.
+What varies is content, unless its element or a name in its tag says that it is a menu, a
+header, footer, sidebar, notice, advert, form or reader comment. Such names also tell which
+pages differ: pages that say the same outside of named elements count once, so copies of an
+article with other adverts around it don't make the article a template.
 
 Such a node has the same text under the same elements on nearly all pages, which is
 counted first. Pages are reduced to the blocks that this leaves, equal ones of a host to
@@ -17,7 +20,7 @@ import hashlib
 import html
 import json
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Sequence
 from math import isqrt
 
 import pandas as pd
@@ -26,11 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import Scratch, extended, scratch
+from tidemark.llm.common import Scratch, extended, own
+from tidemark.session import stored
 
 LEAST_PAGES = 5     # compared pages before a node can be template
 CONSTANT = 0.8      # share of them on which it must say the same
-DEEPEST = 40        # levels of the trees; what lies deeper hangs on the last
+DEEPEST = 200       # levels of the trees; what lies deeper hangs on the last, its text whole
+MERGED = 256        # reduced pages of a host that one call lays on each other
 EQUAL = 4           # weight of blocks with equal text in an alignment
 CELLS = 40_000      # of an alignment table held whole; of larger ones some rows are held, the rest made again
 HOSTS_HELD = 2_000  # templates that a task keeps read
@@ -44,20 +49,31 @@ BLOCKS = set(
 )
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = set(
-    "nav header footer aside form menu dialog button select noscript template svg canvas object audio "
-    "video head script style textarea title iframe noembed noframes fieldset math".split()
+HIDDEN = set(
+    "select noscript template svg canvas object audio video head script style textarea title iframe noembed "
+    "noframes math button".split()
 )
+NAMED_ELEMENTS = set("nav header footer aside form menu dialog fieldset".split())
 ROLES = set("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
-# Words in class and id names that mark what is not the article.
-MARKS = set(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner "
-    "nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager "
+# Words that class and id names of what is not the article end in.
+FOREIGN = set(  # never the article, even if they hold most of a page
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion "
+    "cookie cookies consent gdpr comment comments reply replies respond disqus".split()
+)
+MARKS = FOREIGN | set(
+    "banner nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager "
     "header masthead topbar footer copyright sidebar aside widget widgets related recommended "
-    "share sharing social cookie cookies consent gdpr notice notices alert newsletter subscribe "
-    "subscription popup modal overlay signup login search form "
-    "comment comments reply replies respond disqus".split()
+    "share sharing social notice notices alert newsletter subscribe "
+    "subscription popup modal overlay signup login search form".split()
+)
+# Words that may follow a mark in a name.
+PARTS = set(
+    "area bar block bottom box button buttons col column container group holder icon icons inner item items left "
+    "link links list message outer panel right row section slot text thread title top unit wrap wrapper".split()
 )
+UNMARKED = set("no not has with without free hide".split())  # a name with one of them marks nothing
+CONTENT = set("article body content entry main page post story text".split())  # nor do names beside one of them
+
 CLOSED_BY = {  # an open element that a start tag ends, and where to stop looking
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "dt": ({"dt", "dd"}, {"dl"}),
@@ -77,58 +93,110 @@ NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
 
 
-def is_marked(attributes: str) -> tuple[bool, bool]:
-    """Whether names in a tag mark boilerplate, and whether its role is main."""
-    marked = main = False
+def is_mark(name: str) -> str | None:
+    """The mark that a class or id name ends in, parts and numbers after it aside.
+
+    `reader-comments`, `siteHeader` and `ad-slot-2` are marked, `page-with-sidebar`, `ad-free`
+    and `search-results` are not, nor are headers of an article (`post-header`).
+    """
+    words = [w.lower() for w in WORD.findall(name)]
+    if not UNMARKED.isdisjoint(words):
+        return None
+    while words and words[-1] not in MARKS and (words[-1] in PARTS or words[-1].isdigit()):
+        words.pop()
+    own_heading = "header" in words[-1:] and set(words) & CONTENT - {"main", "page"}
+    if not words or words[-1] not in MARKS or own_heading:
+        return None
+    return words[-1]
+
+
+def marks_of(attributes: str) -> tuple[set[str], bool]:
+    """Marks of a tag (its names and role), and whether its role is main."""
+    found, main = set(), False
     for key, *values in NAMED.findall(attributes):
         value = "".join(values)
         if key.lower() == "role":
             main |= value.lower() == "main"
-            marked |= value.lower() in ROLES
-            continue
-        for name in value.split():
-            words = [w.lower() for w in WORD.findall(name)]
-            if words and words[0] not in ("no", "has", "with", "without"):
-                marked |= not MARKS.isdisjoint(words)
-    return marked, main
+            if value.lower() in ROLES:
+                found.add("role")
+        elif CONTENT.isdisjoint(names := value.split()):
+            found |= {m for n in names if (m := is_mark(n))}
+    return found, main
 
 
 class Page:
     """Blocks of text in page order and the tree of elements around them.
 
     A tree node is [label, children]; a child is a node or the number of a block.
+    `content` tells which blocks are the main text.
     """
 
     def __init__(self, source: str):
         self.blocks: list[str] = []
-        self.region: list[int] = []  # 2 inside an article, 1 inside the main part, else 0
+        self.region: list[int] = []  # 1 inside the main part, 2 inside an article, 3 inside both
+        self.paragraph: list[bool] = []  # whether the text is in a paragraph
+        self.named: list[int] = []  # innermost marked element around, 0 if none
+        self.around = [0]  # the marked element around a marked one
+        self.spared = [0]  # 2 for marks that may be layout alone, 1 for forms, else 0
         self.tree: list = ["page", []]
         self._parse(source)
-        best = max(self.region, default=0)
-        keep = [r == best for r in self.region]
-        if not all(keep):
-            number, blocks = {}, []
-            for i, text in enumerate(self.blocks):
-                if keep[i]:
-                    number[i] = len(blocks)
-                    blocks.append(text)
-            self.tree = _renumbered(self.tree, number)
-            self.blocks = blocks
+
+    def content(self, template: Collection[int] = ()) -> list[int]:
+        """Numbers of the blocks of the main text, given those of the template.
+
+        A marked element does not count as such if nothing but marked text would be left
+        and it holds most of it, in paragraphs or in an article or main part. Adverts, notices
+        of cookies and comments always do.
+        """
+        left = [i for i in range(len(self.blocks)) if i not in template]
+        lifted: set[int] = set()
+        while not (plain := [i for i in left if not self._is_named(i, lifted)]):
+            held = self._held(left, lifted)
+            most = max(held, key=lambda m: (held[m], -m), default=0)
+            if not most or 2 * held[most] <= sum(len(self.blocks[i]) for i in left):
+                break
+            lifted.add(most)
+        if any(self.region[i] == 1 and self.paragraph[i] for i in plain):  # the articles are parts of it
+            return [i for i in plain if self.region[i] & 1]
+        for part in (2, 1):
+            if among := [i for i in plain if self.region[i] & part]:
+                return among
+        return plain
+
+    def _is_named(self, block: int, lifted: set[int]) -> bool:
+        mark = self.named[block]
+        while mark in lifted:
+            mark = self.around[mark]
+        return mark > 0
+
+    def _held(self, left: list[int], lifted: set[int]) -> dict[int, int]:
+        """Text in the marked elements that may be spared."""
+        held: dict[int, int] = {}
+        for i in left:
+            mark = self.named[i]
+            while mark:
+                fits = self.region[i] or self.paragraph[i] and self.spared[mark] == 2
+                if self.spared[mark] and fits and mark not in lifted:
+                    held[mark] = held.get(mark, 0) + len(self.blocks[i])
+                mark = self.around[mark]
+        return held
 
     def _parse(self, source: str) -> None:
-        # open elements: name, tree node, region, whether it is dropped
-        stack = [("", self.tree, 0, False)]
+        # open elements: name, tree node, region, marked element, whether it is hidden
+        stack = [("", self.tree, 0, 0, False)]
         held: list[str] = []
 
         def flush() -> None:
             if held:
                 text = " ".join(html.unescape("".join(held)).split())
                 held.clear()
-                _, node, region, _ = next(e for e in reversed(stack) if not e[3])
+                _, node, region, mark, _ = next(e for e in reversed(stack) if not e[4])
                 if text:
                     node[1].append(len(self.blocks))
                     self.blocks.append(text)
                     self.region.append(region)
+                    self.named.append(mark)
+                    self.paragraph.append(any(e[0] == "p" for e in stack))
 
         def close(until: int) -> None:
             if any(e[0] in BLOCKS for e in stack[until:]):
@@ -139,7 +207,7 @@ class Page:
         for tag in TAG.finditer(source):
             if tag.start() < at:  # inside a raw element
                 continue
-            if tag.start() > at and not stack[-1][3]:
+            if tag.start() > at and not stack[-1][4]:
                 held.append(source[at : tag.start()])
             at = tag.end()
             name = (tag[2] or tag[5] or "").lower()
@@ -166,20 +234,19 @@ class Page:
                     held.append(" ")
                 continue
             self._open(name, attributes, stack, flush, close)
-        if at < len(source) and not stack[-1][3]:
+        if at < len(source) and not stack[-1][4]:
             held.append(source[at:])
         flush()
 
-    @staticmethod
-    def _open(name: str, attributes: str, stack: list, flush, close) -> None:
+    def _open(self, name: str, attributes: str, stack: list, flush, close) -> None:
         block = name in BLOCKS
-        marked, main = is_marked(attributes) if "=" in attributes else (False, False)
-        _, _, region, dropped = stack[-1]
-        inside = region == 2 and name == "header"  # an article's own heading
-        drop = dropped or not inside and name in DROPPED or marked and not (
-            name in ("html", "body", "main", "article") or main or inside
-        )
-        if not block and drop == dropped:
+        marks, main = marks_of(attributes) if "=" in attributes else (set(), False)
+        if main or name in ("html", "body", "main", "article"):
+            marks = set()
+        if name in NAMED_ELEMENTS:
+            marks = marks | {name}
+        hidden = stack[-1][4] or name in HIDDEN or bool(marks) and not block
+        if not block and hidden == stack[-1][4]:
             return  # an inline element changes nothing
         if block:
             flush()
@@ -191,17 +258,22 @@ class Page:
                     close(i)
                     if stack[-1][0] not in ends:
                         break
-            _, _, region, dropped = stack[-1]
-            drop = drop or dropped
-        if not drop:
-            region = max(region, 2 if name == "article" else 1 if name == "main" or main else 0)
-        parent = stack[-1][1]
-        if drop or len(stack) >= DEEPEST:
+        _, parent, region, mark, above = stack[-1]
+        hidden = hidden or above
+        if marks and block and not (name == "header" and region & 2):  # an article's own heading is none
+            self.around.append(mark)
+            self.spared.append(
+                1 if name == "form" else 0 if name in NAMED_ELEMENTS or marks & FOREIGN else 2
+            )
+            mark = len(self.around) - 1
+        if not hidden:
+            region |= 2 if name == "article" else 1 if name == "main" or main else 0
+        if hidden or len(stack) >= DEEPEST:
             node = parent
         else:
             node = [name, []]
             parent[1].append(node)
-        stack.append((name, node, region, drop))
+        stack.append((name, node, region, mark, hidden))
 
 
 def _renumbered(node: list, number: dict[int, int]) -> list:
@@ -364,14 +436,15 @@ def _keys(node: list, blocks: list[str], path: str = "") -> Iterator[tuple[int,
 
 
 def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tree, marks and keys of pages with blocks, and a digest of their blocks."""
+    """Tree, marks and keys of pages with blocks, and a digest of their content."""
     for batch in batches:
         made: dict[tuple, tuple[str, list[int]]] = {}
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = Page(source or "")
             marks = [mark_of(b) for b in page.blocks]
             if marks:
-                key = (host, hashlib.blake2b(json.dumps(marks).encode(), digest_size=16).digest())
+                said = [marks[i] for i in page.content()] or marks
+                key = (host, hashlib.blake2b(json.dumps(said).encode(), digest_size=16).digest())
                 outline = json.dumps([page.tree, marks], separators=(",", ":"))
                 keys = [k for _, k in sorted(_keys(page.tree, page.blocks))]
                 made[key] = min((outline, keys), made.get(key, (outline, keys)))
@@ -384,7 +457,7 @@ def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages reduced to the blocks of wanted keys, equal ones of a host counted."""
+    """Pages reduced to the blocks of wanted keys, equal ones of a host counted in a batch of pages."""
     held: dict[tuple, int] = {}
 
     def out() -> pa.RecordBatch:
@@ -408,18 +481,52 @@ def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+def _referenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Reduced pages as references, of as many pages as are equal."""
+    for batch in batches:
+        made = []
+        for page, n in zip(batch.column("page").to_pylist(), batch.column("n").to_pylist(), strict=True):
+            tree, marks = json.loads(page)
+            made.append(Reference(tree, marks, [n] * len(marks), n).dump())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("host"), batch.column("pages"), pa.array(made, pa.string()), batch.column("n")],
+            ["host", "pages", "reference", "n"],
+        )
+
+
 def _merge(rows: pd.DataFrame) -> Reference:
-    """All reduced pages of a host on the most frequent one."""
-    whole = None
-    for n, page in sorted(zip(rows["n"].tolist(), rows["page"], strict=True), key=lambda r: (-r[0], r[1])):
-        tree, marks = json.loads(page)
-        one = Reference(tree, marks, [n] * len(marks), n)
-        if whole is None:
-            whole = one
-        else:
-            whole.add(one)
-    whole.pages = int(rows["pages"].iloc[0])  # also those without any of the blocks
-    return whole
+    """References of a host, those of most pages first."""
+    first, *others = [
+        Reference.load(r) for _, r in sorted(zip(rows["n"].tolist(), rows["reference"], strict=True), key=lambda r: (-r[0], r[1]))
+    ]
+    for one in others:
+        first.add(one)
+    return first
+
+
+def _merged(rows: pd.DataFrame) -> pd.DataFrame:
+    whole = _merge(rows)
+    return pd.DataFrame(
+        {"host": [rows["host"].iloc[0]], "pages": [rows["pages"].iloc[0]], "reference": [whole.dump()], "n": [whole.pages]}
+    )
+
+
+def _in_rounds(reduced: DataFrame, merged: int, space: Scratch) -> DataFrame:
+    """One reference for each host, at most about `merged` laid on each other in a call.
+
+    The references of a round are dealt by a hash of what they are, so reruns agree.
+    """
+    schema = "host string, pages long, reference string, n long"
+    while True:
+        counts = reduced.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("m"))
+        if not (counts.agg(F.max("m")).first()[0] or 0) > merged:
+            return reduced.groupBy("host").applyInPandas(_merged, schema)
+        parts = F.ceil(F.col("m") / F.lit(merged)).cast("int")
+        reduced = space.table(
+            reduced.join(counts, F.col("host") == F.col("of"))
+            .withColumn("part", F.pmod(F.xxhash64("reference"), parts))
+            .groupBy("host", "part").applyInPandas(_merged, schema)
+        )
 
 
 def host_of(url: Column) -> Column:
@@ -430,16 +537,29 @@ def host_of(url: Column) -> Column:
 
 def learn_templates(
     pages: DataFrame, url: str = "url", source: str = "html",
-    least_pages: int = LEAST_PAGES, constant: float = CONSTANT,
+    least_pages: int = LEAST_PAGES, constant: float = CONSTANT, merged: int | None = None,
 ) -> DataFrame:
-    """`host` and `template` (a tree as JSON) of the hosts that have template nodes."""
+    """`host` and `template` (a tree as JSON) of the hosts that have template nodes.
+
+    Pages of a host with equal content are one page, whatever their ids and partitions;
+    which of them gives the other blocks is the least by its tree. Null and empty html and
+    pages without visible text are no pages here, null and odd addresses no hosts. An empty
+    table, and hosts of fewer than `least_pages` pages, give no rows. Only the two named
+    columns are read.
+    """
     given = pages.select(host_of(F.col(url)).alias("host"), F.col(source).alias("html")).filter("host <> ''")
 
-    def finished(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "template": [_merge(rows).template(least_pages, constant)]})
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        whole = Reference.load(rows["reference"].iloc[0])
+        whole.pages = int(rows["pages"].iloc[0])  # also those without any of the blocks
+        return pd.DataFrame({"host": rows["host"], "template": [whole.template(least_pages, constant)]})
+
+    def finished(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for i in range(len(part)):
+                yield one(part.iloc[i : i + 1].reset_index(drop=True))
 
     with Scratch(pages.sparkSession, "outlines") as space:
-        # pages of a host that are equal in all blocks are one page, in the whole table
         outlines = given.mapInArrow(_outlines, "host string, digest binary, page string, keys array<long>")
         once = outlines.groupBy("host", "digest").agg(F.min(F.struct("page", "keys")).alias("one"))
         once = space.table(once.select("host", "one.page", "one.keys"))
@@ -456,25 +576,30 @@ def learn_templates(
             .filter(F.col("n") >= F.lit(constant) * F.col("pages"))
             .groupBy("of", "pages").agg(F.collect_list("key").alias("wanted"))
         )
-        reduced = (
+        reduced = space.table(
             once.join(wanted, F.col("host") == F.col("of"))
             .select("host", "pages", "page", "keys", "wanted")
             .mapInArrow(_reduced, "host string, pages long, page string, n long")
             .groupBy("host", "pages", "page").agg(F.sum("n").alias("n"))
+            .mapInArrow(_referenced, "host string, pages long, reference string, n long")
         )
-        learnt = reduced.groupBy("host").applyInPandas(lambda rows: finished(rows), "host string, template string")
+        learnt = _in_rounds(reduced, merged or MERGED, space).mapInPandas(finished, "host string, template string")
         return space.result(learnt.filter("template is not null"))
 
 
-def main_text(source: str, template: tuple[list, list[int]] | None) -> str:
-    """The blocks of a page's content, a line each, without those that match the template."""
-    page = Page(source)
+def template_blocks(page: Page, template: tuple[list, list[int]] | None) -> set[int]:
+    """Numbers of the blocks of a page that match its host's template."""
     if template is None:
-        return "\n".join(page.blocks)
+        return set()
     marks = [mark_of(b) for b in page.blocks]
     tree, constant = template
-    drop = {j for i, j in Alignment(tree, page.tree, constant, marks).pairs if constant[i] == marks[j]}
-    return "\n".join(b for j, b in enumerate(page.blocks) if j not in drop)
+    return {j for i, j in Alignment(tree, page.tree, constant, marks).pairs if constant[i] == marks[j]}
+
+
+def main_text(source: str, template: tuple[list, list[int]] | None) -> str:
+    """The blocks of a page's content, a line each, without those that match the template."""
+    page = Page(source)
+    return "\n".join(page.blocks[i] for i in page.content(template_blocks(page, template)))
 
 
 def extract_text(
@@ -487,8 +612,9 @@ def extract_text(
 ) -> DataFrame:
     """Add `text`, the main text of every page, and `n_chars` (code points).
 
-    The main text is the page's article elements; without any, its main part; without
-    that, its body. Blocks are in page order, each on a line, white space in them made
+    What matches the host's template and what lies in marked elements is left out. Of the
+    rest, the main text is what the page's article elements hold; without any, its main part, which
+    also goes before articles if it has paragraphs outside of them; without that, its body. Blocks are in page order, each on a line, white space in them made
     one space. A host needs `least_pages` pages before any text counts as its template.
     Null and empty html, and pages without content, have empty text. Pages with null or
     odd addresses belong to no host. One row out for every row in; input columns named
@@ -497,12 +623,13 @@ def extract_text(
     added = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     carried, schema = extended(pages, carry, added)
     names = schema.fieldNames()
+    at_html, at_template, at_host = (own(pages, f"_tm_{c}") for c in ("html", "template", "host"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple] = {}
         for batch in batches:
             texts = []
-            for one, found in zip(batch.column("_tm_html").to_pylist(), batch.column("_tm_template").to_pylist(), strict=True):
+            for one, found in zip(batch.column(at_html).to_pylist(), batch.column(at_template).to_pylist(), strict=True):
                 if found and found not in known:
                     if len(known) >= HOSTS_HELD:
                         known.clear()
@@ -512,11 +639,8 @@ def extract_text(
             yield pa.RecordBatch.from_arrays([made[n] if n in made else batch.column(n) for n in names], names)
 
     # one row per host at most, kept in the shared folder: Spark broadcasts it by its size
-    path = scratch(pages.sparkSession, "templates")
-    learnt = learn_templates(pages, url, source, least_pages, constant)
-    learnt.write.parquet(path)
-    templates = pages.sparkSession.read.schema(learnt.schema).parquet(path).select(
-        F.col("host").alias("_tm_host"), F.col("template").alias("_tm_template")
+    templates = stored(learn_templates(pages, url, source, least_pages, constant)).select(
+        F.col("host").alias(at_host), F.col("template").alias(at_template)
     )
-    rows = pages.select(*carried, F.col(source).alias("_tm_html"), host_of(F.col(url)).alias("_tm_host"))
-    return rows.join(templates, "_tm_host", "left").drop("_tm_host").mapInArrow(work, schema)
+    rows = pages.select(*carried, F.col(source).alias(at_html), host_of(F.col(url)).alias(at_host))
+    return rows.join(templates, at_host, "left").drop(at_host).mapInArrow(work, schema)
