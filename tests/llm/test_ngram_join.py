@@ -1,10 +1,12 @@
 import random
+import tracemalloc
 
 import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.llm import ngram_join
 from tidemark.llm.components import components
 from tidemark.llm.common import Scratch
 from tidemark.llm.ngram_join import Hasher, bands_and_rows, near_duplicates, one_of_each, words_of
@@ -91,7 +93,7 @@ def test_groups_whose_leader_is_not_like_all(frame, seed, share, block):
     assert partition([r.class_id for r in got]) == partition(labels)
 
 
-@pytest.mark.parametrize("block", [4, 512])
+@pytest.mark.parametrize("block", [2, 4, 512])
 def test_every_link_of_a_text_counts(frame, block):
     """Not only those that join its class: brute force over all pairs of different texts."""
     rng = random.Random(5)
@@ -107,6 +109,72 @@ def test_every_link_of_a_text_counts(frame, block):
     assert got[rows[-1][0]].n_links == 2 and max(want.values()) > 10
 
 
+def block_rows(texts, second=0, **more):
+    rows = []
+    for k, text in enumerate(texts):
+        raw = text.encode()
+        weight = ngram_join.GRAM_BYTES * max(1, len(words_of(raw)) - 4) + 5 * len(raw)
+        rows.append({"key": bytes([k]), "raw": raw, "weight": weight, "times": k % 3 + 1, "i": 0, "j": second and 1,
+                     "block": int(k < second), "component": bytes([k]), "band": 7, "bands": [7], **more})
+    return rows
+
+
+@pytest.mark.parametrize("second", [0, 11])
+def test_runs_of_a_block_find_the_same(monkeypatch, second):
+    """Blocks held in parts give the counts and classes of blocks held whole."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(50)}" for _ in range(120)]
+    rows = block_rows([edited(rng, base, rng.choice([0.003, 0.02])) for _ in range(30)], second)
+    whole = sorted(ngram_join._counts_of_block(rows, 5, 0.8))
+
+    def joined():
+        up = {r["key"]: r["key"] for r in rows}
+        for a, b in ngram_join._links_of_block(rows, 5, 0.8):
+            old, new = up[a], up[b]
+            up = {k: new if v == old else v for k, v in up.items()}
+        return partition(list(up.values()))
+
+    classes = joined()
+    assert len(whole) > 10
+    for most in (1, rows[0]["weight"] * 3):
+        monkeypatch.setattr("tidemark.llm.ngram_join.BLOCK_BYTES", most)
+        assert sorted(ngram_join._counts_of_block(rows, 5, 0.8)) == whole and joined() == classes
+
+
+def test_memory_of_a_block_of_long_texts(monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(10_000)]
+    rows = block_rows([" ".join([*base[k:], *base[:k]]) for k in range(24)])
+    monkeypatch.setattr("tidemark.llm.ngram_join.BLOCK_BYTES", 10_000_000)
+    tracemalloc.start()
+    found = ngram_join._counts_of_block(rows, 5, 0.8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    times = [r["times"] for r in rows]
+    assert sorted(c for _, c in found) == sorted(sum(times) - t for t in times)
+    assert peak < 3 * 10_000_000  # the sets of two runs, and their numbers
+    assert len(ngram_join._runs(rows)) > 3
+
+
+def test_blocks_by_bytes_change_nothing(frame, monkeypatch):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(50)}" for _ in range(120)]
+    rows = list(enumerate(edited(rng, base, rng.choice([0.003, 0.02, 0.04])) for _ in range(40)))
+    docs = frame(rows, "doc_id long, text string").repartition(3)
+    whole = found(docs, rows)
+    monkeypatch.setattr("tidemark.llm.ngram_join.BLOCK_BYTES", 100_000)  # a few texts
+    assert found(docs, rows) == whole
+
+
+def test_rows_of_equal_id_and_text_have_an_order(frame):
+    rows = [(1, "a b c d e f", c, [k]) for c in "qxbz" for k in (2, 1)]
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        docs = frame(rows, "doc_id long, text string, _tm_id string, tags array<long>").repartition(3)
+        kept = one_of_each(docs, near_duplicates(docs)).collect()
+        assert [tuple(r) for r in kept] == [(1, "a b c d e f", "b", [1])]
+
+
 def test_short_empty_null_and_repeated(frame):
     rows = [
         (1, "two words"), (2, "Two, WORDS!"), (3, None), (4, ""), (5, "..."), (6, "two words more"), (7, "two words"),

@@ -8,6 +8,7 @@
 3. What a leader can't decide, two other texts of a bucket in different classes, is
    compared as well, in blocks of bounded size, each pair only in the first bucket that
    it shares. So every pair that shares a bucket is either in one class or was compared.
+   Blocks are as many as the number of texts or what their sets take in memory asks for.
 4. When the classes are known, all texts of a class are compared with each other, in pairs
    of blocks of bounded size, and only the number of links of each text leaves a task.
    Texts of equal words are one there, with the number of texts that it stands for.
@@ -25,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_BYTES, Scratch
+from tidemark.llm.common import WORD_BYTES, Scratch, own
 from tidemark.llm.components import components
 
 N = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
 HASHES = 128
-BLOCK = 512  # texts of a bucket or class that one task compares with as many others
+BLOCK = 512  # texts of a bucket or class that one task compares with as many others, if they are short
+BLOCK_BYTES = 128_000_000  # about what the n-gram sets of a block may take in a worker; a larger text is alone
+GRAM_BYTES = 200  # of an n-gram in a set, besides its text
 COLUMNS = 4096  # n-grams of a block that are multiplied at once
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -126,10 +129,11 @@ def _signatures(n: int, bands: int, rows: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(n, bands, rows)
         for batch in batches:
-            found, sizes, said = [], [], []
+            found, sizes, weights, said = [], [], [], []
             for raw in batch.column("raw").to_pylist():
                 words = words_of(raw)
                 sizes.append(None if raw is None else max(1, len(words) - n + 1) if words else 0)
+                weights.append(0 if raw is None else GRAM_BYTES * sizes[-1] + n * len(raw))
                 found.append(hasher.band_hashes(words) if words else None)
                 said.append(hashlib.md5(b" ".join(words), usedforsecurity=False).digest())
             empty = np.zeros(0, np.int64)
@@ -137,8 +141,11 @@ def _signatures(n: int, bands: int, rows: int):
             values = np.concatenate([empty, *(f for f in found if f is not None)])
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("key"), pa.array(said, pa.binary()), pa.array(sizes, pa.int64()), lists],
-                ["id", "key", "said", "grams", "bands"],
+                [
+                    batch.column("id"), batch.column("key"), pa.array(said, pa.binary()), pa.array(sizes, pa.int64()),
+                    pa.array(weights, pa.int64()), lists,
+                ],
+                ["id", "key", "said", "grams", "weight", "bands"],
             )
 
     return work
@@ -178,8 +185,22 @@ class _Union:
         self.up[self.find(x)] = self.find(y)
 
 
+def _runs(rows: list[dict]) -> list[range]:
+    """Places of rows whose sets fit into `BLOCK_BYTES` together, a larger one alone."""
+    out, low, held = [], 0, 0
+    for i, r in enumerate(rows):
+        if held and held + r["weight"] > BLOCK_BYTES:
+            out.append(range(low, i))
+            low, held = i, 0
+        held += r["weight"]
+    return [*out, range(low, len(rows))]
+
+
 def _links_of_block(rows: list[dict], n: int, threshold: float) -> Iterator[tuple[bytes, bytes]]:
-    """Links between texts of different classes in a pair of blocks (or one with itself)."""
+    """Links between texts of different classes in a pair of blocks (or one with itself).
+
+    Only the sets of two runs of texts are held at once.
+    """
     first = [r for r in rows if r["block"] == rows[0]["i"]]
     second = first if rows[0]["i"] == rows[0]["j"] else [r for r in rows if r["block"] == rows[0]["j"]]
     if not first or not second:
@@ -193,16 +214,24 @@ def _links_of_block(rows: list[dict], n: int, threshold: float) -> Iterator[tupl
 
     mine = np.array([r["bands"] for r in second])
     where = int(np.flatnonzero(mine[0] == rows[0]["band"])[0])
-    for k, r in enumerate(first):
-        # pairs that share no earlier band than this one
-        earlier = (mine[:, :where] == np.array(r["bands"][:where])).any(axis=1) if where else np.zeros(len(second), bool)
-        for j in np.flatnonzero(~earlier):
-            s = second[j]
-            if second is first and j <= k or classes.find(r["component"]) == classes.find(s["component"]):
+    for left in _runs(first):
+        for right in _runs(second):
+            if second is first and right[-1] < left[0]:
                 continue
-            if similar(grams(r), grams(s), threshold):
-                classes.join(r["component"], s["component"])
-                yield r["key"], s["key"]
+            sets.clear()
+            theirs = mine[right[0] : right[-1] + 1]
+            for k in left:
+                r = first[k]
+                # pairs that share no earlier band than this one
+                known = np.array(r["bands"][:where])
+                earlier = (theirs[:, :where] == known).any(axis=1) if where else np.zeros(len(right), bool)
+                for j in np.flatnonzero(~earlier) + right[0]:
+                    s = second[j]
+                    if second is first and j <= k or classes.find(r["component"]) == classes.find(s["component"]):
+                        continue
+                    if similar(grams(r), grams(s), threshold):
+                        classes.join(r["component"], s["component"])
+                        yield r["key"], s["key"]
 
 
 def _verify_blocks(n: int, threshold: float):
@@ -241,23 +270,38 @@ def _shared(sets: list[frozenset], first: slice, second: slice) -> np.ndarray:
 
 
 def _counts_of_block(rows: list[dict], n: int, threshold: float) -> list[tuple[bytes, int]]:
-    """Texts of a pair of blocks (or one with itself), and how many texts are similar to each."""
+    """Texts of a pair of blocks (or one with itself), and how many texts are similar to each.
+
+    Only the sets of two runs of texts are held at once.
+    """
     one = rows[0]["i"] == rows[0]["j"]
     left = [r for r in rows if r["block"] == rows[0]["i"]]
-    right = [] if one else [r for r in rows if r["block"] != rows[0]["i"]]
+    right = left if one else [r for r in rows if r["block"] != rows[0]["i"]]
+    counts: dict[bytes, int] = {}
+    for a in _runs(left):
+        for b in _runs(right):
+            if one and b.start < a.start or not a or not b:
+                continue
+            for key, c in _counts_of_runs([left[k] for k in a], [] if one and a == b else [right[k] for k in b], n, threshold):
+                counts[key] = counts.get(key, 0) + c
+    return list(counts.items())
+
+
+def _counts_of_runs(left: list[dict], right: list[dict], n: int, threshold: float) -> list[tuple[bytes, int]]:
+    """The same for texts against others, or among themselves if there are no others."""
     every = left + right
     first = slice(0, len(left))
-    second = first if one else slice(len(left), len(every))
+    second = slice(len(left), len(every)) if right else first
     sets = [gram_set(r["raw"], n) for r in every]
     sizes = np.array([len(s) for s in sets], np.float64)
     times = np.array([r["times"] for r in every], np.int64)
     shared = _shared(sets, first, second)
     alike = shared >= threshold * (sizes[first, None] + sizes[None, second] - shared)
+    if not right:
+        np.fill_diagonal(alike, False)
     counts = np.zeros(len(every), np.int64)
     counts[first] += alike.astype(np.int64) @ times[second]
-    if one:
-        counts -= times
-    else:
+    if right:
         counts[second] += alike.T.astype(np.int64) @ times[first]
     return [(r["key"], int(c)) for r, c in zip(every, counts, strict=True) if c]
 
@@ -318,7 +362,7 @@ def near_duplicates(
     id_type = given.schema["id"].dataType.simpleString()
     with Scratch(spark, "near") as space:
         members = space.table(
-            given.mapInArrow(_signatures(n, bands, rows), f"id {id_type}, key binary, said binary, grams long, bands array<long>")
+            given.mapInArrow(_signatures(n, bands, rows), f"id {id_type}, key binary, said binary, grams long, weight long, bands array<long>")
         )
         first_id = F.min(F.struct(F.col("id").isNull().alias("none"), "id"))
         nodes = space.table(
@@ -326,7 +370,8 @@ def near_duplicates(
             .groupBy("key")
             .agg(
                 first_id.alias("low"), F.count(F.lit(1)).alias("n_copies"),
-                F.first("said").alias("said"), F.first("grams").alias("grams"), F.first("bands").alias("bands"),
+                F.first("said").alias("said"), F.first("grams").alias("grams"), F.first("weight").alias("weight"),
+                F.first("bands").alias("bands"),
             )
         )
         found = _candidates(nodes, space)
@@ -371,6 +416,17 @@ def _star_links(found, nodes, texts, n, threshold, space) -> DataFrame:
     return space.table(rows.mapInArrow(_verify_stars(n, threshold), "a binary, b binary"))
 
 
+def _dealt(rows: DataFrame, block: int) -> DataFrame:
+    """Each text (`key`, of `m` with sets of `total` bytes) in its block and in pairs with all blocks: `i`, `j`."""
+    blocks = F.greatest(F.ceil(F.col("m") / F.lit(block)), F.ceil(F.col("total") / F.lit(BLOCK_BYTES)), F.lit(1))
+    return (
+        rows.withColumn("blocks", blocks.cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    )
+
+
 def _block_links(found, nodes, texts, classes, n, threshold, block, space) -> DataFrame:
     """Verified links between followers in a bucket whose classes differ."""
     followers = found.filter("key <> leader").select("key", "band", "m")
@@ -385,17 +441,14 @@ def _block_links(found, nodes, texts, classes, n, threshold, block, space) -> Da
         .filter("least <> most")
         .select("of")
     )
-    count = F.ceil(F.col("m") / F.lit(block)).cast("int")
-    here = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    dealt = (
+    weights = nodes.select(F.col("key").alias("of"), "weight")
+    among = space.table(
         placed.join(open_bands, F.col("band").eqNullSafe(F.col("of")), "left_semi")
-        .withColumn("blocks", count)
-        .withColumn("block", here)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "key", "band", "component", "block",
-            F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        )
+        .join(weights, F.col("key").eqNullSafe(F.col("of"))).drop("of")
+    )
+    total = among.groupBy(F.col("band").alias("of")).agg(F.sum("weight").alias("total"))
+    dealt = _dealt(among.join(total, F.col("band").eqNullSafe(F.col("of"))), block).select(
+        "key", "band", "component", "weight", "block", "i", "j"
     )
     details = texts.join(nodes.select("key", "grams", "bands"), "key").withColumnRenamed("key", "of")
     rows = (
@@ -412,24 +465,24 @@ def _link_counts(nodes, texts, classes, n, threshold, block, space) -> DataFrame
 
     Texts of equal words have equal sets, so the one of the lowest key is compared for
     all of them. A class of m such texts is dealt to pairs of blocks, each text to every
-    block once: rows grow with m * m / block, and no pair leaves a task.
+    block once: rows grow with m * m / block (with long texts, with the number of blocks that
+    their sets ask for), and no pair leaves a task.
     """
     known = classes.select(F.col("node").alias("of"), "component")
-    member = nodes.select("key", "said").join(known, F.col("key").eqNullSafe(F.col("of"))).drop("of")
+    member = nodes.select("key", "said", "weight").join(known, F.col("key").eqNullSafe(F.col("of"))).drop("of")
     one = space.table(
-        member.groupBy("component", "said").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("times"))
-    )
-    sizes = one.groupBy(F.col("component").alias("of")).agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    dealt = (
-        one.join(sizes, F.col("component").eqNullSafe(F.col("of")))
-        .withColumn("blocks", F.ceil(F.col("m") / F.lit(block)).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "component", "key", "times", "block",
-            F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        member.groupBy("component", "said").agg(
+            F.min("key").alias("key"), F.count(F.lit(1)).alias("times"), F.max("weight").alias("weight")
         )
     )
+    sizes = (
+        one.groupBy(F.col("component").alias("of"))
+        .agg(F.count(F.lit(1)).alias("m"), F.sum("weight").alias("total"))
+        .filter("m > 1")
+    )
+    dealt = _dealt(one.join(sizes, F.col("component").eqNullSafe(F.col("of"))), block).select(
+        "component", "key", "times", "weight", "block", "i", "j"
+    )
     rows = (
         dealt.join(texts.withColumnRenamed("key", "of"), F.col("key").eqNullSafe(F.col("of")))
         .drop("of")
@@ -479,10 +532,14 @@ def _described(members, nodes, degree, classes, doc_id: str) -> DataFrame:
 def one_of_each(docs: DataFrame, near: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of `docs` that stand for their class in `near`, all columns unchanged.
 
-    Rows equal in id and text are one row here; which of them stays is not defined.
+    Rows equal in id and text are one row here; the one stays whose columns are first as JSON. An
+    empty table gives no rows. Input columns may have any names.
     """
+    at_id, at_md5, at_row = (own(docs, f"_tm_{c}") for c in ("id", "md5", "row"))
     name = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
-    chosen = near.filter("kept").select(name.alias("_id"), F.col("text_md5").alias("_md5")).distinct()
+    chosen = near.filter("kept").select(name.alias(at_id), F.col("text_md5").alias(at_md5)).distinct()
     md5 = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    rows = docs.withColumns({"_id": name, "_md5": md5})
-    return rows.join(chosen, ["_id", "_md5"], "left_semi").dropDuplicates(["_id", "_md5"]).drop("_id", "_md5")
+    rows = docs.withColumns({at_id: name, at_md5: md5}).join(chosen, [at_id, at_md5], "left_semi")
+    rest = [F.col(c) for c in docs.columns if c != text] + [F.col(text).isNull().alias(at_row)]
+    first = F.min_by(F.struct(*docs.columns), F.to_json(F.struct(*rest)))
+    return rows.groupBy(at_id, at_md5).agg(first.alias(at_row)).select(f"{at_row}.*")
