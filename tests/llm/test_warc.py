@@ -1,7 +1,11 @@
 import base64
+import gzip
 import hashlib
+import zlib
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import warc
 from tidemark.llm.queries import op4_warc
@@ -68,7 +72,7 @@ def test_copies_nulls_and_odd_payloads(spark, frame, tmp_path):
     ]
     pages = frame(rows, "page_id long, url string, html string")
     archives = warc.pack_arc(pages, archive_bytes=200)
-    warc.write_warc(warc.mark_revisits(warc.convert_arc(archives)), f"{tmp_path}/w", records_per_file=3)
+    warc.write_warc(warc.mark_revisits(warc.convert_arc(archives)), f"{tmp_path}/w", file_bytes=300)
     back = warc.read_warc(spark, f"{tmp_path}/w").filter("record_type <> 'warcinfo'").collect()
     got = {r.page_id: r for r in back}
     assert len(back) == len(rows)
@@ -81,6 +85,53 @@ def test_copies_nulls_and_odd_payloads(spark, frame, tmp_path):
     assert got[1].refers_to_id == got[5].record_id
 
 
+def members(data):
+    """Each gzip member of a file alone."""
+    out = []
+    while data := data.lstrip(b"\0"):
+        tool = zlib.decompressobj(31)
+        out.append(tool.decompress(data) + tool.flush())
+        data = tool.unused_data
+    return out
+
+
+def test_a_member_per_record_and_files_by_bytes(spark, frame, tmp_path):
+    rows = [(i, f"http://a/{i}", hashlib.sha512(str(i).encode()).hexdigest() * 30) for i in range(60)]
+    pages = frame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(warc.mark_revisits(warc.convert_arc(warc.pack_arc(pages))), f"{tmp_path}/w", file_bytes=2_000)
+    files = [p.read_bytes() for p in Path(f"{tmp_path}/w").rglob("part-*")]
+    assert len(files) > 5 and all(len(f) < 2_000 + 1_000 for f in files)
+    found = [m for f in files for m in members(f)]
+    assert len(found) == 61 and all(len(list(warc.parse_warc(iter([m])))) == 1 for m in found)
+    assert sorted(b"".join(map(gzip.decompress, files))) == sorted(b"".join(found))
+
+
+def test_members_beyond_16_mb_and_cut_files():
+    record = "WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: {}\r\n\r\n{}"
+    texts = ["a" * 17_000_000, "b", "c" * 16_777_300]
+    data = b"".join(warc.member(record.format(len(t), t)) + b"\0" for t in texts)
+    assert [b.decode() for _, b in warc.parse_warc(warc.inflated(data))] == texts
+    assert gzip.decompress(data).count(b"WARC/1.1") == 3
+    for cut in (100, 2):
+        with pytest.raises(ValueError, match="inside a gzip member"):
+            list(warc.parse_warc(warc.inflated(data[:-cut])))
+
+
+def test_ids_of_any_type_in_any_order(spark, frame, tmp_path):
+    odd = ["b/é \r\nX-Row: 7", "b", "", "a+%20", None, "10", "9"]
+    rows = [(i, "u", "same" if k % 2 else f"text {k}") for k, i in enumerate(odd)]
+    pages = frame(rows, "page_id string, url string, html string").repartition(4).orderBy(F.rand())
+    archives = warc.store_archives(warc.pack_arc(pages), f"{tmp_path}/a")
+    records = warc.mark_revisits(warc.convert_arc(archives, id_type="string"))
+    warc.write_warc(records, f"{tmp_path}/w")
+    back = warc.read_warc(spark, f"{tmp_path}/w", id_type="string").filter("record_type <> 'warcinfo'").collect()
+    assert sorted(map(repr, (r.page_id for r in back))) == sorted(map(repr, odd))
+    assert {r.page_id: r.refers_to for r in back if r.record_type == "revisit"} == {"a+%20": "b", "10": "b"}
+    assert {r.page_id: bytes(r.payload).decode() for r in back if r.payload} == {
+        i: t for i, _, t in rows if i not in ("a+%20", "10")
+    }
+
+
 def test_equal_ids_small_payloads_and_empty_table(spark, frame):
     rows = [(1, "u", "aa"), (1, "u", "aa"), (2, "u", "b" * 9), (3, "u", "b" * 9)]
     pages = frame(rows, "page_id long, url string, html string")

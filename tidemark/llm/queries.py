@@ -56,9 +56,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as ARC archives, converted to WARC with revisits, and read back."""
-    records = warc.convert_arc(warc.pack_arc(_read(spark, sf_dir, "pages")))
     path = scratch(spark, "warc")
-    warc.write_warc(warc.mark_revisits(records), path)
+    with Scratch(spark, "arc") as space:
+        archives = warc.store_archives(warc.pack_arc(_read(spark, sf_dir, "pages")), f"{space.path}/archives")
+        warc.write_warc(warc.mark_revisits(warc.convert_arc(archives)), path)
     return (
         warc.read_warc(spark, path, payloads=False)
         .filter(F.col("record_type").isin("response", "revisit"))

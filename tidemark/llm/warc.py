@@ -2,20 +2,24 @@
 
 An ARC file is a version block and records. A record is one header line, whose last
 field declares the length, and so many bytes. Version 1 has five fields, version 2 ten.
-WARC files are written by Spark's text writer: a record is a line, and the two line
-ends after a record are the line separator. So they are committed like any Spark
-output, also when executors are lost, and can lie in any store that Spark writes to.
+WARC files are written by Spark's text writer: a record is a line, a gzip member of its
+own. So they are committed like any Spark output, also when executors are lost, and can
+lie in any store that Spark writes to. The line separator is a zero byte: the last byte
+of a member, the highest of its length, is zero up to 16 MB and left to the separator;
+behind a larger member the zero byte is padding, which gzip readers skip.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
+from urllib.parse import quote_plus, unquote_plus
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +28,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import null_safe
 
 ARCHIVE_BYTES = 8_000_000   # an archive is closed when it is as large
-RECORDS_PER_FILE = 2_000    # of a WARC file
+FILE_BYTES = 64_000_000     # a WARC file is closed when it is as large
+BYTES_OUT = 4_000_000       # packed records that a writer hands on at once
+FED = 16_384                # bytes of a file that are unpacked at once
 ROWS_OUT = 500              # records that a reader hands on at once
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -104,8 +110,10 @@ def pack_arc(
     """Pages as ARC archives of about `archive_bytes`, one per row (`archive`).
 
     The body of a record is an HTTP response whose header carries the page's id and
-    the number of its row. Archives are of version 1 and 2 in turn. Null html is an
-    empty payload, a null id is left out of the header.
+    the number of its row. Archives are of version 1 and 2 in turn. Ids of any type are
+    written as strings. Null html is an empty payload, a null id is left out of the header,
+    an empty table gives no archive. Rows are numbered as they come: write the archives
+    once before they are read more than once.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +131,7 @@ def pack_arc(
                     made += 1
                     name = f"{row}.arc"
                     parts, held = [arc_version_block(version, name, date)], 0
-                number = "" if page is None else f"X-Page-Id: {page}\r\n"
+                number = "" if page is None else f"X-Page-Id: {quote_plus(page)}\r\n"
                 head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n{number}X-Row: {row}{END}"
                 parts.append(arc_record(version, name, held, where or "", date, head.encode() + (payload or b"")))
                 held += len(parts[-1])
@@ -135,7 +143,7 @@ def pack_arc(
 
     return pages.select(
         F.monotonically_increasing_id().alias("row"),
-        F.col(page_id).alias("page"),
+        F.col(page_id).cast("string").alias("page"),
         F.col(url).alias("url"),
         F.col(html).cast("binary").alias("payload"),
     ).mapInArrow(work, "archive binary")
@@ -143,13 +151,13 @@ def pack_arc(
 
 RECORD = (
     "record_id string, record_type string, url string, ip string, date string, content_type string, "
-    "page_id long, row long, http_header string, payload binary, payload_bytes long, "
+    "page_id string, row long, http_header string, payload binary, payload_bytes long, "
     "payload_digest string, truncated boolean"
 )
 RECORD_ARROW = pa.schema(
     [
         ("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()), ("ip", pa.string()),
-        ("date", pa.string()), ("content_type", pa.string()), ("page_id", pa.int64()), ("row", pa.int64()),
+        ("date", pa.string()), ("content_type", pa.string()), ("page_id", pa.string()), ("row", pa.int64()),
         ("http_header", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()),
         ("payload_digest", pa.string()), ("truncated", pa.bool_()),
     ]
@@ -167,6 +175,11 @@ def header_number(header: str, name: str) -> int | None:
     return int(found[1]) if found else None
 
 
+def header_text(header: str, name: str) -> str | None:
+    found = re.search(rf"^{name}: ([^\r\n]*)\r?$", header, re.MULTILINE)
+    return unquote_plus(found[1]) if found else None
+
+
 def warc_fields(r: ArcRecord) -> dict:
     """What a WARC record says in place of an ARC record.
 
@@ -184,7 +197,7 @@ def warc_fields(r: ArcRecord) -> dict:
     return {
         "record_id": f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}", "record_type": kind, "url": r.url,
         "ip": r.ip, "date": iso_date(r.date), "content_type": r.content_type,
-        "page_id": header_number(text, "X-Page-Id"), "row": header_number(text, "X-Row"),
+        "page_id": header_text(text, "X-Page-Id"), "row": header_number(text, "X-Row"),
         "http_header": text, "payload": payload, "payload_bytes": len(payload),
         "payload_digest": base32_sha1(payload), "truncated": r.truncated,
     }
@@ -201,15 +214,26 @@ def _batches(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_pylist(held, schema)
 
 
-def convert_arc(archives: DataFrame, archive: str = "archive") -> DataFrame:
-    """The records of ARC archives as WARC records; a version block is a warcinfo."""
+def convert_arc(archives: DataFrame, archive: str = "archive", id_type: str = "long") -> DataFrame:
+    """The records of ARC archives as WARC records; a version block is a warcinfo.
+
+    `page_id` is what the HTTP header says, as `id_type`; null without it. Null and empty
+    archives, and empty tables, have no records.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0).to_pylist():
                 yield from _batches((warc_fields(r) for r in parse_arc(data or b"")), RECORD_ARROW)
 
-    return archives.select(archive).mapInArrow(work, RECORD)
+    return archives.select(archive).mapInArrow(work, RECORD).withColumn("page_id", F.col("page_id").cast(id_type))
+
+
+def store_archives(archives: DataFrame, path: str) -> DataFrame:
+    """Write archives (one per row) into a new folder, a few per row group, and read them from there."""
+    options = {"compression": "zstd", "parquet.block.size": 4 * ARCHIVE_BYTES, "parquet.block.size.row.check.min": 1}
+    archives.write.options(**options).parquet(path)
+    return archives.sparkSession.read.schema(archives.schema).parquet(path)
 
 
 # -- revisits ----------------------------------------------------------------------
@@ -221,7 +245,9 @@ def mark_revisits(records: DataFrame, least_bytes: int = 0) -> DataFrame:
     id. Payloads under `least_bytes` stay responses, and so do other record types. Equal
     page ids are told apart by row number. The first of a payload comes from an
     aggregate with a map-side half; the join on digests is an ordinary shuffled one, so
-    adaptive execution splits a payload that many records share.
+    adaptive execution splits a payload that many records share. Records without an id
+    rank below those with one; records of equal id and row are told apart by nothing, so rows have
+    to be numbered once (`store_archives`). An empty table gives no rows.
     """
     able = (F.col("record_type") == "response") & (F.col("payload_bytes") >= least_bytes)
     first = (
@@ -281,7 +307,7 @@ def warc_text() -> Column:
         _line("WARC-Truncated", F.when(F.col("truncated"), F.lit("length"))),
         _line("WARC-Profile", profile),
         _line("WARC-Refers-To", F.concat(F.lit("<"), F.col("refers_to_id"), F.lit(">"))),
-        _line("X-Refers-To-Page-Id", F.col("refers_to")),
+        _line("X-Refers-To-Page-Id", F.url_encode(F.col("refers_to").cast("string"))),
         _line("X-Payload-Length", F.col("payload_bytes")),
         _line("Content-Type", media),
         _line("Content-Length", F.octet_length(block)),
@@ -290,26 +316,68 @@ def warc_text() -> Column:
     )
 
 
-def write_warc(records: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Write records as gzipped WARC files into a new folder."""
-    records.select(warc_text().alias("value")).write.option("lineSep", END).option(
-        "compression", "gzip"
-    ).option("maxRecordsPerFile", records_per_file).text(path)
+def member(record: str) -> bytes:
+    """A record as a gzip member, whose last byte is left to the separator if it is zero."""
+    packed = gzip.compress(record.encode() + END.encode(), 6, mtime=0)
+    return packed[:-1] if packed[-1] == 0 else packed
+
+
+def write_warc(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
+    """Write records as WARC files of one gzip member per record into folders of `path`.
+
+    A task closes a file when it has `file_bytes`, so a file is longer by one record at most.
+    An empty table gives no file.
+    """
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = 0, 0
+        made: list[bytes] = []
+
+        def out(rows: list[bytes], part: int) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.binary()), pa.array([part] * len(rows), pa.int32())], ["value", "part"]
+            )
+
+        waiting = 0
+        for batch in batches:
+            for record in batch.column(0):
+                if held >= file_bytes:
+                    if made:
+                        yield out(made, part)
+                    made, waiting, held, part = [], 0, 0, part + 1
+                made.append(member(record.as_py()))
+                waiting += len(made[-1])
+                held += len(made[-1])
+                if waiting >= BYTES_OUT:
+                    yield out(made, part)
+                    made, waiting = [], 0
+        if made:
+            yield out(made, part)
+
+    packed = records.select(warc_text().alias("record")).mapInArrow(work, "value binary, part int")
+    packed.select(F.col("value").cast("string"), "part").write.partitionBy("part").option("lineSep", "\0").text(path)
 
 
 def inflated(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
-    """Pieces of a file, unpacked if it is gzipped, also in several members."""
+    """Pieces of a file, unpacked if it is gzipped, also in several members with zero bytes between them."""
     if data[:2] != b"\x1f\x8b":
         yield data
         return
-    while data:
+    view, at = memoryview(data), 0
+    while at < len(view):
+        if not view[at]:
+            at += 1
+            continue
         tool = zlib.decompressobj(31)
-        piece = tool.decompress(data, step)
-        while piece or tool.unconsumed_tail:
-            yield piece
-            piece = tool.decompress(tool.unconsumed_tail, step)
+        while not tool.eof and at < len(view):
+            fed = view[at : at + FED]
+            piece = tool.decompress(fed, step)
+            while piece or tool.unconsumed_tail:
+                yield piece
+                piece = tool.decompress(tool.unconsumed_tail, step)
+            at += len(fed) - len(tool.unused_data)
         yield tool.flush()
-        data = tool.unused_data
+        if not tool.eof:
+            raise ValueError("a WARC file that ends inside a gzip member")
 
 
 def parse_warc(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -351,14 +419,14 @@ def parse_warc(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]
 
 
 READ = (
-    "record_id string, record_type string, url string, date string, page_id long, payload binary, "
-    "payload_bytes long, payload_digest string, refers_to long, refers_to_id string"
+    "record_id string, record_type string, url string, date string, page_id string, payload binary, "
+    "payload_bytes long, payload_digest string, refers_to string, refers_to_id string"
 )
 READ_ARROW = pa.schema(
     [
         ("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()),
-        ("date", pa.string()), ("page_id", pa.int64()), ("payload", pa.binary()),
-        ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()),
+        ("date", pa.string()), ("page_id", pa.string()), ("payload", pa.binary()),
+        ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.string()),
         ("refers_to_id", pa.string()),
     ]
 )
@@ -378,17 +446,18 @@ def _read_fields(header: dict[str, str], block: bytes, payloads: bool) -> dict:
     return {
         "record_id": header["warc-record-id"].strip("<>"), "record_type": kind,
         "url": header.get("warc-target-uri"), "date": header["warc-date"],
-        "page_id": header_number(http.decode("utf-8", "replace"), "X-Page-Id"),
+        "page_id": header_text(http.decode("utf-8", "replace"), "X-Page-Id"),
         "payload": payload if payloads and kind != "revisit" else None, "payload_bytes": n,
-        "payload_digest": digest, "refers_to": int(page) if page else None,
+        "payload_digest": digest, "refers_to": None if page is None else unquote_plus(page),
         "refers_to_id": header.get("warc-refers-to", "").strip("<>") or None,
     }
 
 
-def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """The records of the WARC files in a folder, digests of payloads checked.
+def read_warc(spark: SparkSession, path: str, payloads: bool = True, id_type: str = "long") -> DataFrame:
+    """The records of the WARC files in a folder and those below, digests of payloads checked.
 
-    A file is held as a whole while its records are unpacked piece by piece.
+    A file is held as a whole while its records are unpacked piece by piece. Page ids
+    come back as `id_type`. A folder without a file gives no rows.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,5 +466,6 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
                 rows = (_read_fields(h, b, payloads) for h, b in parse_warc(inflated(data)))
                 yield from _batches(rows, READ_ARROW)
 
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(work, READ)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
+    ids = {c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")}
+    return files.mapInArrow(work, READ).withColumns(ids)
