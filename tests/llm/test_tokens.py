@@ -1,7 +1,9 @@
 import public_tokenizers
 import pytest
 
-from tidemark.llm.tokens import count_tokens, counter
+from pyspark.sql import functions as F
+
+from tidemark.llm.tokens import chars_within, count_tokens, counter, tokens_within
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 ODD = [
@@ -34,6 +36,34 @@ def test_cut_is_the_longest_that_fits(tool):
         assert n == len(text) or tool.count(text[: n + 1]) > limit or limit == 0
 
 
+def test_a_cut_encodes_nothing_again(tool, monkeypatch):
+    text = ODD[0] * 20
+    found = tool.prefixes_of(text)
+    expected = [tool.cut(text, limit) for limit in range(0, found.total + 2)]
+
+    def never(*_):
+        raise AssertionError("encoded again")
+
+    monkeypatch.setattr(tool, "prefixes", never)
+    monkeypatch.setattr(tool, "chunks", never)
+    assert [min(len(text), found.longest(limit)) for limit in range(0, found.total + 2)] == expected
+
+
+def test_questions_to_stored_prefixes(frame, tool):
+    texts = [*ODD, "", None, "a" * 2000]
+    docs = frame(list(enumerate(texts)), "doc_id long, text string")
+    asked = count_tokens(docs, MODEL, prefixes=True, limit=3).select(
+        "doc_id", "text", "cut_chars", chars_within(F.col("prefix_tokens"), F.lit(3)).alias("chars"),
+        *[tokens_within(F.col("prefix_tokens"), F.lit(c)).alias(f"t{c}") for c in (-1, 0, 2, 7, 5000)],
+        tokens_within(F.col("prefix_tokens"), F.lit(None)).alias("none"),
+    )
+    for r in asked.collect():
+        text = r.text or ""
+        assert r.chars == r.cut_chars and r.none is None
+        assert (r["t-1"], r.t0, r.t5000) == (0, 0, tool.count(text))
+        assert (r.t2, r.t7) == (tool.count(text[:2]), tool.count(text[:7]))
+
+
 def test_cache_that_starts_anew(tool, monkeypatch):
     monkeypatch.setattr("tidemark.llm.tokens.CACHED", 3)
     text = " ".join(f"word{i}" for i in range(50))

@@ -8,27 +8,29 @@ count for every prefix.
 
 No piece of the vocabulary holds a word mark after another character. Encodings are
 thus independent from word mark to word mark; the table of a word is computed once
-per worker, and prefixes of a text add up those of its words.
+per worker and stored, and prefixes of a text add up those of its words. Totals, cuts
+and budgets are read from these tables; no text is encoded again for them.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from itertools import accumulate
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import extended
+from tidemark.llm.common import extended, own
 
 LIMIT = 4096
-CACHED = 1_000_000  # words whose counts a worker remembers; then it starts anew
+CACHED = 500_000  # words whose tables a worker remembers; then it starts anew
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -47,6 +49,33 @@ ARROW = {
 }
 
 
+class Prefixes:
+    """The token counts of every prefix of one text: tables of its words, one behind the other."""
+
+    def __init__(self, tables: list[Sequence[int]]):
+        self.tables = tables
+        self.total = sum([t[-1] for t in tables])
+
+    def all(self) -> list[int]:
+        """Tokens of every prefix of the normalised text behind its leading mark."""
+        out, before = [], 0
+        for table in self.tables:
+            out += [before + n for n in table[1:]]
+            before += table[-1]
+        return out
+
+    def longest(self, limit: int) -> int:
+        """Characters of the longest prefix of no more than `limit` tokens."""
+        sums = list(accumulate(t[-1] for t in self.tables))
+        n = bisect_right(sums, limit)
+        whole = sum(len(t) - 1 for t in self.tables[:n])
+        inside = 0
+        if n < len(sums):
+            left = limit - (sums[n - 1] if n else 0)
+            inside = max((i for i, c in enumerate(self.tables[n]) if c <= left), default=0)
+        return max(0, whole + inside - 1)  # the leading mark is not in the text
+
+
 class PrefixCounter:
     """Token counts of a sentencepiece BPE model with byte fallback."""
 
@@ -66,7 +95,7 @@ class PrefixCounter:
             self.pieces.add_word(piece, (len(piece), piece))
         self.pieces.make_automaton()
         self.follows: dict[tuple[str, str], bool] = {}
-        self.counts: dict[str, int] = {}
+        self.tables: dict[str, Sequence[int]] = {}
 
     def merge(self, text: str) -> list[str]:
         """The tokens of a short text: best-scored pair first, leftmost among equals."""
@@ -126,45 +155,39 @@ class PrefixCounter:
         counts.append(counts[-1] + len(chunk[known].encode("utf-8", "surrogatepass")))
         return known + 1
 
-    def _count(self, chunk: str) -> int:
-        known = self.counts.get(chunk)
+    def _table(self, chunk: str) -> Sequence[int]:
+        """The stored table of a word; of short words it stays for later texts."""
+        known = self.tables.get(chunk)
         if known is None:
-            if len(self.counts) > CACHED:
-                self.counts.clear()
-            known = self.prefixes(chunk)[-1]
+            found = self.prefixes(chunk)
+            known = bytes(found) if max(found) < 256 else array("I", found)
             if len(chunk) <= 64:
-                self.counts[chunk] = known
+                if len(self.tables) > CACHED:
+                    self.tables.clear()
+                self.tables[chunk] = known
         return known
 
     def chunks(self, text: str) -> list[str]:
         return CHUNK.findall(self.library.normalize(text)) if text else []
 
-    def count(self, text: str) -> int:
-        known, chunks = self.counts, self.chunks(text)
+    def prefixes_of(self, text: str) -> Prefixes:
+        known, chunks = self.tables, self.chunks(text)
         try:
-            return sum([known[c] for c in chunks])
+            return Prefixes([known[c] for c in chunks])
         except KeyError:
-            return sum([self._count(c) for c in chunks])
+            return Prefixes([self._table(c) for c in chunks])
+
+    def count(self, text: str) -> int:
+        return self.prefixes_of(text).total
 
     def all_prefixes(self, text: str) -> list[int]:
         """Tokens of every prefix of the normalised text behind its leading mark."""
-        out, total = [], 0
-        for c in self.chunks(text):
-            counts = self.prefixes(c)
-            out += [total + n for n in counts[1:]]
-            total += counts[-1]
-        return out
+        return self.prefixes_of(text).all()
 
     def cut(self, text: str, limit: int) -> int:
-        """Characters of the longest prefix whose last whole word keeps to `limit` tokens."""
-        chunks = self.chunks(text)
-        sums = list(accumulate(self._count(c) for c in chunks))
-        n = bisect_right(sums, limit)
-        if n == len(chunks):
-            return len(text)
-        inside = self.prefixes(chunks[n])
-        more = max(i for i, c in enumerate(inside) if c <= limit - (sums[n - 1] if n else 0))
-        return max(0, sum(map(len, chunks[:n])) + more - 1)  # the leading mark is not in the text
+        """Characters of the longest prefix that keeps to `limit` tokens."""
+        found = self.prefixes_of(text)
+        return len(text) if found.total <= limit else found.longest(limit)
 
 
 _counters: dict[str, PrefixCounter] = {}
@@ -191,10 +214,12 @@ def count_tokens(
     is the number of characters to which a text has to be cut to keep to `limit`
     tokens, found in the counts of its prefixes; the whole length where it keeps to
     it. `prefix_tokens` has the count of every prefix, the first for one character
-    (the mark before the text is part of it). Null and empty text: no tokens.
+    (the mark before the text is part of it); `tokens_within` and `chars_within` answer
+    questions from it later. Null and empty text: no tokens.
     A row out for every row in, without a shuffle; columns named like an added one
     are replaced.
     """
+    at = own(docs, "_tm_text")
     added = T.StructType([f for f in ADDED if prefixes or f.name != "prefix_tokens"])
     carried, schema = extended(docs, carry, added)
     names = schema.fieldNames()
@@ -203,18 +228,40 @@ def count_tokens(
         tool = counter(model)
         for batch in batches:
             made = {f.name: [] for f in added}
-            for value in batch.column("_text").to_pylist():
+            for value in batch.column(at).to_pylist():
                 value = value or ""
-                n = tool.count(value)
+                found = tool.prefixes_of(value)
+                n = found.total
                 made["n_bytes"].append(len(value.encode()))
                 made["n_tokens"].append(n)
                 made["over_limit"].append(n > limit)
-                made["cut_chars"].append(tool.cut(value, limit) if n > limit else len(value))
+                made["cut_chars"].append(found.longest(limit) if n > limit else len(value))
                 if prefixes:
-                    made["prefix_tokens"].append(tool.all_prefixes(value)[1:] if value else [])
+                    made["prefix_tokens"].append(found.all()[1:] if value else [])
             arrays = {k: pa.array(v, ARROW[k]) for k, v in made.items()}
             yield pa.RecordBatch.from_arrays(
                 [arrays[c] if c in arrays else batch.column(c) for c in names], names
             )
 
-    return docs.select(*carried, F.col(text).alias("_text")).mapInArrow(work, schema)
+    return docs.select(*carried, F.col(text).alias(at)).mapInArrow(work, schema)
+
+
+def tokens_within(prefix_tokens: Column, chars: Column) -> Column:
+    """Tokens of the first `chars` characters, from a stored `prefix_tokens`.
+
+    Beyond the end it is the count of the whole text; 0 for no or fewer characters and for
+    empty texts, null where either is null.
+    """
+    size = F.size(prefix_tokens)
+    at = F.when(chars < size, chars).otherwise(size).cast("int")  # `least` would pass over a null
+    count = F.when(at >= 1, F.element_at(prefix_tokens, F.greatest(at, F.lit(1)))).otherwise(0)
+    return F.when(prefix_tokens.isNotNull() & chars.isNotNull(), count)
+
+
+def chars_within(prefix_tokens: Column, budget: Column) -> Column:
+    """Characters of the longest prefix of no more than `budget` tokens, from a stored `prefix_tokens`.
+
+    0 where none keeps to it, null where either is null.
+    """
+    fits = F.array_max(F.transform(prefix_tokens, lambda n, i: F.when(n <= budget, i + 1).otherwise(0)))
+    return F.when(prefix_tokens.isNotNull() & budget.isNotNull(), F.coalesce(fits, F.lit(0)))
