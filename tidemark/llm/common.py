@@ -44,6 +44,18 @@ def own(df: DataFrame, name: str) -> str:
     return name
 
 
+def apart(df: DataFrame, added: Iterable[str], *used: str) -> tuple[DataFrame, list[str], list[str]]:
+    """Make room for added columns: the frame, the names of the used columns in it, the columns to keep.
+
+    Columns named like an added one go; a used one stays under a free name, but isn't kept.
+    """
+    taken = {a.lower() for a in added}
+    names = [own(df, f"_tm_{c}") if c.lower() in taken else c for c in used]
+    kept = [c for c in df.columns if c.lower() not in taken]
+    out = df.select(*kept, *[F.col(c).alias(n) for c, n in dict(zip(used, names, strict=True)).items() if c != n])
+    return out, names, kept
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder in the shared checkpoint folder."""
     ensure_checkpoint_dir(spark)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import WORD_BYTES, extended
+from tidemark.llm.common import WORD_BYTES, extended, own
 
 WINDOW = 10
 PART_BYTES = 2_000_000  # benchmark text per automaton, about 200 MB in a worker
@@ -154,25 +154,26 @@ def decontaminate(
     automata, one after the other, with the same result.
     """
     spark = docs.sparkSession
+    at = own(docs, "_tm_raw")
     carried, schema = extended(docs, carry, ADDED)
     names = schema.fieldNames()
-    out = docs.select(*carried, F.col(text).cast("binary").alias("_raw"))
+    out = docs.select(*carried, F.col(text).cast("binary").alias(at))
     first = True
     for items in _parts(benchmark, item_id, item_text, part_bytes):
         shared = spark.sparkContext.broadcast(Matcher(items, window))
         out = out.mapInArrow(
-            _scan(shared, first, names),
-            T.StructType([*schema, T.StructField("_raw", T.BinaryType())]),
+            _scan(shared, first, names, at),
+            T.StructType([*schema, T.StructField(at, T.BinaryType())]),
         )
         first = False
     return out.select(*names)
 
 
-def _scan(shared, first: bool, names: list[str]):
+def _scan(shared, first: bool, names: list[str], at: str):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = shared.value
         for batch in batches:
-            raws = batch.column("_raw").to_pylist()
+            raws = batch.column(at).to_pylist()
             made = {k: [] for k in ARROW}
             earlier = [None] * len(raws) if first else zip(
                 batch.column("items").to_pylist(), batch.column("spans").to_pylist(),
@@ -192,7 +193,7 @@ def _scan(shared, first: bool, names: list[str]):
                 made["contaminated"].append(hit > 0)
             arrays = {k: pa.array(v, ARROW[k]) for k, v in made.items()}
             columns = [arrays[n] if n in arrays else batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, batch.column("_raw")], [*names, "_raw"])
+            yield pa.RecordBatch.from_arrays([*columns, batch.column(at)], [*names, at])
 
     return scan
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import WORD_BYTES, extended, scratch
+from tidemark.llm.common import WORD_BYTES, extended, own, scratch
 
 THRESHOLD = 0.6
 LICENSE_FILE = r"(?i)^(un)?licen[sc]e|^copying|^notice"
@@ -235,20 +235,21 @@ def own_licenses(
     """
     templates = TEMPLATES if templates is None else templates
     counts, total = document_counts(files, text, vocabulary(templates))
+    at = own(files, "_tm_raw")
     carried, schema = extended(files, carry, ADDED)
     names = schema.fieldNames()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(templates, counts, total)
         for batch in batches:
-            rows = [scorer.scan(raw or b"", threshold) for raw in batch.column("_tm_raw").to_pylist()]
+            rows = [scorer.scan(raw or b"", threshold) for raw in batch.column(at).to_pylist()]
             made = {
                 f.name: pa.array([r[i] for r in rows], kind)
                 for i, (f, kind) in enumerate(zip(ADDED, (pa.string(), pa.float64(), pa.bool_()), strict=True))
             }
             yield pa.RecordBatch.from_arrays([made[n] if n in made else batch.column(n) for n in names], names)
 
-    return files.select(*carried, F.col(text).cast("binary").alias("_tm_raw")).mapInArrow(work, schema)
+    return files.select(*carried, F.col(text).cast("binary").alias(at)).mapInArrow(work, schema)
 
 
 def directory(path: Column) -> Column:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import whitespace_words
+from tidemark.llm.common import apart, own, whitespace_words
 
 WEIGHTS = (5, 2, 1)
 MOST = 3          # a target is at most so many times its source
@@ -89,8 +89,11 @@ def mix(
     smaller than a source, and cells are added up in one small table. So a source that
     holds most rows is spread over many tasks, and rows are shuffled once.
     """
-    counted = F.size(whitespace_words(F.col(text))).cast("long") if size is None else size
-    docs = docs.drop(*[c for c in ADDED if c not in (source, doc_id, text)])
+    given = own(docs, "_tm_given")
+    docs = docs if size is None else docs.withColumn(given, size)
+    docs, (source, doc_id, text), kept = apart(docs, ADDED, source, doc_id, text)
+    kept = [c for c in kept if c != given]
+    counted = F.size(whitespace_words(F.col(text))).cast("long") if size is None else F.col(given)
     named = [F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col("size")]
     rows = docs.withColumn("size", counted).withColumns(
         {
@@ -119,7 +122,7 @@ def mix(
         .join(plan, cell)
         .withColumn("copies", copies)
         .select(
-            *docs.columns, "size", "source_size", "target", "copies",
+            *kept, "size", "source_size", "target", "copies",
             (F.col("copies") * F.col("size")).cast("long").alias("taken"),
         )
     )

@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, let, whitespace_words
+from tidemark.llm.common import SPACES, apart, let, whitespace_words
 
 SYMBOLS = "[#*$%&|<>]"
 REPEAT = 8  # words of a repeated passage
@@ -165,9 +165,9 @@ def quality_rules(
 
     # One expression each: a filter on `kept`, which Spark moves down to the scan, then
     # computes them once and not once for every rule.
-    given = docs.drop(*[c for c in (*MEASURES, "base_failed", "broken", "kept") if c != text])
+    given, (text,), carried = apart(docs, (*MEASURES, "base_failed", "broken", "kept"), text)
     return (
         given.withColumn("_tm_found", measures(F.col(text)))
         .withColumn("_tm_verdict", let(F.col("_tm_found"), verdict))
-        .select(*given.columns, "_tm_found.*", "_tm_verdict.*")
+        .select(*carried, "_tm_found.*", "_tm_verdict.*")
     )

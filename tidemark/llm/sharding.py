@@ -15,6 +15,8 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import apart
+
 BUCKET_BITS = 16   # 65,536 atomic sizes at most come to the driver
 CHUNKS = 256       # parts of a shard in which slots are counted apart
 
@@ -92,9 +94,9 @@ def assign_shards(
     one broadcast table of 4,096 rows (256 per shard). No window holds a whole shard or
     a whole group of copies.
     """
+    docs, (text, doc_id), kept = apart(docs, ADDED, text, doc_id)
     whole = F.coalesce(F.col(text), F.lit(""))
     hashed = F.xxhash64(whole)
-    docs = docs.drop(*[c for c in ADDED if c not in (text, doc_id)])
     sized = docs.withColumns(
         {
             "size": (F.octet_length(whole) + 1).cast("long"),
@@ -120,7 +122,7 @@ def assign_shards(
         .withColumn("_tm_place", F.row_number().over(inside))
         .join(F.broadcast(offsets), ["shard", "_tm_chunk"])
         .select(
-            *docs.columns,
+            *kept,
             "size",
             "text_crc32",
             F.lit("bytes").alias("law"),
