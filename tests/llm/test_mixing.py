@@ -66,3 +66,16 @@ def test_extra_columns_of_any_name(frame):
                  "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
     rows = mix(docs).collect()
     assert len(rows) == 4 and all(r[n] == "x" for r in rows for n in names)
+
+
+def test_carried_columns_and_equal_ids(frame):
+    rows = [(1, "s", "a b c"), (1, "s", "d e f"), (1, "s", "g h i"), (2, "t", "x " * 30), (3, None, None), (2, "t", "x " * 30)]
+    docs = frame(rows, "doc_id long, source string, text string")
+    whole = mix(docs).select("doc_id", "size", "source_size", "target", "copies", "taken")
+    thin = mix(docs, carry=["doc_id"])
+    assert "text" not in thin.columns and "source" not in thin.columns
+    assert sorted(map(str, thin.select(whole.columns).collect())) == sorted(map(str, whole.collect()))
+    emitted = [sorted(r.text or "" for r in emit(mix(docs.repartition(n))).collect()) for n in (1, 3, 6)]
+    assert emitted[0] == emitted[1] == emitted[2]
+    plan = thin._jdf.queryExecution().executedPlan().toString()
+    assert "split(" not in plan and "text" not in plan

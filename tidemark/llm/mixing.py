@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import apart, own, whitespace_words
+from tidemark.session import ensure_checkpoint_dir
 
 WEIGHTS = (5, 2, 1)
 MOST = 3          # a target is at most so many times its source
@@ -76,6 +77,7 @@ def mix(
     weights: Sequence[float] = WEIGHTS,
     most: int = MOST,
     seed: int = SEED,
+    carry: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add `size`, `source_size`, `target`, `copies` and `taken` (copies times size).
 
@@ -83,7 +85,12 @@ def mix(
     sources are one source. A source without any size has target 0 and no copies. A
     document has at most `most` copies. Repeated rows count one by one. Input columns
     named like an added one are replaced. Reruns agree: order and offset come from
-    hashes of the rows.
+    hashes of the rows; rows equal in size and id are taken in the order of their texts' hashes.
+    An empty table gives no rows.
+
+    `carry` has the columns to keep, all if None. With it, what is kept and the sizes are written
+    once, so texts are read and counted once; else they are read twice, for the cells and
+    for the result, and only the cells are written.
 
     Documents are numbered inside cells (source, size class, hash of id), each far
     smaller than a source, and cells are added up in one small table. So a source that
@@ -92,25 +99,30 @@ def mix(
     given = own(docs, "_tm_given")
     docs = docs if size is None else docs.withColumn(given, size)
     docs, (source, doc_id, text), kept = apart(docs, ADDED, source, doc_id, text)
-    kept = [c for c in kept if c != given]
+    kept = [c for c in kept if c != given and (carry is None or c in carry)]
     counted = F.size(whitespace_words(F.col(text))).cast("long") if size is None else F.col(given)
     named = [F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col("size")]
     rows = docs.withColumn("size", counted).withColumns(
         {
             "_tm_source": F.coalesce(F.col(source), F.lit("")),
             "_tm_null": F.col(source).isNull(),
+            "_tm_hash": F.xxhash64(F.col(text)),
             "_tm_class": size_class(F.col("size") + 1),
             "_tm_salt": (_number(F.concat_ws(":", *named, F.lit(seed)), 4) % SALTS).cast("int"),
         }
     )
     cell = ["_tm_source", "_tm_null", "_tm_class", "_tm_salt"]
+    ensure_checkpoint_dir(docs.sparkSession)
+    if carry is not None:
+        rows = rows.select(*dict.fromkeys([*kept, doc_id, "size", "_tm_hash", *cell])).checkpoint()
     cells = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_tm_rows"), F.sum("size").alias("_tm_size"))
+    cells = cells.checkpoint() if carry is None else cells
     sources = cells.groupBy("_tm_source", "_tm_null").agg(F.sum("_tm_size").alias("source_size"))
     along = Window.partitionBy("_tm_source", "_tm_null").orderBy("_tm_class", "_tm_salt")
     offsets = cells.withColumn("_tm_before", F.sum("_tm_rows").over(along) - F.col("_tm_rows")).drop("_tm_rows", "_tm_size")
     plan = offsets.join(source_targets(sources, weights, most, seed), ["_tm_source", "_tm_null"])
 
-    inside = Window.partitionBy(*cell).orderBy("size", F.col(doc_id))
+    inside = Window.partitionBy(*cell).orderBy("size", F.col(doc_id), "_tm_hash")
     step = F.col("_tm_before") + F.col("_tm_place")
 
     def crossed(n: Column) -> Column:

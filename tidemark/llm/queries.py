@@ -83,7 +83,7 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes each document."""
-    return mixing.mix(_read(spark, sf_dir, "documents")).select(
+    return mixing.mix(_read(spark, sf_dir, "documents"), carry=["doc_id"]).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 
