@@ -108,6 +108,53 @@ def test_any_text(both, library, text):
     assert (found and found[0].decode()) == (expected and written(expected))
 
 
+def counted(both, monkeypatch):
+    calls, encode = [], both.encode_a
+    monkeypatch.setattr(both, "encode_a", lambda text: calls.append(text) or encode(text))
+    return calls
+
+
+def test_new_words_of_many_texts_are_encoded_together(both, library, monkeypatch):
+    """Few calls for many short texts, and the same groups, whatever white space they end in."""
+    texts = [f"{w}{i}x{end}" for i, w in enumerate(["one two", "\u3000 six", "bad ▁ ", "two"] * 40) for end in ("", " ", "\n \t")] + ODD
+    calls = counted(both, monkeypatch)
+    both.forget()
+    found = list(both.texts(texts))
+    assert len(calls) < len(texts)
+    for text, got in zip(texts, found, strict=True):
+        expected = plain_groups(both, library, text)
+        assert (got and got[0].decode()) == (expected and written(expected)), repr(text)
+        if got:
+            codes, times = linked(read_groups(written(expected)))[4:]
+            assert tuple(got[1][:4]) == linked(read_groups(written(expected)))[:4]
+            assert got[1].codes.tolist() == codes.tolist() and got[1].times.tolist() == times.tolist()
+
+
+def test_one_word_without_tokens_among_many(both, monkeypatch):
+    calls = counted(both, monkeypatch)
+    words = [f"apart{i}" for i in range(400)]
+    assert both.text(" ".join([*words[:200], "mark▁inside", *words[200:]])) is None
+    assert len(calls) < 60
+    before = len(calls)
+    assert both.text(" ".join(words)) and len(calls) == before
+
+
+def test_words_are_forgotten(both, library, monkeypatch):
+    """Those met most often stay, within both bounds; groups and links stay right."""
+    monkeypatch.setattr("tidemark.llm.fragments.CACHED", 50)
+    both.forget()
+    texts = [f"often again n{i} m{i} " + "q" * (60 + i) for i in range(120)]
+    for i in range(0, 120, 10):
+        found = [f[0].decode() for f in both.texts(texts[i : i + 10])]
+        assert found == [written(plain_groups(both, library, t)) for t in texts[i : i + 10]]
+        assert len(both.known) <= 100 + 32 and {" often", " again"} <= both.known.keys()
+    small = both.known.kept(50, 200, 48)
+    assert 0 < small.bytes <= 200 and len(small) == len(small.groups) == small.first.n == small.met.n
+    assert all(small.groups[n] == both.known.groups[both.known[w]] for w, n in small.items())
+    assert len(both.known.kept(10**6, 10**9, 48)) == sum(len(w) <= 48 for w in both.known)
+    both.forget()
+
+
 ENDS = st.lists(st.integers(1, 40), unique=True, max_size=25).map(sorted)
 
 

@@ -13,7 +13,6 @@ task needs them all, and no row is made for each document and pair.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -33,12 +32,14 @@ BATCH_BYTES = 8_000_000  # text whose pairs are counted together
 FAN = 8                 # fragments that one step of the tree composes
 PAIRS_OUT = 100_000
 ROWS_HELD = 500         # rows that a task hands on at once
+BLOCK_CHARS = 250_000   # text whose words are looked up together
 
 ADDED = T.StructType(
     [T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
     + [T.StructField("groups_sha256", T.StringType())]
 )
 LOW = (1 << B_BITS) - 1
+PACKER = pa.Codec("zstd", compression_level=1)
 
 _tools: dict[tuple[str, str], TwoTokenizers] = {}
 
@@ -51,13 +52,14 @@ def tool(path_a: str, path_b: str) -> TwoTokenizers:
 
 
 def pack(codes: np.ndarray, times: np.ndarray) -> bytes:
-    """Pairs in order, as differences, and a number for each."""
-    return zlib.compress(np.concatenate([np.diff(codes, prepend=0), times]).astype("<i8").tobytes(), 1)
+    """Pairs in order, as differences, and a number for each: how many pairs, then both packed."""
+    both = np.concatenate([np.diff(codes, prepend=0), times]).astype("<i8").tobytes()
+    return len(codes).to_bytes(8, "little") + PACKER.compress(both, asbytes=True)
 
 
 def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    both = np.frombuffer(zlib.decompress(data), "<i8")
-    half = len(both) // 2
+    half = int.from_bytes(data[:8], "little")
+    both = np.frombuffer(PACKER.decompress(data[8:], half * 16, asbytes=True), "<i8")
     return np.cumsum(both[:half]), both[half:]
 
 
@@ -109,6 +111,17 @@ class Batches:
         yield from self.out(1)
 
 
+def blocks(batch: pa.RecordBatch) -> Iterator[tuple[list[str], pa.RecordBatch]]:
+    """The texts of some rows of about `BLOCK_CHARS` together, and those rows."""
+    texts, chars, start = [], 0, 0
+    for i, body in enumerate(batch.column("body"), 1):
+        texts.append(body.as_py())
+        chars += len(texts[-1])
+        if chars >= BLOCK_CHARS or i == batch.num_rows:
+            yield texts, batch.slice(start, i - start)
+            texts, chars, start = [], 0, i
+
+
 def align_tokens(
     docs: DataFrame,
     path_a: str,
@@ -146,12 +159,14 @@ def align_tokens(
         both, made = tool(path_a, path_b), None
         for batch in batches:
             made = made or Batches(0, batch_bytes, batch.column("carried").type)
-            for body, held in zip(batch.column("body"), batch.column("carried"), strict=True):
-                text = body.as_py()
-                made.add(held.as_py(), len(text) + 1, *(both.text(text) or (b"", UNLINKED)))
-                yield from made.out()
+            for texts, some in blocks(batch):
+                for text, held, found in zip(texts, some.column("carried"), both.texts(texts), strict=True):
+                    made.add(held.as_py(), len(text) + 1, *(found or (b"", UNLINKED)))
+                    yield from made.out()
         if made:
             yield from made.end()
+        both.forget()
+        pa.default_memory_pool().release_unused()  # workers wait for tasks of later stages
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = None

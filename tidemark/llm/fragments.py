@@ -14,17 +14,18 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 
-from tidemark.llm.common import Recent
-
 B_BITS = 32      # a pair of ids is one number: a << B_BITS | b
-CACHED = 60_000    # words whose groups a worker remembers at least, up to twice as many
-CACHED_CHARS = 48
+CACHED = 50_000    # words whose groups a worker remembers when it forgets others, at twice as many
+CACHED_BYTES = 8_000_000  # what these words, groups and links take at most
+CACHED_CHARS = 48  # of a word that is remembered then
+RUN_CHARS = 500    # new words encoded at a time: longer texts take B longer, by the character
 WIDE = 1 << 12   # links of a group that are listed one by one; of wider groups distinct ids are paired
 COMMA, BAR, SEMICOLON, NOTHING = range(4)
 
@@ -103,8 +104,11 @@ class Groups(NamedTuple):
 
 def grouped(a: Tokens, b: Tokens) -> Groups:
     """Tokens in groups; those behind the last common end are in a group `n` of their own."""
-    common = np.intersect1d(a.ends, b.ends, assume_unique=True)
-    return Groups(a.ids, np.searchsorted(common, a.ends), b.ids, np.searchsorted(common, b.ends), len(common))
+    last = max((int(t.ends[-1]) for t in (a, b) if len(t.ends)), default=0)
+    of_both = np.zeros((2, last + 1), bool)
+    of_both[0, a.ends] = of_both[1, b.ends] = True
+    upto = np.cumsum(of_both[0] & of_both[1])  # common ends up to each byte
+    return Groups(a.ids, upto[a.ends - 1], b.ids, upto[b.ends - 1], int(upto[-1]))
 
 
 class Writer:
@@ -113,9 +117,14 @@ class Writer:
     def __init__(self, ids: int):
         marks = (b",", b"|", b";", b"")
         self.table = [str(i).encode() + m for i in range(ids) for m in marks]
+        self.length = np.array([len(x) for x in self.table], np.int32)
 
     def write(self, g: Groups) -> bytes:
         """The closed groups; each has tokens of both."""
+        return self.write_ends(g)[0]
+
+    def write_ends(self, g: Groups) -> tuple[bytes, np.ndarray]:
+        """The closed groups, and where each ends, with the mark behind it."""
         inside_a, inside_b = g.of_a < g.n, g.of_b < g.n
         keys = np.concatenate([g.of_a[inside_a] * 2, g.of_b[inside_b] * 2 + 1])
         ids = np.concatenate([g.a[inside_a], g.b[inside_b]])
@@ -124,7 +133,9 @@ class Writer:
         step = np.diff(keys)
         behind = np.full(len(ids), NOTHING)
         behind[:-1] = np.where(step == 0, COMMA, np.where(keys[:-1] % 2 == 0, BAR, SEMICOLON))
-        return b"".join(map(self.table.__getitem__, (ids * 4 + behind).tolist()))
+        spelt = ids * 4 + behind
+        ends = np.cumsum(self.length[spelt])[(behind == SEMICOLON) | (behind == NOTHING)]
+        return b"".join(map(self.table.__getitem__, spelt.tolist())), ends
 
     def fragment(self, a: Tokens, b: Tokens) -> Fragment:
         """The fragment of a range, given the tokens of both that end in it."""
@@ -142,10 +153,16 @@ def read_groups(text: str) -> Groups:
         none = np.zeros(0, np.int64)
         return Groups(none, none, none, none, 0)
     raw = np.frombuffer(text.encode(), np.uint8)
-    marks = raw[(raw < 48) | (raw > 57)]
+    at = np.flatnonzero((raw < 48) | (raw > 57))
+    marks = raw[at]
     of = np.concatenate([[0], np.cumsum(marks == ord(";"))])
     is_b = np.concatenate([[0], np.cumsum(marks == ord("|"))]) > of
-    ids = np.array(re.split("[,|;]", text), np.int64)
+    ends = np.concatenate([at, [len(raw)]])
+    digits = np.diff(ends, prepend=-1) - 1
+    ids = np.zeros(len(ends), np.int64)
+    for i in range(int(digits.max())):
+        some = np.flatnonzero(digits > i)
+        ids[some] += (raw[ends[some] - 1 - i].astype(np.int64) - 48) * 10**i
     return Groups(ids[~is_b], of[~is_b], ids[is_b], of[is_b], int(of[-1]) + 1)
 
 
@@ -176,6 +193,13 @@ def condensed(codes: np.ndarray, times: np.ndarray | None = None) -> tuple[np.nd
     return codes[starts], np.add.reduceat(times, starts)
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of ranges, one range behind the other."""
+    sizes = sizes.astype(np.int64)
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def narrow_links(g: Groups, links: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     """A code for each link of the groups that have at most `WIDE`, in their order."""
     first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
@@ -204,13 +228,77 @@ def linked(g: Groups) -> Linked:
     return Linked(len(g.a), len(g.b), g.n, int(links.sum()), *condensed(np.concatenate(codes), times))
 
 
-class Word(NamedTuple):
-    """Groups of a word of a text, a code for each of its links, and its tokens of A."""
+class Column:
+    """Numbers in an array that grows."""
 
-    groups: bytes
-    codes: bytes
-    n_a: int
-    wide: bool  # has a group whose links `codes` leaves out
+    def __init__(self, dtype: type, values: np.ndarray | Sequence = ()):
+        self.data, self.n = np.array(values, dtype), len(values)
+
+    def add(self, values: np.ndarray) -> None:
+        n = self.n + len(values)
+        if n > len(self.data):
+            self.data = np.concatenate([self.data[: self.n], np.zeros(max(n, 1 << 12), self.data.dtype)])
+        self.data[self.n : n] = values
+        self.n = n
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.data[: self.n]
+
+
+FINE, WIDE_GROUP, NO_TOKENS = range(3)  # WIDE_GROUP: a group whose links `codes` leaves out
+
+
+class Words(dict):
+    """Numbers of words; a word looked up for the first time gets the next one.
+
+    What is known of them is in columns by number: groups, links (a code for each, those
+    of a word behind `first`), tokens of A, and how often they were met.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []  # not learnt yet
+        self.groups: list[bytes] = []
+        self.codes, self.first, self.n_links = Column(np.int64), Column(np.int64), Column(np.int32)
+        self.n_a, self.state, self.met = Column(np.int32), Column(np.int8), Column(np.int64)
+        self.bytes = 0
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+    def add(self, groups: list[bytes], codes: np.ndarray, n_links: np.ndarray, n_a: np.ndarray, state: np.ndarray) -> None:
+        """What was learnt of the new words, in their order."""
+        self.first.add(self.codes.n + np.cumsum(n_links) - n_links)
+        self.codes.add(codes)
+        for column, values in ((self.n_links, n_links), (self.n_a, n_a), (self.state, state), (self.met, np.zeros(len(groups)))):
+            column.add(values)
+        self.groups += groups
+        self.bytes += sum(map(len, chain(self.new, groups))) + codes.nbytes
+        self.new = []
+
+    def codes_of(self, numbers: np.ndarray) -> np.ndarray:
+        """The links of words, one word behind the other."""
+        return self.codes.data[spread(self.first.data[numbers], self.n_links.data[numbers])]
+
+    def kept(self, size: int, n_bytes: int, chars: int) -> Words:
+        """Those of at most `chars` characters met most often, or last, as far as `size` and `n_bytes` go.
+
+        They count as met half as often.
+        """
+        words, out = list(self), Words()
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        takes = length + np.fromiter(map(len, self.groups), np.int64, len(words)) + self.n_links.values * 8
+        order = np.argsort(self.met.values, kind="stable")[::-1]
+        order = order[length[order] <= chars][:size]
+        some = np.sort(order[np.cumsum(takes[order]) <= n_bytes])
+        for i in some.tolist():
+            out[words[i]]  # noqa: B018  numbers it
+        out.add([self.groups[i] for i in some.tolist()], self.codes_of(some), *(c.data[some] for c in (self.n_links, self.n_a, self.state)))
+        out.met = Column(np.int64, self.met.data[some] // 2)
+        return out
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -255,7 +343,7 @@ class TwoTokenizers:
         more = f"(?:[{re.escape(glue)}][{WHITE}]*[^{WHITE}]*)*" if glue else ""
         self.words = re.compile(f"[{WHITE}]*[^{WHITE}]+{more}|[{WHITE}]+")
         self.barrier = len(self.b.encode("\n"))
-        self.known = Recent(CACHED)
+        self.known = Words()
 
     @staticmethod
     def _byte_level(path: str, alphabet: dict[str, int]):
@@ -298,47 +386,85 @@ class TwoTokenizers:
         # a line end before the words keeps off the space that the library would add
         return self._tokens(words, self.b.encode("\n" + words)[self.barrier :])
 
-    def _learn(self, words: list[str]) -> dict[str, Word | None]:
-        """The groups of words, encoded together; None for those without tokens."""
-        found = self._encoded("".join(words))
-        if found is None:
-            return {words[0]: None} if len(words) == 1 else {w: self._learn([w])[w] for w in words}
+    def _ids(self, words: list[str]) -> list[tuple[list[int], list[int]]]:
+        """Tokens of words, encoded together, as rows of (A, B); a row for each word without tokens, empty."""
+        text = "".join(words)
+        rows = self.encode_a(text), self.b.encode("\n" + text)[self.barrier :]
+        raw = text.encode()
+        if all(b"".join(map(spelt.__getitem__, ids)) == raw for ids, spelt in zip(rows, (self.a_bytes, self.b_bytes), strict=True)):
+            return [rows]
+        if len(words) == 1:
+            self.without.add(text)
+            return [([], [])]
+        half = len(words) // 2
+        return self._ids(words[:half]) + self._ids(words[half:])
+
+    def _learn(self) -> None:
+        """The groups and links of new words, encoded in runs."""
+        words, self.without = self.known.new, set()
+        rows = [r for run in runs_of(words) for r in self._ids(run)]
+        found = []
+        for side, length in enumerate((self.a_length, self.b_length)):
+            ids = np.array(list(chain.from_iterable([r[side] for r in rows])), np.int64)
+            found.append(Tokens(ids, np.cumsum(length[ids])))
         g = grouped(*found)
-        ends = np.cumsum([len(w.encode()) for w in words])
-        last = np.searchsorted(found[0].ends, ends)  # token of A that ends each word, and so its last group
-        upto = np.concatenate([[0], g.of_a[last] + 1])
-        if (found[0].ends[last] != ends).any() or upto[-1] != g.n or (np.diff(upto) < 1).any():
+        fine = np.array([w not in self.without for w in words])
+        ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words] * fine)
+        # behind the token of A that ends each word, and so behind its last group
+        tokens = np.searchsorted(found[0].ends, ends, side="right")
+        upto = np.concatenate([[0], np.concatenate([[0], g.of_a + 1])[tokens]])
+        both_end = np.isin(ends[fine], found[0].ends, assume_unique=True) & np.isin(ends[fine], found[1].ends, assume_unique=True)
+        if not both_end.all() or upto[-1] != g.n or (np.diff(upto)[fine] < 1).any():
             raise ValueError("words that don't end with tokens of both")
         n_a, n_b = np.bincount(g.of_a, minlength=g.n), np.bincount(g.of_b, minlength=g.n)
         links = n_a * n_b
-        codes = narrow_links(g, links, n_a, n_b).astype("<i8").tobytes()
-        at = np.concatenate([[0], np.cumsum(np.where(links <= WIDE, links, 0)) * 8])[upto].tolist()
-        wide = np.concatenate([[0], np.cumsum(links > WIDE)])[upto].tolist()
-        tokens = np.concatenate([[0], np.cumsum(n_a)])[upto].tolist()
-        groups, upto = self.writer.write(g).split(b";"), upto.tolist()
-        return {
-            w: Word(b";".join(groups[upto[k] : upto[k + 1]]), codes[at[k] : at[k + 1]], tokens[k + 1] - tokens[k], wide[k + 1] > wide[k])
-            for k, w in enumerate(words)
-        }
+        told, at = self.writer.write_ends(g)
+        at = np.concatenate([[0], at])[upto].tolist()
+        groups = [told[x:y].rstrip(b";") for x, y in zip(at, at[1:], strict=False)]
+        narrow = np.concatenate([[0], np.cumsum(np.where(links <= WIDE, links, 0))])[upto]
+        wide = np.diff(np.concatenate([[0], np.cumsum(links > WIDE)])[upto]) > 0
+        state = np.where(fine, np.where(wide, WIDE_GROUP, FINE), NO_TOKENS)
+        self.known.add(groups, narrow_links(g, links, n_a, n_b), np.diff(narrow), np.diff(tokens, prepend=0), state)
+
+    def texts(self, texts: Sequence[str]) -> Iterator[tuple[bytes, Linked] | None]:
+        """Groups and links of whole texts; None for those without tokens.
+
+        Words of all of them that aren't known are learnt together.
+        """
+        if len(self.known) > 2 * CACHED or self.known.bytes > 2 * CACHED_BYTES:
+            self.known = self.known.kept(CACHED, CACHED_BYTES, CACHED_CHARS)
+        known, rows = self.known, [self.words.findall(" " + t) if t else [] for t in texts]
+        numbers = list(map(known.__getitem__, chain.from_iterable(rows)))
+        if known.new:
+            self._learn()
+        at = np.array(numbers, np.int64)
+        known.met.values[:] += np.bincount(at, minlength=len(known))
+        codes = known.codes_of(at)
+        ends = np.cumsum([len(r) for r in rows])
+        state, columns = known.state.data[at], (known.n_links.data[at], known.n_a.data[at])
+        of_links, of_a = (np.concatenate([[0], np.cumsum(c, dtype=np.int64)]).tolist() for c in columns)
+        wide, bad = (np.concatenate([[0], np.cumsum(state == s)]).tolist() for s in (WIDE_GROUP, NO_TOKENS))
+        x = 0
+        for y in ends.tolist():
+            if x == y or bad[x] < bad[y]:
+                yield None
+            else:
+                groups = b";".join(map(known.groups.__getitem__, numbers[x:y]))
+                if wide[x] < wide[y]:
+                    yield groups, linked(read_groups(groups.decode()))
+                else:
+                    mine, n_a, n_groups = codes[of_links[x] : of_links[y]], of_a[y] - of_a[x], groups.count(b";") + 1
+                    n_b = n_groups * 2 + groups.count(b",") - n_a  # a bar and a comma or semicolon between any two tokens
+                    yield groups, Linked(n_a, n_b, n_groups, len(mine), *condensed(mine))
+            x = y
+
+    def forget(self) -> None:
+        """Give the memory of known words back."""
+        self.known = Words()
 
     def text(self, text: str) -> tuple[bytes, Linked] | None:
         """Groups and links of a whole text; None if it has no tokens."""
-        if not text:
-            return None
-        words = self.words.findall(" " + text)
-        unseen = self.known.missing(dict.fromkeys(words))
-        known, made = self.known.new, self._learn(unseen) if unseen else {}
-        parts = [known[w] if w in known else made[w] for w in words]
-        self.known.keep({w: p for w, p in made.items() if len(w) <= CACHED_CHARS})
-        if None in parts:
-            return None
-        groups = b";".join([p.groups for p in parts])
-        if any([p.wide for p in parts]):
-            return groups, linked(read_groups(groups.decode()))
-        codes = np.frombuffer(b"".join([p.codes for p in parts]), "<i8")
-        n_a, n_groups = sum([p.n_a for p in parts]), groups.count(b";") + 1
-        n_b = n_groups * 2 + groups.count(b",") - n_a  # a bar and a comma or semicolon between any two tokens
-        return groups, Linked(n_a, n_b, n_groups, len(codes), *condensed(codes))
+        return next(iter(list(self.texts([text]))))
 
     def words_of(self, text: str) -> Iterator[str]:
         """The words of a text and the space before it."""
@@ -355,6 +481,19 @@ class TwoTokenizers:
         return None if found is None else self.writer.fragment(*(t.within(start, end) for t in found))
 
 
+def runs_of(words: Iterable[str]) -> Iterator[list[str]]:
+    """Words to encode together. White space that ends one would join that of the next: it ends the run."""
+    run, chars = [], 0
+    for w in words:
+        run.append(w)
+        chars += len(w)
+        if chars >= RUN_CHARS or w[-1].isspace():
+            yield run
+            run, chars = [], 0
+    if run:
+        yield run
+
+
 def byte_ranges(words: Iterable[str], size: int) -> Iterator[tuple[str, int, int]]:
     """Byte ranges of about `size`, each with the words that reach into it.
 
@@ -365,7 +504,7 @@ def byte_ranges(words: Iterable[str], size: int) -> Iterator[tuple[str, int, int
     held: list[str] = []
     at = start = done = 0  # bytes of the words so far, from where the range starts, before the held words
     for w in words:
-        n = len(w.encode())
+        n = len(w) if w.isascii() else len(w.encode())
         held.append(w)
         at += n
         while at - start >= size:
